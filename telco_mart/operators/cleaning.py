@@ -66,16 +66,20 @@ def clean_subscribers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         rev.alias("monthly_revenue"),
         "segment",
     )
-    # global exact median: one aggregate row joined back (broadcast of 1 row)
-    med = typed.agg(F.median("monthly_revenue").alias("_median_revenue"))
-    typed = (typed.crossJoin(F.broadcast(med))
-             .withColumn("monthly_revenue",
-                         F.coalesce("monthly_revenue", "_median_revenue").cast("decimal(10,2)"))
-             .drop("_median_revenue"))
+    typed = impute_global_median(typed, "monthly_revenue").withColumn(
+        "monthly_revenue", F.col("monthly_revenue").cast("decimal(10,2)"))
     return split_valid(typed, F.col("subscriber_id").isNotNull() & F.col("plan_id").isNotNull(),
                        "subscriber_id ou plan_id manquant")
 
 
+def impute_global_median(df: DataFrame, value: str) -> DataFrame:
+    """Fill NULL ``value`` with the exact median of the whole column (one
+    aggregate row, broadcast back: its size is one row whatever the input)."""
+    med = df.agg(F.median(value).alias("_median"))
+    return (df.crossJoin(F.broadcast(med))
+            .withColumn(value, F.coalesce(F.col(value), F.col("_median"))).drop("_median"))
+
+
 def impute_group_median(df: DataFrame, value: str, group: str) -> DataFrame:
     """Fill NULL ``value`` with the exact median of its ``group``; a NULL group
     or a group without any value stays NULL. The per-group medians are a

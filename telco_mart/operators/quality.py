@@ -132,25 +132,24 @@ def calendar_gaps(dates: DataFrame, date_col: str, calendar: DataFrame, source:
 
 
 def completeness_report(subscribers: DataFrame, usage: DataFrame, incidents: DataFrame) -> DataFrame:
-    """Three-branch completeness report over the current warehouse."""
+    """Three-branch completeness report over the current warehouse; scores are
+    rounded half-up exactly (integer arithmetic)."""
+    from telco_mart.operators.marts import ratio
     s = subscribers.filter(F.col("is_current") == 1)
     n = F.count(F.lit(1))
     sub = s.agg(
-        F.lit("dim_subscriber").alias("table_name"),
-        n.alias("total_lignes"),
+        F.lit("dim_subscriber").alias("table_name"), n.alias("total_lignes"),
         F.count_if(F.col("age").isNull()).alias("age_manquant"),
         F.count_if(F.col("email").isNull()).alias("email_manquant"),
-        F.count_if(F.col("gender") == C.UNKNOWN).alias("genre_inconnu"),
-        F.round(F.lit(100.0) - (F.count_if(F.col("age").isNull()) + F.count_if(F.col("email").isNull()))
-                * 100.0 / (n * 2), 2).alias("score_completude_pct"))
-    us = usage.agg(
-        F.lit("fact_usage").alias("table_name"), n.alias("total_lignes"),
-        F.count_if(F.col("amount_fcfa").isNull()).alias("age_manquant"),
-        F.round(F.lit(100.0) - F.count_if(F.col("amount_fcfa").isNull()) * 100.0 / n, 2)
-        .alias("score_completude_pct"))
-    inc = incidents.agg(
-        F.lit("fact_incident").alias("table_name"), n.alias("total_lignes"),
-        F.count_if(F.col("resolution_minutes").isNull()).alias("age_manquant"),
-        F.round(F.lit(100.0) - F.count_if(F.col("resolution_minutes").isNull()) * 100.0 / n, 2)
-        .alias("score_completude_pct"))
-    return sub.unionByName(us, allowMissingColumns=True).unionByName(inc, allowMissingColumns=True)
+        F.count_if(F.col("gender") == C.UNKNOWN).alias("genre_inconnu"))
+    sub = sub.withColumn("score_completude_pct", ratio(
+        F.col("total_lignes") * 2 - F.col("age_manquant") - F.col("email_manquant"),
+        F.col("total_lignes") * 2, 2, mult=100))
+
+    def one(df, table, col):
+        a = df.agg(F.lit(table).alias("table_name"), n.alias("total_lignes"),
+                   F.count_if(F.col(col).isNull()).alias("age_manquant"))
+        return a.withColumn("score_completude_pct", ratio(
+            F.col("total_lignes") - F.col("age_manquant"), F.col("total_lignes"), 2, mult=100))
+    return (sub.unionByName(one(usage, "fact_usage", "amount_fcfa"), allowMissingColumns=True)
+            .unionByName(one(incidents, "fact_incident", "resolution_minutes"), allowMissingColumns=True))

@@ -70,3 +70,392 @@ def q_kpi_retention(spark, sf_dir):
 def q_kpi_data(spark, sf_dir):
     w = wh(spark, sf_dir)
     return M.kpi_data_par_region(w.fact_usage, w.dim_location, w.dim_tower, w.calendar)
+
+
+# ----------------------------------------------------------------- helpers
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from telco_mart.operators import cleaning as CL  # noqa: E402
+from telco_mart.operators import dimensions as D  # noqa: E402
+from telco_mart.operators import facts as FA  # noqa: E402
+from telco_mart.operators import governance as G  # noqa: E402
+from telco_mart.operators import quality as Q  # noqa: E402
+from telco_mart.operators import rollups as R  # noqa: E402
+from telco_mart.operators import scd as S  # noqa: E402
+from telco_mart.operators import snapshots as SN  # noqa: E402
+from telco_mart.operators.calendar import build_calendar, calendar_checks, fill_calendar  # noqa: E402
+from telco_mart.sources import driver_tables as DT  # noqa: E402
+
+AS_OF2 = "2002-01-01"          # date of the second (delta) run
+GAP_CAL = ("1996-01-01", "2000-12-31")  # narrower calendar for the coverage check
+PIT_START, PIT_CHANGE = "1992-01-01", "1998-01-01"  # plan history for point-in-time
+
+
+def out(df: DataFrame, drop: tuple = ()) -> DataFrame:
+    """Comparable output: surrogate keys and load times dropped, DECIMAL shown
+    as DOUBLE."""
+    cols = []
+    for f in df.schema.fields:
+        if f.name.endswith("_sk") and f.name != "date_sk" or f.name in drop or f.name.startswith("_"):
+            continue
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+def delta_subscribers(w: Warehouse) -> DataFrame:
+    """Second-day subscriber feed, cleaned and checked like the first."""
+    kept, _ = CL.clean_subscribers(DT.raw_subscribers(w.tables, delta=True))
+    return Q.subscriber_rules(w.cfg.as_of).apply(kept)[0]
+
+
+def dim_subscriber_v2(w: Warehouse) -> DataFrame:
+    return D.build_dim_subscriber(delta_subscribers(w), AS_OF2, existing=w.dim_subscriber)
+
+
+def dim_plan_v2(w: Warehouse) -> DataFrame:
+    plans2 = CL.clean_plans(DT.raw_plans(w.tables, delta=True), w.cfg)
+    return D.build_dim_plan(plans2, AS_OF2, existing=w.dim_plan)
+
+
+def _snapshots(w: Warehouse) -> DataFrame:
+    return SN.monthly_snapshots(w.dim_subscriber, w.dim_tower, w.fact_usage, w.fact_incident,
+                                list(w.cfg.snapshot_months))
+
+
+def _snapshot_out(w: Warehouse, snap: DataFrame) -> DataFrame:
+    s = w.dim_subscriber.select("subscriber_sk", "subscriber_id")
+    p = w.dim_plan.select("plan_sk", "plan_id")
+    return out(snap.join(s, "subscriber_sk", "left").join(p, "plan_sk", "left"))
+
+
+# ----------------------------------------------------------------- cleaning
+@query("clean_plans")
+def q_clean_plans(spark, sf_dir):
+    return out(wh(spark, sf_dir).plans)
+
+
+@query("clean_towers")
+def q_clean_towers(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return out(CL.clean_towers(w.raw("towers"), w.cfg))
+
+
+@query("clean_subscribers")
+def q_clean_subscribers(spark, sf_dir):
+    return out(wh(spark, sf_dir)._subs[0])
+
+
+@query("clean_usage")
+def q_clean_usage(spark, sf_dir):
+    return out(wh(spark, sf_dir)._usage[0])
+
+
+@query("clean_incidents")
+def q_clean_incidents(spark, sf_dir):
+    return out(wh(spark, sf_dir)._incidents[0])
+
+
+@query("impute_global_median")
+def q_impute_global(spark, sf_dir):
+    from telco_mart.functions.cleaning import to_number
+    raw = wh(spark, sf_dir).raw("subscribers")
+    typed = raw.select("subscriber_id", to_number("monthly_revenue").alias("monthly_revenue"))
+    typed = typed.withColumn("revenue_imputed", F.col("monthly_revenue").isNull().cast("int"))
+    return CL.impute_global_median(typed, "monthly_revenue").withColumn(
+        "monthly_revenue", F.col("monthly_revenue").cast("decimal(10,2)").cast("double"))
+
+
+@query("impute_group_median")
+def q_impute_group(spark, sf_dir):
+    typed = CL.type_usage(wh(spark, sf_dir).raw("usage")).select("usage_id", "event_type", "amount_fcfa")
+    typed = typed.withColumn("amount_imputed", F.col("amount_fcfa").isNull().cast("int"))
+    return CL.impute_group_median(typed, "amount_fcfa", "event_type").withColumn(
+        "amount_fcfa", F.col("amount_fcfa").cast("decimal(12,2)").cast("double"))
+
+
+# ------------------------------------------------------------------ quality
+@query("dq_subscriber")
+def q_dq_subscriber(spark, sf_dir):
+    return out(wh(spark, sf_dir).subscribers)
+
+
+@query("dq_usage")
+def q_dq_usage(spark, sf_dir):
+    return out(wh(spark, sf_dir).usage)
+
+
+@query("dq_incident")
+def q_dq_incident(spark, sf_dir):
+    return out(wh(spark, sf_dir).incidents)
+
+
+@query("dq_tower")
+def q_dq_tower(spark, sf_dir):
+    return out(wh(spark, sf_dir).towers)
+
+
+@query("dq_quarantine")
+def q_dq_quarantine(spark, sf_dir):
+    return wh(spark, sf_dir).quarantine().select("source_table", "record_id", "rejection_reason")
+
+
+@query("dq_report")
+def q_dq_report(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return Q.completeness_report(w.dim_subscriber, w.fact_usage, w.fact_incident)
+
+
+@query("dq_calendar_gaps")
+def q_dq_calendar_gaps(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    cal = build_calendar(spark, *GAP_CAL)
+    return (Q.calendar_gaps(w.raw("incidents").select(CL.X.to_timestamp("incident_datetime").alias("d")),
+                            "d", cal, "incidents")
+            .unionByName(Q.calendar_gaps(w.raw("subscribers").select(
+                CL.X.to_date("subscription_date").alias("d")), "d", cal, "subscribers")))
+
+
+@query("dq_calendar_checks")
+def q_dq_calendar_checks(spark, sf_dir):
+    return calendar_checks(wh(spark, sf_dir).calendar)
+
+
+# --------------------------------------------------------------- dimensions
+@query("dim_calendar_a")
+def q_dim_calendar_a(spark, sf_dir):
+    return wh(spark, sf_dir).calendar
+
+
+@query("dim_calendar_b")
+def q_dim_calendar_b(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    base = build_calendar(spark, *GAP_CAL, style="a")
+    return fill_calendar(base, spark, w.cfg.calendar_start, w.cfg.calendar_end, style="b")
+
+
+@query("dim_location")
+def q_dim_location(spark, sf_dir):
+    return out(wh(spark, sf_dir).dim_location)
+
+
+@query("scd2_subscriber")
+def q_scd2_subscriber(spark, sf_dir):
+    return out(dim_subscriber_v2(wh(spark, sf_dir)))
+
+
+@query("scd2_plan")
+def q_scd2_plan(spark, sf_dir):
+    return out(dim_plan_v2(wh(spark, sf_dir)))
+
+
+@query("scd1_tower")
+def q_scd1_tower(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    towers2 = Q.tower_rules().apply(CL.clean_towers(DT.raw_towers(w.tables, delta=True), w.cfg))[0]
+    return out(D.build_dim_tower(towers2, existing=w.dim_tower))
+
+
+@query("scd_changes")
+def q_scd_changes(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    inc = D._subscriber_attrs(delta_subscribers(w), w.cfg.as_of)
+    ch = S.classify_changes(w.dim_subscriber, inc, "subscriber_id", D.SUBSCRIBER_TRACKED, D.SUBSCRIBER_TYPE1)
+    return ch.groupBy("change_type").agg(F.count(F.lit(1)).alias("nb"))
+
+
+@query("guarded_delete")
+def q_guarded_delete(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    req = w.dim_subscriber.select("subscriber_id").filter(
+        (F.substring("subscriber_id", 4, 20).cast("long") % 97) == 0)
+    _, refused, deleted = D.guarded_delete(w.dim_subscriber, req, "subscriber_id", w.fact_usage,
+                                           "subscriber_sk")
+    return (refused.select("subscriber_id", F.lit("refused").alias("outcome"))
+            .unionByName(deleted.select("subscriber_id", F.lit("deleted").alias("outcome"))))
+
+
+# -------------------------------------------------------------------- facts
+@query("fact_usage")
+def q_fact_usage(spark, sf_dir):
+    f = wh(spark, sf_dir).fact_usage
+    return out(f.withColumn("has_plan", F.col("plan_sk").isNotNull().cast("int")))
+
+
+@query("fact_usage_rejects")
+def q_fact_usage_rejects(spark, sf_dir):
+    from dataclasses import replace
+    from telco_mart.plans.warehouse import DRIVER_CONFIG
+    w = Warehouse(spark, sf_dir, replace(DRIVER_CONFIG, usage_country_from="subscriber"))
+    return w.fact_usage_rejects.select("usage_id", "rejection_reason")
+
+
+@query("fact_incident")
+def q_fact_incident(spark, sf_dir):
+    return out(wh(spark, sf_dir).fact_incident)
+
+
+@query("fact_append_idempotent")
+def q_fact_append(spark, sf_dir):
+    f = wh(spark, sf_dir).fact_usage
+    target = f.filter(F.col("annee") <= 1998)
+    return FA.append_new(target, f, "usage_id").select("usage_id", "date_sk")
+
+
+@query("plan_point_in_time")
+def q_plan_pit(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    p1 = D.build_dim_plan(w.plans, PIT_START)
+    p2 = D.build_dim_plan(CL.clean_plans(DT.raw_plans(w.tables, delta=True), w.cfg), PIT_CHANGE, existing=p1)
+    u = w.usage.select("usage_id", "subscriber_id", F.to_date("event_datetime").alias("event_date"))
+    pit = FA.plan_point_in_time(u, w.dim_subscriber, p2)
+    return pit.join(p2.select("plan_sk", "plan_id", F.col("version").alias("plan_version")), "plan_sk", "left") \
+        .select("usage_id", "plan_id", "plan_version")
+
+
+# ------------------------------------------------------------------ reports
+@query("snapshot_monthly")
+def q_snapshot(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return _snapshot_out(w, _snapshots(w))
+
+
+@query("upsert_month")
+def q_upsert_month(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    months = list(w.cfg.snapshot_months)
+    first = SN.monthly_snapshots(w.dim_subscriber, w.dim_tower, w.fact_usage, w.fact_incident, months[:-1])
+    redo = SN.monthly_snapshots(w.dim_subscriber, w.dim_tower, w.fact_usage, w.fact_incident, months[-2:])
+    return _snapshot_out(w, FA.upsert(first, redo, ["subscriber_sk", "snapshot_month"]))
+
+
+@query("churn_risk")
+def q_churn_risk(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return SN.churn_risk(w.dim_subscriber, w.fact_usage, w.cfg.as_of, w.cfg.churn_risk_days)
+
+
+@query("etl_run_summary")
+def q_etl_run_summary(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return G.run_log([
+        ("dim_plan", "LOAD", w.raw("plans"), w.dim_plan, None, None),
+        ("dim_tower", "LOAD", w.raw("towers"), w.dim_tower, None, None),
+        ("dim_subscriber", "LOAD", w.raw("subscribers"), w.dim_subscriber, w.subscriber_rejects, None),
+        ("fact_usage", "LOAD", w.raw("usage"), w.fact_usage, w._usage[1].unionByName(
+            w.fact_usage_rejects.select(*w._usage[1].columns)), None),
+        ("fact_incident", "LOAD", w.raw("incidents"), w.fact_incident, w._incidents[1], None),
+    ])
+
+
+@query("audit_diff")
+def q_audit_diff(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    sub = G.audit_diff(w.dim_subscriber, dim_subscriber_v2(w), "dim_subscriber", "subscriber_id",
+                       {"churn": False, "monthly_revenue": True})
+    plan = G.audit_diff(w.dim_plan, dim_plan_v2(w), "dim_plan", "plan_id", {"monthly_fee": True})
+    return sub.unionByName(plan).drop("changed_by", "changed_at")
+
+
+@query("pseudonymise")
+def q_pseudonymise(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    dim = dim_subscriber_v2(w)
+    ids = dim.select("subscriber_id").filter((F.substring("subscriber_id", 4, 20).cast("long") % 101) == 0)
+    erased, audit = G.pseudonymise(dim, ids)
+    return out(erased.join(ids, "subscriber_id", "left_semi")).select(
+        "subscriber_id", "version", "first_name", "last_name", "nom_complet", "phone_number", "email",
+        "is_current")
+
+
+# ----------------------------------------------------------------- roll-ups
+def _kpi(name: str):
+    return QUERIES[name]
+
+
+@query("rup_arpu_month")
+def q_rup_arpu(spark, sf_dir):
+    return R.rup_arpu_month(_kpi("kpi_arpu")(spark, sf_dir))
+
+
+@query("rup_churn_month")
+def q_rup_churn(spark, sf_dir):
+    return R.rup_churn_month(_kpi("kpi_churn_mensuel")(spark, sf_dir))
+
+
+@query("rup_exec_summary")
+def q_rup_exec(spark, sf_dir):
+    return R.rup_exec_summary(q_rup_arpu(spark, sf_dir), q_rup_churn(spark, sf_dir))
+
+
+@query("rup_data_city")
+def q_rup_data_city(spark, sf_dir):
+    return R.rup_data_city(_kpi("kpi_data_par_region")(spark, sf_dir))
+
+
+@query("rup_incident_city")
+def q_rup_incident_city(spark, sf_dir):
+    return R.rup_incident_city(_kpi("kpi_incidents_qualite")(spark, sf_dir))
+
+
+@query("rup_saturation")
+def q_rup_saturation(spark, sf_dir):
+    return R.rup_saturation(_kpi("kpi_utilisation_reseau")(spark, sf_dir))
+
+
+@query("rup_severity")
+def q_rup_severity(spark, sf_dir):
+    return R.rup_severity(q_rup_incident_city(spark, sf_dir))
+
+
+@query("rup_retention")
+def q_rup_retention(spark, sf_dir):
+    return R.rup_retention(_kpi("kpi_retention_par_offre")(spark, sf_dir))
+
+
+@query("rup_retention_summary")
+def q_rup_retention_summary(spark, sf_dir):
+    return R.rup_retention_summary(_kpi("kpi_retention_par_offre")(spark, sf_dir))
+
+
+@query("rup_calls_network")
+def q_rup_calls(spark, sf_dir):
+    return R.rup_calls_network(_kpi("kpi_duree_appels")(spark, sf_dir))
+
+
+@query("rup_filter")
+def q_rup_filter(spark, sf_dir):
+    return R.filter_kpi(_kpi("kpi_churn_mensuel")(spark, sf_dir), country="AFRICA",
+                        segment=["BUILDING", "MACHINERY"])
+
+
+@query("rup_alert80")
+def q_rup_alert(spark, sf_dir):
+    return R.rup_alert(_kpi("kpi_utilisation_reseau")(spark, sf_dir), 80.0)
+
+
+@query("rup_mttr")
+def q_rup_mttr(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return R.rup_mttr(w.fact_incident, w.dim_tower)
+
+
+@query("rup_plan_share")
+def q_rup_plan_share(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return R.rup_plan_share(w.dim_subscriber, w.dim_plan)
+
+
+@query("rup_call_band")
+def q_rup_call_band(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return R.rup_call_band(w.fact_usage, w.dim_subscriber)
+
+
+@query("rup_exact_arpu")
+def q_rup_exact_arpu(spark, sf_dir):
+    w = wh(spark, sf_dir)
+    return R.exact_arpu_month(w.fact_usage, w.dim_subscriber)

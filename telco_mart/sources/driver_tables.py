@@ -88,24 +88,38 @@ def _counts(t: DriverTables) -> DataFrame:
             .crossJoin(t.supplier.agg(F.count(F.lit(1)).alias("n_towers"))))
 
 
-def raw_plans(t: DriverTables) -> DataFrame:
+def raw_plans(t: DriverTables, delta: bool = False) -> DataFrame:
+    """Plan feed. ``delta=True``: key % 11 == 0 raises the fee by 5 (tracked),
+    key % 13 == 0 renames the plan (not tracked, ignored by the merge)."""
     p = t.part
     r = t.region
     k = F.col("p_partkey")
+    fee = F.col("p_retailprice").cast("decimal(10,2)")
+    name = F.col("p_name")
+    if delta:
+        fee = F.when(k % 11 == 0, fee + F.lit(5)).otherwise(fee).cast("decimal(10,2)")
+        name = F.when(k % 13 == 0, F.concat(name, F.lit(" v2"))).otherwise(name)
     return (p.join(F.broadcast(r), (k % 5) == r.r_regionkey, "left")
             .select(F.concat(F.lit("P"), _s(k)).alias("plan_id"),
-                    F.col("p_name").alias("plan_name"),
+                    name.alias("plan_name"),
                     F.col("r_name").alias("country"),
-                    _s(F.col("p_retailprice").cast("decimal(10,2)")).alias("monthly_fee"),
+                    _s(fee).alias("monthly_fee"),
                     _s(F.col("p_size")).alias("data_quota_gb"),
                     _s(F.col("p_size") * 60).alias("call_minutes"),
                     _s(F.col("p_size") * 20).alias("sms_quota"),
                     F.col("p_type").alias("type")))
 
 
-def raw_towers(t: DriverTables) -> DataFrame:
+def raw_towers(t: DriverTables, delta: bool = False) -> DataFrame:
+    """Tower feed. ``delta=True``: key % 4 == 0 becomes 'Inactif' (overwritten),
+    key % 5 == 0 reports another installation date (kept from the first load)."""
     s = t.supplier
     k = F.col("s_suppkey")
+    status = F.when(k % 10 < 8, F.lit("Actif")).when(k % 10 == 8, F.lit(" Maintenance "))
+    inst_days = (k * 17) % 3650
+    if delta:
+        status = F.when(k % 4 == 0, F.lit("Inactif")).otherwise(status)
+        inst_days = F.when(k % 5 == 0, inst_days + 1).otherwise(inst_days)
     return (s.join(F.broadcast(t.geo), s.s_nationkey == F.col("n_nationkey"), "left")
             .select(F.concat(F.lit("T"), _s(k)).alias("tower_id"),
                     F.col("s_name").alias("tower_name"),
@@ -118,10 +132,9 @@ def raw_towers(t: DriverTables) -> DataFrame:
                      .otherwise(_s(500 + (k % 5) * 250)).alias("capacity_users"),
                     _pick(TECHNOLOGIES, k % 3).alias("technology"),
                     F.date_format(F.date_add(F.lit("2010-01-01").cast("date"),
-                                             ((k * 17) % 3650).cast("int")), DATE_FMT)
+                                             inst_days.cast("int")), DATE_FMT)
                      .alias("installation_date"),
-                    F.when(k % 10 < 8, F.lit("Actif"))
-                     .when(k % 10 == 8, F.lit(" Maintenance ")).alias("status"),
+                    status.alias("status"),
                     _pick(BATTERY_STATES, k % 4).alias("etat_batterie")))
 
 
