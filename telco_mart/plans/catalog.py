@@ -94,7 +94,7 @@ PIT_START, PIT_CHANGE = "1992-01-01", "1998-01-01"  # plan history for point-in-
 
 def out(df: DataFrame, drop: tuple = ()) -> DataFrame:
     """Comparable output: surrogate keys and load times dropped, DECIMAL shown
-    as DOUBLE."""
+    as DOUBLE, dates and timestamps as ISO text."""
     cols = []
     for f in df.schema.fields:
         if f.name.endswith("_sk") and f.name != "date_sk" or f.name in drop or f.name.startswith("_"):
@@ -102,6 +102,10 @@ def out(df: DataFrame, drop: tuple = ()) -> DataFrame:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -213,28 +217,29 @@ def q_dq_report(spark, sf_dir):
 def q_dq_calendar_gaps(spark, sf_dir):
     w = wh(spark, sf_dir)
     cal = build_calendar(spark, *GAP_CAL)
-    return (Q.calendar_gaps(w.raw("incidents").select(CL.X.to_timestamp("incident_datetime").alias("d")),
-                            "d", cal, "incidents")
-            .unionByName(Q.calendar_gaps(w.raw("subscribers").select(
-                CL.X.to_date("subscription_date").alias("d")), "d", cal, "subscribers")))
+    inc = Q.calendar_gaps(w.raw("incidents").select(CL.X.to_timestamp("incident_datetime").alias("d")),
+                          "d", cal, "incidents")
+    sub = Q.calendar_gaps(w.raw("subscribers").select(CL.X.to_date("subscription_date").alias("d")),
+                          "d", cal, "subscribers")
+    return out(inc.unionByName(sub))
 
 
 @query("dq_calendar_checks")
 def q_dq_calendar_checks(spark, sf_dir):
-    return calendar_checks(wh(spark, sf_dir).calendar)
+    return out(calendar_checks(wh(spark, sf_dir).calendar))
 
 
 # --------------------------------------------------------------- dimensions
 @query("dim_calendar_a")
 def q_dim_calendar_a(spark, sf_dir):
-    return wh(spark, sf_dir).calendar
+    return out(wh(spark, sf_dir).calendar)
 
 
 @query("dim_calendar_b")
 def q_dim_calendar_b(spark, sf_dir):
     w = wh(spark, sf_dir)
     base = build_calendar(spark, *GAP_CAL, style="a")
-    return fill_calendar(base, spark, w.cfg.calendar_start, w.cfg.calendar_end, style="b")
+    return out(fill_calendar(base, spark, w.cfg.calendar_start, w.cfg.calendar_end, style="b"))
 
 
 @query("dim_location")
@@ -335,7 +340,7 @@ def q_upsert_month(spark, sf_dir):
 @query("churn_risk")
 def q_churn_risk(spark, sf_dir):
     w = wh(spark, sf_dir)
-    return SN.churn_risk(w.dim_subscriber, w.fact_usage, w.cfg.as_of, w.cfg.churn_risk_days)
+    return out(SN.churn_risk(w.dim_subscriber, w.fact_usage, w.cfg.as_of, w.cfg.churn_risk_days))
 
 
 @query("etl_run_summary")

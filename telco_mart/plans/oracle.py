@@ -36,14 +36,12 @@ plans_s AS (
                    (CASE r_name WHEN 'AFRICA' THEN 970.0 WHEN 'EUROPE' THEN 980.0 ELSE 990.0 END)
               THEN 'Standard' ELSE 'Premium' END AS categorie_prix
   FROM part LEFT JOIN region ON p_partkey % 5 = r_regionkey),
-towers_s AS (
-  SELECT 'T' || CAST(s_suppkey AS VARCHAR) AS tower_id, s_name AS tower_name, g.city,
+towers_raw AS (
+  SELECT s_suppkey AS k, 'T' || CAST(s_suppkey AS VARCHAR) AS tower_id, s_name AS tower_name, g.city,
          'Zone-' || CAST(s_suppkey % 3 AS VARCHAR) AS region, g.country,
-         CASE WHEN (s_suppkey * 37) % 200 - 100 BETWEEN -90 AND 90
-              THEN CAST((s_suppkey * 37) % 200 - 100 AS DOUBLE) END AS latitude,
-         CASE WHEN (s_suppkey * 53) % 400 - 200 BETWEEN -180 AND 180
-              THEN CAST((s_suppkey * 53) % 400 - 200 AS DOUBLE) END AS longitude,
-         CAST(CASE WHEN s_suppkey % 31 = 30 THEN 0 ELSE 500 + (s_suppkey % 5) * 250 END AS INTEGER) AS capacity_users,
+         CAST((s_suppkey * 37) % 200 - 100 AS DOUBLE) AS latitude,
+         CAST((s_suppkey * 53) % 400 - 200 AS DOUBLE) AS longitude,
+         CAST(CASE WHEN s_suppkey % 31 = 30 THEN -1 ELSE 500 + (s_suppkey % 5) * 250 END AS INTEGER) AS capacity_users,
          CASE s_suppkey % 3 WHEN 0 THEN '2G' WHEN 1 THEN '3G' ELSE '4G' END AS technology,
          DATE '2010-01-01' + CAST((s_suppkey * 17) % 3650 AS INTEGER) AS installation_date,
          CASE WHEN s_suppkey % 10 < 8 THEN 'Actif' WHEN s_suppkey % 10 = 8 THEN 'Maintenance'
@@ -52,11 +50,19 @@ towers_s AS (
               ELSE 'Non renseigné' END AS etat_batterie,
          CASE WHEN g.city IN ('NATION_0','NATION_5','NATION_10') THEN 'Urbain' ELSE 'Péri-urbain' END AS zone_type
   FROM supplier LEFT JOIN geo g ON s_nationkey = g.n_nationkey),
+towers_s AS (
+  SELECT tower_id, tower_name, city, region, country,
+         CASE WHEN latitude BETWEEN -90 AND 90 THEN latitude END AS latitude,
+         CASE WHEN longitude BETWEEN -180 AND 180 THEN longitude END AS longitude,
+         CASE WHEN capacity_users < 0 THEN 0 ELSE capacity_users END AS capacity_users,
+         technology, installation_date, status, etat_batterie, zone_type, k
+  FROM towers_raw),
 locations_s AS (
-  SELECT city, country, arg_min(region, tower_id) AS region,
+  SELECT city, country, region, latitude, longitude, zone_type,
          CASE WHEN city IN ('NATION_0','NATION_1') THEN 'Grande ville'
               WHEN city IN ('NATION_2','NATION_3') THEN 'Ville moyenne' ELSE 'Petite ville' END AS population_zone
-  FROM towers_s GROUP BY city, country),
+  FROM (SELECT *, row_number() OVER (PARTITION BY city, country ORDER BY tower_id) AS rn FROM towers_s) x
+  WHERE rn = 1),
 life AS (
   SELECT o_custkey, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
   FROM orders GROUP BY o_custkey),
@@ -140,6 +146,11 @@ usage_typed AS (
 usage_imp AS (
   SELECT *, coalesce(amount_raw, median(amount_raw) OVER (PARTITION BY event_type)) AS amount_imp
   FROM usage_typed),
+usage_clean AS (
+  SELECT * FROM usage_imp
+  WHERE subscriber_id IN (SELECT subscriber_id FROM subs_s)
+    AND tower_id IN (SELECT tower_id FROM towers_s)
+    AND event_datetime IS NOT NULL),
 usage_s AS (
   SELECT usage_id, subscriber_id, tower_id, event_type, event_datetime,
          CASE WHEN duration_sec < 0 THEN 0 ELSE duration_sec END AS duration_sec,
@@ -147,10 +158,7 @@ usage_s AS (
          CASE WHEN amount_imp >= 0 THEN amount_imp END AS amount,
          data_mb AS data_mb_raw,
          status, network_type, roaming
-  FROM usage_imp
-  WHERE subscriber_id IN (SELECT subscriber_id FROM subs_s)
-    AND tower_id IN (SELECT tower_id FROM towers_s)
-    AND event_datetime IS NOT NULL),
+  FROM usage_clean),
 fact_u AS (
   SELECT u.usage_id, u.subscriber_id, u.tower_id, s.plan_id, u.event_type, u.event_datetime,
          CAST(u.event_datetime AS DATE) AS event_date,
@@ -180,20 +188,52 @@ inc_typed AS (
          CAST(CASE WHEN o_orderkey % 19 = 0 THEN 1 WHEN o_orderstatus <> 'P' THEN 1 ELSE 0 END AS INTEGER) AS resolved,
          CASE WHEN o_orderkey % 20 = 0 THEN 'Non renseigné'
               ELSE 'Incident ' || CAST(o_orderkey AS VARCHAR) END AS description,
-         CAST(CASE WHEN o_orderkey % 61 = 0 THEN 0 ELSE o_custkey % 500 END AS INTEGER) AS nb_abonnes_affectes
+         CAST(CASE WHEN o_orderkey % 61 = 0 THEN -2 ELSE o_custkey % 500 END AS INTEGER) AS affected_raw
   FROM orders, counts),
+inc_clean AS (
+  SELECT * FROM inc_typed
+  WHERE tower_id IN (SELECT tower_id FROM towers_s) AND incident_datetime IS NOT NULL),
 fact_i AS (
   SELECT i.incident_id, i.tower_id, i.incident_type, i.severity, i.incident_datetime,
          CAST(i.incident_datetime AS DATE) AS event_date,
          CAST(strftime(i.incident_datetime, '%Y%m%d') AS INTEGER) AS date_sk,
          CASE WHEN i.resolved = 0 THEN NULL ELSE i.minutes_raw END AS resolution_minutes,
-         i.resolved, i.description, i.nb_abonnes_affectes,
+         i.resolved, i.description,
+         CASE WHEN i.affected_raw < 0 THEN 0 ELSE i.affected_raw END AS nb_abonnes_affectes,
          t.tower_name, t.city, t.country, t.technology
-  FROM inc_typed i JOIN towers_s t ON i.tower_id = t.tower_id
-  WHERE i.incident_datetime IS NOT NULL)
+  FROM inc_clean i JOIN towers_s t ON i.tower_id = t.tower_id)
 """
 
 
+AS_OF2 = "2002-01-01"
+GAP_START, GAP_END = "1996-01-01", "2000-12-31"
+PIT_START, PIT_CHANGE = "1992-01-01", "1998-01-01"
+MONTHS = list(CFG.snapshot_months)
+
+
+def _delta_subscriber_ctes() -> str:
+    """Second-day subscriber feed: the same cleaning, with the delta rules."""
+    a = BASE.index("subs_typed AS (")
+    b = BASE.index("usage_typed AS (")
+    blk = BASE[a:b]
+    blk = blk.replace("subs_typed", "subs_typed2").replace("subs_s AS", "subs_s2 AS")
+    blk = blk.replace("subs_d AS", "subs_d2 AS").replace("FROM subs_s)", "FROM subs_s2)")
+    blk = blk.replace("c_mktsegment AS segment",
+                      "CASE WHEN k % 7 = 0 AND c_mktsegment = 'BUILDING' THEN 'MACHINERY' "
+                      "WHEN k % 7 = 0 THEN 'BUILDING' ELSE c_mktsegment END AS segment")
+    blk = blk.replace("ELSE CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) END AS rev_raw",
+                      "ELSE CAST(CAST(c_acctbal AS DECIMAL(12,2)) + CASE WHEN k % 7 = 1 THEN 100 ELSE 0 END "
+                      "AS DOUBLE) END AS rev_raw")
+    blk = blk.replace("CASE WHEN k % 4 = 0 THEN NULL WHEN k % 4 = 1",
+                      "CASE WHEN k % 7 = 2 THEN 'new' || CAST(k AS VARCHAR) || '@mail.com' "
+                      "WHEN k % 4 = 0 THEN NULL WHEN k % 4 = 1")
+    # tenure of the second run ends at its own date
+    blk = blk.replace(f"coalesce(churn_date, DATE '{AS_OF}')", f"coalesce(churn_date, DATE '{AS_OF2}')")
+    return blk
+
+
+BASE = BASE.rstrip() + ",\n" + _delta_subscriber_ctes().rstrip().rstrip(",") + "\n"
+
 def with_base(select: str) -> str:
     return "WITH " + BASE.strip() + "\n" + select.strip()
 
@@ -311,3 +351,444 @@ FROM fact_u u JOIN locations_s l ON u.tower_city = l.city AND u.tower_country =
 WHERE u.event_type = 'Data' AND u.event_date {IN_CAL}
 GROUP BY ALL
 """)
+
+
+# ------------------------------------------------------------------ cleaning
+SUB_COLS = ("subscriber_id, first_name, last_name, gender, age, tranche_age, city, country, plan_id, "
+            "tower_id, subscription_date, phone_number")
+
+SQL["clean_plans"] = with_base("""
+SELECT plan_id, plan_name, country, CAST(monthly_fee AS DOUBLE) AS monthly_fee,
+       CAST(data_quota_gb AS DOUBLE) AS data_quota_gb, call_minutes, sms_quota, type_abonnement,
+       categorie_prix
+FROM plans_s
+""")
+
+SQL["clean_towers"] = with_base("""
+SELECT tower_id, tower_name, city, region, country, latitude, longitude, capacity_users, technology,
+       installation_date, status, etat_batterie, zone_type
+FROM towers_raw
+""")
+
+SQL["clean_subscribers"] = with_base(f"""
+SELECT {SUB_COLS}, email_raw AS email, churn, churn_date_raw AS churn_date,
+       CAST(CAST(coalesce(rev_raw, m.med) AS DECIMAL(10,2)) AS DOUBLE) AS monthly_revenue, segment
+FROM (SELECT *, CASE WHEN age IS NULL THEN 'Inconnu' WHEN age < 25 THEN '16-24' WHEN age < 35 THEN '25-34'
+                     WHEN age < 50 THEN '35-49' ELSE '50+' END AS tranche_age FROM subs_typed) t,
+     (SELECT median(rev_raw) AS med FROM subs_typed) m
+WHERE subscriber_id IS NOT NULL AND plan_id IS NOT NULL
+""")
+
+SQL["clean_usage"] = with_base("""
+SELECT usage_id, subscriber_id, tower_id, event_type, event_datetime, duration_sec, data_mb,
+       amount_imp AS amount_fcfa, status, network_type, roaming
+FROM usage_clean
+""")
+
+SQL["clean_incidents"] = with_base("""
+SELECT incident_id, tower_id, incident_type, severity, incident_datetime,
+       minutes_raw AS resolution_minutes, resolved, affected_raw AS nb_abonnes_affectes, description
+FROM inc_clean
+""")
+
+SQL["impute_global_median"] = with_base("""
+SELECT subscriber_id, CAST(CAST(coalesce(rev_raw, m.med) AS DECIMAL(10,2)) AS DOUBLE) AS monthly_revenue,
+       CAST(rev_raw IS NULL AS INTEGER) AS revenue_imputed
+FROM subs_typed t, (SELECT median(rev_raw) AS med FROM subs_typed) m
+""")
+
+SQL["impute_group_median"] = with_base("""
+SELECT usage_id, event_type, CAST(CAST(amount_imp AS DECIMAL(12,2)) AS DOUBLE) AS amount_fcfa,
+       CAST(amount_raw IS NULL AS INTEGER) AS amount_imputed
+FROM usage_imp
+""")
+
+# ------------------------------------------------------------------- quality
+SQL["dq_subscriber"] = with_base(f"""
+SELECT {SUB_COLS}, email, churn, churn_date, CAST(monthly_revenue AS DOUBLE) AS monthly_revenue, segment
+FROM subs_s
+""")
+
+SQL["dq_usage"] = with_base("""
+SELECT usage_id, subscriber_id, tower_id, event_type, event_datetime, duration_sec, data_mb,
+       amount AS amount_fcfa, status, network_type, roaming
+FROM usage_s
+""")
+
+SQL["dq_incident"] = with_base("""
+SELECT incident_id, tower_id, incident_type, severity, incident_datetime,
+       CASE WHEN resolved = 0 THEN NULL ELSE minutes_raw END AS resolution_minutes, resolved,
+       CASE WHEN affected_raw < 0 THEN 0 ELSE affected_raw END AS nb_abonnes_affectes, description
+FROM inc_clean
+""")
+
+SQL["dq_tower"] = with_base("""
+SELECT tower_id, tower_name, city, region, country, latitude, longitude, capacity_users, technology,
+       installation_date, status, etat_batterie, zone_type
+FROM towers_s
+""")
+
+SQL["dq_quarantine"] = with_base("""
+SELECT 'fact_usage' AS source_table, usage_id AS record_id,
+       'Data event with data_mb = 0' AS rejection_reason
+FROM usage_s WHERE event_type = 'Data' AND data_mb = 0
+""")
+
+SQL["dq_report"] = with_base(f"""
+SELECT 'dim_subscriber' AS table_name, CAST(COUNT(*) AS BIGINT) AS total_lignes,
+       CAST(SUM(CASE WHEN age IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS age_manquant,
+       CAST(SUM(CASE WHEN email IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS email_manquant,
+       CAST(SUM(CASE WHEN gender = 'Inconnu' THEN 1 ELSE 0 END) AS BIGINT) AS genre_inconnu,
+       {hu("COUNT(*) * 2 - SUM(CASE WHEN age IS NULL THEN 1 ELSE 0 END) - SUM(CASE WHEN email IS NULL THEN 1 ELSE 0 END)", "COUNT(*) * 2", 2, mult=100)} AS score_completude_pct
+FROM subs_s
+UNION ALL
+SELECT 'fact_usage', CAST(COUNT(*) AS BIGINT), CAST(SUM(CASE WHEN amount_fcfa IS NULL THEN 1 ELSE 0 END) AS BIGINT),
+       NULL, NULL,
+       {hu("COUNT(*) - SUM(CASE WHEN amount_fcfa IS NULL THEN 1 ELSE 0 END)", "COUNT(*)", 2, mult=100)}
+FROM fact_u
+UNION ALL
+SELECT 'fact_incident', CAST(COUNT(*) AS BIGINT),
+       CAST(SUM(CASE WHEN resolution_minutes IS NULL THEN 1 ELSE 0 END) AS BIGINT), NULL, NULL,
+       {hu("COUNT(*) - SUM(CASE WHEN resolution_minutes IS NULL THEN 1 ELSE 0 END)", "COUNT(*)", 2, mult=100)}
+FROM fact_i
+""")
+
+SQL["dq_calendar_gaps"] = with_base(f"""
+SELECT DISTINCT 'incidents' AS source, CAST(incident_datetime AS DATE) AS date_complete
+FROM inc_typed
+WHERE incident_datetime IS NOT NULL
+  AND CAST(incident_datetime AS DATE) NOT BETWEEN DATE '{GAP_START}' AND DATE '{GAP_END}'
+UNION ALL
+SELECT DISTINCT 'subscribers', subscription_date
+FROM subs_typed
+WHERE subscription_date NOT BETWEEN DATE '{GAP_START}' AND DATE '{GAP_END}'
+""")
+
+# ------------------------------------------------------------------ calendar
+DAYS_FR = "['Lundi','Mardi','Mercredi','Jeudi','Vendredi','Samedi','Dimanche']"
+HOLIDAYS = "('01-01','03-08','05-01','08-05','03-06','12-25')"
+
+
+def calendar_a(start: str, end: str) -> str:
+    return f"""
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, d AS date_complete,
+       CAST(day(d) AS INTEGER) AS jour, CAST(isodow(d) AS INTEGER) AS jour_semaine,
+       {DAYS_FR}[isodow(d)] AS nom_jour, CAST(weekofyear(d) AS INTEGER) AS semaine_annee,
+       CAST(month(d) AS INTEGER) AS mois, {MONTHS_FR}[month(d)] AS nom_mois,
+       CAST(quarter(d) AS INTEGER) AS trimestre, CASE WHEN month(d) <= 6 THEN 1 ELSE 2 END AS semestre,
+       CAST(year(d) AS INTEGER) AS annee,
+       CASE WHEN isodow(d) >= 6 THEN 1 ELSE 0 END AS is_weekend,
+       CASE WHEN isodow(d) >= 6 OR strftime(d, '%m-%d') IN {HOLIDAYS} THEN 0 ELSE 1 END AS is_jour_ouvre,
+       CASE WHEN strftime(d, '%m-%d') IN {HOLIDAYS} THEN 1 ELSE 0 END AS is_ferie,
+       CASE WHEN month(d) BETWEEN 6 AND 9 THEN 'Hivernage' ELSE 'Saison sèche' END AS saison,
+       'FY' || CAST(year(d) AS VARCHAR) || '-Q' || CAST(quarter(d) AS VARCHAR) AS periode_fiscale,
+       strftime(d, '%Y-%m') AS mois_annee,
+       CAST(year(d) AS VARCHAR) || '-Q' || CAST(quarter(d) AS VARCHAR) AS annee_trimestre,
+       CAST(NULL AS INTEGER) AS heure, CAST(NULL AS VARCHAR) AS tranche_horaire
+FROM (SELECT CAST(generate_series AS DATE) AS d
+      FROM generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)) g
+"""
+
+
+def calendar_b(start: str, end: str) -> str:
+    return f"""
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, d AS date_complete,
+       CAST(day(d) AS INTEGER) AS jour, CAST(dayofweek(d) + 1 AS INTEGER) AS jour_semaine,
+       dayname(d) AS nom_jour,
+       CAST(CASE WHEN month(d) = 1 AND weekofyear(d) >= 52 THEN 0
+                 WHEN month(d) = 12 AND weekofyear(d) = 1 THEN 53 ELSE weekofyear(d) END AS INTEGER) AS semaine_annee,
+       CAST(month(d) AS INTEGER) AS mois, monthname(d) AS nom_mois,
+       CAST(quarter(d) AS INTEGER) AS trimestre, CASE WHEN month(d) <= 6 THEN 1 ELSE 2 END AS semestre,
+       CAST(year(d) AS INTEGER) AS annee,
+       CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+       CASE WHEN dayofweek(d) IN (0, 6) THEN 0 ELSE 1 END AS is_jour_ouvre,
+       0 AS is_ferie,
+       CASE WHEN month(d) BETWEEN 6 AND 10 THEN 'Hivernage' ELSE 'Saison sèche' END AS saison,
+       'FY' || CAST(year(d) AS VARCHAR) || '-Q' || CAST(quarter(d) AS VARCHAR) AS periode_fiscale,
+       strftime(d, '%Y-%m') AS mois_annee,
+       CAST(year(d) AS VARCHAR) || '-Q' || CAST(quarter(d) AS VARCHAR) AS annee_trimestre,
+       CAST(NULL AS INTEGER) AS heure, CAST(NULL AS VARCHAR) AS tranche_horaire
+FROM (SELECT CAST(generate_series AS DATE) AS d
+      FROM generate_series(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)) g
+"""
+
+
+SQL["dim_calendar_a"] = calendar_a(CAL_START, CAL_END)
+SQL["dim_calendar_b"] = f"""
+SELECT * FROM ({calendar_a(GAP_START, GAP_END)}) a
+UNION ALL
+SELECT * FROM ({calendar_b(CAL_START, CAL_END)}) b
+WHERE b.date_complete NOT BETWEEN DATE '{GAP_START}' AND DATE '{GAP_END}'
+"""
+SQL["dq_calendar_checks"] = f"""
+SELECT min(date_complete) AS premiere_date, max(date_complete) AS derniere_date,
+       CAST(count(*) AS BIGINT) AS nb_jours_total,
+       CAST(date_diff('day', min(date_complete), max(date_complete)) + 1 AS BIGINT) AS jours_attendus,
+       CAST(sum(is_weekend) AS BIGINT) AS nb_weekends, CAST(sum(is_ferie) AS BIGINT) AS nb_feries
+FROM ({calendar_a(CAL_START, CAL_END)}) c
+"""
+
+# ---------------------------------------------------------------- dimensions
+SQL["dim_location"] = with_base("""
+SELECT city, region, country, 'Afrique de l''Ouest' AS continent,
+       CAST(CAST(latitude AS DECIMAL(9,6)) AS DOUBLE) AS latitude,
+       CAST(CAST(longitude AS DECIMAL(9,6)) AS DOUBLE) AS longitude,
+       zone_type, population_zone,
+       CASE WHEN country = 'Burkina Faso' THEN 'Africa/Ouagadougou' ELSE 'Africa/Accra' END AS fuseau_horaire
+FROM locations_s
+""")
+
+DIM_SUB_COLS = ("subscriber_id, first_name, last_name, nom_complet, gender, age, tranche_age, city, country, "
+                "plan_id, tower_id, phone_number, email, segment, churn, churn_date, subscription_date")
+SCD_SUB = f"""
+v1 AS (SELECT * FROM subs_d),
+v2 AS (SELECT * FROM subs_d2),
+cls AS (
+  SELECT v1.subscriber_id,
+         CASE WHEN v2.subscriber_id IS NULL THEN 'absent'
+              WHEN v1.city IS DISTINCT FROM v2.city OR v1.segment IS DISTINCT FROM v2.segment
+                   OR v1.plan_id IS DISTINCT FROM v2.plan_id THEN 'changed'
+              WHEN v1.churn IS DISTINCT FROM v2.churn OR v1.churn_date IS DISTINCT FROM v2.churn_date
+                   OR v1.monthly_revenue IS DISTINCT FROM v2.monthly_revenue
+                   OR v1.phone_number IS DISTINCT FROM v2.phone_number
+                   OR v1.email IS DISTINCT FROM v2.email THEN 'minor'
+              ELSE 'same' END AS kind
+  FROM v1 LEFT JOIN v2 ON v1.subscriber_id = v2.subscriber_id),
+merged AS (
+  SELECT {DIM_SUB_COLS.replace('churn, churn_date', 'v1.churn, v1.churn_date')
+          .replace('subscriber_id,', 'v1.subscriber_id,', 1).replace('phone_number, email', 'v1.phone_number, v1.email')},
+         v1.monthly_revenue, v1.anciennete_mois,
+         DATE '{AS_OF}' AS date_debut, CAST(NULL AS DATE) AS date_fin, 1 AS is_current, 1 AS version
+  FROM v1 JOIN cls c ON v1.subscriber_id = c.subscriber_id WHERE c.kind IN ('same', 'absent')
+  UNION ALL
+  SELECT {DIM_SUB_COLS.replace('subscriber_id,', 'v1.subscriber_id,', 1).replace('churn, churn_date', 'v1.churn, v1.churn_date').replace('phone_number, email', 'v1.phone_number, v1.email')},
+         v1.monthly_revenue, v1.anciennete_mois,
+         DATE '{AS_OF}', DATE '{AS_OF2}', 0, 1
+  FROM v1 JOIN cls c ON v1.subscriber_id = c.subscriber_id WHERE c.kind = 'changed'
+  UNION ALL
+  SELECT {DIM_SUB_COLS.replace('subscriber_id,', 'v2.subscriber_id,', 1)},
+         v2.monthly_revenue, v2.anciennete_mois,
+         DATE '{AS_OF2}', CAST(NULL AS DATE), 1, 2
+  FROM v2 JOIN cls c ON v2.subscriber_id = c.subscriber_id WHERE c.kind = 'changed'
+  UNION ALL
+  SELECT v1.subscriber_id, v1.first_name, v1.last_name, v1.nom_complet, v1.gender, v1.age, v1.tranche_age,
+         v1.city, v1.country, v1.plan_id, v1.tower_id, v2.phone_number, v2.email, v1.segment,
+         v2.churn, v2.churn_date, v1.subscription_date, v2.monthly_revenue, v1.anciennete_mois,
+         DATE '{AS_OF}', CAST(NULL AS DATE), 1, 1
+  FROM v1 JOIN v2 ON v1.subscriber_id = v2.subscriber_id
+  JOIN cls c ON v1.subscriber_id = c.subscriber_id WHERE c.kind = 'minor')
+"""
+
+
+def with_ctes(extra: str, select: str) -> str:
+    return "WITH " + BASE.strip() + ",\n" + extra.strip() + "\n" + select.strip()
+
+
+SQL["scd2_subscriber"] = with_ctes(SCD_SUB, """
+SELECT subscriber_id, first_name, last_name, nom_complet, gender, age, tranche_age, city, country,
+       plan_id, tower_id, phone_number, email, segment, churn, churn_date, subscription_date,
+       CAST(monthly_revenue AS DOUBLE) AS monthly_revenue, anciennete_mois, date_debut, date_fin,
+       is_current, version
+FROM merged
+""")
+
+SQL["scd_changes"] = with_ctes(SCD_SUB, """
+SELECT kind AS change_type, CAST(count(*) AS BIGINT) AS nb FROM cls GROUP BY kind
+""")
+
+PLAN2 = """
+p2 AS (
+  SELECT plan_id, CASE WHEN k % 13 = 0 THEN plan_name || ' v2' ELSE plan_name END AS plan_name,
+         country, CAST(CASE WHEN k % 11 = 0 THEN monthly_fee + 5 ELSE monthly_fee END AS DECIMAL(10,2)) AS monthly_fee,
+         data_quota_gb, call_minutes, sms_quota, type_abonnement, k
+  FROM (SELECT *, CAST(substr(plan_id, 2) AS BIGINT) AS k FROM plans_s) x),
+p2c AS (
+  SELECT *, CASE WHEN monthly_fee < (CASE country WHEN 'AFRICA' THEN 930.0 WHEN 'EUROPE' THEN 920.0 ELSE 950.0 END)
+                 THEN 'Économique'
+                 WHEN monthly_fee < (CASE country WHEN 'AFRICA' THEN 970.0 WHEN 'EUROPE' THEN 980.0 ELSE 990.0 END)
+                 THEN 'Standard' ELSE 'Premium' END AS categorie_prix
+  FROM p2),
+plan_hist AS (
+  SELECT p.plan_id, p.plan_name, p.type_abonnement, p.country, p.monthly_fee, p.data_quota_gb,
+         p.call_minutes, p.sms_quota, p.categorie_prix,
+         DATE '{d1}' AS date_debut,
+         CASE WHEN p.monthly_fee IS DISTINCT FROM q.monthly_fee THEN DATE '{d2}' END AS date_fin,
+         CASE WHEN p.monthly_fee IS DISTINCT FROM q.monthly_fee THEN 0 ELSE 1 END AS is_current, 1 AS version
+  FROM plans_s p JOIN p2c q ON p.plan_id = q.plan_id
+  UNION ALL
+  SELECT q.plan_id, q.plan_name, q.type_abonnement, q.country, q.monthly_fee, q.data_quota_gb,
+         q.call_minutes, q.sms_quota, q.categorie_prix, DATE '{d2}', CAST(NULL AS DATE), 1, 2
+  FROM plans_s p JOIN p2c q ON p.plan_id = q.plan_id
+  WHERE p.monthly_fee IS DISTINCT FROM q.monthly_fee)
+"""
+
+SQL["scd2_plan"] = with_ctes(PLAN2.format(d1=AS_OF, d2=AS_OF2), """
+SELECT plan_id, plan_name, type_abonnement, country, CAST(monthly_fee AS DOUBLE) AS monthly_fee,
+       CAST(data_quota_gb AS DOUBLE) AS data_quota_gb, call_minutes, sms_quota, categorie_prix,
+       date_debut, date_fin, is_current, version
+FROM plan_hist
+""")
+
+SQL["scd1_tower"] = with_base("""
+SELECT tower_id, tower_name, city, region, country,
+       CAST(CAST(latitude AS DECIMAL(9,6)) AS DOUBLE) AS latitude,
+       CAST(CAST(longitude AS DECIMAL(9,6)) AS DOUBLE) AS longitude,
+       capacity_users, technology, installation_date,
+       CASE WHEN k % 4 = 0 THEN 'Inactif' ELSE status END AS status, etat_batterie, zone_type
+FROM towers_s
+""")
+
+SQL["guarded_delete"] = with_base("""
+SELECT s.subscriber_id,
+       CASE WHEN EXISTS (SELECT 1 FROM fact_u u WHERE u.subscriber_id = s.subscriber_id)
+            THEN 'refused' ELSE 'deleted' END AS outcome
+FROM subs_s s WHERE s.k % 97 = 0
+""")
+
+# --------------------------------------------------------------------- facts
+SQL["fact_usage"] = with_base("""
+SELECT date_sk, usage_id, CAST(event_hour AS INTEGER) AS event_hour, duration_sec,
+       CAST(ROUND(CAST(duration_sec AS DOUBLE) / 60.0, 2) AS DOUBLE) AS duration_min,
+       CAST(data_mb AS DOUBLE) AS data_mb, CAST(data_gb AS DOUBLE) AS data_gb,
+       CAST(amount_fcfa AS DOUBLE) AS amount_fcfa, event_type, status, network_type, roaming,
+       CAST(year(event_date) AS INTEGER) AS annee,
+       CASE WHEN plan_id IN (SELECT plan_id FROM plans_s) THEN 1 ELSE 0 END AS has_plan
+FROM fact_u
+""")
+
+SQL["fact_usage_rejects"] = with_base("""
+SELECT u.usage_id, 'clé étrangère introuvable' AS rejection_reason
+FROM fact_u u LEFT JOIN locations_s l ON u.tower_city = l.city AND u.sub_country = l.country
+WHERE l.city IS NULL
+""")
+
+SQL["fact_incident"] = with_base("""
+SELECT date_sk, incident_id, incident_type, severity, resolved, description, resolution_minutes,
+       nb_abonnes_affectes, CAST(year(event_date) AS INTEGER) AS annee
+FROM fact_i
+""")
+
+SQL["fact_append_idempotent"] = with_base("""
+SELECT usage_id, date_sk FROM fact_u WHERE year(event_date) > 1998
+""")
+
+SQL["plan_point_in_time"] = with_ctes(PLAN2.format(d1=PIT_START, d2=PIT_CHANGE), """
+SELECT u.usage_id, h.plan_id, h.version AS plan_version
+FROM usage_s u JOIN subs_s s ON u.subscriber_id = s.subscriber_id
+LEFT JOIN plan_hist h ON h.plan_id = s.plan_id AND CAST(u.event_datetime AS DATE) >= h.date_debut
+     AND (h.date_fin IS NULL OR CAST(u.event_datetime AS DATE) < h.date_fin)
+""")
+
+# ------------------------------------------------------------------- reports
+MONTH_LIST = ", ".join(f"('{m}')" for m in MONTHS)
+SNAPSHOT = f"""
+months(m) AS (VALUES {MONTH_LIST}),
+um AS (
+  SELECT subscriber_id, strftime(event_date, '%Y-%m') AS m, sum(data_mb) AS mb, sum(duration_sec) AS sec,
+         sum(CASE WHEN event_type IN ('SMS_Sortant', 'SMS_Entrant') THEN 1 ELSE 0 END) AS sms,
+         sum(amount_fcfa) AS amt, sum(CASE WHEN status = 'Échec' THEN 1 ELSE 0 END) AS failed,
+         max(event_date) AS last_day
+  FROM fact_u GROUP BY 1, 2),
+has_usage AS (SELECT DISTINCT subscriber_id FROM fact_u),
+im AS (SELECT tower_id, strftime(event_date, '%Y-%m') AS m, count(*) AS n FROM fact_i GROUP BY 1, 2),
+snap AS (
+  SELECT s.subscriber_id, mo.m AS snapshot_month,
+         CASE WHEN h.subscriber_id IS NOT NULL THEN s.plan_id END AS plan_id,
+         CAST(CAST(coalesce(u.mb, 0) AS DECIMAL(12,2)) AS DOUBLE) AS data_used_mb,
+         CAST(coalesce(u.sec, 0) AS INTEGER) AS voice_used_sec,
+         CAST(coalesce(u.sms, 0) AS INTEGER) AS sms_used,
+         CAST(CAST(coalesce(u.amt, 0) AS DECIMAL(12,2)) AS DOUBLE) AS revenue_fcfa,
+         CAST(coalesce(i.n, 0) AS INTEGER) AS network_incidents,
+         CAST(coalesce(u.failed, 0) AS INTEGER) AS failed_calls,
+         CAST(coalesce(date_diff('day', (SELECT max(x.last_day) FROM um x
+                                          WHERE x.subscriber_id = s.subscriber_id AND x.m <= mo.m),
+                                 last_day(CAST(mo.m || '-01' AS DATE))), 999) AS INTEGER) AS days_since_active,
+         CASE WHEN s.churn = 1 AND strftime(s.churn_date, '%Y-%m') <= mo.m THEN 1 ELSE 0 END AS churn_status
+  FROM subs_s s CROSS JOIN months mo
+  LEFT JOIN um u ON u.subscriber_id = s.subscriber_id AND u.m = mo.m
+  LEFT JOIN has_usage h ON h.subscriber_id = s.subscriber_id
+  LEFT JOIN im i ON i.tower_id = s.tower_id AND i.m = mo.m)
+"""
+SQL["snapshot_monthly"] = with_ctes(SNAPSHOT, "SELECT * FROM snap")
+SQL["upsert_month"] = SQL["snapshot_monthly"]
+
+SQL["churn_risk"] = with_base(f"""
+SELECT s.subscriber_id, s.first_name, s.last_name, s.city, s.country,
+       max(u.event_date) AS derniere_activite,
+       CAST(date_diff('day', max(u.event_date), DATE '{AS_OF}') AS INTEGER) AS jours_inactivite
+FROM subs_s s JOIN fact_u u ON s.subscriber_id = u.subscriber_id
+WHERE s.churn = 0
+GROUP BY s.subscriber_id, s.first_name, s.last_name, s.city, s.country
+HAVING date_diff('day', max(u.event_date), DATE '{AS_OF}') >= {CFG.churn_risk_days}
+""")
+
+SQL["etl_run_summary"] = with_base("""
+SELECT 'dim_plan' AS table_name, 'LOAD' AS operation, 'SUCCESS' AS status,
+       (SELECT CAST(count(*) AS BIGINT) FROM part) AS rows_extracted,
+       (SELECT CAST(count(*) AS BIGINT) FROM plans_s) AS rows_inserted,
+       CAST(0 AS BIGINT) AS rows_rejected, CAST(0 AS BIGINT) AS rows_updated
+UNION ALL
+SELECT 'dim_tower', 'LOAD', 'SUCCESS', (SELECT count(*) FROM supplier), (SELECT count(*) FROM towers_s), 0, 0
+UNION ALL
+SELECT 'dim_subscriber', 'LOAD', 'SUCCESS', (SELECT count(*) FROM customer), (SELECT count(*) FROM subs_s),
+       (SELECT count(*) FROM subs_typed WHERE subscriber_id IS NULL OR plan_id IS NULL), 0
+UNION ALL
+SELECT 'fact_usage', 'LOAD', 'SUCCESS', (SELECT count(*) FROM usage_typed), (SELECT count(*) FROM fact_u),
+       (SELECT count(*) FROM usage_typed) - (SELECT count(*) FROM usage_clean), 0
+UNION ALL
+SELECT 'fact_incident', 'LOAD', 'SUCCESS', (SELECT count(*) FROM orders), (SELECT count(*) FROM fact_i),
+       (SELECT count(*) FROM orders) - (SELECT count(*) FROM fact_i), 0
+""")
+
+SQL["audit_diff"] = with_ctes(SCD_SUB + ",\n" + PLAN2.format(d1=AS_OF, d2=AS_OF2), """
+SELECT 'dim_subscriber' AS table_name, 'UPDATE' AS operation, b.subscriber_id AS record_pk,
+       'churn' AS column_name, CAST(b.churn AS VARCHAR) AS old_value, CAST(a.churn AS VARCHAR) AS new_value
+FROM v1 b JOIN merged a ON b.subscriber_id = a.subscriber_id AND a.is_current = 1
+WHERE b.churn <> a.churn
+UNION ALL
+SELECT 'dim_subscriber', 'UPDATE', b.subscriber_id, 'monthly_revenue',
+       CAST(b.monthly_revenue AS VARCHAR), CAST(a.monthly_revenue AS VARCHAR)
+FROM v1 b JOIN merged a ON b.subscriber_id = a.subscriber_id AND a.is_current = 1
+WHERE b.monthly_revenue IS DISTINCT FROM a.monthly_revenue
+UNION ALL
+SELECT 'dim_plan', 'UPDATE', b.plan_id, 'monthly_fee',
+       CAST(b.monthly_fee AS VARCHAR), CAST(a.monthly_fee AS VARCHAR)
+FROM plans_s b JOIN plan_hist a ON b.plan_id = a.plan_id AND a.is_current = 1
+WHERE b.monthly_fee IS DISTINCT FROM a.monthly_fee
+""")
+
+SQL["pseudonymise"] = with_ctes(SCD_SUB, """
+SELECT subscriber_id, version, 'ANONYMISE' AS first_name, 'ANONYMISE' AS last_name,
+       'ANONYMISE ANONYMISE' AS nom_complet, CAST(NULL AS VARCHAR) AS phone_number,
+       CAST(NULL AS VARCHAR) AS email, is_current
+FROM merged WHERE CAST(substr(subscriber_id, 4) AS BIGINT) % 101 = 0
+""")
+
+
+# ------------------------------------------------ ISO text for dates and times
+def _iso(sql: str, dates=(), stamps=()) -> str:
+    rep = [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dates]
+    rep += [f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in stamps]
+    return f"SELECT * REPLACE ({', '.join(rep)}) FROM (\n{sql}\n) iso_q"
+
+
+ISO = {
+    "clean_towers": (["installation_date"], []),
+    "dq_tower": (["installation_date"], []),
+    "scd1_tower": (["installation_date"], []),
+    "clean_subscribers": (["subscription_date", "churn_date"], []),
+    "dq_subscriber": (["subscription_date", "churn_date"], []),
+    "clean_usage": ([], ["event_datetime"]),
+    "dq_usage": ([], ["event_datetime"]),
+    "clean_incidents": ([], ["incident_datetime"]),
+    "dq_incident": ([], ["incident_datetime"]),
+    "dq_calendar_gaps": (["date_complete"], []),
+    "dq_calendar_checks": (["premiere_date", "derniere_date"], []),
+    "dim_calendar_a": (["date_complete"], []),
+    "dim_calendar_b": (["date_complete"], []),
+    "scd2_subscriber": (["churn_date", "subscription_date", "date_debut", "date_fin"], []),
+    "scd2_plan": (["date_debut", "date_fin"], []),
+    "churn_risk": (["derniere_activite"], []),
+}
+for _k, (_d, _t) in ISO.items():
+    SQL[_k] = _iso(SQL[_k], _d, _t)
