@@ -255,11 +255,18 @@ def hu(num: str, den: str, digits: int, num_scale: int = 0, mult: int = 1, div:
 
 
 IN_CAL = f"BETWEEN DATE '{CAL_START}' AND DATE '{CAL_END}'"
+KPI_BODY: dict[str, str] = {}
+
+
+def _kpi(name: str, body: str) -> str:
+    KPI_BODY[name] = body
+    return with_base(body)
+
 FAILED = "SUM(CASE WHEN status = 'Échec' THEN 1 ELSE 0 END)"
 
 SQL: dict[str, str] = {}
 
-SQL["kpi_churn_mensuel"] = with_base(f"""
+SQL["kpi_churn_mensuel"] = _kpi("kpi_churn_mensuel", f"""
 SELECT {month_cols('d')}, country, city, segment, plan_name, type_abonnement,
        CAST(COUNT(DISTINCT subscriber_id) AS BIGINT) AS total_abonnes,
        CAST(SUM(churn) AS BIGINT) AS nb_churnes,
@@ -270,7 +277,7 @@ WHERE d {IN_CAL}
 GROUP BY ALL
 """)
 
-SQL["kpi_arpu"] = with_base(f"""
+SQL["kpi_arpu"] = _kpi("kpi_arpu", f"""
 SELECT {month_cols('event_date')}, u.sub_country AS country, u.sub_city AS city,
        p.plan_name, p.type_abonnement,
        CAST(COUNT(DISTINCT u.subscriber_id) AS BIGINT) AS nb_abonnes_actifs,
@@ -282,7 +289,7 @@ WHERE u.amount_fcfa IS NOT NULL AND u.event_date {IN_CAL}
 GROUP BY ALL
 """)
 
-SQL["kpi_utilisation_reseau"] = with_base(f"""
+SQL["kpi_utilisation_reseau"] = _kpi("kpi_utilisation_reseau", f"""
 SELECT CAST(year(event_date) AS INTEGER) AS annee, CAST(month(event_date) AS INTEGER) AS mois,
        {MONTHS_FR}[month(event_date)] AS nom_mois,
        u.tower_id, t.tower_name, t.city, t.country, t.technology, t.capacity_users,
@@ -297,7 +304,7 @@ GROUP BY year(event_date), month(event_date), u.tower_id, t.tower_name, t.city,
          t.technology, t.capacity_users
 """)
 
-SQL["kpi_incidents_qualite"] = with_base(f"""
+SQL["kpi_incidents_qualite"] = _kpi("kpi_incidents_qualite", f"""
 SELECT CAST(year(event_date) AS INTEGER) AS annee, CAST(month(event_date) AS INTEGER) AS mois,
        {MONTHS_FR}[month(event_date)] AS nom_mois,
        tower_id, tower_name, city, country, technology,
@@ -312,7 +319,7 @@ WHERE event_date {IN_CAL}
 GROUP BY ALL
 """)
 
-SQL["kpi_duree_appels"] = with_base(f"""
+SQL["kpi_duree_appels"] = _kpi("kpi_duree_appels", f"""
 SELECT {month_cols('event_date')}, CAST(NULL AS VARCHAR) AS tranche_horaire,
        sub_country AS country, sub_city AS city, segment, network_type,
        CAST(COUNT(*) AS BIGINT) AS nb_appels,
@@ -327,7 +334,7 @@ GROUP BY ALL
 """)
 
 RETAINED = "SUM(CASE WHEN s.churn = 0 THEN 1 ELSE 0 END)"
-SQL["kpi_retention_par_offre"] = with_base(f"""
+SQL["kpi_retention_par_offre"] = _kpi("kpi_retention_par_offre", f"""
 SELECT p.plan_name, p.type_abonnement, p.country, CAST(p.monthly_fee AS DOUBLE) AS monthly_fee,
        CAST(COUNT(DISTINCT s.subscriber_id) AS BIGINT) AS total_abonnes,
        CAST({RETAINED} AS BIGINT) AS abonnes_retenus,
@@ -339,7 +346,7 @@ FROM subs_d s JOIN plans_s p ON s.plan_id = p.plan_id
 GROUP BY p.plan_name, p.type_abonnement, p.country, p.monthly_fee
 """)
 
-SQL["kpi_data_par_region"] = with_base(f"""
+SQL["kpi_data_par_region"] = _kpi("kpi_data_par_region", f"""
 SELECT {month_cols('u.event_date')}, l.country, l.city, l.region, u.technology,
        CAST(COUNT(DISTINCT u.subscriber_id) AS BIGINT) AS abonnes_data,
        CAST(COUNT(*) AS BIGINT) AS nb_sessions_data,
@@ -792,3 +799,125 @@ ISO = {
 }
 for _k, (_d, _t) in ISO.items():
     SQL[_k] = _iso(SQL[_k], _d, _t)
+
+
+# ------------------------------------------------------------------ roll-ups
+def over_kpi(names: dict[str, str], select: str) -> str:
+    """SQL over KPI marts given as CTEs {alias: kpi name}."""
+    extra = ",\n".join(f"{a} AS (\n{KPI_BODY[k].strip()}\n)" for a, k in names.items())
+    return with_ctes(extra, select)
+
+
+def avg_hu(col: str, scale: int, digits: int) -> str:
+    """Exact half-up average of a column holding values with ``scale`` decimals."""
+    return hu(f"SUM(CAST({col} AS DECIMAL(20,{scale})))", f"COUNT({col})", digits, num_scale=scale)
+
+
+ARPU_MONTH = f"""
+SELECT annee, mois, country,
+       {avg_hu('arpu', 2, 0)} AS arpu_fcfa,
+       CAST(ROUND(SUM(CAST(revenu_total AS DECIMAL(20,2))), 0) AS DOUBLE) AS revenu_total,
+       CAST(SUM(nb_abonnes_actifs) AS BIGINT) AS nb_abonnes,
+       CAST(annee AS VARCHAR) || '-' || lpad(CAST(mois AS VARCHAR), 2, '0') AS periode
+FROM k GROUP BY annee, mois, country
+"""
+CHURN_MONTH = f"""
+SELECT annee, mois, country, CAST(SUM(total_abonnes) AS BIGINT) AS total_abonnes,
+       CAST(SUM(nb_churnes) AS BIGINT) AS nb_churnes,
+       CAST(annee AS VARCHAR) || '-' || lpad(CAST(mois AS VARCHAR), 2, '0') AS periode,
+       {hu('SUM(nb_churnes)', 'SUM(total_abonnes)', 2, mult=100)} AS taux_pct
+FROM k GROUP BY annee, mois, country
+"""
+SQL["rup_arpu_month"] = over_kpi({"k": "kpi_arpu"}, ARPU_MONTH)
+SQL["rup_churn_month"] = over_kpi({"k": "kpi_churn_mensuel"}, CHURN_MONTH)
+SQL["rup_exec_summary"] = with_ctes(
+    f"ka AS (\n{KPI_BODY['kpi_arpu'].strip()}\n),\nkc AS (\n{KPI_BODY['kpi_churn_mensuel'].strip()}\n),\n"
+    f"am AS ({ARPU_MONTH.replace('FROM k ', 'FROM ka ')}),\ncm AS ({CHURN_MONTH.replace('FROM k ', 'FROM kc ')}),\n"
+    "per AS (SELECT periode, SUM(total_abonnes) AS t FROM cm GROUP BY periode)", f"""
+SELECT coalesce((SELECT {hu('SUM(CAST(arpu_fcfa AS DECIMAL(20,0)))', 'COUNT(arpu_fcfa)', 0)} FROM am), 0.0) AS arpu_global,
+       coalesce((SELECT CAST(SUM(CAST(revenu_total AS DECIMAL(24,0))) AS BIGINT) FROM am), 0) AS revenu_total,
+       coalesce((SELECT CAST(floor(SUM(t) / COUNT(*)) AS BIGINT) FROM per), 0) AS moy_abonnes,
+       coalesce((SELECT CAST(SUM(nb_churnes) AS BIGINT) FROM cm), 0) AS total_churnes,
+       coalesce((SELECT {hu('SUM(nb_churnes)', 'SUM(total_abonnes)', 2, mult=100)} FROM cm), 0.0) AS taux_churn
+""")
+SQL["rup_data_city"] = over_kpi({"k": "kpi_data_par_region"}, f"""
+SELECT country, city, CAST(SUM(nb_sessions_data) AS BIGINT) AS nb_sessions,
+       CAST(SUM(abonnes_data) AS BIGINT) AS abonnes_actifs,
+       {hu('SUM(CAST(total_mb AS DECIMAL(20,2)))', '1', 1, num_scale=2, div=1024)} AS volume_go,
+       city || ', ' || country AS localisation
+FROM k GROUP BY country, city
+""")
+INC_CITY = f"""
+SELECT country, city, CAST(SUM(nb_incidents) AS BIGINT) AS total_incidents,
+       CAST(SUM(incidents_eleves) AS BIGINT) AS incidents_graves,
+       CAST(SUM(incidents_moyens) AS BIGINT) AS incidents_moderes,
+       CAST(SUM(total_abonnes_affectes) AS BIGINT) AS abonnes_touches,
+       {avg_hu('duree_resolution_moy_min', 1, 0)} AS resolution_moy_min,
+       {avg_hu('taux_resolution_pct', 2, 1)} AS taux_resolution
+FROM k GROUP BY country, city
+"""
+SQL["rup_incident_city"] = over_kpi({"k": "kpi_incidents_qualite"}, INC_CITY)
+SQL["rup_saturation"] = over_kpi({"k": "kpi_utilisation_reseau"}, f"""
+SELECT country, technology, {avg_hu('taux_utilisation_pct', 2, 1)} AS utilisation_pct,
+       CAST(ROUND(SUM(CAST(volume_data_gb AS DECIMAL(20,2))), 0) AS DOUBLE) AS volume_go,
+       CAST(SUM(abonnes_actifs) AS BIGINT) AS abonnes
+FROM k GROUP BY country, technology
+""")
+SQL["rup_severity"] = over_kpi({"k": "kpi_incidents_qualite"}, f"""
+SELECT 'Élevée' AS gravite, CAST(coalesce(SUM(incidents_graves), 0) AS BIGINT) AS nombre FROM ({INC_CITY}) c
+UNION ALL
+SELECT 'Modérée', CAST(coalesce(SUM(incidents_moderes), 0) AS BIGINT) FROM ({INC_CITY}) c
+""")
+SQL["rup_retention"] = over_kpi({"k": "kpi_retention_par_offre"}, """
+SELECT plan_name, type_abonnement, country,
+       CAST(ROUND(CAST(monthly_fee AS DECIMAL(12,2)), 0) AS DOUBLE) AS prix_fcfa,
+       total_abonnes, abonnes_retenus, abonnes_perdus, taux_retention_pct, taux_churn_pct,
+       anciennete_moy_mois AS anciennete_mois
+FROM k
+""")
+SQL["rup_retention_summary"] = over_kpi({"k": "kpi_retention_par_offre"}, f"""
+SELECT CAST(SUM(total_abonnes) AS BIGINT) AS total_abonnes, CAST(SUM(abonnes_retenus) AS BIGINT) AS abonnes_fideles,
+       coalesce({hu('SUM(abonnes_retenus)', 'SUM(total_abonnes)', 1, mult=100)}, 0.0) AS taux_fidelisation,
+       CAST(COUNT(DISTINCT plan_name) AS BIGINT) AS nb_forfaits
+FROM k
+""")
+SQL["rup_calls_network"] = over_kpi({"k": "kpi_duree_appels"}, f"""
+SELECT network_type, CAST(SUM(nb_appels) AS BIGINT) AS nb_appels,
+       {avg_hu('duree_moy_min', 2, 1)} AS duree_moy_min,
+       CAST(ROUND(SUM(CAST(volume_total_heures AS DECIMAL(20,2))), 0) AS DOUBLE) AS volume_heures,
+       {avg_hu('taux_echec_pct', 2, 2)} AS taux_echec_pct
+FROM k GROUP BY network_type
+""")
+SQL["rup_filter"] = over_kpi({"k": "kpi_churn_mensuel"}, """
+SELECT * FROM k WHERE country = 'AFRICA' AND segment IN ('BUILDING', 'MACHINERY')
+""")
+SQL["rup_alert80"] = over_kpi({"k": "kpi_utilisation_reseau"}, """
+SELECT * FROM k WHERE taux_utilisation_pct > 80.0
+""")
+SQL["rup_mttr"] = with_base(f"""
+SELECT technology, CAST(COUNT(*) AS BIGINT) AS nb_incidents,
+       {hu('SUM(resolution_minutes)', 'COUNT(resolution_minutes)', 1)} AS mttr_min
+FROM fact_i GROUP BY technology
+""")
+SQL["rup_plan_share"] = with_base(f"""
+SELECT type_abonnement, nb_abonnes, {hu('nb_abonnes', '(SELECT COUNT(*) FROM subs_s s JOIN plans_s p ON s.plan_id = p.plan_id)', 2, mult=100)} AS part_pct
+FROM (SELECT p.type_abonnement, CAST(COUNT(*) AS BIGINT) AS nb_abonnes
+      FROM subs_s s JOIN plans_s p ON s.plan_id = p.plan_id GROUP BY p.type_abonnement) g
+""")
+SQL["rup_call_band"] = with_base(f"""
+SELECT CASE WHEN event_hour >= 18 THEN 'Soir' WHEN event_hour >= 12 THEN 'Après-midi'
+            WHEN event_hour >= 6 THEN 'Matin' ELSE 'Nuit' END AS tranche_horaire,
+       segment, CAST(COUNT(*) AS BIGINT) AS nb_appels,
+       {hu('SUM(duration_sec)', 'COUNT(*)', 1)} AS duree_moy_sec,
+       {hu('SUM(duration_sec)', 'COUNT(*)', 2, div=60)} AS duree_moy_min
+FROM fact_u WHERE event_type IN ('Appel_Sortant', 'Appel_Entrant')
+GROUP BY 1, 2
+""")
+SQL["rup_exact_arpu"] = with_base(f"""
+SELECT CAST(year(event_date) AS INTEGER) AS annee, CAST(month(event_date) AS INTEGER) AS mois,
+       sub_country AS country, CAST(COUNT(DISTINCT subscriber_id) AS BIGINT) AS nb_abonnes,
+       CAST(SUM(amount_fcfa) AS DOUBLE) AS revenu_total,
+       {hu('SUM(amount_fcfa)', 'COUNT(DISTINCT subscriber_id)', 2, num_scale=2)} AS arpu
+FROM fact_u WHERE amount_fcfa IS NOT NULL
+GROUP BY 1, 2, 3
+""")
