@@ -464,3 +464,76 @@ def q_rup_call_band(spark, sf_dir):
 def q_rup_exact_arpu(spark, sf_dir):
     w = wh(spark, sf_dir)
     return R.exact_arpu_month(w.fact_usage, w.dim_subscriber)
+
+
+# -------------------------------------------------------------------- model
+from telco_mart.operators import ml as ML  # noqa: E402
+
+_MODELS: dict = {}
+
+
+def _ml_prepared(spark, sf_dir) -> DataFrame:
+    w = wh(spark, sf_dir)
+    return ML.prepare(ML.extract_features(_snapshots(w), w.dim_subscriber, w.dim_plan))
+
+
+def _ml_fit(spark, sf_dir):
+    """Fit once per (session, folder) and reuse across the model queries."""
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = ML.fit(_ml_prepared(spark, sf_dir))
+    return _MODELS[key]
+
+
+@query("ml_features")
+def q_ml_features(spark, sf_dir):
+    return _ml_prepared(spark, sf_dir)
+
+
+@query("ml_split")
+def q_ml_split(spark, sf_dir):
+    return ML.temporal_split(_ml_prepared(spark, sf_dir)).select("subscriber_id", "snapshot_month", "split")
+
+
+@query("ml_oversample")
+def q_ml_oversample(spark, sf_dir):
+    _, train, _ = _ml_fit(spark, sf_dir)
+    return train.select("subscriber_id", "snapshot_month", "churn_status", "weight")
+
+
+@query("ml_metrics")
+def q_ml_metrics(spark, sf_dir):
+    model, _, test = _ml_fit(spark, sf_dir)
+    return ML.metrics(ML.score(model, test))
+
+
+@query("ml_confusion")
+def q_ml_confusion(spark, sf_dir):
+    model, _, test = _ml_fit(spark, sf_dir)
+    return ML.confusion(ML.score(model, test))
+
+
+@query("ml_roc")
+def q_ml_roc(spark, sf_dir):
+    model, _, test = _ml_fit(spark, sf_dir)
+    return ML.roc_points(ML.score(model, test))
+
+
+@query("ml_importance")
+def q_ml_importance(spark, sf_dir):
+    model, _, _ = _ml_fit(spark, sf_dir)
+    return ML.importances(model, spark)
+
+
+@query("ml_attribution")
+def q_ml_attribution(spark, sf_dir):
+    model, _, test = _ml_fit(spark, sf_dir)
+    # the attribution sample (1,000 test rows, chosen by a hash order) is the feature itself
+    sample = test.orderBy(F.xxhash64("subscriber_id", "snapshot_month"), "subscriber_id").limit(1000)
+    return ML.attributions(model, sample)
+
+
+@query("ml_top_risk")
+def q_ml_top_risk(spark, sf_dir):
+    model, _, test = _ml_fit(spark, sf_dir)
+    return ML.top_risk(model, test, 500)

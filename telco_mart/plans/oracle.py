@@ -921,3 +921,30 @@ SELECT CAST(year(event_date) AS INTEGER) AS annee, CAST(month(event_date) AS INT
 FROM fact_u WHERE amount_fcfa IS NOT NULL
 GROUP BY 1, 2, 3
 """)
+
+
+# --------------------------------------------------------------------- model
+ML_FEATURES = f"""
+feat AS (
+  SELECT n.snapshot_month, n.subscriber_id, s.gender, s.age, s.segment, s.country, p.plan_name,
+         CAST(p.monthly_fee AS DOUBLE) AS monthly_fee, CAST(p.data_quota_gb AS DOUBLE) AS data_quota_gb,
+         n.data_used_mb, n.voice_used_sec, n.sms_used, n.revenue_fcfa, n.network_incidents,
+         n.failed_calls, n.days_since_active, n.churn_status
+  FROM snap n JOIN subs_s s ON n.subscriber_id = s.subscriber_id
+  JOIN plans_s p ON n.plan_id = p.plan_id),
+prep AS (
+  SELECT snapshot_month, subscriber_id, coalesce(gender, 'Inconnu') AS gender,
+         coalesce(CAST(age AS DOUBLE), (SELECT median(age) FROM feat)) AS age, segment, country, plan_name,
+         monthly_fee, data_quota_gb, data_used_mb, voice_used_sec, sms_used, revenue_fcfa,
+         network_incidents, failed_calls, days_since_active, churn_status,
+         data_used_mb / (data_quota_gb * 1024.0 + 1.0) AS data_usage_ratio,
+         CAST(failed_calls AS DOUBLE) / (CAST(voice_used_sec AS DOUBLE) / 60.0 + failed_calls + 1.0)
+             AS call_failure_rate
+  FROM feat)
+"""
+SQL["ml_features"] = with_ctes(SNAPSHOT + ",\n" + ML_FEATURES, "SELECT * FROM prep")
+SQL["ml_split"] = with_ctes(SNAPSHOT + ",\n" + ML_FEATURES, """
+SELECT subscriber_id, snapshot_month,
+       CASE WHEN snapshot_month = (SELECT max(snapshot_month) FROM prep) THEN 'test' ELSE 'train' END AS split
+FROM prep
+""")
