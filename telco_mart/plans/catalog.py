@@ -537,3 +537,25 @@ def q_ml_attribution(spark, sf_dir):
 def q_ml_top_risk(spark, sf_dir):
     model, _, test = _ml_fit(spark, sf_dir)
     return ML.top_risk(model, test, 500)
+
+
+# ------------------------------------------------------------------- stream
+import uuid  # noqa: E402
+
+from telco_mart.session import scratch_path  # noqa: E402
+from telco_mart.streaming.ingest import ingest_usage  # noqa: E402
+
+
+@query("stream_usage_ingest")
+def q_stream_usage(spark, sf_dir):
+    """Land the raw usage feed as files, ingest it with a streaming query,
+    then replay the same files through a second query (new checkpoint): the
+    replay must add nothing. Returns the ingested fact, as ``fact_usage``."""
+    w = wh(spark, sf_dir)
+    root = scratch_path(spark, f"stream_usage_{uuid.uuid4().hex[:12]}")
+    src, target = f"{root}/landing", f"{root}/fact_usage"
+    w.raw("usage").write.mode("overwrite").parquet(src)
+    ingest_usage(spark, src, target, f"{root}/ckpt_1", w)
+    ingest_usage(spark, src, target, f"{root}/ckpt_2", w)
+    f = spark.read.parquet(target).drop("_batch")
+    return out(f.withColumn("has_plan", F.col("plan_sk").isNotNull().cast("int")))

@@ -948,3 +948,5 @@ SELECT subscriber_id, snapshot_month,
        CASE WHEN snapshot_month = (SELECT max(snapshot_month) FROM prep) THEN 'test' ELSE 'train' END AS split
 FROM prep
 """)
+
+SQL["stream_usage_ingest"] = SQL["fact_usage"]
