@@ -118,7 +118,8 @@ subs_d AS (
   FROM subs_s),
 usage_typed AS (
   SELECT 'U' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
-             || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS usage_id,
+             || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) || '-'
+             || strftime(l_shipdate, '%Y%m%d') || '-' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS usage_id,
          l_orderkey, l_linenumber,
          'SUB' || CAST(o_custkey AS VARCHAR) AS subscriber_id,
          'T' || CAST(l_suppkey AS VARCHAR) AS tower_id,

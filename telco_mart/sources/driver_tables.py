@@ -195,7 +195,9 @@ def raw_subscribers(t: DriverTables, delta: bool = False) -> DataFrame:
 
 
 def raw_usage(t: DriverTables) -> DataFrame:
-    """One usage event per line item; the order gives the subscriber."""
+    """One usage event per line item; the order gives the subscriber. The
+    usage id carries order, line, part, supplier, ship day and quantity:
+    (order, line) alone repeats in the driver tables."""
     li = t.lineitem
     o = t.orders.select("o_orderkey", "o_custkey")
     ok, ln, rf = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag")
@@ -208,7 +210,9 @@ def raw_usage(t: DriverTables) -> DataFrame:
     return (li.join(o, ok == F.col("o_orderkey"))
             .select(
                 F.concat(F.lit("U"), _s(ok), F.lit("-"), _s(ln), F.lit("-"),
-                         _s(F.col("l_partkey")), F.lit("-"), _s(F.col("l_suppkey"))).alias("usage_id"),
+                         _s(F.col("l_partkey")), F.lit("-"), _s(F.col("l_suppkey")), F.lit("-"),
+                         F.date_format("l_shipdate", "yyyyMMdd"), F.lit("-"),
+                         _s(F.col("l_quantity").cast("int"))).alias("usage_id"),
                 F.concat(F.lit("SUB"), _s(F.col("o_custkey"))).alias("subscriber_id"),
                 F.concat(F.lit("T"), _s(F.col("l_suppkey"))).alias("tower_id"),
                 F.when(is_call & (ln % 2 == 1), F.lit("Appel_Sortant"))
