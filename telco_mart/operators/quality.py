@@ -67,7 +67,11 @@ class RuleSet:
                 F.current_timestamp().alias("rejected_at"))
             return clean, quarantine
         reasons = F.array_compact(F.array(*[F.when(F.col(f), F.lit(r.reason)) for f, r in flags]))
-        quarantine = (out.select(F.col(self.key).cast("string").alias("record_id"),
+        any_flag = F.lit(False)
+        for f, _ in flags:
+            any_flag = any_flag | F.col(f)
+        # only flagged rows are serialised to text
+        quarantine = (out.filter(any_flag).select(F.col(self.key).cast("string").alias("record_id"),
                                  F.col("_dq_raw").alias("raw_data"),
                                  F.explode(reasons).alias("rejection_reason"))
                       .select(F.lit(self.source_table).alias("source_table"), "record_id",

@@ -63,7 +63,7 @@ class Warehouse:
     def _towers_dq(self) -> tuple[DataFrame, DataFrame]:
         return Q.tower_rules().apply(CL.clean_towers(self.raw("towers"), self.cfg))
 
-    @property
+    @cached_property
     def towers(self) -> DataFrame:
         return self._towers_dq[0]
 
@@ -75,7 +75,7 @@ class Warehouse:
     def _subs_dq(self) -> tuple[DataFrame, DataFrame]:
         return Q.subscriber_rules(self.cfg.as_of).apply(self._subs[0])
 
-    @property
+    @cached_property
     def subscribers(self) -> DataFrame:
         return self._subs_dq[0]
 
@@ -152,7 +152,40 @@ class Warehouse:
         return self._fact_incident[1]
 
 
-def from_tables(spark: SparkSession, paths: dict[str, str], cfg: WarehouseConfig) -> dict:
-    """Materialised warehouse tables read back by path (for marts and roll-ups
-    over a written warehouse)."""
-    return {k: spark.read.parquet(v) for k, v in paths.items()}
+    # ---- materialisation ---------------------------------------------------
+    def materialize(self, root: str) -> "Warehouse":
+        """Write staging, dimensions and facts under ``root`` and return a
+        warehouse that reads them back.
+
+        Each layer reads the *written* previous layer: the staging copy of a
+        feed is scanned twice by the cleaning (median pass + main pass)
+        without recomputing the source joins, the fact loads resolve keys
+        against the written dimensions, and a lost executor only recomputes
+        the layer being written. ``root`` must be a shared folder (the
+        warehouse location, or a folder of ``spark.checkpoint.dir``).
+        Facts are partitioned by year (range partitions of the original)."""
+        spark = self.spark
+        root = root.rstrip("/")
+
+        def save(name: str, df: DataFrame, part: str | None = None) -> DataFrame:
+            path = f"{root}/{name}"
+            w = df.write.mode("overwrite")
+            if part:
+                w = w.partitionBy(part)
+            w.parquet(path)
+            return spark.read.parquet(path)
+
+        feeds = {n: save(f"stg_{n}", self.raw(n))
+                 for n in ("plans", "towers", "subscribers", "usage", "incidents")}
+        w = Warehouse(spark, self.sf_dir, self.cfg, feeds)
+        for name, table in (("calendar", "dim_date"), ("dim_plan", "dim_plan"), ("dim_tower", "dim_tower"),
+                            ("dim_location", "dim_location"), ("dim_subscriber", "dim_subscriber")):
+            w.__dict__[name] = save(table, getattr(w, name))
+        # whitelists of the fact loads: the written dimensions (same key sets)
+        w.__dict__["subscribers"] = D.current(w.dim_subscriber)
+        w.__dict__["towers"] = w.dim_tower
+        loaded, rejected = w._fact_usage
+        w.__dict__["_fact_usage"] = (save("fact_usage", loaded, "annee"), rejected)
+        loaded_i, rejected_i = w._fact_incident
+        w.__dict__["_fact_incident"] = (save("fact_incident", loaded_i, "annee"), rejected_i)
+        return w
