@@ -43,7 +43,7 @@ def materialize(df: DataFrame, root: str, partition_by: list[str] | None = None,
     """Write ``df`` as a new version of the table at ``root`` and point
     ``root/_CURRENT`` at it. Returns the version path."""
     spark = df.sparkSession
-    version = f"v={_dt.datetime.utcnow():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    version = f"version_{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
     path = f"{root.rstrip('/')}/{version}"
     w = df.write.mode("error").format(fmt)
     if partition_by:

@@ -559,3 +559,32 @@ def q_stream_usage(spark, sf_dir):
     ingest_usage(spark, src, target, f"{root}/ckpt_2", w)
     f = spark.read.parquet(target).drop("_batch")
     return out(f.withColumn("has_plan", F.col("plan_sk").isNotNull().cast("int")))
+
+
+# ------------------------------------------------------- landing and export
+from telco_mart.operators.export import export_tables  # noqa: E402
+from telco_mart.sources.raw import read_feed  # noqa: E402
+
+
+@query("clean_subscribers_csv")
+def q_clean_subscribers_csv(spark, sf_dir):
+    """The subscriber feed landed as a headered CSV file, read back with an
+    all-text schema and lineage columns, then cleaned: same result as from
+    the in-memory feed."""
+    w = wh(spark, sf_dir)
+    path = scratch_path(spark, f"landing_{uuid.uuid4().hex[:12]}/subscribers")
+    w.raw("subscribers").write.option("header", True).csv(path)
+    bronze = read_feed(spark, "subscribers", path)
+    kept, _ = CL.clean_subscribers(bronze.drop("_loaded_at", "_source_file"))
+    return out(kept)
+
+
+@query("export_kpis")
+def q_export_kpis(spark, sf_dir):
+    """Portable extract of the seven marts (one CSV folder each); the summary
+    lists rows and status per table."""
+    names = ["kpi_churn_mensuel", "kpi_arpu", "kpi_utilisation_reseau", "kpi_incidents_qualite",
+             "kpi_duree_appels", "kpi_retention_par_offre", "kpi_data_par_region"]
+    root = scratch_path(spark, f"export_{uuid.uuid4().hex[:12]}")
+    summary = export_tables({n: QUERIES[n](spark, sf_dir) for n in names}, root, fmt="parquet")
+    return summary.select("table_name", "rows", "status")

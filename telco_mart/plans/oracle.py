@@ -951,3 +951,9 @@ FROM prep
 """)
 
 SQL["stream_usage_ingest"] = SQL["fact_usage"]
+
+SQL["clean_subscribers_csv"] = SQL["clean_subscribers"]
+SQL["export_kpis"] = with_ctes(
+    ",\n".join(f"{k} AS (\n{KPI_BODY[k].strip()}\n)" for k in KPI_BODY),
+    "\nUNION ALL\n".join(f"SELECT '{k}' AS table_name, CAST(count(*) AS BIGINT) AS rows, 'OK' AS status FROM {k}"
+                         for k in KPI_BODY))
