@@ -77,8 +77,6 @@ class WarehouseConfig:
     urban_cities: tuple = tuple(URBAN_CITIES)
     large_cities: tuple = tuple(LARGE_CITIES)
     medium_cities: tuple = tuple(MEDIUM_CITIES)
-    # byte limit under which a dimension is broadcast after a size check
-    broadcast_limit_bytes: int = 64 * 1024 * 1024
 
 
 DEFAULT_CONFIG = WarehouseConfig()

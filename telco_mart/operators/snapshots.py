@@ -3,7 +3,8 @@
 All requested months are computed in ONE job instead of one scan per month:
 
 1. the fact is aggregated once to (subscriber, month) with every monthly
-   measure and the last activity day of the month (map-side partial agg);
+   measure, the last activity day and the largest plan key of the month
+   (map-side partial agg); everything else reads that aggregate;
 2. the (subscriber, month) grid comes from exploding the (bounded) month list
    on each current subscriber - no join to generate it;
 3. "last activity on or before the month" is a running max over each
@@ -48,7 +49,8 @@ def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usag
     """
     months = sorted(months)
     last_month = months[-1]
-    mon = _monthly_usage(fact_usage, sms_types).filter(F.col("snapshot_month") <= last_month)
+    mon_all = _monthly_usage(fact_usage, sms_types)
+    mon = mon_all.filter(F.col("snapshot_month") <= last_month)
     subs = current(dim_subscriber).select("subscriber_sk", "tower_id", "churn", "churn_date")
     grid = subs.select("subscriber_sk", "tower_id", "churn", "churn_date",
                        F.explode(F.array(*[F.lit(m) for m in months])).alias("snapshot_month"))
@@ -65,7 +67,8 @@ def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usag
            .withColumn("_plan_upto", F.max("_plan_max").over(w))
            .filter(F.col("_is_grid") == 1)
            .select("subscriber_sk", "snapshot_month", "_last_upto", "_plan_upto"))
-    plan_all = fact_usage.groupBy("subscriber_sk").agg(F.max("plan_sk").alias("_plan_all"))
+    # plan over all usage, folded from the monthly aggregate (no second fact scan)
+    plan_all = mon_all.groupBy("subscriber_sk").agg(F.max("_plan_max").alias("_plan_all"))
 
     tw = dim_tower.select("tower_id", "tower_sk")
     inc = (fact_incident.withColumn("snapshot_month", F.date_format(date_from_key("date_sk"), "yyyy-MM"))
