@@ -153,7 +153,7 @@ class Warehouse:
 
 
     # ---- materialisation ---------------------------------------------------
-    def materialize(self, root: str) -> "Warehouse":
+    def materialize(self, root: str, log=None) -> "Warehouse":
         """Write staging, dimensions and facts under ``root`` and return a
         warehouse that reads them back.
 
@@ -167,25 +167,34 @@ class Warehouse:
         spark = self.spark
         root = root.rstrip("/")
 
-        def save(name: str, df: DataFrame, part: str | None = None) -> DataFrame:
+        def save(name: str, df: DataFrame, part: str | None = None, source: str | None = None,
+                 op: str = "LOAD") -> DataFrame:
             path = f"{root}/{name}"
-            w = df.write.mode("overwrite")
-            if part:
-                w = w.partitionBy(part)
-            w.parquet(path)
+
+            def writer(d: DataFrame) -> None:
+                w = d.write.mode("overwrite")
+                if part:
+                    w = w.partitionBy(part)
+                w.parquet(path)
+            if log is None:
+                writer(df)
+            elif not log.write(name, op, df, writer, extracted_from=source):
+                raise RuntimeError(f"ETL stage {name} failed; see the run log")
             return spark.read.parquet(path)
 
-        feeds = {n: save(f"stg_{n}", self.raw(n))
+        feeds = {n: save(f"stg_{n}", self.raw(n), op="EXTRACT")
                  for n in ("plans", "towers", "subscribers", "usage", "incidents")}
         w = Warehouse(spark, self.sf_dir, self.cfg, feeds)
-        for name, table in (("calendar", "dim_date"), ("dim_plan", "dim_plan"), ("dim_tower", "dim_tower"),
-                            ("dim_location", "dim_location"), ("dim_subscriber", "dim_subscriber")):
-            w.__dict__[name] = save(table, getattr(w, name))
+        for name, table, src in (("calendar", "dim_date", None), ("dim_plan", "dim_plan", "stg_plans"),
+                                 ("dim_tower", "dim_tower", "stg_towers"),
+                                 ("dim_location", "dim_location", None),
+                                 ("dim_subscriber", "dim_subscriber", "stg_subscribers")):
+            w.__dict__[name] = save(table, getattr(w, name), source=src)
         # whitelists of the fact loads: the written dimensions (same key sets)
         w.__dict__["subscribers"] = D.current(w.dim_subscriber)
         w.__dict__["towers"] = w.dim_tower
         loaded, rejected = w._fact_usage
-        w.__dict__["_fact_usage"] = (save("fact_usage", loaded, "annee"), rejected)
+        w.__dict__["_fact_usage"] = (save("fact_usage", loaded, "annee", "stg_usage"), rejected)
         loaded_i, rejected_i = w._fact_incident
-        w.__dict__["_fact_incident"] = (save("fact_incident", loaded_i, "annee"), rejected_i)
+        w.__dict__["_fact_incident"] = (save("fact_incident", loaded_i, "annee", "stg_incidents"), rejected_i)
         return w

@@ -55,3 +55,18 @@ def test_erased_subscriber_stays_erased(spark):
     rows = out.collect()
     assert len(rows) == 2
     assert all(r.first_name == "ANONYMISE" and r.phone_number is None and r.email is None for r in rows)
+
+
+def test_run_etl_logs_every_table(spark):
+    from telco_mart.plans.pipeline import run_etl
+    root = scratch_path(spark, f"t_etl_{uuid.uuid4().hex[:8]}")
+    w, kpis, log = run_etl(spark, SMALL, root)
+    rows = {r.table_name: r for r in log.collect()}
+    assert all(r.status == "SUCCESS" for r in rows.values())
+    assert len(kpis) == 7
+    assert rows["fact_usage"].rows_inserted == w.fact_usage.count()
+    assert rows["fact_usage"].rows_extracted == rows["stg_usage"].rows_inserted
+    assert rows["fact_usage"].rows_rejected == rows["stg_usage"].rows_inserted - w.fact_usage.count()
+    assert rows["kpi_arpu"].rows_inserted == kpis["kpi_arpu"].count()
+    # facts are partitioned by year on disk
+    assert "annee" in w.fact_usage.columns
