@@ -32,12 +32,14 @@ def whole_months(start, end) -> F.Column:
             - F.when(F.dayofmonth(e) < F.dayofmonth(s), 1).otherwise(0))
 
 
-def _subscriber_attrs(subs: DataFrame, as_of: str) -> DataFrame:
-    """Derived subscriber columns: full name and tenure in whole months."""
+def _subscriber_attrs(subs: DataFrame, as_of: str, tenure: bool = True) -> DataFrame:
+    """Derived subscriber columns: full name and tenure in whole months
+    (``tenure=False``: left NULL, as the original never fills it)."""
     end = F.coalesce(F.col("churn_date"), F.lit(as_of).cast("date"))
+    t = whole_months(F.col("subscription_date"), end) if tenure else F.lit(None)
     return subs.withColumns({
         "nom_complet": F.concat_ws(" ", "first_name", "last_name"),
-        "anciennete_mois": whole_months(F.col("subscription_date"), end).cast("int"),
+        "anciennete_mois": t.cast("int"),
     })
 
 
@@ -49,8 +51,9 @@ def build_dim_plan(plans: DataFrame, as_of: str, existing: DataFrame | None = No
 
 
 def build_dim_subscriber(subs: DataFrame, as_of: str, existing: DataFrame | None = None,
-                         erased: DataFrame | None = None) -> DataFrame:
-    subs = _subscriber_attrs(subs, as_of)
+                         erased: DataFrame | None = None, tenure: bool = True,
+                         skip_unchanged: bool = False) -> DataFrame:
+    subs = _subscriber_attrs(subs, as_of, tenure)
     inc = subs.select(*[c for c in DIM_SUBSCRIBER if c in subs.columns and c not in
                         ("subscriber_sk", "date_debut", "date_fin", "is_current", "version")])
     if existing is None:
@@ -61,7 +64,8 @@ def build_dim_subscriber(subs: DataFrame, as_of: str, existing: DataFrame | None
                        "nom_complet": C.ANONYMISED + " " + C.ANONYMISED,
                        "phone_number": None, "email": None}
     out = scd2_merge(existing, inc, "subscriber_id", SUBSCRIBER_TRACKED, SUBSCRIBER_TYPE1, as_of,
-                     "subscriber_sk", protected=erased, protected_cols=erased_cols)
+                     "subscriber_sk", protected=erased, protected_cols=erased_cols,
+                     skip_unchanged=skip_unchanged)
     return conform(out, DIM_SUBSCRIBER)
 
 

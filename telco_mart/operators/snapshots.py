@@ -39,16 +39,29 @@ def _monthly_usage(fact_usage: DataFrame, sms_types) -> DataFrame:
 
 def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usage: DataFrame,
                       fact_incident: DataFrame, months: list[str],
-                      sms_types=tuple(C.SMS_TYPES), plan_upto_month: bool = False) -> DataFrame:
+                      sms_types=tuple(C.SMS_TYPES), plan_upto_month: bool = False,
+                      by: str = "subscriber_sk") -> DataFrame:
     """One row per (current subscriber, month in ``months``).
 
     plan_sk is the largest plan key over *all* the subscriber's usage (as the
     original; ``plan_upto_month=True`` restricts it to usage up to the month).
+    ``by="subscriber_id"`` counts the usage of earlier versions of the
+    subscriber too (the original keys by version, so history stays behind).
     days_since_active = last day of the month - last activity day on or before
     it, or 999 without activity; churn_status = churned in or before the month.
     """
     months = sorted(months)
     last_month = months[-1]
+    if by == "subscriber_id":
+        # usage of every version counts for the subscriber: re-key the fact to
+        # the current version of the same natural key (one equi-join)
+        ver = dim_subscriber.select("subscriber_sk", "subscriber_id")
+        cur = current(dim_subscriber).select("subscriber_id", F.col("subscriber_sk").alias("_cur_sk"))
+        remap = ver.join(cur, "subscriber_id").select("subscriber_sk", "_cur_sk")
+        fact_usage = (fact_usage.join(remap, "subscriber_sk")
+                      .withColumn("subscriber_sk", F.col("_cur_sk")).drop("_cur_sk"))
+    elif by != "subscriber_sk":
+        raise ValueError(by)
     mon_all = _monthly_usage(fact_usage, sms_types)
     mon = mon_all.filter(F.col("snapshot_month") <= last_month)
     subs = current(dim_subscriber).select("subscriber_sk", "tower_id", "churn", "churn_date")

@@ -104,3 +104,37 @@ def test_guarded_delete(spark):
     assert [r.subscriber_id for r in refused.collect()] == ["S1"]
     assert [r.subscriber_id for r in deleted.collect()] == ["S2"]
     assert [r.subscriber_id for r in remaining.collect()] == ["S1"]
+
+
+def test_skip_unchanged_keeps_type1(spark):
+    v1 = scd2_initial(subs(spark, [("S1", "Accra", "Particulier", "P006", 0, None, 10.0, "1", None)]),
+                      "subscriber_id", "2026-01-01", "sk")
+    inc = subs(spark, [("S1", "Accra", "Particulier", "P006", 0, None, 99.0, "1", None)])
+    out = scd2_merge(v1, inc, "subscriber_id", D.SUBSCRIBER_TRACKED, D.SUBSCRIBER_TYPE1, "2026-01-02", "sk",
+                     skip_unchanged=True)
+    assert out.collect()[0].monthly_revenue == 10.0
+
+
+def test_snapshot_by_natural_key(spark):
+    from telco_mart.operators.snapshots import monthly_snapshots
+    dim = spark.createDataFrame(
+        [(1, "S1", "T1", 0, None, 0), (2, "S1", "T1", 0, None, 1)],
+        "subscriber_sk long, subscriber_id string, tower_id string, churn int, churn_date date, is_current int")
+    towers = spark.createDataFrame([("T1", 7)], "tower_id string, tower_sk long")
+    usage = spark.createDataFrame(
+        [(1, 20260510, 9, 0.0, 60, "Appel_Sortant", 2.0, "Succès")],
+        "subscriber_sk long, date_sk int, plan_sk long, data_mb double, duration_sec int, event_type string, "
+        "amount_fcfa double, status string")
+    inc = spark.createDataFrame([], "tower_sk long, date_sk int")
+    by_sk = monthly_snapshots(dim, towers, usage, inc, ["2026-05"]).collect()[0]
+    by_id = monthly_snapshots(dim, towers, usage, inc, ["2026-05"], by="subscriber_id").collect()[0]
+    assert (by_sk.subscriber_sk, by_sk.voice_used_sec) == (2, 0)
+    assert (by_id.subscriber_sk, by_id.voice_used_sec) == (2, 60)
+
+
+def test_latest_per_key_within_batch(spark):
+    from telco_mart.operators.scd import latest_per_key
+    df = spark.createDataFrame([("S1", 1, "a"), ("S1", 3, "c"), ("S1", 2, "b"), ("S2", 1, "z")],
+                               "k string, seq int, v string")
+    got = {r.k: r.v for r in latest_per_key(df, "k", ["seq"]).collect()}
+    assert got == {"S1": "c", "S2": "z"}
