@@ -3,8 +3,10 @@
 Key resolution is a chain of equi-joins. The subscriber lookup is as large
 as the subscriber base, so it is a shuffle join on ``subscriber_id`` (AQE
 turns it into a broadcast only when the runtime size is under the
-threshold); the duplicate check then groups on (subscriber_id, usage_id),
-which reuses that hash partitioning instead of shuffling the fact again.
+threshold, and splits skewed partitions when one subscriber carries a large
+share of the events). The duplicate check groups on ``usage_id`` alone: it
+costs its own shuffle, but an id hash spreads evenly, whereas reusing the
+subscriber partitioning would put a hot subscriber's events in one task.
 """
 
 from __future__ import annotations
@@ -63,7 +65,7 @@ def load_fact_usage(usage: DataFrame, dim_subscriber: DataFrame, dim_tower: Data
     ts = F.col("event_datetime")
     data_mb = F.col("data_mb").cast("decimal(12,4)")
     loaded = (j.filter(ok)
-              .dropDuplicates(["subscriber_id", "usage_id"])
+              .dropDuplicates(["usage_id"])
               .withColumns({
                   "usage_sk": surrogate_key("usage_id"),
                   "date_sk": date_key(ts),
