@@ -73,11 +73,10 @@ def clean_subscribers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def impute_global_median(df: DataFrame, value: str) -> DataFrame:
-    """Fill NULL ``value`` with the exact median of the whole column (one
-    aggregate row, broadcast back: its size is one row whatever the input)."""
-    med = df.agg(F.median(value).alias("_median"))
-    return (df.crossJoin(F.broadcast(med))
-            .withColumn(value, F.coalesce(F.col(value), F.col("_median"))).drop("_median"))
+    """Fill NULL ``value`` with the exact median of the whole column (a scalar
+    subquery: computed once, then used as a constant)."""
+    med = df.agg(F.median(value)).scalar()
+    return df.withColumn(value, F.coalesce(F.col(value), med))
 
 
 def impute_group_median(df: DataFrame, value: str, group: str) -> DataFrame:

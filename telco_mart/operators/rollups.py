@@ -63,14 +63,15 @@ def rup_churn_month(kpi_churn: DataFrame) -> DataFrame:
 
 
 def rup_exec_summary(arpu_month: DataFrame, churn_month: DataFrame) -> DataFrame:
-    """One row of executive figures; each side is a one-row aggregate."""
-    a = arpu_month.agg(F.sum(F.col("arpu_fcfa").cast("decimal(20,0)")).alias("_as"),
-                       F.count("arpu_fcfa").alias("_an"),
-                       F.sum(F.col("revenu_total").cast("decimal(24,0)")).alias("_rev"))
+    """One row of executive figures: a one-row aggregate of the ARPU roll-up
+    with the churn figures attached as scalar subqueries."""
     per = churn_month.groupBy("periode").agg(F.sum("total_abonnes").alias("_t"))
-    m = per.agg(F.sum("_t").alias("_ts"), F.count(F.lit(1)).alias("_tn"))
-    c = churn_month.agg(F.sum("nb_churnes").alias("total_churnes"), F.sum("total_abonnes").alias("total_abonnes"))
-    j = a.crossJoin(m).crossJoin(c)
+    j = arpu_month.agg(F.sum(F.col("arpu_fcfa").cast("decimal(20,0)")).alias("_as"),
+                       F.count("arpu_fcfa").alias("_an"),
+                       F.sum(F.col("revenu_total").cast("decimal(24,0)")).alias("_rev")).select(
+        "*", per.agg(F.sum("_t")).scalar().alias("_ts"), per.agg(F.count(F.lit(1))).scalar().alias("_tn"),
+        churn_month.agg(F.sum("nb_churnes")).scalar().alias("total_churnes"),
+        churn_month.agg(F.sum("total_abonnes")).scalar().alias("total_abonnes"))
     return j.select(
         F.coalesce(ratio("_as", "_an", 0), F.lit(0.0)).alias("arpu_global"),
         F.coalesce(F.col("_rev").cast("bigint"), F.lit(0)).alias("revenu_total"),
@@ -179,9 +180,8 @@ def rup_plan_share(dim_subscriber: DataFrame, dim_plan: DataFrame) -> DataFrame:
     s = current(dim_subscriber).select("plan_id")
     p = current(dim_plan).select("plan_id", "type_abonnement")
     g = s.join(p, "plan_id").groupBy("type_abonnement").agg(F.count(F.lit(1)).alias("nb_abonnes"))
-    tot = g.agg(F.sum("nb_abonnes").alias("_tot"))
-    return g.crossJoin(F.broadcast(tot)).select(
-        "type_abonnement", "nb_abonnes", ratio("nb_abonnes", "_tot", 2, mult=100).alias("part_pct"))
+    total = g.agg(F.sum("nb_abonnes")).scalar()
+    return g.select("type_abonnement", "nb_abonnes", ratio("nb_abonnes", total, 2, mult=100).alias("part_pct"))
 
 
 def rup_call_band(fact_usage: DataFrame, dim_subscriber: DataFrame,

@@ -82,10 +82,14 @@ def _pick(values: list[str], idx: Column) -> Column:
     return out
 
 
-def _counts(t: DriverTables) -> DataFrame:
-    """One row: number of plans (parts) and towers (suppliers)."""
-    return (t.part.agg(F.count(F.lit(1)).alias("n_plans"))
-            .crossJoin(t.supplier.agg(F.count(F.lit(1)).alias("n_towers"))))
+def _n_plans(t: DriverTables) -> Column:
+    """Number of plans (parts), as a scalar subquery."""
+    return t.part.agg(F.count(F.lit(1))).scalar()
+
+
+def _n_towers(t: DriverTables) -> Column:
+    """Number of towers (suppliers), as a scalar subquery."""
+    return t.supplier.agg(F.count(F.lit(1))).scalar()
 
 
 def raw_plans(t: DriverTables, delta: bool = False) -> DataFrame:
@@ -164,8 +168,7 @@ def raw_subscribers(t: DriverTables, delta: bool = False) -> DataFrame:
         revenue = F.when(k % 7 == 1, revenue + F.lit(100)).otherwise(revenue)
         email = F.when(k % 7 == 2, F.concat(F.lit("new"), _s(k), F.lit("@mail.com"))).otherwise(email)
     df = (c.join(F.broadcast(t.geo), c.c_nationkey == F.col("n_nationkey"), "left")
-          .join(_customer_life(t), k == F.col("o_custkey"), "left")
-          .crossJoin(F.broadcast(_counts(t))))
+          .join(_customer_life(t), k == F.col("o_custkey"), "left"))
     return df.select(
         F.when(k % 499 == 498, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("SUB"), _s(k))).alias("subscriber_id"),
@@ -179,8 +182,8 @@ def raw_subscribers(t: DriverTables, delta: bool = False) -> DataFrame:
         F.col("city"),
         F.col("country"),
         F.when(k % 503 == 502, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("P"), _s(k % F.col("n_plans")))).alias("plan_id"),
-        F.concat(F.lit("T"), _s(k % F.col("n_towers"))).alias("tower_id"),
+         .otherwise(F.concat(F.lit("P"), _s(k % _n_plans(t)))).alias("plan_id"),
+        F.concat(F.lit("T"), _s(k % _n_towers(t))).alias("tower_id"),
         F.date_format(F.coalesce(F.col("first_order"), F.lit(NO_ORDER_DATE).cast("timestamp")),
                       DATE_FMT).alias("subscription_date"),
         F.concat(F.lit("+226"), F.lpad(_s(k), 8, "0")).alias("phone_number"),
@@ -242,14 +245,14 @@ def raw_usage(t: DriverTables) -> DataFrame:
 
 def raw_incidents(t: DriverTables) -> DataFrame:
     """One network incident per order, on tower ``orderkey % #towers``."""
-    o = t.orders.crossJoin(F.broadcast(t.supplier.agg(F.count(F.lit(1)).alias("n_towers"))))
+    o = t.orders
     ok = F.col("o_orderkey")
     prio = F.col("o_orderpriority")
     ts = F.col("o_orderdate") + F.make_dt_interval(hours=(ok % 24).cast("int"))
     return o.select(
         F.concat(F.lit("INC"), _s(ok)).alias("incident_id"),
         F.when(ok % 307 == 0, F.lit("T999999999"))
-         .otherwise(F.concat(F.lit("T"), _s(ok % F.col("n_towers")))).alias("tower_id"),
+         .otherwise(F.concat(F.lit("T"), _s(ok % _n_towers(t)))).alias("tower_id"),
         _pick(INCIDENT_TYPES, ok % 6).alias("incident_type"),
         F.when(prio.startswith("1"), F.lit("Élevé"))
          .when(prio.startswith("2") | prio.startswith("3"), F.lit("Moyen"))

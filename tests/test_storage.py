@@ -58,7 +58,7 @@ def test_erased_subscriber_stays_erased(spark):
 
 
 def test_run_etl_logs_every_table(spark):
-    from telco_mart.plans.pipeline import run_etl
+    from telco_mart.plans.etl import run_etl
     root = scratch_path(spark, f"t_etl_{uuid.uuid4().hex[:8]}")
     w, kpis, log = run_etl(spark, SMALL, root)
     rows = {r.table_name: r for r in log.collect()}
