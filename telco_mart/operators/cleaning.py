@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from telco_mart import config as C
 from telco_mart.config import WarehouseConfig, DEFAULT_CONFIG
 from telco_mart.functions import cleaning as X
+from telco_mart.operators.median import group_medians
 
 
 def split_valid(df: DataFrame, ok: Column, reason: str) -> tuple[DataFrame, DataFrame]:
@@ -73,22 +74,24 @@ def clean_subscribers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def impute_global_median(df: DataFrame, value: str) -> DataFrame:
-    """Fill NULL ``value`` with the exact median of the whole column (a scalar
-    subquery: computed once, then used as a constant)."""
-    med = df.agg(F.median(value)).scalar()
-    return df.withColumn(value, F.coalesce(F.col(value), med))
+    """Fill NULL ``value`` with the exact median of the whole column (one
+    value, computed by distributed range refinement, then used as a
+    constant)."""
+    med = group_medians(df, value).select("median").first()
+    fill = F.lit(None if med is None else med[0]).cast("double")
+    return df.withColumn(value, F.coalesce(F.col(value), fill))
 
 
 def impute_group_median(df: DataFrame, value: str, group: str) -> DataFrame:
     """Fill NULL ``value`` with the exact median of its ``group``; a NULL group
-    or a group without any value stays NULL. The per-group medians are a
-    small aggregate (one row per group), joined back by key.
-
-    Spark's exact percentile keeps a value -> count map per group, so its
-    memory is bounded by the number of *distinct* values of the group (money
-    amounts: a bounded domain of cents), not by the number of rows, and the
-    partial maps are combined map-side before the shuffle."""
-    med = df.groupBy(F.col(group).alias("_grp_key")).agg(F.median(value).alias("_grp_median"))
+    or a group without any value stays NULL. The per-group medians (one row
+    per group) are joined back by key.
+
+    The medians come from ``group_medians``: a hot group (one event type may
+    hold a third of the fact) is resolved by bucketed counts combined
+    map-side, never by gathering its values in one task."""
+    med = group_medians(df, value, group).select(
+        F.col(group).alias("_grp_key"), F.col("median").alias("_grp_median"))
     return (df.join(med, F.col(group) == F.col("_grp_key"), "left")
             .withColumn(value, F.coalesce(F.col(value), F.col("_grp_median")))
             .drop("_grp_median", "_grp_key"))
