@@ -70,3 +70,23 @@ def test_run_etl_logs_every_table(spark):
     assert rows["kpi_arpu"].rows_inserted == kpis["kpi_arpu"].count()
     # facts are partitioned by year on disk
     assert "annee" in w.fact_usage.columns
+
+
+def test_run_log_success_and_failure(spark):
+    from telco_mart.plans.etl import RunLog
+    log = RunLog(spark)
+    root = scratch_path(spark, f"t_log_{uuid.uuid4().hex[:8]}")
+    src = spark.range(10).toDF("x")
+    assert log.write("stg_x", "LOAD", src, lambda d: d.write.parquet(f"{root}/stg_x"))
+    kept = spark.read.parquet(f"{root}/stg_x").filter(F.col("x") < 7)
+    assert log.write("dim_x", "LOAD", kept, lambda d: d.write.parquet(f"{root}/dim_x"), extracted_from="stg_x")
+
+    def broken(d):
+        raise RuntimeError("disk full")
+    assert not log.write("fact_x", "LOAD", src, broken)
+    rows = {r["table_name"]: r for r in log.to_df().collect()}
+    assert (rows["stg_x"]["status"], rows["stg_x"]["rows_inserted"]) == ("SUCCESS", 10)
+    d = rows["dim_x"]
+    assert (d["rows_extracted"], d["rows_inserted"], d["rows_rejected"]) == (10, 7, 3)
+    f = rows["fact_x"]
+    assert f["status"] == "FAILED" and "disk full" in f["error_message"] and f["rows_inserted"] == 0
