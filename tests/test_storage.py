@@ -68,6 +68,8 @@ def test_run_etl_logs_every_table(spark):
     assert rows["fact_usage"].rows_extracted == rows["stg_usage"].rows_inserted
     assert rows["fact_usage"].rows_rejected == rows["stg_usage"].rows_inserted - w.fact_usage.count()
     assert rows["kpi_arpu"].rows_inserted == kpis["kpi_arpu"].count()
+    # the run log is persisted next to the warehouse
+    assert spark.read.parquet(f"{root}/etl_log").count() == len(rows)
     # facts are partitioned by year on disk
     assert "annee" in w.fact_usage.columns
 
@@ -90,3 +92,7 @@ def test_run_log_success_and_failure(spark):
     assert (d["rows_extracted"], d["rows_inserted"], d["rows_rejected"]) == (10, 7, 3)
     f = rows["fact_x"]
     assert f["status"] == "FAILED" and "disk full" in f["error_message"] and f["rows_inserted"] == 0
+    log.save(f"{root}/etl_log")
+    saved = spark.read.parquet(f"{root}/etl_log")
+    assert saved.filter(F.col("status") == "FAILED").count() == 1
+    assert saved.select("run_id").distinct().count() == 1 and saved.count() == 3
