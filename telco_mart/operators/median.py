@@ -7,6 +7,8 @@ task's memory. ``group_medians`` finds the same value by range refinement:
 
 1. one aggregate gives count, min and max per group; the median sits at the
    0-based ranks ``(n-1) div 2`` and ``n div 2`` (equal when n is odd);
+   ranks among the -inf/+inf values, or on the finite min/max, are known
+   at once, the others are refined over the finite values;
 2. each round buckets the values of a group's current range ``[lo, hi]``
    into ``buckets`` equal-width buckets (count, min, max per bucket, combined
    map-side), a running sum over the <= ``buckets`` rows of a group finds the
@@ -54,19 +56,31 @@ def group_medians(df: DataFrame, value: str, group: str | None = None,
     ``group`` is None) as ``(group, median)`` rows; NULL values are ignored,
     a NULL group is left out, a group without values has no row."""
     gcol = F.col(group) if group else F.lit(0)
-    base = (df.select(gcol.alias("_g"), F.col(value).cast("double").alias("_v"))
+    clean = (df.select(gcol.alias("_g"), F.col(value).cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_g").isNotNull()))
+    inf = float("inf")
+    finite = F.col("_v").between(-1.7976931348623157e308, 1.7976931348623157e308)
+    base = clean.filter(finite)
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = F.col("n")
-    state = (base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
-                                     F.max("_v").alias("hi"))
-             .select("_g", "lo", "hi", n.alias("cnt"),
-                     F.floor((n - 1) / 2).cast("long").alias("r1"), F.floor(n / 2).cast("long").alias("r2"),
-                     F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("v1"),
-                     F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("v2"),
-                     F.when(F.col("lo") == F.col("hi"), "done").when(n <= finish_rows, "finish")
-                     .otherwise("iter").alias("mode"))
+    n, neg, nf = F.col("n"), F.col("n_neg"), F.col("n_fin")
+    lo, hi = F.col("lo"), F.col("hi")
+
+    def known(r):
+        # ranks in the infinite tails, or on the finite min/max, need no refinement
+        rf = r - neg
+        return (F.when(r < neg, F.lit(-inf)).when(rf >= nf, F.lit(inf))
+                .when(rf == 0, lo).when(rf == nf - 1, hi).when(lo == hi, lo))
+
+    r1, r2 = F.floor((n - 1) / 2).cast("long"), F.floor(n / 2).cast("long")
+    state = (clean.groupBy("_g").agg(
+                F.count(F.lit(1)).alias("n"), F.count_if(F.col("_v") == -inf).alias("n_neg"),
+                F.count_if(finite).alias("n_fin"),
+                F.min(F.when(finite, F.col("_v"))).alias("lo"), F.max(F.when(finite, F.col("_v"))).alias("hi"))
+             .select("_g", "lo", "hi", nf.alias("cnt"), (r1 - neg).alias("r1"), (r2 - neg).alias("r2"),
+                     known(r1).alias("v1"), known(r2).alias("v2"),
+                     F.when(known(r1).isNotNull() & known(r2).isNotNull(), "done")
+                     .when(nf <= finish_rows, "finish").otherwise("iter").alias("mode"))
              .checkpoint(eager=True))
     rounds = 0
     while rounds < max_rounds and not state.filter(F.col("mode") == "iter").isEmpty():
@@ -91,8 +105,12 @@ def _step(base: DataFrame, state: DataFrame, buckets: int, finish_rows: int) ->
     """One refinement round over the open groups; resolved and finishing
     groups are carried over unchanged."""
     act = state.filter(F.col("mode") == "iter")
-    bk = F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)
-                 .cast("int"), F.lit(buckets - 1))
+    # halves keep hi - lo finite for any finite bounds; a zero width (adjacent
+    # subnormals) sends lo to the first bucket and hi to the last
+    num = F.col("_v") * 0.5 - F.col("lo") * 0.5
+    den = F.col("hi") * 0.5 - F.col("lo") * 0.5
+    bk = (F.when(den > 0, F.least(F.floor(num / den * buckets).cast("int"), F.lit(buckets - 1)))
+          .when(F.col("_v") == F.col("hi"), F.lit(buckets - 1)).otherwise(F.lit(0)))
     h = (base.join(act.select("_g", "lo", "hi"), "_g")
          .filter(F.col("_v").between(F.col("lo"), F.col("hi")))
          .groupBy("_g", bk.alias("bk"))
