@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 from telco_mart import config as C
 from telco_mart.config import WarehouseConfig, DEFAULT_CONFIG
 from telco_mart.functions import cleaning as X
+from telco_mart.operators.lookup import join_lookup
 from telco_mart.operators.median import group_medians
 
 
+BAD_REFERENCE, BAD_DATE = "référence abonné/antenne invalide", "date invalide"
+
+
 def split_valid(df: DataFrame, ok: Column, reason: str) -> tuple[DataFrame, DataFrame]:
     """Split on a predicate; NULL counts as not valid."""
     flag = F.coalesce(ok, F.lit(False))
@@ -26,8 +30,8 @@ def clean_plans(raw: DataFrame, cfg: WarehouseConfig = DEFAULT_CONFIG) -> DataFr
     fee = X.to_number("monthly_fee")
     return raw.select(
         "plan_id", "plan_name", "country",
-        fee.cast("decimal(10,2)").alias("monthly_fee"),
-        X.to_number("data_quota_gb").cast("decimal(8,2)").alias("data_quota_gb"),
+        fee.try_cast("decimal(10,2)").alias("monthly_fee"),
+        X.to_number("data_quota_gb").try_cast("decimal(8,2)").alias("data_quota_gb"),
         X.to_int("call_minutes").alias("call_minutes"),
         X.to_int("sms_quota").alias("sms_quota"),
         F.col("type").alias("type_abonnement"),
@@ -68,7 +72,7 @@ def clean_subscribers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "segment",
     )
     typed = impute_global_median(typed, "monthly_revenue").withColumn(
-        "monthly_revenue", F.col("monthly_revenue").cast("decimal(10,2)"))
+        "monthly_revenue", F.col("monthly_revenue").try_cast("decimal(10,2)"))
     return split_valid(typed, F.col("subscriber_id").isNotNull() & F.col("plan_id").isNotNull(),
                        "subscriber_id ou plan_id manquant")
 
@@ -85,16 +89,19 @@ def impute_global_median(df: DataFrame, value: str) -> DataFrame:
 def impute_group_median(df: DataFrame, value: str, group: str) -> DataFrame:
     """Fill NULL ``value`` with the exact median of its ``group``; a NULL group
     or a group without any value stays NULL. The per-group medians (one row
-    per group) are joined back by key.
+    per group) are joined back as a size-checked lookup, so rows are not
+    shuffled by the group.
 
     The medians come from ``group_medians``: a hot group (one event type may
-    hold a third of the fact) is resolved by bucketed counts combined
-    map-side, never by gathering its values in one task."""
-    med = group_medians(df, value, group).select(
-        F.col(group).alias("_grp_key"), F.col("median").alias("_grp_median"))
-    return (df.join(med, F.col(group) == F.col("_grp_key"), "left")
-            .withColumn(value, F.coalesce(F.col(value), F.col("_grp_median")))
-            .drop("_grp_median", "_grp_key"))
+    hold a third of the fact) is resolved by counts combined map-side, never
+    by gathering its values in one task."""
+    return fill_from_medians(df, value, group, group_medians(df, value, group))
+
+
+def fill_from_medians(df: DataFrame, value: str, group: str, medians: DataFrame) -> DataFrame:
+    """Fill NULL ``value`` from a (group, median) table, e.g. a stored one."""
+    joined = join_lookup(df, medians.select(group, F.col("median").alias("_grp_median")), [group])
+    return joined.withColumn(value, F.coalesce(F.col(value), F.col("_grp_median"))).drop("_grp_median")
 
 
 def type_usage(raw: DataFrame) -> DataFrame:
@@ -109,20 +116,27 @@ def type_usage(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_usage(raw: DataFrame, subscribers: DataFrame, towers: DataFrame
+def typed_usage(raw: DataFrame, medians: DataFrame | None = None) -> DataFrame:
+    """Typed usage, amount gaps filled by the event-type median: of this feed
+    (before any row is rejected), or a stored (event_type, median) table."""
+    typed = type_usage(raw)
+    if medians is None:
+        return impute_group_median(typed, "amount_fcfa", "event_type")
+    return fill_from_medians(typed, "amount_fcfa", "event_type", medians)
+
+
+def clean_usage(raw: DataFrame, subscribers: DataFrame, towers: DataFrame, medians: DataFrame | None = None
                 ) -> tuple[DataFrame, DataFrame]:
-    """Typed usage, amount gaps filled by the event-type median (computed
-    before any row is rejected), then kept only when the subscriber and the
-    tower exist and the event time parses."""
-    typed = impute_group_median(type_usage(raw), "amount_fcfa", "event_type")
+    """``typed_usage`` kept only when the subscriber and the tower exist and
+    the event time parses."""
+    typed = typed_usage(raw, medians)
     subs = subscribers.select("subscriber_id").distinct()
     tw = towers.select("tower_id").distinct()
     known = (typed.join(subs.withColumn("_sub_ok", F.lit(True)), "subscriber_id", "left")
              .join(tw.withColumn("_tw_ok", F.lit(True)), "tower_id", "left"))
     ok_ref = F.col("_sub_ok").isNotNull() & F.col("_tw_ok").isNotNull()
     ok = ok_ref & F.col("event_datetime").isNotNull()
-    reason = (F.when(~ok_ref, F.lit("référence abonné/antenne invalide"))
-              .otherwise(F.lit("date invalide")))
+    reason = F.when(~ok_ref, F.lit(BAD_REFERENCE)).otherwise(F.lit(BAD_DATE))
     cols = typed.columns
     kept = known.filter(F.coalesce(ok, F.lit(False))).select(*cols)
     rejected = (known.filter(~F.coalesce(ok, F.lit(False)))

@@ -10,7 +10,7 @@ from telco_mart import config as C
 from telco_mart.config import WarehouseConfig, DEFAULT_CONFIG
 from telco_mart.functions import cleaning as X
 from telco_mart.functions.keys import surrogate_key
-from telco_mart.operators.scd import scd2_initial, scd2_merge, scd1_merge
+from telco_mart.operators.scd import latest_per_key, scd2_initial, scd2_merge, scd1_merge
 from telco_mart.schemas import DIM_PLAN, DIM_TOWER, DIM_SUBSCRIBER, DIM_LOCATION, conform
 
 SUBSCRIBER_TRACKED = ["city", "segment", "plan_id"]
@@ -70,8 +70,8 @@ def build_dim_subscriber(subs: DataFrame, as_of: str, existing: DataFrame | None
 
 
 def build_dim_tower(towers: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    t = towers.withColumn("tower_sk", surrogate_key("tower_id"))
-    t = conform(t, DIM_TOWER)
+    t = latest_per_key(towers.select(*[c for c in DIM_TOWER if c in towers.columns]), "tower_id")
+    t = conform(t.withColumn("tower_sk", surrogate_key("tower_id")), DIM_TOWER)
     if existing is None:
         return t
     return conform(scd1_merge(existing, t.drop("tower_sk"), "tower_id", TOWER_KEEP, "tower_sk"), DIM_TOWER)
@@ -97,7 +97,8 @@ def guarded_delete(dim: DataFrame, to_delete: DataFrame, key: str, fact: DataFra
     references any version of them. Returns (remaining, refused, deleted)."""
     ids = to_delete.select(key).distinct()
     targets = dim.join(ids, key, "left_semi")
-    referenced_sk = fact.select(F.col(dim_sk)).distinct()
+    # the fact is first cut to the requested keys
+    referenced_sk = fact.select(F.col(dim_sk)).join(targets.select(dim_sk), dim_sk, "left_semi").distinct()
     ref_keys = targets.join(referenced_sk, dim_sk, "left_semi").select(key).distinct()
     refused = ids.join(ref_keys, key, "left_semi")
     deletable = ids.join(ref_keys, key, "left_anti")

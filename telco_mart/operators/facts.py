@@ -1,12 +1,12 @@
 """Fact loads: surrogate-key resolution, rejects, idempotent appends, upserts.
 
-Key resolution is a chain of equi-joins. The subscriber lookup is as large
-as the subscriber base, so it is a shuffle join on ``subscriber_id`` (AQE
-turns it into a broadcast only when the runtime size is under the
-threshold, and splits skewed partitions when one subscriber carries a large
-share of the events). The duplicate check groups on ``usage_id`` alone: it
-costs its own shuffle, but an id hash spreads evenly, whereas reusing the
-subscriber partitioning would put a hot subscriber's events in one task.
+Lookups are put together at dimension size first: subscriber -> key, country
+and current plan; tower -> key and location. A usage load then makes two
+fact-wide joins, on ``subscriber_id`` and on ``tower_id``, each in a stage of
+its own, so that adaptive execution can split a subscriber or tower that
+carries a large share of the events. Duplicates collapse before that, on the
+narrow rows, to the largest row per ``usage_id``: the same row whatever the
+order in which tasks run.
 """
 
 from __future__ import annotations
@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 
 from telco_mart.config import WarehouseConfig, DEFAULT_CONFIG
 from telco_mart.functions.keys import date_key, surrogate_key
+from telco_mart.operators.cleaning import BAD_DATE, BAD_REFERENCE
 from telco_mart.operators.dimensions import current
+from telco_mart.operators.scd import latest_per_key
 from telco_mart.schemas import FACT_USAGE, FACT_INCIDENT, conform
 
 GB_PER_MB = "0.0009765625"  # 1/1024, exact in decimal
 
 
+MISSING_KEY = "clé étrangère introuvable"
+
+
 def subscriber_plan_lookup(dim_subscriber: DataFrame, dim_plan: DataFrame) -> DataFrame:
     """subscriber_id -> (subscriber_sk, subscriber country, plan_sk of the
     current plan of the subscriber's plan_id; NULL when unresolved)."""
@@ -43,62 +48,100 @@ def plan_point_in_time(usage: DataFrame, dim_subscriber: DataFrame, dim_plan: Da
     return u.join(p, cond, "left").select(*[u[c] for c in usage.columns], p["plan_sk"])
 
 
+def subscriber_lookup(dim_subscriber: DataFrame, dim_plan: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """One row per subscriber_id: keys and country, and whether the id is in
+    ``known`` (default: the dimension itself)."""
+    keys = subscriber_plan_lookup(dim_subscriber, dim_plan)
+    if known is None:
+        return keys.withColumn("_sub_known", F.lit(True))
+    ids = known.select("subscriber_id").distinct().withColumn("_sub_known", F.lit(True))
+    return ids.join(keys, "subscriber_id", "full_outer")
+
+
+def tower_lookup(dim_tower: DataFrame, dim_location: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """One row per tower_id: key, location of the tower's own place, and the
+    locations of its city by country (a map bounded by the countries)."""
+    t = dim_tower.select("tower_id", "tower_sk", F.col("city").alias("_city"), F.col("country").alias("_country"))
+    places = (dim_location.filter("city is not null and country is not null").groupBy(F.col("city").alias("_city"))
+              .agg(F.map_from_entries(F.collect_list(F.struct("country", "location_sk"))).alias("_places")))
+    out = t.join(places, "_city", "left").select(
+        "tower_id", "tower_sk", F.try_element_at("_places", F.col("_country")).alias("_tower_location"), "_places")
+    if known is None:
+        return out.withColumn("_tower_known", F.lit(True))
+    ids = known.select("tower_id").distinct().withColumn("_tower_known", F.lit(True))
+    return ids.join(out, "tower_id", "full_outer")
+
+
 def load_fact_usage(usage: DataFrame, dim_subscriber: DataFrame, dim_tower: DataFrame,
-                    dim_plan: DataFrame, dim_location: DataFrame,
-                    cfg: WarehouseConfig = DEFAULT_CONFIG) -> tuple[DataFrame, DataFrame]:
-    """Resolve keys of clean usage rows. Returns (loaded, rejected); a row is
-    rejected when its subscriber, tower or location cannot be resolved. The
-    plan key may stay NULL."""
-    subs = subscriber_plan_lookup(dim_subscriber, dim_plan)
-    tw = dim_tower.select("tower_id", "tower_sk", F.col("city").alias("tower_city"),
-                          F.col("country").alias("tower_country"))
-    loc = dim_location.select(F.col("city").alias("tower_city"), F.col("country").alias("loc_country"),
-                              "location_sk")
-    country = "tower_country" if cfg.usage_country_from == "tower" else "sub_country"
-    j = (usage.join(subs, "subscriber_id", "left")
-         .join(tw, "tower_id", "left")
-         .withColumn("loc_country", F.col(country))
-         .join(loc, ["tower_city", "loc_country"], "left"))
-    ok = (F.col("subscriber_sk").isNotNull() & F.col("tower_sk").isNotNull()
-          & F.col("location_sk").isNotNull())
-    rejected = j.filter(~ok).select(*usage.columns, F.lit("clé étrangère introuvable").alias("rejection_reason"))
+                    dim_plan: DataFrame, dim_location: DataFrame, cfg: WarehouseConfig = DEFAULT_CONFIG,
+                    subscribers: DataFrame | None = None, towers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Resolve keys of usage rows. Returns (loaded, rejected). A row is
+    rejected when its subscriber or tower is not in ``subscribers`` / ``towers``
+    (where given), its time is missing, or its subscriber, tower or location
+    key cannot be resolved. The plan key may stay NULL."""
+    usage = latest_per_key(usage, "usage_id")
+    j = (usage.join(subscriber_lookup(dim_subscriber, dim_plan, subscribers), "subscriber_id", "left")
+         .join(tower_lookup(dim_tower, dim_location, towers), "tower_id", "left"))
+    location = (F.col("_tower_location") if cfg.usage_country_from == "tower"
+                else F.try_element_at("_places", F.col("sub_country")))
     ts = F.col("event_datetime")
-    data_mb = F.col("data_mb").cast("decimal(12,4)")
-    loaded = (j.filter(ok)
-              .dropDuplicates(["usage_id"])
-              .withColumns({
-                  "usage_sk": surrogate_key("usage_id"),
-                  "date_sk": date_key(ts),
-                  "event_hour": F.hour(ts),
-                  "duration_min": (F.col("duration_sec") / F.lit(60.0)).cast("decimal(8,2)"),
-                  "data_mb": data_mb,
-                  "data_gb": (data_mb * F.lit(GB_PER_MB).cast("decimal(11,10)")).cast("decimal(12,6)"),
-                  "amount_fcfa": F.col("amount_fcfa").cast("decimal(12,2)"),
-                  "annee": F.year(ts),
-              }))
+    keys_ok = F.col("subscriber_sk").isNotNull() & F.col("tower_sk").isNotNull() & location.isNotNull()
+    in_feeds = F.col("_sub_known").isNotNull() & F.col("_tower_known").isNotNull()
+    reason = F.when(~keys_ok, F.lit(MISSING_KEY))
+    if subscribers is not None or towers is not None:
+        reason = F.when(~in_feeds, F.lit(BAD_REFERENCE)).when(ts.isNull(), F.lit(BAD_DATE)).when(~keys_ok, F.lit(MISSING_KEY))
+    j = j.withColumns({"location_sk": location, "rejection_reason": reason})
+    rejected = j.filter(F.col("rejection_reason").isNotNull()).select(*usage.columns, "rejection_reason")
+    data_mb = F.col("data_mb").try_cast("decimal(12,4)")
+    loaded = j.filter(F.col("rejection_reason").isNull()).withColumns({
+        "usage_sk": surrogate_key("usage_id"),
+        "date_sk": date_key(ts),
+        "event_hour": F.hour(ts),
+        "duration_min": (F.col("duration_sec") / F.lit(60.0)).try_cast("decimal(8,2)"),
+        "data_mb": data_mb,
+        "data_gb": (data_mb * F.lit(GB_PER_MB).cast("decimal(11,10)")).try_cast("decimal(12,6)"),
+        "amount_fcfa": F.col("amount_fcfa").try_cast("decimal(12,2)"),
+        "annee": F.year(ts),
+    })
     return conform(loaded, FACT_USAGE), rejected
 
 
-def load_fact_incident(incidents: DataFrame, dim_tower: DataFrame, dim_location: DataFrame
-                       ) -> tuple[DataFrame, DataFrame]:
-    tw = dim_tower.select("tower_id", "tower_sk", "city", "country")
-    loc = dim_location.select("city", "country", "location_sk")
-    j = incidents.join(tw, "tower_id", "left").join(loc, ["city", "country"], "left")
+def load_fact_incident(incidents: DataFrame, dim_tower: DataFrame, dim_location: DataFrame, calendar: DataFrame | None = None,
+                       description_width: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(loaded, rejected): rejected when tower, location or day cannot be
+    resolved; a day must be in ``calendar`` where one is given (a broadcast
+    bounded by its days). ``description_width`` cuts the description for a
+    store with a column width; by default it is kept whole."""
+    incidents = latest_per_key(incidents, "incident_id")
+    j = incidents.join(tower_lookup(dim_tower, dim_location), "tower_id", "left").withColumn("location_sk", F.col("_tower_location"))
     ts = F.col("incident_datetime")
-    ok = F.col("tower_sk").isNotNull() & F.col("location_sk").isNotNull() & ts.isNotNull()
+    j = j.withColumn("date_sk", date_key(ts))
+    if calendar is not None:
+        days = F.broadcast(calendar.select(F.col("date_sk").alias("_day")))
+        j = j.join(days, F.col("date_sk") == F.col("_day"), "left")
+    else:
+        j = j.withColumn("_day", F.col("date_sk"))
+    ok = F.col("tower_sk").isNotNull() & F.col("location_sk").isNotNull() & F.col("_day").isNotNull()
     rejected = j.filter(~ok).select(*incidents.columns, F.lit("clé manquante").alias("rejection_reason"))
-    loaded = (j.filter(ok).dropDuplicates(["incident_id"])
-              .withColumns({"incident_sk": surrogate_key("incident_id"), "date_sk": date_key(ts),
-                            "description": F.substring("description", 1, 500),
-                            "annee": F.year(ts)}))
+    text = F.col("description") if description_width is None else F.substring("description", 1, description_width)
+    loaded = j.filter(ok).withColumns({"incident_sk": surrogate_key("incident_id"), "description": text, "annee": F.year(ts)})
     return conform(loaded, FACT_INCIDENT), rejected
 
 
 def append_new(target: DataFrame, batch: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``batch`` to append so that ``key`` stays unique in the target:
-    duplicates inside the batch collapse, keys already present are skipped."""
+    duplicates inside the batch collapse to the largest row, keys already
+    present are skipped."""
     keys = [key] if isinstance(key, str) else list(key)
-    return batch.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    return largest_per_key(batch, keys).join(target.select(*keys), keys, "left_anti")
+
+
+def largest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    row = df.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_r"))
+    return row.select(*keys, "_r.*").select(*df.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,132 +3,89 @@
 Spark's exact ``percentile``/``median`` aggregate keeps a value -> count map
 per group and merges it in ONE task, so a group holding a third of a 100 TB
 fact (one event type) would put every distinct amount of that third in one
-task's memory. ``group_medians`` finds the same value by range refinement:
-
-1. one aggregate gives count, min and max per group; the median sits at the
-   0-based ranks ``(n-1) div 2`` and ``n div 2`` (equal when n is odd);
-   ranks among the -inf/+inf values, or on the finite min/max, are known
-   at once, the others are refined over the finite values;
-2. each round buckets the values of a group's current range ``[lo, hi]``
-   into ``buckets`` equal-width buckets (count, min, max per bucket, combined
-   map-side), a running sum over the <= ``buckets`` rows of a group finds the
-   bucket of each rank, and the range shrinks to that bucket's [min, max];
-3. a group is resolved when both ranks are an edge of a bucket (min/max
-   known) or the bucket holds one distinct value; once a range holds at most
-   ``finish_rows`` rows, those rows are ranked exactly by a window
-   partitioned by group (bounded by ``finish_rows`` per group).
-
-Every round strictly shrinks a group's range (its min and max fall in
-different buckets), so the loop ends; each round is a distributed aggregate
-whose output is bounded by groups x buckets, checkpointed to cut lineage.
-The result equals ``percentile(v, 0.5)``: ``0.5*a + 0.5*b`` of the two ranks.
+task's memory. ``group_medians`` finds the same value by bit refinement:
+
+1. values become order-preserving 64-bit integers (the bits of the double,
+   negated for negative values), and one aggregate counts each distinct
+   (group, value): map-side combined, so a hot value is one row per task;
+2. the middle ranks ``(n-1) div 2`` and ``n div 2`` are searched together, the
+   next ``BITS`` bits at a time: counts per bit group, a running sum over the
+   at most 2^BITS bit groups, and the bit group that holds the rank becomes the
+   prefix of the next round;
+3. after at most ``64 / BITS`` rounds the prefix is one value. Rounds stop
+   early when every prefix holds one distinct value.
+
+The rounds read only the counted values, never the input again, and have no
+threshold on rows: all sizes and spreads (infinities included) take the same
+path. The result equals ``percentile(v, 0.5)``: ``0.5*a + 0.5*b`` of the ranks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from telco_mart.operators.lookup import join_lookup
 from telco_mart.session import checkpoint_dir
 
-BUCKETS = 1024
-FINISH_ROWS = 1_000_000
-MAX_ROUNDS = 16
+BITS = 13
+_MANTISSA = 1 << 52
 
-_STATE = ["_g", "lo", "hi", "cnt", "r1", "r2", "v1", "v2", "mode"]
 
+def ordered_bits(v: Column) -> Column:
+    """The bits of a double as a BIGINT that orders like the double. Every
+    step is exact: powers of two only scale the value."""
+    a = F.abs(v)
+    guess = F.floor(F.log2(a)).cast("double")
+    two = lambda e: F.pow(F.lit(2.0), e)
+    e = guess - F.when(two(guess) > a, 1.0).otherwise(0.0) + F.when(two(guess + 1) <= a, 1.0).otherwise(0.0)
+    normal = ((e + 1023) * F.lit(float(_MANTISSA))).cast("long") + ((a / two(e) - 1) * F.lit(float(_MANTISSA))).cast("long")
+    tiny = (a * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long")
+    bits = (F.when(a == 0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(0x7FF << 52).cast("long"))
+            .when(a < 2.0 ** -1022, tiny).otherwise(normal))
+    return F.when(v < 0, -bits).otherwise(bits)
 
-def _edges(h: DataFrame, rank: str, prefix: str) -> DataFrame:
-    """The bucket of ``rank`` per group, with the value when the rank is the
-    bucket's first or last row."""
-    inside = (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("before") + F.col("c"))
-    val = (F.when(F.col(rank) == F.col("before"), F.col("bmin"))
-           .when(F.col(rank) == F.col("before") + F.col("c") - 1, F.col("bmax")))
-    return h.filter(inside).select(
-        "_g", *[F.col(c).alias(f"{prefix}{c}") for c in ("bk", "before", "c", "bmin", "bmax")],
-        val.alias(f"{prefix}val"))
 
-
-def group_medians(df: DataFrame, value: str, group: str | None = None,
-                  buckets: int = BUCKETS, finish_rows: int = FINISH_ROWS,
-                  max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def group_medians(df: DataFrame, value: str, group: str | None = None, bits: int = BITS) -> DataFrame:
     """Exact median of ``value`` per ``group`` (or of the whole column when
-    ``group`` is None) as ``(group, median)`` rows; NULL values are ignored,
-    a NULL group is left out, a group without values has no row."""
+    ``group`` is None) as ``(group, median)`` rows; NULL and NaN values are
+    ignored, a NULL group is left out, a group without values has no row."""
+    checkpoint_dir(df.sparkSession)
     gcol = F.col(group) if group else F.lit(0)
-    clean = (df.select(gcol.alias("_g"), F.col(value).cast("double").alias("_v"))
+    base = (df.select(gcol.alias("_g"), F.col(value).cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_g").isNotNull()))
-    inf = float("inf")
-    finite = F.col("_v").between(-1.7976931348623157e308, 1.7976931348623157e308)
-    base = clean.filter(finite)
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n, neg, nf = F.col("n"), F.col("n_neg"), F.col("n_fin")
-    lo, hi = F.col("lo"), F.col("hi")
-
-    def known(r):
-        # ranks in the infinite tails, or on the finite min/max, need no refinement
-        rf = r - neg
-        return (F.when(r < neg, F.lit(-inf)).when(rf >= nf, F.lit(inf))
-                .when(rf == 0, lo).when(rf == nf - 1, hi).when(lo == hi, lo))
-
-    r1, r2 = F.floor((n - 1) / 2).cast("long"), F.floor(n / 2).cast("long")
-    state = (clean.groupBy("_g").agg(
-                F.count(F.lit(1)).alias("n"), F.count_if(F.col("_v") == -inf).alias("n_neg"),
-                F.count_if(finite).alias("n_fin"),
-                F.min(F.when(finite, F.col("_v"))).alias("lo"), F.max(F.when(finite, F.col("_v"))).alias("hi"))
-             .select("_g", "lo", "hi", nf.alias("cnt"), (r1 - neg).alias("r1"), (r2 - neg).alias("r2"),
-                     known(r1).alias("v1"), known(r2).alias("v2"),
-                     F.when(known(r1).isNotNull() & known(r2).isNotNull(), "done")
-                     .when(nf <= finish_rows, "finish").otherwise("iter").alias("mode"))
-             .checkpoint(eager=True))
-    rounds = 0
-    while rounds < max_rounds and not state.filter(F.col("mode") == "iter").isEmpty():
-        state = _step(base, state, buckets, finish_rows).checkpoint(eager=True)
-        rounds += 1
-    # groups still open (pathological spreads past max_rounds) are ranked exactly too
-    fin = state.filter(F.col("mode") != "done")
-    ranked = (base.join(fin.select("_g", "lo", "hi", "r1", "r2"), "_g")
-              .filter(F.col("_v").between(F.col("lo"), F.col("hi")))
-              .withColumn("_rk", F.row_number().over(Window.partitionBy("_g").orderBy("_v")) - 1)
-              .filter((F.col("_rk") == F.col("r1")) | (F.col("_rk") == F.col("r2")))
-              .groupBy("_g")
-              .agg(F.max(F.when(F.col("_rk") == F.col("r1"), F.col("_v"))).alias("v1"),
-                   F.max(F.when(F.col("_rk") == F.col("r2"), F.col("_v"))).alias("v2")))
-    vals = state.filter(F.col("mode") == "done").select("_g", "v1", "v2").unionByName(ranked)
-    med = F.when(F.col("v1") == F.col("v2"), F.col("v1")).otherwise(
-        F.lit(0.5) * F.col("v1") + F.lit(0.5) * F.col("v2"))
-    return vals.select(F.col("_g").alias(group or "_all"), med.alias("median"))
-
-
-def _step(base: DataFrame, state: DataFrame, buckets: int, finish_rows: int) -> DataFrame:
-    """One refinement round over the open groups; resolved and finishing
-    groups are carried over unchanged."""
-    act = state.filter(F.col("mode") == "iter")
-    # halves keep hi - lo finite for any finite bounds; a zero width (adjacent
-    # subnormals) sends lo to the first bucket and hi to the last
-    num = F.col("_v") * 0.5 - F.col("lo") * 0.5
-    den = F.col("hi") * 0.5 - F.col("lo") * 0.5
-    bk = (F.when(den > 0, F.least(F.floor(num / den * buckets).cast("int"), F.lit(buckets - 1)))
-          .when(F.col("_v") == F.col("hi"), F.lit(buckets - 1)).otherwise(F.lit(0)))
-    h = (base.join(act.select("_g", "lo", "hi"), "_g")
-         .filter(F.col("_v").between(F.col("lo"), F.col("hi")))
-         .groupBy("_g", bk.alias("bk"))
-         .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("bmin"), F.max("_v").alias("bmax")))
-    w = Window.partitionBy("_g").orderBy("bk").rowsBetween(Window.unboundedPreceding, -1)
-    h = (h.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)).cast("long"))
-         .join(act.select("_g", "r1", "r2"), "_g"))
-    e = (_edges(h, "r1", "a_").join(_edges(h, "r2", "b_"), "_g")
-         .join(act.select("_g", "r1", "r2"), "_g"))
-    same = F.col("a_bk") == F.col("b_bk")
-    one = F.col("a_bmin") == F.col("a_bmax")
-    v1 = F.when(~same, F.col("a_bmax")).when(one, F.col("a_bmin")).otherwise(F.col("a_val"))
-    v2 = F.when(~same, F.col("b_bmin")).when(one, F.col("a_bmin")).otherwise(F.col("b_val"))
-    resolved = v1.isNotNull() & v2.isNotNull()
-    nxt = e.select(
-        "_g", F.col("a_bmin").alias("lo"), F.col("a_bmax").alias("hi"), F.col("a_c").alias("cnt"),
-        (F.col("r1") - F.col("a_before")).alias("r1"), (F.col("r2") - F.col("a_before")).alias("r2"),
-        v1.alias("v1"), v2.alias("v2"),
-        F.when(resolved, "done").when(F.col("a_c") <= finish_rows, "finish")
-        .otherwise("iter").alias("mode"))
-    return state.filter(F.col("mode") != "iter").select(*_STATE).unionByName(nxt.select(*_STATE))
+    counts = (base.groupBy("_g", ordered_bits(F.col("_v")).alias("_k"))
+              .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("_v")).checkpoint())
+    ranks = F.array(F.struct(F.lit(1).alias("which"), F.floor((F.col("n") - 1) / 2).cast("long").alias("rank")),
+                    F.struct(F.lit(2).alias("which"), F.floor(F.col("n") / 2).cast("long").alias("rank")))
+    state = (counts.groupBy("_g").agg(F.sum("c").alias("n")).select("_g", F.explode(ranks).alias("r"))
+             .select("_g", "r.*", F.lit(None).cast("long").alias("prefix"), F.lit(None).cast("double").alias("v"),
+                     F.lit(False).alias("done")).checkpoint())
+    shift = 64
+    while shift > 0 and not state.filter(~F.col("done")).isEmpty():
+        state = _refine(counts, state, shift, max(shift - bits, 0)).checkpoint()
+        shift = max(shift - bits, 0)
+    low, high = F.max(F.when(F.col("which") == 1, F.col("v"))), F.max(F.when(F.col("which") == 2, F.col("v")))
+    both = state.groupBy("_g").agg(low.alias("v1"), high.alias("v2"))
+    med = F.when(F.col("v1") == F.col("v2"), F.col("v1")).otherwise(F.lit(0.5) * F.col("v1") + F.lit(0.5) * F.col("v2"))
+    return both.select(F.col("_g").alias(group or "_all"), med.alias("median"))
+
+
+def _refine(counts: DataFrame, state: DataFrame, above: int, shift: int) -> DataFrame:
+    """Narrow every open (group, rank) from its prefix of the bits over
+    ``above`` to the bits over ``shift``."""
+    key = lambda s: F.shiftright("_k", s) if s < 64 else F.lit(None).cast("long")
+    open_ = state.filter(~F.col("done"))
+    prefixes = open_.groupBy("_g", "prefix").agg(F.lit(True).alias("searched"))
+    held = join_lookup(counts.withColumn("prefix", key(above)), prefixes, ["_g", "prefix"]).filter("searched")
+    cells = held.groupBy("_g", "prefix", key(shift).alias("cell")).agg(
+        F.sum("c").alias("c"), F.min("_v").alias("v"), F.min("_k").alias("k1"), F.max("_k").alias("k2"))
+    upto = Window.partitionBy("_g", "prefix").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("c").over(upto), F.lit(0)).cast("long"))
+    s, h = open_.alias("s"), cells.alias("h")
+    on = (F.col("s._g") == F.col("h._g")) & F.col("s.prefix").eqNullSafe(F.col("h.prefix"))
+    inside = (F.col("h.before") <= F.col("s.rank")) & (F.col("s.rank") < F.col("h.before") + F.col("h.c"))
+    nxt = s.join(h, on & inside).select(
+        "s._g", "s.which", (F.col("s.rank") - F.col("h.before")).alias("rank"), F.col("h.cell").alias("prefix"), "h.v",
+        (F.col("h.k1") == F.col("h.k2")).alias("done"))
+    return state.filter("done").unionByName(nxt)

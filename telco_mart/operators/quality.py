@@ -34,11 +34,13 @@ class RuleSet:
     source_table: str
     key: str
     rules: list
+    raw_width: int | None = None  # cut of raw_data, for a store with a width
 
     def _evaluate(self, df: DataFrame) -> tuple[DataFrame, list]:
         cols = list(df.columns)
         flags = []
-        out = df.withColumn("_dq_raw", F.substring(F.to_json(F.struct(*cols)), 1, 2000))
+        raw = F.to_json(F.struct(*cols))
+        out = df.withColumn("_dq_raw", raw if self.raw_width is None else F.substring(raw, 1, self.raw_width))
         for r in self.rules:
             if r.kind == "fix":
                 out = out.withColumns({c: e for c, e in r.fixes.items()})
@@ -96,8 +98,16 @@ def subscriber_rules(as_of: str) -> RuleSet:
     ])
 
 
+#: Amounts from here on do not fit the fact's DECIMAL columns.
+USAGE_LIMITS = {"data_mb": 1e8, "amount_fcfa": 1e10}
+
+
 def usage_rules(data_type: str = C.DATA_TYPE) -> RuleSet:
+    out_of_range = lambda c: F.abs(F.col(c)) >= F.lit(USAGE_LIMITS[c])
     return RuleSet("fact_usage", "usage_id", [
+        Rule("range", "warn", violation=F.coalesce(out_of_range("data_mb"), F.lit(False)) | F.coalesce(out_of_range("amount_fcfa"), F.lit(False)),
+             reason="Valeur numérique hors limites"),
+        Rule("range_fix", "fix", fixes={c: F.when(~out_of_range(c), F.col(c)) for c in USAGE_LIMITS}),
         Rule("non_negative", "fix", fixes={
             "duration_sec": X.non_negative(F.col("duration_sec")),
             "data_mb": X.non_negative(F.col("data_mb")).cast("double"),

@@ -98,14 +98,16 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: list[
                      "is_current": F.lit(1), "version": version})
         return [vals.get(c, F.lit(None)).cast(current.schema[c].dataType).alias(c) for c in out_cols]
 
-    kept = j.filter(F.col("_kind").isin("same", "absent")).select(*from_current({}))
-    closed = j.filter(F.col("_kind") == "changed").select(*from_current(
-        {"is_current": F.lit(0), "date_fin": as_of_d}))
-    opened = j.filter(F.col("_kind").isin("new", "changed")).select(*from_incoming(
-        F.coalesce(F.col("c.version") + 1, F.lit(1))))
-    updated = j.filter(F.col("_kind") == "minor").select(*from_current(
-        {c: F.col(f"i.{c}") for c in type1}))
-    out = hist.select(*out_cols).unionByName(kept).unionByName(closed).unionByName(opened).unionByName(updated)
+    # one or two versions per joined row, from a single pass over the join
+    version = lambda cols: F.struct(*[c.cast(current.schema[n].dataType).alias(n) for n, c in zip(out_cols, cols)])
+    kept = version(from_current({}))
+    closed = version(from_current({"is_current": F.lit(0), "date_fin": as_of_d}))
+    opened = version(from_incoming(F.coalesce(F.col("c.version") + 1, F.lit(1))))
+    updated = version(from_current({c: F.col(f"i.{c}") for c in type1}))
+    versions = (F.when(F.col("_kind") == "new", F.array(opened)).when(F.col("_kind") == "changed", F.array(closed, opened))
+                .when(F.col("_kind") == "minor", F.array(updated)).otherwise(F.array(kept)))
+    merged = j.select(F.inline(versions))
+    out = hist.select(*out_cols).unionByName(merged.select(*out_cols))
     if protected is not None and protected_cols:
         p = protected.select(F.col(key).alias("_pk")).distinct().withColumn("_protected", F.lit(True))
         out = out.join(p, out[key] == p["_pk"], "left").drop("_pk")
@@ -116,14 +118,10 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: list[
     return out.select(*out_cols)
 
 
-def empty_like(df: DataFrame, extra: dict[str, str]) -> DataFrame:
-    """An empty dimension with the attribute columns of ``df`` plus ``extra``."""
-    base = df.limit(0)
-    return base.select(*base.columns, *[F.lit(None).cast(t).alias(c) for c, t in extra.items()])
-
-
 def scd2_initial(incoming: DataFrame, key: str, as_of: str, sk_col: str) -> DataFrame:
-    """First load: every row version 1, current from ``as_of``."""
+    """First load: one row per key (``latest_per_key``), version 1, current
+    from ``as_of``."""
+    incoming = latest_per_key(incoming, key)
     return incoming.select(
         surrogate_key(key, F.lit(1)).alias(sk_col), *incoming.columns,
         F.lit(as_of).cast("date").alias("date_debut"), F.lit(None).cast("date").alias("date_fin"),
@@ -133,7 +131,9 @@ def scd2_initial(incoming: DataFrame, key: str, as_of: str, sk_col: str) -> Data
 def scd1_merge(current: DataFrame, incoming: DataFrame, key: str, keep_cols: list[str],
                sk_col: str | None = None) -> DataFrame:
     """Type-1 merge: insert new keys, overwrite existing rows with the incoming
-    values except ``keep_cols`` (kept from the existing row), keep absent keys."""
+    values except ``keep_cols`` (kept from the existing row), keep absent keys.
+    Several incoming rows of one key collapse first (``latest_per_key``)."""
+    incoming = latest_per_key(incoming, key)
     cols = [c for c in current.columns]
     j = incoming.alias("i").join(current.alias("c"), F.col(f"i.{key}") == F.col(f"c.{key}"), "full_outer")
     in_i = F.col(f"i.{key}").isNotNull()

@@ -178,7 +178,7 @@ def q_impute_group(spark, sf_dir):
     typed = CL.type_usage(wh(spark, sf_dir).raw("usage")).select("usage_id", "event_type", "amount_fcfa")
     typed = typed.withColumn("amount_imputed", F.col("amount_fcfa").isNull().cast("int"))
     return CL.impute_group_median(typed, "amount_fcfa", "event_type").withColumn(
-        "amount_fcfa", F.col("amount_fcfa").cast("decimal(12,2)").cast("double"))
+        "amount_fcfa", F.col("amount_fcfa").try_cast("decimal(12,2)").cast("double"))
 
 
 # ------------------------------------------------------------------ quality
@@ -295,7 +295,7 @@ def q_fact_usage_rejects(spark, sf_dir):
     from dataclasses import replace
     from telco_mart.plans.warehouse import DRIVER_CONFIG
     w = Warehouse(spark, sf_dir, replace(DRIVER_CONFIG, usage_country_from="subscriber"))
-    return w.fact_usage_rejects.select("usage_id", "rejection_reason")
+    return w.fact_usage_rejects.filter(F.col("rejection_reason") == FA.MISSING_KEY).select("usage_id", "rejection_reason")
 
 
 @query("fact_incident")

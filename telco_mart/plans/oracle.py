@@ -25,11 +25,12 @@ geo AS (
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
 plans_s AS (
   SELECT 'P' || CAST(p_partkey AS VARCHAR) AS plan_id, p_name AS plan_name, r_name AS country,
-         CAST(p_retailprice AS DECIMAL(10,2)) AS monthly_fee,
+         CASE WHEN p_partkey % 97 <> 96 THEN CAST(p_retailprice AS DECIMAL(10,2)) END AS monthly_fee,
          CAST(p_size AS DECIMAL(8,2)) AS data_quota_gb,
          CAST(p_size * 60 AS INTEGER) AS call_minutes, CAST(p_size * 20 AS INTEGER) AS sms_quota,
          p_type AS type_abonnement,
-         CASE WHEN CAST(p_retailprice AS DECIMAL(10,2)) <
+         CASE WHEN p_partkey % 97 = 96 THEN 'Premium'
+              WHEN CAST(p_retailprice AS DECIMAL(10,2)) <
                    (CASE r_name WHEN 'AFRICA' THEN 930.0 WHEN 'EUROPE' THEN 920.0 ELSE 950.0 END)
               THEN 'Économique'
               WHEN CAST(p_retailprice AS DECIMAL(10,2)) <
@@ -133,10 +134,12 @@ usage_typed AS (
                    WHEN l_returnflag = 'A' THEN CAST(l_quantity * 60 AS INTEGER) ELSE 0 END AS INTEGER) AS duration_sec,
          CASE WHEN l_returnflag = 'R' AND l_orderkey % 223 = 0 THEN 0.0
               WHEN l_returnflag = 'R' AND l_orderkey % 227 = 0 THEN -1.0
+              WHEN l_returnflag = 'R' AND l_orderkey % 229 = 0 THEN 1e12
               WHEN l_returnflag = 'R' THEN CAST(CAST(l_extendedprice / 100 AS DECIMAL(12,4)) AS DOUBLE)
               ELSE 0.0 END AS data_mb,
          CASE WHEN (l_orderkey * 3 + l_linenumber) % 100 IN (0, 1) THEN NULL
               WHEN (l_orderkey + l_partkey) % 401 = 0 THEN -3.0
+              WHEN (l_orderkey + l_partkey) % 409 = 5 THEN 1e12
               ELSE CAST(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
                              AS DECIMAL(12,2)) AS DOUBLE) END AS amount_raw,
          CASE WHEN l_linestatus = 'F' THEN 'Succès' WHEN l_linenumber % 3 = 0 THEN 'Interrompu'
@@ -155,8 +158,9 @@ usage_clean AS (
 usage_s AS (
   SELECT usage_id, subscriber_id, tower_id, event_type, event_datetime,
          CASE WHEN duration_sec < 0 THEN 0 ELSE duration_sec END AS duration_sec,
-         CASE WHEN data_mb < 0 THEN 0.0 ELSE data_mb END AS data_mb,
-         CASE WHEN amount_imp >= 0 THEN amount_imp END AS amount,
+         CASE WHEN data_mb < 0 THEN 0.0 WHEN data_mb < 1e8 THEN data_mb END AS data_mb,
+         CASE WHEN amount_imp >= 0 AND amount_imp < 1e10 THEN amount_imp END AS amount,
+         data_mb >= 1e8 OR coalesce(amount_imp >= 1e10, FALSE) AS out_of_range,
          data_mb AS data_mb_raw,
          status, network_type, roaming
   FROM usage_clean),
@@ -406,7 +410,7 @@ FROM subs_typed t, (SELECT median(rev_raw) AS med FROM subs_typed) m
 """)
 
 SQL["impute_group_median"] = with_base("""
-SELECT usage_id, event_type, CAST(CAST(amount_imp AS DECIMAL(12,2)) AS DOUBLE) AS amount_fcfa,
+SELECT usage_id, event_type, CASE WHEN amount_imp < 1e10 THEN CAST(CAST(amount_imp AS DECIMAL(12,2)) AS DOUBLE) END AS amount_fcfa,
        CAST(amount_raw IS NULL AS INTEGER) AS amount_imputed
 FROM usage_imp
 """)
@@ -440,6 +444,8 @@ SQL["dq_quarantine"] = with_base("""
 SELECT 'fact_usage' AS source_table, usage_id AS record_id,
        'Data event with data_mb = 0' AS rejection_reason
 FROM usage_s WHERE event_type = 'Data' AND data_mb = 0
+UNION ALL
+SELECT 'fact_usage', usage_id, 'Valeur numérique hors limites' FROM usage_s WHERE out_of_range
 """)
 
 SQL["dq_report"] = with_base(f"""

@@ -128,8 +128,9 @@ class Warehouse:
     # ---- facts -----------------------------------------------------------
     @cached_property
     def _fact_usage(self) -> tuple[DataFrame, DataFrame]:
-        return FA.load_fact_usage(self.usage, self.dim_subscriber, self.dim_tower, self.dim_plan,
-                                  self.dim_location, self.cfg)
+        typed = Q.usage_rules().apply(CL.typed_usage(self.raw("usage")))[0]
+        return FA.load_fact_usage(typed, self.dim_subscriber, self.dim_tower, self.dim_plan,
+                                  self.dim_location, self.cfg, self.subscribers, self.towers)
 
     @property
     def fact_usage(self) -> DataFrame:

@@ -96,5 +96,5 @@ def conform(df: DataFrame, schema: dict[str, str], defaults: dict | None = None)
         c = F.col(name) if name in df.columns else F.lit(None)
         if name in defaults:
             c = F.coalesce(c, F.lit(defaults[name]))
-        cols.append(c.cast(typ).alias(name))
+        cols.append(c.try_cast(typ).alias(name))
     return df.select(*cols)

@@ -63,9 +63,9 @@ class DriverTables:
 
     @cached_property
     def geo(self) -> DataFrame:
-        """nation -> (city, country); bounded (25 rows), safe to broadcast."""
+        """nation -> (city, country)."""
         n, r = self.nation, self.region
-        return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+        return (n.join(r, n.n_regionkey == r.r_regionkey, "left")
                 .select("n_nationkey", F.col("n_name").alias("city"),
                         F.col("r_name").alias("country")))
 
@@ -103,11 +103,11 @@ def raw_plans(t: DriverTables, delta: bool = False) -> DataFrame:
     if delta:
         fee = F.when(k % 11 == 0, fee + F.lit(5)).otherwise(fee).cast("decimal(10,2)")
         name = F.when(k % 13 == 0, F.concat(name, F.lit(" v2"))).otherwise(name)
-    return (p.join(F.broadcast(r), (k % 5) == r.r_regionkey, "left")
+    return (p.join(r, (k % 5) == r.r_regionkey, "left")
             .select(F.concat(F.lit("P"), _s(k)).alias("plan_id"),
                     name.alias("plan_name"),
                     F.col("r_name").alias("country"),
-                    _s(fee).alias("monthly_fee"),
+                    F.when(k % 97 == 96, F.lit("1e12")).otherwise(_s(fee)).alias("monthly_fee"),
                     _s(F.col("p_size")).alias("data_quota_gb"),
                     _s(F.col("p_size") * 60).alias("call_minutes"),
                     _s(F.col("p_size") * 20).alias("sms_quota"),
@@ -124,7 +124,7 @@ def raw_towers(t: DriverTables, delta: bool = False) -> DataFrame:
     if delta:
         status = F.when(k % 4 == 0, F.lit("Inactif")).otherwise(status)
         inst_days = F.when(k % 5 == 0, inst_days + 1).otherwise(inst_days)
-    return (s.join(F.broadcast(t.geo), s.s_nationkey == F.col("n_nationkey"), "left")
+    return (s.join(t.geo, s.s_nationkey == F.col("n_nationkey"), "left")
             .select(F.concat(F.lit("T"), _s(k)).alias("tower_id"),
                     F.col("s_name").alias("tower_name"),
                     F.col("city"),
@@ -167,7 +167,7 @@ def raw_subscribers(t: DriverTables, delta: bool = False) -> DataFrame:
                    .when(k % 7 == 0, F.lit("BUILDING")).otherwise(segment))
         revenue = F.when(k % 7 == 1, revenue + F.lit(100)).otherwise(revenue)
         email = F.when(k % 7 == 2, F.concat(F.lit("new"), _s(k), F.lit("@mail.com"))).otherwise(email)
-    df = (c.join(F.broadcast(t.geo), c.c_nationkey == F.col("n_nationkey"), "left")
+    df = (c.join(t.geo, c.c_nationkey == F.col("n_nationkey"), "left")
           .join(_customer_life(t), k == F.col("o_custkey"), "left"))
     return df.select(
         F.when(k % 499 == 498, F.lit(None).cast("string"))
@@ -229,11 +229,13 @@ def raw_usage(t: DriverTables) -> DataFrame:
                  .when(is_call, _s((F.col("l_quantity") * 60).cast("int"))).alias("duration_sec"),
                 F.when(is_data & (ok % 223 == 0), F.lit("0"))
                  .when(is_data & (ok % 227 == 0), F.lit("-1"))
+                 .when(is_data & (ok % 229 == 0), F.lit("1e12"))
                  .when(is_data, _s((F.col("l_extendedprice") / 100).cast("decimal(12,4)")))
                  .alias("data_mb"),
                 F.when(am_key % 100 == 0, F.lit(None).cast("string"))
                  .when(am_key % 100 == 1, F.lit("abc"))
                  .when((ok + F.col("l_partkey")) % 401 == 0, F.lit("-3.00"))
+                 .when((ok + F.col("l_partkey")) % 409 == 5, F.lit("1e12"))
                  .otherwise(_s(amount)).alias("amount_fcfa"),
                 F.when(F.col("l_linestatus") == "F", F.lit("Succès"))
                  .when(ln % 3 == 0, F.lit("Interrompu"))

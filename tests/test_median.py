@@ -1,14 +1,13 @@
 """Distributed exact median: agrees with Spark's exact percentile on odd and
 even groups, ties, a single value, skewed spreads, NULL values and groups,
-whether it resolves in the first pass, after refinement rounds, or by the
-exact in-group ranking of a small remaining range."""
+and over the whole range of doubles, for any number of bits a round."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from telco_mart.operators.median import group_medians
+from telco_mart.operators.median import group_medians, ordered_bits
 
 
 @pytest.fixture(scope="module")
@@ -30,13 +29,11 @@ def data(spark):
     return spark.createDataFrame(rows, "g int, v double")
 
 
-@pytest.mark.parametrize("buckets,finish_rows,max_rounds", [(1024, 1_000_000, 16), (8, 4, 16), (2, 1, 3)])
-def test_group_medians_match_percentile(spark, data, buckets, finish_rows, max_rounds):
+@pytest.mark.parametrize("bits", [13, 3, 64])
+def test_group_medians_match_percentile(spark, data, bits):
     want = {r["g"]: r["m"] for r in data.groupBy("g").agg(F.median("v").alias("m")).collect()
             if r["g"] is not None and r["m"] is not None}
-    got = {r["g"]: r["median"] for r in
-           group_medians(data, "v", "g", buckets=buckets, finish_rows=finish_rows,
-                         max_rounds=max_rounds).collect()}
+    got = {r["g"]: r["median"] for r in group_medians(data, "v", "g", bits=bits).collect()}
     assert set(got) == set(want)
     for g in want:  # NaN == NaN for the +inf/-inf middle pair
         assert got[g] == want[g] or (got[g] != got[g] and want[g] != want[g]), (g, got[g], want[g])
@@ -47,3 +44,23 @@ def test_global_median_and_impute(spark, data):
     assert group_medians(data, "v").first()["median"] == data.agg(F.median("v")).first()[0]
     filled = impute_global_median(data, "v")
     assert filled.filter(F.col("v").isNull()).count() == 0
+
+
+def test_values_spread_over_the_whole_double_range(spark):
+    rnd = random.Random(3)
+    vals = [rnd.choice([-1, 1]) * rnd.uniform(1, 2) * 2.0 ** rnd.randrange(-1074, 1023) for _ in range(2001)]
+    vals += [2.0 ** e for e in range(-1074, 1024, 7)] + [-(2.0 ** e) for e in range(-1074, 1024, 5)]
+    vals += [5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, 0.0, -0.0]
+    df = spark.createDataFrame([(i % 5, v) for i, v in enumerate(vals)], "g int, v double")
+    ordered = [r["v"] for r in df.orderBy(ordered_bits(F.col("v"))).collect()]
+    assert ordered == sorted(vals)
+    want = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r["g"]: r["median"] for r in group_medians(df, "v", "g").collect()} == want
+
+
+def test_many_groups_are_not_broadcast(spark, monkeypatch):
+    from telco_mart.operators import lookup
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 3)
+    df = spark.range(4000).select((F.col("id") % 40).alias("g"), (F.col("id") * 7919 % 1000).cast("double").alias("v"))
+    want = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r["g"]: r["median"] for r in group_medians(df, "v", "g").collect()} == want
