@@ -62,11 +62,11 @@ class WarehouseConfig:
     """Run parameters. Dates are ISO strings, used as SQL literals."""
 
     as_of: str = "2001-12-31"
-    calendar_start: str = "1992-01-01"
-    calendar_end: str = "2003-12-31"
-    # months of the monthly snapshot (oldest first; the last one is the ML test month)
-    snapshot_months: tuple = ("2001-05", "2001-06", "2001-07", "2001-08",
-                              "2001-09", "2001-10", "2001-11")
+    # calendar span; None: the whole years that the feeds' dates fall in
+    calendar_start: str | None = None
+    calendar_end: str | None = None
+    # number of monthly snapshots: the complete months before the month of as_of
+    snapshot_count: int = 7
     churn_risk_days: int = 60
     # "tower": location of a usage event = tower city + tower country;
     # "subscriber": tower city + subscriber country (original behaviour).
@@ -79,4 +79,13 @@ class WarehouseConfig:
     medium_cities: tuple = tuple(MEDIUM_CITIES)
 
 
+    @property
+    def snapshot_months(self) -> tuple:
+        """Months of the monthly snapshot, oldest first (the last one is the
+        model's test month)."""
+        year, month = int(self.as_of[:4]), int(self.as_of[5:7])
+        months = [divmod(year * 12 + month - 1 - k, 12) for k in range(self.snapshot_count, 0, -1)]
+        return tuple(f"{y:04d}-{m + 1:02d}" for y, m in months)
+
+
 DEFAULT_CONFIG = WarehouseConfig()

@@ -129,7 +129,10 @@ def clean_usage(raw: DataFrame, subscribers: DataFrame, towers: DataFrame, media
                 ) -> tuple[DataFrame, DataFrame]:
     """``typed_usage`` kept only when the subscriber and the tower exist and
     the event time parses."""
-    typed = typed_usage(raw, medians)
+    return whitelist_usage(typed_usage(raw, medians), subscribers, towers)
+
+
+def whitelist_usage(typed: DataFrame, subscribers: DataFrame, towers: DataFrame) -> tuple[DataFrame, DataFrame]:
     subs = subscribers.select("subscriber_id").distinct()
     tw = towers.select("tower_id").distinct()
     known = (typed.join(subs.withColumn("_sub_ok", F.lit(True)), "subscriber_id", "left")

@@ -60,6 +60,15 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(f"{root.rstrip('/')}/{version}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _hadoop_fs(spark, path)
+    return fs.exists(p)
+
+
+def has_version(spark: SparkSession, root: str) -> bool:
+    return path_exists(spark, f"{root.rstrip('/')}/_CURRENT")
+
+
 def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Idempotent rewrite of only the partitions present in ``df`` (dynamic
     partition overwrite), e.g. snapshot months or fact years."""
@@ -68,10 +77,11 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
 
 
 def export_tables(tables: dict[str, DataFrame], out_root: str, fmt: str = "parquet",
-                  single_file: bool = True) -> DataFrame:
+                  single_file: bool = False) -> DataFrame:
     """Portable extract of small tables (KPI marts): one folder per table,
-    replaced on each export; failures are isolated per table. Returns a
-    summary frame (table, rows, status, path)."""
+    replaced on each export; failures are isolated per table. ``single_file``
+    gathers a table in one file (one task): only for tables known to be small.
+    Returns a summary frame (table, rows, status, path)."""
     spark = None
     rows = []
     for name, df in tables.items():
@@ -88,7 +98,3 @@ def export_tables(tables: dict[str, DataFrame], out_root: str, fmt: str = "parqu
         except Exception as e:  # noqa: BLE001 - isolate per table
             rows.append((name, 0, f"ERROR: {type(e).__name__}", path))
     return spark.createDataFrame(rows, "table_name string, rows long, status string, path string")
-
-
-def with_load_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("_loaded_at", F.current_timestamp())

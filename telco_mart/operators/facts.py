@@ -38,14 +38,18 @@ def subscriber_plan_lookup(dim_subscriber: DataFrame, dim_plan: DataFrame) -> Da
 
 def plan_point_in_time(usage: DataFrame, dim_subscriber: DataFrame, dim_plan: DataFrame,
                        date_col: str = "event_date") -> DataFrame:
-    """Plan version valid at the event date: equi-join on the plan id (so the
-    join stays a hash join) with the validity range as a residual condition."""
-    s = current(dim_subscriber).select("subscriber_id", "plan_id")
-    p = dim_plan.select("plan_id", "plan_sk", "date_debut", "date_fin")
-    u = usage.join(s, "subscriber_id", "left")
-    cond = ((u["plan_id"] == p["plan_id"]) & (u[date_col] >= p["date_debut"])
-            & (p["date_fin"].isNull() | (u[date_col] < p["date_fin"])))
-    return u.join(p, cond, "left").select(*[u[c] for c in usage.columns], p["plan_sk"])
+    """Plan version valid at the event date, of the plan that the subscriber
+    had then. Subscriber and plan histories are joined first, at dimension
+    size, into one list of (from, to, plan_sk) per subscriber (as long as its
+    own history); usage then makes a single join on the subscriber."""
+    s = dim_subscriber.select("subscriber_id", "plan_id", F.col("date_debut").alias("s_from"), F.col("date_fin").alias("s_to"))
+    p = dim_plan.select("plan_id", "plan_sk", F.col("date_debut").alias("p_from"), F.col("date_fin").alias("p_to"))
+    start, end = F.greatest("s_from", "p_from"), F.least("s_to", "p_to")  # least/greatest skip open ends
+    spans = s.join(p, "plan_id").filter(end.isNull() | (start < end))
+    spans = spans.groupBy("subscriber_id").agg(F.collect_list(F.struct(start.alias("a"), end.alias("b"), "plan_sk")).alias("_spans"))
+    day = F.col(date_col)
+    then = F.filter("_spans", lambda x: (day >= x["a"]) & (x["b"].isNull() | (day < x["b"])))
+    return usage.join(spans, "subscriber_id", "left").select(*usage.columns, F.try_element_at(then, F.lit(1))["plan_sk"].alias("plan_sk"))
 
 
 def subscriber_lookup(dim_subscriber: DataFrame, dim_plan: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -12,18 +12,18 @@ BROADCAST_ROWS = 20_000
 SALTS = 64
 
 
-def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
+def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], salts: int = SALTS, rows: int | None = None) -> DataFrame:
     """``df`` with the other columns of ``lookup`` (one row per key, null keys
     equal); rows without a match get nulls.
 
-    The lookup is counted first: up to ``BROADCAST_ROWS`` rows it is broadcast
+    The lookup is counted first (unless the caller knows a bound, ``rows``): up to ``BROADCAST_ROWS`` rows it is broadcast
     and ``df`` is not shuffled; a larger one is repeated for ``salts`` salts and
     joined on key and salt, so that a key with a third of all rows is spread
     over that many tasks.
     """
     side = lookup.select(*(F.col(k).alias(f"__lookup_{k}") for k in keys), *(c for c in lookup.columns if c not in keys))
     on = [F.col(k).eqNullSafe(F.col(f"__lookup_{k}")) for k in keys]
-    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if (side.limit(BROADCAST_ROWS + 1).count() if rows is None else rows) <= BROADCAST_ROWS:
         side = F.broadcast(side)
     else:
         side = side.withColumn("__lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -17,14 +17,15 @@ from telco_mart.operators.calendar import month_calendar
 from telco_mart.operators.dimensions import current
 
 
-def ratio(num, den, digits: int, num_scale: int = 0, mult: int = 1, div: int = 1) -> Column:
+def ratio(num, den, digits: int, num_scale: int = 0, mult: int = 1, div: int = 1, even: bool = False) -> Column:
     """round_half_up(num * mult / (den * div), digits) as DOUBLE; NULL when the
     denominator is 0 or NULL.
 
     ``num`` is an integer, or a DECIMAL with ``num_scale`` decimals; ``den`` an
     integer. The quotient is rounded exactly in 64-bit integers,
     q = floor((2 N 10^d + D) / 2D), so a tie such as 67376.805 always goes up
-    (floating-point division would see 67376.80499...)."""
+    (floating-point division would see 67376.80499...). ``even``: ties go to the
+    even digit instead, as the dashboard's rounding does."""
     num = F.col(num) if isinstance(num, str) else num
     den = F.col(den) if isinstance(den, str) else den
     n = (num * F.lit(10 ** num_scale)).cast("long") * F.lit(mult)
@@ -33,6 +34,8 @@ def ratio(num, den, digits: int, num_scale: int = 0, mult: int = 1, div: int = 1
     a = n * F.lit(2 * p) + d
     b = d * F.lit(2)
     q = (a - a % b) / b
+    if even:
+        q = q - F.when((a % b == 0) & (q % 2 == 1), 1.0).otherwise(0.0)
     return F.when(d != 0, q / F.lit(float(p))).cast("double")
 
 

@@ -50,34 +50,48 @@ def group_medians(df: DataFrame, value: str, group: str | None = None, bits: int
     """Exact median of ``value`` per ``group`` (or of the whole column when
     ``group`` is None) as ``(group, median)`` rows; NULL and NaN values are
     ignored, a NULL group is left out, a group without values has no row."""
+    n = F.col("n")
+    ranks = F.array(F.struct(F.lit(1).alias("which"), F.floor((n - 1) / 2).cast("long").alias("rank")),
+                    F.struct(F.lit(2).alias("which"), F.floor(n / 2).cast("long").alias("rank")))
+    found = _values_at(df, value, group, ranks, bits)
+    low, high = F.max(F.when(F.col("which") == 1, F.col("v"))), F.max(F.when(F.col("which") == 2, F.col("v")))
+    both = found.groupBy("_g").agg(low.alias("v1"), high.alias("v2"))
+    med = F.when(F.col("v1") == F.col("v2"), F.col("v1")).otherwise(F.lit(0.5) * F.col("v1") + F.lit(0.5) * F.col("v2"))
+    return both.select(F.col("_g").alias(group or "_all"), med.alias("median"))
+
+
+def group_quantiles(df: DataFrame, value: str, q: float, group: str | None = None, bits: int = BITS) -> DataFrame:
+    """(group, quantile): the value of rank ceil(q * n) - 1 of each group."""
+    rank = F.greatest(F.ceil(F.col("n") * F.lit(q)).cast("long") - 1, F.lit(0).cast("long"))
+    found = _values_at(df, value, group, F.array(F.struct(F.lit(1).alias("which"), rank.alias("rank"))), bits)
+    return found.select(F.col("_g").alias(group or "_all"), F.col("v").alias("quantile"))
+
+
+def _values_at(df: DataFrame, value: str, group: str | None, ranks: Column, bits: int) -> DataFrame:
+    """(_g, which, v): the values at 0-based ranks, stated over the count n."""
     checkpoint_dir(df.sparkSession)
     gcol = F.col(group) if group else F.lit(0)
     base = (df.select(gcol.alias("_g"), F.col(value).cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_g").isNotNull()))
     counts = (base.groupBy("_g", ordered_bits(F.col("_v")).alias("_k"))
               .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("_v")).checkpoint())
-    ranks = F.array(F.struct(F.lit(1).alias("which"), F.floor((F.col("n") - 1) / 2).cast("long").alias("rank")),
-                    F.struct(F.lit(2).alias("which"), F.floor(F.col("n") / 2).cast("long").alias("rank")))
     state = (counts.groupBy("_g").agg(F.sum("c").alias("n")).select("_g", F.explode(ranks).alias("r"))
              .select("_g", "r.*", F.lit(None).cast("long").alias("prefix"), F.lit(None).cast("double").alias("v"),
                      F.lit(False).alias("done")).checkpoint())
     shift = 64
-    while shift > 0 and not state.filter(~F.col("done")).isEmpty():
-        state = _refine(counts, state, shift, max(shift - bits, 0)).checkpoint()
+    while shift > 0 and (searched := state.filter(~F.col("done")).count()):
+        state = _refine(counts, state, shift, max(shift - bits, 0), searched).checkpoint()
         shift = max(shift - bits, 0)
-    low, high = F.max(F.when(F.col("which") == 1, F.col("v"))), F.max(F.when(F.col("which") == 2, F.col("v")))
-    both = state.groupBy("_g").agg(low.alias("v1"), high.alias("v2"))
-    med = F.when(F.col("v1") == F.col("v2"), F.col("v1")).otherwise(F.lit(0.5) * F.col("v1") + F.lit(0.5) * F.col("v2"))
-    return both.select(F.col("_g").alias(group or "_all"), med.alias("median"))
+    return state
 
 
-def _refine(counts: DataFrame, state: DataFrame, above: int, shift: int) -> DataFrame:
+def _refine(counts: DataFrame, state: DataFrame, above: int, shift: int, searched: int) -> DataFrame:
     """Narrow every open (group, rank) from its prefix of the bits over
     ``above`` to the bits over ``shift``."""
     key = lambda s: F.shiftright("_k", s) if s < 64 else F.lit(None).cast("long")
     open_ = state.filter(~F.col("done"))
     prefixes = open_.groupBy("_g", "prefix").agg(F.lit(True).alias("searched"))
-    held = join_lookup(counts.withColumn("prefix", key(above)), prefixes, ["_g", "prefix"]).filter("searched")
+    held = join_lookup(counts.withColumn("prefix", key(above)), prefixes, ["_g", "prefix"], rows=searched).filter("searched")
     cells = held.groupBy("_g", "prefix", key(shift).alias("cell")).agg(
         F.sum("c").alias("c"), F.min("_v").alias("v"), F.min("_k").alias("k1"), F.max("_k").alias("k2"))
     upto = Window.partitionBy("_g", "prefix").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,26 +58,23 @@ def rup_churn_month(kpi_churn: DataFrame) -> DataFrame:
     g = kpi_churn.groupBy("annee", "mois", "country").agg(
         F.sum("total_abonnes").alias("total_abonnes"), F.sum("nb_churnes").alias("nb_churnes"))
     return (g.withColumn("periode", periode())
-            .withColumn("taux_pct", ratio("nb_churnes", "total_abonnes", 2, mult=100))
+            .withColumn("taux_pct", ratio("nb_churnes", "total_abonnes", 2, mult=100, even=True))
             .orderBy("annee", "mois", "country"))
 
 
 def rup_exec_summary(arpu_month: DataFrame, churn_month: DataFrame) -> DataFrame:
-    """One row of executive figures: a one-row aggregate of the ARPU roll-up
-    with the churn figures attached as scalar subqueries."""
-    per = churn_month.groupBy("periode").agg(F.sum("total_abonnes").alias("_t"))
-    j = arpu_month.agg(F.sum(F.col("arpu_fcfa").cast("decimal(20,0)")).alias("_as"),
-                       F.count("arpu_fcfa").alias("_an"),
-                       F.sum(F.col("revenu_total").cast("decimal(24,0)")).alias("_rev")).select(
-        "*", per.agg(F.sum("_t")).scalar().alias("_ts"), per.agg(F.count(F.lit(1))).scalar().alias("_tn"),
-        churn_month.agg(F.sum("nb_churnes")).scalar().alias("total_churnes"),
-        churn_month.agg(F.sum("total_abonnes")).scalar().alias("total_abonnes"))
-    return j.select(
-        F.coalesce(ratio("_as", "_an", 0), F.lit(0.0)).alias("arpu_global"),
+    """One row of executive figures."""
+    arpu = arpu_month.agg(F.sum(F.col("arpu_fcfa").cast("decimal(20,0)")).alias("_as"), F.count("arpu_fcfa").alias("_an"),
+                          F.sum(F.col("revenu_total").cast("decimal(24,0)")).alias("_rev"))
+    # one pass over the churn roll-up: months, then one row
+    months = churn_month.groupBy("periode").agg(F.sum("total_abonnes").alias("_t"), F.sum("nb_churnes").alias("_c"))
+    churn = months.agg(F.sum("_t").alias("_ts"), F.count(F.lit(1)).alias("_tn"), F.sum("_c").alias("total_churnes"))
+    return arpu.crossJoin(F.broadcast(churn)).select(  # one row beside one row
+        F.coalesce(ratio("_as", "_an", 0, even=True), F.lit(0.0)).alias("arpu_global"),
         F.coalesce(F.col("_rev").cast("bigint"), F.lit(0)).alias("revenu_total"),
         F.coalesce(F.floor(F.col("_ts") / F.col("_tn")).cast("bigint"), F.lit(0)).alias("moy_abonnes"),
         F.coalesce("total_churnes", F.lit(0)).cast("bigint").alias("total_churnes"),
-        F.coalesce(ratio("total_churnes", "total_abonnes", 2, mult=100), F.lit(0.0)).alias("taux_churn"))
+        F.coalesce(ratio("total_churnes", "_ts", 2, mult=100, even=True), F.lit(0.0)).alias("taux_churn"))
 
 
 def rup_data_city(kpi_data: DataFrame) -> DataFrame:
@@ -133,7 +130,7 @@ def rup_retention_summary(kpi_ret: DataFrame) -> DataFrame:
                     F.sum("abonnes_retenus").alias("abonnes_fideles"),
                     F.countDistinct("plan_name").alias("nb_forfaits"))
     return t.select("total_abonnes", "abonnes_fideles",
-                    F.coalesce(ratio("abonnes_fideles", "total_abonnes", 1, mult=100), F.lit(0.0))
+                    F.coalesce(ratio("abonnes_fideles", "total_abonnes", 1, mult=100, even=True), F.lit(0.0))
                     .alias("taux_fidelisation"), "nb_forfaits")
 
 

@@ -21,30 +21,44 @@ from pyspark.sql import functions as F
 from telco_mart import config as C
 from telco_mart.functions.keys import date_from_key
 from telco_mart.operators.dimensions import current
+from telco_mart.operators.lookup import join_lookup
 from telco_mart.schemas import FACT_SUBSCRIBER_MONTHLY, conform
 
 
-def _monthly_usage(fact_usage: DataFrame, sms_types) -> DataFrame:
-    d = date_from_key("date_sk")
-    f = fact_usage.withColumn("snapshot_month", F.date_format(d, "yyyy-MM")).withColumn("_day", d)
-    return f.groupBy("subscriber_sk", "snapshot_month").agg(
-        F.max("plan_sk").alias("_plan_max"),
+def _monthly_usage(fact_usage: DataFrame, sms_types, dim_plan: DataFrame | None = None) -> DataFrame:
+    """(subscriber, month) measures. ``_plan_max`` is (start date, version,
+    key) of the latest plan version used; without ``dim_plan`` only the key."""
+    f = fact_usage.withColumn("_month", F.floor(F.col("date_sk") / 100).cast("int"))
+    pre = f.groupBy("subscriber_sk", "_month", "plan_sk").agg(
         F.sum("data_mb").alias("data_used_mb"),
         F.sum("duration_sec").alias("voice_used_sec"),
         F.count_if(F.col("event_type").isin(list(sms_types))).alias("sms_used"),
         F.sum("amount_fcfa").alias("revenue_fcfa"),
         F.count_if(F.col("status") == C.STATUS_FAILED).alias("failed_calls"),
-        F.max("_day").alias("_last_day"))
+        F.max("date_sk").alias("_last_sk"))
+    if dim_plan is not None:
+        versions = dim_plan.select("plan_sk", F.col("date_debut").alias("_from"), F.col("version").alias("_version"))
+        pre = join_lookup(pre, versions, ["plan_sk"])
+    else:
+        pre = pre.withColumns({"_from": F.lit(None).cast("date"), "_version": F.lit(None).cast("int")})
+    plan = F.when(F.col("plan_sk").isNotNull(), F.struct("_from", "_version", "plan_sk"))
+    sums = ["data_used_mb", "voice_used_sec", "sms_used", "revenue_fcfa", "failed_calls"]
+    month = F.concat_ws("-", F.floor(F.col("_month") / 100).cast("string"), F.lpad((F.col("_month") % 100).cast("string"), 2, "0"))
+    return (pre.groupBy("subscriber_sk", "_month")
+            .agg(F.max(plan).alias("_plan_max"), *[F.sum(c).alias(c) for c in sums], F.max("_last_sk").alias("_last_sk"))
+            .select("subscriber_sk", month.alias("snapshot_month"), "_plan_max", *sums, date_from_key("_last_sk").alias("_last_day")))
 
 
 def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usage: DataFrame,
                       fact_incident: DataFrame, months: list[str],
                       sms_types=tuple(C.SMS_TYPES), plan_upto_month: bool = False,
-                      by: str = "subscriber_sk") -> DataFrame:
+                      by: str = "subscriber_sk", dim_plan: DataFrame | None = None) -> DataFrame:
     """One row per (current subscriber, month in ``months``).
 
-    plan_sk is the largest plan key over *all* the subscriber's usage (as the
-    original; ``plan_upto_month=True`` restricts it to usage up to the month).
+    plan_sk is the latest plan version (by start date, then version, looked up
+    in ``dim_plan``) over *all* the subscriber's usage, as the original's
+    largest increasing key; ``plan_upto_month=True`` restricts it to usage up to
+    the month. Without ``dim_plan`` it is the largest key.
     ``by="subscriber_id"`` counts the usage of earlier versions of the
     subscriber too (the original keys by version, so history stays behind).
     days_since_active = last day of the month - last activity day on or before
@@ -62,7 +76,7 @@ def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usag
                       .withColumn("subscriber_sk", F.col("_cur_sk")).drop("_cur_sk"))
     elif by != "subscriber_sk":
         raise ValueError(by)
-    mon_all = _monthly_usage(fact_usage, sms_types)
+    mon_all = _monthly_usage(fact_usage, sms_types, dim_plan)
     mon = mon_all.filter(F.col("snapshot_month") <= last_month)
     subs = current(dim_subscriber).select("subscriber_sk", "tower_id", "churn", "churn_date")
     grid = subs.select("subscriber_sk", "tower_id", "churn", "churn_date",
@@ -72,7 +86,7 @@ def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usag
     act = mon.select("subscriber_sk", "snapshot_month", "_last_day", "_plan_max",
                      F.lit(0).alias("_is_grid"))
     marks = grid.select("subscriber_sk", "snapshot_month", F.lit(None).cast("date").alias("_last_day"),
-                        F.lit(None).cast("long").alias("_plan_max"), F.lit(1).alias("_is_grid"))
+                        F.lit(None).cast(mon.schema["_plan_max"].dataType).alias("_plan_max"), F.lit(1).alias("_is_grid"))
     w = (Window.partitionBy("subscriber_sk").orderBy("snapshot_month", "_is_grid")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     run = (act.unionByName(marks)
@@ -96,7 +110,7 @@ def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usag
     month_end = F.last_day(F.to_date(F.concat(F.col("snapshot_month"), F.lit("-01"))))
     out = j.select(
         "subscriber_sk", "snapshot_month",
-        (F.col("_plan_upto") if plan_upto_month else F.col("_plan_all")).alias("plan_sk"),
+        F.col("_plan_upto.plan_sk" if plan_upto_month else "_plan_all.plan_sk").alias("plan_sk"),
         F.coalesce("data_used_mb", F.lit(0)).alias("data_used_mb"),
         F.coalesce("voice_used_sec", F.lit(0)).alias("voice_used_sec"),
         F.coalesce("sms_used", F.lit(0)).alias("sms_used"),
@@ -104,7 +118,7 @@ def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usag
         F.coalesce("network_incidents", F.lit(0)).alias("network_incidents"),
         F.coalesce("failed_calls", F.lit(0)).alias("failed_calls"),
         F.coalesce(F.datediff(month_end, F.col("_last_upto")), F.lit(C.NO_ACTIVITY_DAYS)).alias("days_since_active"),
-        ((F.col("churn") == 1) & (F.date_format("churn_date", "yyyy-MM") <= F.col("snapshot_month")))
+        F.coalesce((F.col("churn") == 1) & (F.date_format("churn_date", "yyyy-MM") <= F.col("snapshot_month")), F.lit(False))
         .cast("int").alias("churn_status"),
     )
     return conform(out, FACT_SUBSCRIBER_MONTHLY)

@@ -1,19 +1,24 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the driver tables of ``sf_dir`` through the warehouse
-assembly, so its work grows with them. Surrogate keys, load timestamps and
+assembly, so its work grows with them. Cleaning, quality, dimension and fact
+queries build what they show from the feeds; marts, reports and the model read
+one warehouse that is written once per session and folder, as they would in
+production. Surrogate keys, load timestamps and
 other run-dependent values are dropped from the outputs so that results are
 comparable across engines.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from telco_mart.operators import marts as M
 from telco_mart.plans.warehouse import Warehouse
+from telco_mart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,46 +34,57 @@ def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, sf_dir)
 
 
+_BUILT: dict = {}
+
+
+def built(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The written warehouse of a folder, built once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        _BUILT[key] = Warehouse(spark, sf_dir).materialize(scratch_path(spark, f"warehouse_{uuid.uuid4().hex[:12]}"))
+    return _BUILT[key]
+
+
 # ---------------------------------------------------------------- KPI marts
 @query("kpi_churn_mensuel")
 def q_kpi_churn(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return M.kpi_churn_mensuel(w.dim_subscriber, w.dim_plan, w.calendar, w.cfg.as_of)
 
 
 @query("kpi_arpu")
 def q_kpi_arpu(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return M.kpi_arpu(w.fact_usage, w.dim_subscriber, w.dim_plan, w.calendar)
 
 
 @query("kpi_utilisation_reseau")
 def q_kpi_util(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return M.kpi_utilisation_reseau(w.fact_usage, w.dim_tower, w.calendar)
 
 
 @query("kpi_incidents_qualite")
 def q_kpi_incidents(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return M.kpi_incidents_qualite(w.fact_incident, w.dim_tower, w.calendar)
 
 
 @query("kpi_duree_appels")
 def q_kpi_calls(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return M.kpi_duree_appels(w.fact_usage, w.dim_subscriber, w.calendar)
 
 
 @query("kpi_retention_par_offre")
 def q_kpi_retention(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return M.kpi_retention_par_offre(w.dim_subscriber, w.dim_plan)
 
 
 @query("kpi_data_par_region")
 def q_kpi_data(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return M.kpi_data_par_region(w.fact_usage, w.dim_location, w.dim_tower, w.calendar)
 
 
@@ -76,6 +92,7 @@ def q_kpi_data(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
+from telco_mart import config as C  # noqa: E402
 from telco_mart.operators import cleaning as CL  # noqa: E402
 from telco_mart.operators import dimensions as D  # noqa: E402
 from telco_mart.operators import facts as FA  # noqa: E402
@@ -127,7 +144,7 @@ def dim_plan_v2(w: Warehouse) -> DataFrame:
 
 def _snapshots(w: Warehouse) -> DataFrame:
     return SN.monthly_snapshots(w.dim_subscriber, w.dim_tower, w.fact_usage, w.fact_incident,
-                                list(w.cfg.snapshot_months))
+                                list(w.cfg.snapshot_months), dim_plan=w.dim_plan)
 
 
 def _snapshot_out(w: Warehouse, snap: DataFrame) -> DataFrame:
@@ -192,6 +209,21 @@ def q_dq_usage(spark, sf_dir):
     return out(wh(spark, sf_dir).usage)
 
 
+@query("dq_subscriber_uncleaned")
+def q_dq_subscriber_uncleaned(spark, sf_dir):
+    """Subscriber rules on a feed that was only typed, with places missing: the
+    age, gender and location rules fire."""
+    k = F.regexp_extract("phone_number", r"(\d{8})$", 1).cast("long")
+    typed = wh(spark, sf_dir).raw("subscribers").filter("subscriber_id is not null").select(
+        "subscriber_id", F.col("gender"), F.col("age").try_cast("int").alias("age"),
+        F.when(k % 29 != 0, F.col("city")).alias("city"), "country", "email",
+        F.when(F.col("churn") == "1", 1).otherwise(0).alias("churn"), F.col("churn_date").cast("date").alias("churn_date"))
+    kept, rejected = Q.subscriber_rules(Warehouse(spark, sf_dir).cfg.as_of).apply(typed)
+    return out(kept.select("subscriber_id", "gender", "age", "city", F.lit(None).cast("string").alias("rejection_reason")).unionByName(
+        rejected.select(F.col("record_id").alias("subscriber_id"), F.lit(None).cast("string").alias("gender"), F.lit(None).cast("int").alias("age"),
+                        F.lit(None).cast("string").alias("city"), "rejection_reason")))
+
+
 @query("dq_incident")
 def q_dq_incident(spark, sf_dir):
     return out(wh(spark, sf_dir).incidents)
@@ -209,7 +241,7 @@ def q_dq_quarantine(spark, sf_dir):
 
 @query("dq_report")
 def q_dq_report(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return Q.completeness_report(w.dim_subscriber, w.fact_usage, w.fact_incident)
 
 
@@ -239,7 +271,7 @@ def q_dim_calendar_a(spark, sf_dir):
 def q_dim_calendar_b(spark, sf_dir):
     w = wh(spark, sf_dir)
     base = build_calendar(spark, *GAP_CAL, style="a")
-    return out(fill_calendar(base, spark, w.cfg.calendar_start, w.cfg.calendar_end, style="b"))
+    return out(fill_calendar(base, spark, *w.calendar_span, style="b"))
 
 
 @query("dim_location")
@@ -312,11 +344,16 @@ def q_fact_append(spark, sf_dir):
 
 @query("plan_point_in_time")
 def q_plan_pit(spark, sf_dir):
+    """The plan version a subscriber had on the event's day: plans change their
+    fee and some subscribers their plan on PIT_CHANGE."""
     w = wh(spark, sf_dir)
     p1 = D.build_dim_plan(w.plans, PIT_START)
     p2 = D.build_dim_plan(CL.clean_plans(DT.raw_plans(w.tables, delta=True), w.cfg), PIT_CHANGE, existing=p1)
+    k = F.substring("subscriber_id", 4, 20).cast("long")
+    moved = w.subscribers.withColumn("plan_id", F.when(k % 5 == 0, F.concat(F.lit("P"), k % 17 + 1)).otherwise(F.col("plan_id")))
+    s2 = D.build_dim_subscriber(moved, PIT_CHANGE, existing=D.build_dim_subscriber(w.subscribers, PIT_START))
     u = w.usage.select("usage_id", "subscriber_id", F.to_date("event_datetime").alias("event_date"))
-    pit = FA.plan_point_in_time(u, w.dim_subscriber, p2)
+    pit = FA.plan_point_in_time(u, s2, p2)
     return pit.join(p2.select("plan_sk", "plan_id", F.col("version").alias("plan_version")), "plan_sk", "left") \
         .select("usage_id", "plan_id", "plan_version")
 
@@ -324,22 +361,24 @@ def q_plan_pit(spark, sf_dir):
 # ------------------------------------------------------------------ reports
 @query("snapshot_monthly")
 def q_snapshot(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return _snapshot_out(w, _snapshots(w))
 
 
 @query("upsert_month")
 def q_upsert_month(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    """The last two months are computed again without failed events and replace
+    the rows of the first computation."""
+    w = built(spark, sf_dir)
     months = list(w.cfg.snapshot_months)
-    first = SN.monthly_snapshots(w.dim_subscriber, w.dim_tower, w.fact_usage, w.fact_incident, months[:-1])
-    redo = SN.monthly_snapshots(w.dim_subscriber, w.dim_tower, w.fact_usage, w.fact_incident, months[-2:])
-    return _snapshot_out(w, FA.upsert(first, redo, ["subscriber_sk", "snapshot_month"]))
+    snap = lambda fact, m: SN.monthly_snapshots(w.dim_subscriber, w.dim_tower, fact, w.fact_incident, m, dim_plan=w.dim_plan)
+    redo = snap(w.fact_usage.filter(F.col("status") != C.STATUS_FAILED), months[-2:])
+    return _snapshot_out(w, FA.upsert(snap(w.fact_usage, months), redo, ["subscriber_sk", "snapshot_month"]))
 
 
 @query("churn_risk")
 def q_churn_risk(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return out(SN.churn_risk(w.dim_subscriber, w.fact_usage, w.cfg.as_of, w.cfg.churn_risk_days))
 
 
@@ -350,8 +389,7 @@ def q_etl_run_summary(spark, sf_dir):
         ("dim_plan", "LOAD", w.raw("plans"), w.dim_plan, None, None),
         ("dim_tower", "LOAD", w.raw("towers"), w.dim_tower, None, None),
         ("dim_subscriber", "LOAD", w.raw("subscribers"), w.dim_subscriber, w.subscriber_rejects, None),
-        ("fact_usage", "LOAD", w.raw("usage"), w.fact_usage, w._usage[1].unionByName(
-            w.fact_usage_rejects.select(*w._usage[1].columns)), None),
+        ("fact_usage", "LOAD", w.raw("usage"), w.fact_usage, w.fact_usage_rejects, None),
         ("fact_incident", "LOAD", w.raw("incidents"), w.fact_incident, w._incidents[1], None),
     ])
 
@@ -365,6 +403,18 @@ def q_audit_diff(spark, sf_dir):
     return sub.unionByName(plan).drop("changed_by", "changed_at")
 
 
+@query("audit_delete")
+def q_audit_delete(spark, sf_dir):
+    """DELETE audit rows of the subscribers that a guarded delete removed, with
+    the last month's events as the guard."""
+    w = wh(spark, sf_dir)
+    req = w.dim_subscriber.select("subscriber_id").filter((F.substring("subscriber_id", 4, 20).cast("long") % 7) == 0)
+    last_month = w.fact_usage.filter(F.col("date_sk") >= int(w.cfg.as_of[:8].replace("-", "") + "01"))
+    remaining, _, _ = D.guarded_delete(w.dim_subscriber, req, "subscriber_id", last_month, "subscriber_sk")
+    audit = G.audit_diff(w.dim_subscriber, remaining, "dim_subscriber", "subscriber_id", {"churn": False})
+    return audit.drop("changed_by", "changed_at")
+
+
 @query("pseudonymise")
 def q_pseudonymise(spark, sf_dir):
     w = wh(spark, sf_dir)
@@ -376,6 +426,40 @@ def q_pseudonymise(spark, sf_dir):
         "is_current")
 
 
+@query("etl_rejected_rows")
+def q_etl_rejected_rows(spark, sf_dir):
+    """What a run stored in its rejected-rows table, by source and reason."""
+    root = scratch_path(spark, f"rejects_{uuid.uuid4().hex[:12]}")
+    Warehouse(spark, sf_dir).materialize(root)
+    stored = spark.read.parquet(f"{root}/rejected_rows")
+    return stored.filter("raw_data is not null").groupBy("source_table", "rejection_reason").agg(F.count(F.lit(1)).alias("nb"))
+
+
+@query("etl_two_runs")
+def q_etl_two_runs(spark, sf_dir):
+    """Two runs on one root: the first without the newest third of the usage
+    feed, the second (next day) with all of it and changed dimension feeds, then
+    the second again: merged, appended, and unchanged by the repeat."""
+    from dataclasses import replace
+    root = scratch_path(spark, f"two_runs_{uuid.uuid4().hex[:12]}")
+    day1 = Warehouse(spark, sf_dir)
+    early = day1.raw("usage").filter(F.substring("usage_id", -1, 1) != "1")
+    t = day1.tables
+    day2 = {"subscribers": DT.raw_subscribers(t, delta=True), "plans": DT.raw_plans(t, delta=True), "towers": DT.raw_towers(t, delta=True)}
+    Warehouse(spark, sf_dir, day1.cfg, {"usage": early}).materialize(root)
+    for _ in range(2):
+        w = Warehouse(spark, sf_dir, replace(day1.cfg, as_of=AS_OF2), day2).materialize(root)
+    dims = [("dim_plan", w.dim_plan), ("dim_subscriber", w.dim_subscriber)]
+    one = lambda name, df, cur, ver: df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), cur.alias("current_rows"), ver.alias("last_version"))
+    parts = [one(n, d, F.sum("is_current"), F.max("version").cast("bigint")) for n, d in dims]
+    none = F.max(F.lit(None).cast("bigint"))
+    parts += [one(n, d, none, none) for n, d in (("dim_tower", w.dim_tower), ("fact_usage", w.fact_usage), ("fact_incident", w.fact_incident))]
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res
+
+
 # ----------------------------------------------------------------- roll-ups
 def _kpi(name: str):
     return QUERIES[name]
@@ -442,27 +526,32 @@ def q_rup_alert(spark, sf_dir):
     return R.rup_alert(_kpi("kpi_utilisation_reseau")(spark, sf_dir), 80.0)
 
 
+@query("rup_alert1")
+def q_rup_alert1(spark, sf_dir):
+    return R.rup_alert(_kpi("kpi_utilisation_reseau")(spark, sf_dir), 1.0)
+
+
 @query("rup_mttr")
 def q_rup_mttr(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return R.rup_mttr(w.fact_incident, w.dim_tower)
 
 
 @query("rup_plan_share")
 def q_rup_plan_share(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return R.rup_plan_share(w.dim_subscriber, w.dim_plan)
 
 
 @query("rup_call_band")
 def q_rup_call_band(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return R.rup_call_band(w.fact_usage, w.dim_subscriber)
 
 
 @query("rup_exact_arpu")
 def q_rup_exact_arpu(spark, sf_dir):
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return R.exact_arpu_month(w.fact_usage, w.dim_subscriber)
 
 
@@ -473,13 +562,13 @@ _MODELS: dict = {}
 
 
 def _ml_prepared(spark, sf_dir) -> DataFrame:
-    w = wh(spark, sf_dir)
+    w = built(spark, sf_dir)
     return ML.prepare(ML.extract_features(_snapshots(w), w.dim_subscriber, w.dim_plan))
 
 
 def _ml_fit(spark, sf_dir):
-    """Fit once per (session, folder) and reuse across the model queries."""
-    key = (id(spark), sf_dir)
+    """Fit once per application and folder and reuse across the model queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         _MODELS[key] = ML.fit(_ml_prepared(spark, sf_dir))
     return _MODELS[key]
@@ -497,8 +586,37 @@ def q_ml_split(spark, sf_dir):
 
 @query("ml_oversample")
 def q_ml_oversample(spark, sf_dir):
-    _, train, _ = _ml_fit(spark, sf_dir)
-    return train.select("subscriber_id", "snapshot_month", "churn_status", "weight")
+    """Class weights of the train rows (equal total weight per class)."""
+    train = ML.temporal_split(_ml_prepared(spark, sf_dir)).filter(F.col("split") == "train")
+    return ML.balance(train).select("subscriber_id", "snapshot_month", "churn_status", "weight")
+
+
+def _ml_stated(spark, sf_dir) -> DataFrame:
+    """Test rows with a score that SQL can state, to check what is computed
+    from scores apart from the fitted trees."""
+    test = ML.temporal_split(_ml_prepared(spark, sf_dir)).filter(F.col("split") == "test")
+    score = ((F.col("days_since_active") * 7 + F.col("failed_calls") * 13 + F.col("sms_used") * 3 + F.col("network_incidents")) % 101) / F.lit(100.0)
+    return test.withColumn("p_churn", score).withColumn("prediction", (F.col("p_churn") >= 0.5).cast("double"))
+
+
+@query("ml_stated_metrics")
+def q_ml_stated_metrics(spark, sf_dir):
+    return ML.metrics(_ml_stated(spark, sf_dir))
+
+
+@query("ml_stated_confusion")
+def q_ml_stated_confusion(spark, sf_dir):
+    return ML.confusion(_ml_stated(spark, sf_dir))
+
+
+@query("ml_stated_roc")
+def q_ml_stated_roc(spark, sf_dir):
+    return ML.roc_points(_ml_stated(spark, sf_dir))
+
+
+@query("ml_stated_top_risk")
+def q_ml_stated_top_risk(spark, sf_dir):
+    return ML.top_rows(_ml_stated(spark, sf_dir).filter(F.col("churn_status") == 0), 500)
 
 
 @query("ml_metrics")
@@ -527,10 +645,8 @@ def q_ml_importance(spark, sf_dir):
 
 @query("ml_attribution")
 def q_ml_attribution(spark, sf_dir):
-    model, _, test = _ml_fit(spark, sf_dir)
-    # the attribution sample (1,000 test rows, chosen by a hash order) is the feature itself
-    sample = test.orderBy(F.xxhash64("subscriber_id", "snapshot_month"), "subscriber_id").limit(1000)
-    return ML.attributions(model, sample)
+    model, train, test = _ml_fit(spark, sf_dir)
+    return ML.attributions(model, test, baseline=ML.balanced_means(model, train))
 
 
 @query("ml_top_risk")
@@ -540,22 +656,23 @@ def q_ml_top_risk(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- stream
-import uuid  # noqa: E402
-
-from telco_mart.session import scratch_path  # noqa: E402
 from telco_mart.streaming.ingest import ingest_usage  # noqa: E402
 
 
 @query("stream_usage_ingest")
 def q_stream_usage(spark, sf_dir):
-    """Land the raw usage feed as files, ingest it with a streaming query,
-    then replay the same files through a second query (new checkpoint): the
-    replay must add nothing. Returns the ingested fact, as ``fact_usage``."""
+    """Land the raw usage feed as files (and one that repeats rows of the
+    others), ingest one file per micro-batch, then replay all of them through a
+    second query (new checkpoint): the replay must add nothing. Returns the
+    ingested fact, as ``fact_usage``."""
     w = wh(spark, sf_dir)
     root = scratch_path(spark, f"stream_usage_{uuid.uuid4().hex[:12]}")
     src, target = f"{root}/landing", f"{root}/fact_usage"
-    w.raw("usage").write.mode("overwrite").parquet(src)
-    ingest_usage(spark, src, target, f"{root}/ckpt_1", w)
+    raw = w.raw("usage")
+    raw.repartition(3, "usage_id").write.parquet(src)
+    raw.filter(F.col("usage_id").endswith("7")).coalesce(1).write.mode("append").parquet(src)
+    w = built(spark, sf_dir)
+    ingest_usage(spark, src, target, f"{root}/ckpt_1", w, max_files_per_trigger=1)
     ingest_usage(spark, src, target, f"{root}/ckpt_2", w)
     f = spark.read.parquet(target).drop("_batch")
     return out(f.withColumn("has_plan", F.col("plan_sk").isNotNull().cast("int")))
@@ -581,10 +698,19 @@ def q_clean_subscribers_csv(spark, sf_dir):
 
 @query("export_kpis")
 def q_export_kpis(spark, sf_dir):
-    """Portable extract of the seven marts (one CSV folder each); the summary
-    lists rows and status per table."""
+    """Portable extract of the seven marts (one Parquet folder each); the
+    summary lists rows and status per table."""
     names = ["kpi_churn_mensuel", "kpi_arpu", "kpi_utilisation_reseau", "kpi_incidents_qualite",
              "kpi_duree_appels", "kpi_retention_par_offre", "kpi_data_par_region"]
     root = scratch_path(spark, f"export_{uuid.uuid4().hex[:12]}")
     summary = export_tables({n: QUERIES[n](spark, sf_dir) for n in names}, root, fmt="parquet")
     return summary.select("table_name", "rows", "status")
+
+
+@query("export_kpi_csv")
+def q_export_kpi_csv(spark, sf_dir):
+    """A mart exported as headered CSV and read back: the same rows."""
+    root = scratch_path(spark, f"export_{uuid.uuid4().hex[:12]}")
+    df = QUERIES["kpi_incidents_qualite"](spark, sf_dir)
+    export_tables({"kpi_incidents_qualite": df}, root, fmt="csv")
+    return spark.read.option("header", True).schema(df.schema).csv(f"{root}/kpi_incidents_qualite")

@@ -1,7 +1,8 @@
 """Warehouse assembly: raw feeds -> clean -> quality -> dimensions -> facts.
 
-Everything is lazy: a query only plans the parts it touches, and Catalyst
-prunes the columns it does not read down to the parquet scans.
+A query only plans the parts it touches, and Catalyst prunes the columns it
+does not read down to the parquet scans. Exact medians and the calendar span
+are the only jobs that run while a plan is built.
 """
 
 from __future__ import annotations
@@ -9,13 +10,18 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from telco_mart.config import WarehouseConfig
 from telco_mart.operators import cleaning as CL
 from telco_mart.operators import dimensions as D
 from telco_mart.operators import facts as FA
 from telco_mart.operators import quality as Q
+from telco_mart.functions import cleaning as X
 from telco_mart.operators.calendar import build_calendar
+from telco_mart.operators.export import has_version, materialize, path_exists, read_current
+from telco_mart.operators.median import group_medians
+from telco_mart.schemas import REJECTED_ROWS, conform
 from telco_mart.sources.driver_tables import DriverTables, raw_plans, raw_towers, raw_subscribers, \
     raw_usage, raw_incidents
 
@@ -50,9 +56,22 @@ class Warehouse:
                 "usage": raw_usage, "incidents": raw_incidents}[name](t)
 
     # ---- calendar --------------------------------------------------------
+    @cached_property
+    def calendar_span(self) -> tuple[str, str]:
+        """First and last day: as configured, or the whole years of all dates
+        of the feeds (one min/max aggregate) and of ``as_of``."""
+        if self.cfg.calendar_start and self.cfg.calendar_end:
+            return self.cfg.calendar_start, self.cfg.calendar_end
+        day = lambda feed, col: self.raw(feed).select(X.to_date(col).alias("d"))
+        dates = (day("usage", "event_datetime").unionByName(day("incidents", "incident_datetime"))
+                 .unionByName(day("subscribers", "subscription_date")).unionByName(day("subscribers", "churn_date")))
+        low, high = dates.agg(F.year(F.min("d")), F.year(F.max("d"))).first()
+        run = int(self.cfg.as_of[:4])
+        return f"{min(low or run, run)}-01-01", f"{max(high or run, run)}-12-31"
+
     @cached_property
     def calendar(self) -> DataFrame:
-        return build_calendar(self.spark, self.cfg.calendar_start, self.cfg.calendar_end, "a")
+        return build_calendar(self.spark, *self.calendar_span, "a")
 
     # ---- silver ----------------------------------------------------------
     @cached_property
@@ -83,9 +102,19 @@ class Warehouse:
     def subscriber_rejects(self) -> DataFrame:
         return self._subs[1]
 
+    @cached_property
+    def usage_medians(self) -> DataFrame:
+        """(event_type, median) of this load's amounts; a stream that adds to
+        the load fills its gaps from it."""
+        return group_medians(CL.type_usage(self.raw("usage")), "amount_fcfa", "event_type")
+
+    @cached_property
+    def _usage_typed(self) -> DataFrame:
+        return CL.typed_usage(self.raw("usage"), self.usage_medians)
+
     @cached_property
     def _usage(self) -> tuple[DataFrame, DataFrame]:
-        return CL.clean_usage(self.raw("usage"), self.subscribers, self.towers)
+        return CL.whitelist_usage(self._usage_typed, self.subscribers, self.towers)
 
     @cached_property
     def _usage_dq(self) -> tuple[DataFrame, DataFrame]:
@@ -128,7 +157,7 @@ class Warehouse:
     # ---- facts -----------------------------------------------------------
     @cached_property
     def _fact_usage(self) -> tuple[DataFrame, DataFrame]:
-        typed = Q.usage_rules().apply(CL.typed_usage(self.raw("usage")))[0]
+        typed = Q.usage_rules().apply(self._usage_typed)[0]
         return FA.load_fact_usage(typed, self.dim_subscriber, self.dim_tower, self.dim_plan,
                                   self.dim_location, self.cfg, self.subscribers, self.towers)
 
@@ -142,7 +171,7 @@ class Warehouse:
 
     @cached_property
     def _fact_incident(self) -> tuple[DataFrame, DataFrame]:
-        return FA.load_fact_incident(self.incidents, self.dim_tower, self.dim_location)
+        return FA.load_fact_incident(self.incidents, self.dim_tower, self.dim_location, self.calendar)
 
     @property
     def fact_incident(self) -> DataFrame:
@@ -153,49 +182,69 @@ class Warehouse:
         return self._fact_incident[1]
 
 
+    def rejected_rows(self) -> DataFrame:
+        """Every rejected or warned row of the run in the rejected-rows
+        contract (source_table, raw_data, rejection_reason, rejected_at)."""
+        def shaped(source: str, df: DataFrame) -> DataFrame:
+            raw = F.to_json(F.struct(*[c for c in df.columns if c != "rejection_reason"]))
+            return df.select(F.lit(source).alias("source_table"), raw.alias("raw_data"), "rejection_reason",
+                             F.current_timestamp().alias("rejected_at"))
+        out = shaped("subscribers", self.subscriber_rejects)
+        out = out.unionByName(shaped("usage", self.fact_usage_rejects)).unionByName(shaped("incidents", self._incidents[1]))
+        out = out.unionByName(shaped("fact_incident", self.fact_incident_rejects))
+        return conform(out.unionByName(self.quarantine().drop("record_id")), REJECTED_ROWS)
+
     # ---- materialisation ---------------------------------------------------
     def materialize(self, root: str, log=None) -> "Warehouse":
-        """Write staging, dimensions and facts under ``root`` and return a
-        warehouse that reads them back.
-
-        Each layer reads the *written* previous layer: the staging copy of a
-        feed is scanned twice by the cleaning (median pass + main pass)
-        without recomputing the source joins, the fact loads resolve keys
-        against the written dimensions, and a lost executor only recomputes
-        the layer being written. ``root`` must be a shared folder (the
-        warehouse location, or a folder of ``spark.checkpoint.dir``).
-        Facts are partitioned by year (range partitions of the original)."""
+        """Load this run's feeds into the warehouse at ``root`` and return a
+        warehouse that reads the written tables.
+
+        The first run creates it. A later run merges: dimensions take the new
+        feed through their type-1 / type-2 merges and are written as a new
+        version behind a pointer (readers see the old version until then);
+        facts append the rows whose id they do not hold yet, so running the
+        same feeds again changes nothing. Each layer reads the *written*
+        previous layer, and a lost executor only recomputes the layer being
+        written. Rejected rows are appended to ``rejected_rows``. ``root`` must
+        be a shared folder. Facts are partitioned by year."""
         spark = self.spark
         root = root.rstrip("/")
 
-        def save(name: str, df: DataFrame, part: str | None = None, source: str | None = None,
-                 op: str = "LOAD") -> DataFrame:
-            path = f"{root}/{name}"
+        def old(name: str) -> DataFrame | None:
+            return read_current(spark, f"{root}/{name}") if has_version(spark, f"{root}/{name}") else None
 
-            def writer(d: DataFrame) -> None:
-                w = d.write.mode("overwrite")
-                if part:
-                    w = w.partitionBy(part)
-                w.parquet(path)
+        def put(name: str, df: DataFrame, writer, source: str | None = None, op: str = "LOAD", **counts) -> None:
             if log is None:
                 writer(df)
-            elif not log.write(name, op, df, writer, extracted_from=source):
-                raise RuntimeError(f"ETL stage {name} failed; see the run log")
+            else:
+                log.write(name, op, df, writer, extracted_from=source, **counts)
+
+        def version(name: str, df: DataFrame, source: str | None = None, op: str = "LOAD", **counts) -> DataFrame:
+            put(name, df, lambda d: materialize(d, f"{root}/{name}"), source, op, **counts)
+            return read_current(spark, f"{root}/{name}")
+
+        def append(name: str, df: DataFrame, key: str, source: str) -> DataFrame:
+            path = f"{root}/{name}"
+            new = FA.append_new(spark.read.parquet(path), df, key) if path_exists(spark, path) else df
+            put(name, new, lambda d: d.write.mode("append").partitionBy("annee").parquet(path), source)
             return spark.read.parquet(path)
 
-        feeds = {n: save(f"stg_{n}", self.raw(n), op="EXTRACT")
-                 for n in ("plans", "towers", "subscribers", "usage", "incidents")}
+        feeds = {n: version(f"stg_{n}", self.raw(n), op="EXTRACT") for n in ("plans", "towers", "subscribers", "usage", "incidents")}
         w = Warehouse(spark, self.sf_dir, self.cfg, feeds)
-        for name, table, src in (("calendar", "dim_date", None), ("dim_plan", "dim_plan", "stg_plans"),
-                                 ("dim_tower", "dim_tower", "stg_towers"),
-                                 ("dim_location", "dim_location", None),
-                                 ("dim_subscriber", "dim_subscriber", "stg_subscribers")):
-            w.__dict__[name] = save(table, getattr(w, name), source=src)
+        dims, day = w.__dict__, self.cfg.as_of
+        if log is not None:
+            log.timed("medians_and_span", lambda: (w.calendar, w._usage_typed, w._subs))
+        dims["calendar"] = version("dim_date", w.calendar)
+        dims["dim_plan"] = version("dim_plan", D.build_dim_plan(w.plans, day, old("dim_plan")), "stg_plans")
+        dims["dim_tower"] = version("dim_tower", D.build_dim_tower(w.towers, old("dim_tower")), "stg_towers")
+        dims["dim_location"] = version("dim_location", D.build_dim_location(w.dim_tower, self.cfg))
+        dims["dim_subscriber"] = version("dim_subscriber", D.build_dim_subscriber(w.subscribers, day, old("dim_subscriber")), "stg_subscribers")
+        rejects = w.rejected_rows()  # against the feeds' own key lists
         # whitelists of the fact loads: the written dimensions (same key sets)
-        w.__dict__["subscribers"] = D.current(w.dim_subscriber)
-        w.__dict__["towers"] = w.dim_tower
+        dims["subscribers"], dims["towers"] = D.current(w.dim_subscriber), w.dim_tower
         loaded, rejected = w._fact_usage
-        w.__dict__["_fact_usage"] = (save("fact_usage", loaded, "annee", "stg_usage"), rejected)
         loaded_i, rejected_i = w._fact_incident
-        w.__dict__["_fact_incident"] = (save("fact_incident", loaded_i, "annee", "stg_incidents"), rejected_i)
+        dims["_fact_usage"] = (append("fact_usage", loaded, "usage_id", "stg_usage"), rejected)
+        dims["_fact_incident"] = (append("fact_incident", loaded_i, "incident_id", "stg_incidents"), rejected_i)
+        put("rejected_rows", rejects, lambda d: d.write.mode("append").parquet(f"{root}/rejected_rows"), op="REJECT")
         return w
