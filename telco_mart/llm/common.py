@@ -59,29 +59,3 @@ def groups(*keys: np.ndarray) -> Iterator[tuple[int, int]]:
             new |= k[1:] != k[:-1]
         cuts = [0, *(np.flatnonzero(new) + 1).tolist(), n]
         yield from zip(cuts, cuts[1:])
-
-
-#: Rows of a lookup table up to which it may be broadcast (a few MB).
-BROADCAST_ROWS = 20_000
-
-
-def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], salts: int = 64) -> DataFrame:
-    """Left join to a lookup table with one row per key, null keys equal.
-
-    The lookup is counted first: up to ``BROADCAST_ROWS`` rows it is broadcast
-    and ``df`` is not shuffled; a larger one is repeated for ``salts`` salts and
-    joined on key and salt, so that a key with a third of all rows is spread
-    over that many tasks.
-    """
-    side = lookup.select(*(F.col(k).alias(f"__lookup_{k}") for k in keys), *(c for c in lookup.columns if c not in keys))
-    on = [F.col(k).eqNullSafe(F.col(f"__lookup_{k}")) for k in keys]
-    if side.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        side = F.broadcast(side)
-    else:
-        side = side.withColumn("__lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        df = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-        on.append(F.col("__salt") == F.col("__lookup_salt"))
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    return df.join(side, cond, "left").drop("__salt", "__lookup_salt", *(f"__lookup_{k}" for k in keys))

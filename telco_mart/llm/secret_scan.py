@@ -19,7 +19,6 @@ tables give empty results. Only the path and text columns are read.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -136,14 +135,3 @@ def scan(df: DataFrame, rules: list[Rule] = RULES, path_col: str = "doc_id", tex
 def spans_text(findings: Column) -> Column:
     """kind:start:end, comma-joined."""
     return F.array_join(F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
-
-
-def reference_spans(text: str, rules: list[Rule]) -> list[tuple[int, int, str, int]]:
-    """(start, rank, kind, end) by Python's ``re``, for checks on small inputs."""
-    out = []
-    for rank, r in enumerate(rules):
-        flags = re.ASCII | (re.IGNORECASE if r.pattern.startswith("(?i)") else 0)
-        for m in re.finditer(r.pattern.removeprefix("(?i)"), text, flags):
-            if len(m[r.group]) >= r.minimum:
-                out.append((m.start(), rank, r.kind, m.end()))
-    return sorted(out)
