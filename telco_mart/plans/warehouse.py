@@ -21,6 +21,7 @@ from telco_mart.functions import cleaning as X
 from telco_mart.operators.calendar import build_calendar
 from telco_mart.operators.export import has_version, materialize, path_exists, read_current
 from telco_mart.operators.median import group_medians
+from telco_mart.operators.scd import classify_changes, latest_per_key
 from telco_mart.schemas import REJECTED_ROWS, conform
 from telco_mart.sources.driver_tables import DriverTables, raw_plans, raw_towers, raw_subscribers, \
     raw_usage, raw_incidents
@@ -213,38 +214,52 @@ class Warehouse:
         def old(name: str) -> DataFrame | None:
             return read_current(spark, f"{root}/{name}") if has_version(spark, f"{root}/{name}") else None
 
-        def put(name: str, df: DataFrame, writer, source: str | None = None, op: str = "LOAD", **counts) -> None:
+        def put(name: str, df: DataFrame, writer, source: str | None = None, op: str = "LOAD", **counts) -> dict:
             if log is None:
                 writer(df)
-            else:
-                log.write(name, op, df, writer, extracted_from=source, **counts)
+                return {}
+            return log.write(name, op, df, writer, extracted_from=source, **counts)
 
         def version(name: str, df: DataFrame, source: str | None = None, op: str = "LOAD", **counts) -> DataFrame:
             put(name, df, lambda d: materialize(d, f"{root}/{name}"), source, op, **counts)
             return read_current(spark, f"{root}/{name}")
 
-        def append(name: str, df: DataFrame, key: str, source: str) -> DataFrame:
+        def append(name: str, df: DataFrame, key: str, source: str, rejected: int) -> DataFrame:
             path = f"{root}/{name}"
             new = FA.append_new(spark.read.parquet(path), df, key) if path_exists(spark, path) else df
-            put(name, new, lambda d: d.write.mode("append").partitionBy("annee").parquet(path), source)
+            put(name, new, lambda d: d.write.mode("append").partitionBy("annee").parquet(path), source, rows_rejected=rejected)
             return spark.read.parquet(path)
 
+        def updates(name: str, incoming: DataFrame, key: str, tracked: list[str], type1: list[str]) -> dict:
+            """Rows that the merge changes, for the run log."""
+            if log is None or not has_version(spark, f"{root}/{name}"):
+                return {}
+            kinds = classify_changes(old(name), latest_per_key(incoming, key), key, tracked, type1)
+            return {"rows_updated": kinds.filter(F.col("change_type").isin("changed", "minor")).count()}
+
         feeds = {n: version(f"stg_{n}", self.raw(n), op="EXTRACT") for n in ("plans", "towers", "subscribers", "usage", "incidents")}
         w = Warehouse(spark, self.sf_dir, self.cfg, feeds)
         dims, day = w.__dict__, self.cfg.as_of
         if log is not None:
             log.timed("medians_and_span", lambda: (w.calendar, w._usage_typed, w._subs))
         dims["calendar"] = version("dim_date", w.calendar)
-        dims["dim_plan"] = version("dim_plan", D.build_dim_plan(w.plans, day, old("dim_plan")), "stg_plans")
+        rejects = w.rejected_rows()
+        sources = ("subscribers", "usage", "incidents", "fact_incident")
+        bad = put("rejected_rows", rejects, lambda d: d.write.mode("append").parquet(f"{root}/rejected_rows"), op="REJECT",
+                  metrics={s: F.count_if(F.col("source_table") == s) for s in sources})
+        dims["dim_plan"] = version("dim_plan", D.build_dim_plan(w.plans, day, old("dim_plan")), "stg_plans",
+                                   **updates("dim_plan", w.plans, "plan_id", D.PLAN_TRACKED, []))
         dims["dim_tower"] = version("dim_tower", D.build_dim_tower(w.towers, old("dim_tower")), "stg_towers")
         dims["dim_location"] = version("dim_location", D.build_dim_location(w.dim_tower, self.cfg))
-        dims["dim_subscriber"] = version("dim_subscriber", D.build_dim_subscriber(w.subscribers, day, old("dim_subscriber")), "stg_subscribers")
-        rejects = w.rejected_rows()  # against the feeds' own key lists
+        dims["dim_subscriber"] = version(
+            "dim_subscriber", D.build_dim_subscriber(w.subscribers, day, old("dim_subscriber")), "stg_subscribers", rows_rejected=bad.get("subscribers", 0),
+            **updates("dim_subscriber", w.subscribers, "subscriber_id", D.SUBSCRIBER_TRACKED, D.SUBSCRIBER_TYPE1))
         # whitelists of the fact loads: the written dimensions (same key sets)
         dims["subscribers"], dims["towers"] = D.current(w.dim_subscriber), w.dim_tower
+        for name in ("_fact_usage", "_fact_incident"):  # built for the rejects, on the feeds' own lists
+            dims.pop(name, None)
         loaded, rejected = w._fact_usage
         loaded_i, rejected_i = w._fact_incident
-        dims["_fact_usage"] = (append("fact_usage", loaded, "usage_id", "stg_usage"), rejected)
-        dims["_fact_incident"] = (append("fact_incident", loaded_i, "incident_id", "stg_incidents"), rejected_i)
-        put("rejected_rows", rejects, lambda d: d.write.mode("append").parquet(f"{root}/rejected_rows"), op="REJECT")
+        dims["_fact_usage"] = (append("fact_usage", loaded, "usage_id", "stg_usage", bad.get("usage", 0)), rejected)
+        dims["_fact_incident"] = (append("fact_incident", loaded_i, "incident_id", "stg_incidents", bad.get("incidents", 0) + bad.get("fact_incident", 0)), rejected_i)
         return w

@@ -2,6 +2,7 @@
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from telco_mart.operators import dimensions as D
@@ -81,11 +82,12 @@ def test_run_log_success_and_failure(spark):
     src = spark.range(10).toDF("x")
     assert log.write("stg_x", "LOAD", src, lambda d: d.write.parquet(f"{root}/stg_x"))
     kept = spark.read.parquet(f"{root}/stg_x").filter(F.col("x") < 7)
-    assert log.write("dim_x", "LOAD", kept, lambda d: d.write.parquet(f"{root}/dim_x"), extracted_from="stg_x")
+    log.write("dim_x", "LOAD", kept, lambda d: d.write.parquet(f"{root}/dim_x"), extracted_from="stg_x", rows_rejected=3)
 
     def broken(d):
         raise RuntimeError("disk full")
-    assert not log.write("fact_x", "LOAD", src, broken)
+    with pytest.raises(RuntimeError, match="disk full"):
+        log.write("fact_x", "LOAD", src, broken)
     rows = {r["table_name"]: r for r in log.to_df().collect()}
     assert (rows["stg_x"]["status"], rows["stg_x"]["rows_inserted"]) == ("SUCCESS", 10)
     d = rows["dim_x"]
