@@ -56,13 +56,11 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def _grams(text: Column, tag: str, sizes: tuple[int, ...]) -> Column:
+    """All n-grams of ^text$ in one pass per size: a lookahead matches at every
+    position, so time grows with the length and not its square."""
     padded = F.concat(F.lit("^"), text, F.lit("$"))
-    grams = [
-        F.when(F.length(padded) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - n + 1, F.lit(1))), lambda i, n=n: F.concat(F.lit(tag), padded.substr(i, F.lit(n)))))
-        .otherwise(F.array().cast("array<string>"))
-        for n in sizes
-    ]
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.concat(*grams))
+    grams = F.concat(*(F.regexp_extract_all(padded, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes))
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.transform(grams, lambda g: F.concat(F.lit(tag), g)))
 
 
 def ngrams(host: Column, path: Column, sizes: tuple[int, ...] = (3, 4)) -> Column:
