@@ -16,7 +16,8 @@ decompresses to the end with the right checksum and its header starts with
 ``WARC/``. The magic can also occur by chance inside compressed data, which cuts
 a member in two; such pieces (a few per 100 MB) are gathered per file, in order,
 and joined until the member is whole. Pieces that never become whole are
-returned as damaged rows (null id, ``error`` set).
+returned as damaged rows (null id, ``error`` set); stray bytes after the end of
+a whole member are passed over.
 
 Inputs: a null payload is empty; a null url is written as an empty target; a
 null id as an empty one and reads back as null; rows that repeat the smallest id
@@ -113,7 +114,7 @@ def _inflate(piece: bytes) -> tuple[bytes | None, str]:
         return None, "bad"
     if not d.eof:
         return None, "open" if len(data) < 5 else "start" if data.startswith(b"WARC/") else "bad"
-    return (data, "") if not d.unused_data and data.startswith(b"WARC/") else (None, "bad")
+    return (data, "") if data.startswith(b"WARC/") else (None, "bad")
 
 
 COLUMNS = "record_type string, id string, url string, payload binary, payload_bytes long, payload_digest string, refers_to string, error string"
