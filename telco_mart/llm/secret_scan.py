@@ -79,6 +79,7 @@ def find(texts: DataFrame, rules: list[Rule]) -> DataFrame:
         for r in rules
     ))
     rows = texts.select("blob", F.explode(hits).alias("h")).select("blob", "h.version", "h.kind", "h.minimum", F.posexplode("h.found").alias("i", "m"))
+    rows = rows.distinct()  # a repeated row gives its text twice
     upto = Window.partitionBy("blob", "version", "kind").orderBy("i")  # one text's matches of one rule
     end = F.sum(F.col("m.gap") + F.col("m.size")).over(upto)
     return rows.withColumn("end", end).filter("m.value >= minimum").select("blob", "version", "kind", (F.col("end") - F.col("m.size")).alias("start"), "end")

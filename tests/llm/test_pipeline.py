@@ -12,7 +12,7 @@ from telco_mart.llm.bpe import Codec, code_point_classes
 from test_dedup import brute_components, brute_exact, brute_fingerprint
 from test_web import brute_poisson, brute_spans, number
 
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"  # only the larger one holds secrets
 
 
 def test_stages_match_brute_force(spark):
@@ -56,8 +56,8 @@ def test_stages_match_brute_force(spark):
 
 
 def test_secret_query_derives_its_digest(spark):
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    got = queries.op7_secret_scan(spark, SF).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
+    got = queries.op7_secret_scan(spark, LARGER).collect()
     assert len(got) == len(texts)
     from telco_mart.llm.secret_scan import BASE, RULES
 

@@ -108,7 +108,7 @@ def test_files_are_plain_gzip_members_and_damage_is_reported(spark):
         with open(f"{_local(broken)}/{name}", "wb") as f:
             f.write(content)
     rows = warc.read(spark, [broken]).collect()
-    assert sum(r.error is None for r in rows) == 19 + 19 and sum(r.error is not None for r in rows) == 2
+    assert sum(r.error is None for r in rows) == 19 + 20 and sum(r.error is not None for r in rows) == 2
     shutil.rmtree(_local(broken))
 
 
