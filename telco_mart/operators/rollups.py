@@ -69,7 +69,8 @@ def rup_exec_summary(arpu_month: DataFrame, churn_month: DataFrame) -> DataFrame
     # one pass over the churn roll-up: months, then one row
     months = churn_month.groupBy("periode").agg(F.sum("total_abonnes").alias("_t"), F.sum("nb_churnes").alias("_c"))
     churn = months.agg(F.sum("_t").alias("_ts"), F.count(F.lit(1)).alias("_tn"), F.sum("_c").alias("total_churnes"))
-    return arpu.crossJoin(F.broadcast(churn)).select(  # one row beside one row
+    both = arpu.unionByName(churn, allowMissingColumns=True)  # two rows folded into one
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).select(
         F.coalesce(ratio("_as", "_an", 0, even=True), F.lit(0.0)).alias("arpu_global"),
         F.coalesce(F.col("_rev").cast("bigint"), F.lit(0)).alias("revenu_total"),
         F.coalesce(F.floor(F.col("_ts") / F.col("_tn")).cast("bigint"), F.lit(0)).alias("moy_abonnes"),

@@ -35,7 +35,7 @@ def lint(df) -> list[str]:
 
 
 def main() -> int:
-    import __spark_entry__ as E
+    from telco_mart.plans.catalog import QUERIES as qs
     from telco_mart.session import checkpoint_dir, get_spark
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
@@ -43,7 +43,6 @@ def main() -> int:
     spark = get_spark(master="local[8]", shuffle_partitions=8,
                       extra={"spark.ui.showConsoleProgress": "false"})
     checkpoint_dir(spark)
-    qs = E.queries()
     bad = 0
     for name in names or list(qs):
         found = lint(qs[name](spark, sf_dir))
