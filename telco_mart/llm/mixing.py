@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from telco_mart.operators.lookup import join_lookup
 
+from .common import written
+
 #: Means above this are split: floor(mean) - LARGEST + 1 sure copies and a
 #: Poisson number for the rest, so that the inversion stays short.
 LARGEST = 16
@@ -58,10 +60,11 @@ def source_rates(df: DataFrame, source_col: str = "source", weights: DataFrame |
     else:
         w = n.join(weights.groupBy(F.col("source").alias("__s")).agg(F.sum("weight").alias("w")), F.col("source").eqNullSafe(F.col("__s")), "left").select(
             "source", "n", F.coalesce(F.col("w").cast("double"), F.lit(0.0)).alias("w"))
-    sums = w.agg(F.sum("n").alias("rows"), F.sum("w").alias("all_w"))
-    size = F.lit(total) if total is not None else F.col("rows")
-    weight = F.when(F.col("all_w") > 0, F.col("w") / F.col("all_w")).otherwise(F.lit(0.0))
-    return w.crossJoin(F.broadcast(sums)).select("source", "n", weight.alias("weight"), (weight * size / F.col("n")).alias("rate"))  # one row is broadcast
+    w = written(w, "source_weights")
+    size = F.lit(total) if total is not None else w.agg(F.sum("n")).scalar()
+    all_w = w.agg(F.sum("w")).scalar()
+    weight = F.when(all_w > 0, F.col("w") / all_w).otherwise(F.lit(0.0))
+    return w.select("source", "n", weight.alias("weight"), (weight * size / F.col("n")).alias("rate"))
 
 
 def mix(df: DataFrame, rates: DataFrame, seed: int = 0, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
