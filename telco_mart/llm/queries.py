@@ -74,7 +74,8 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs, mixing.source_rates(docs, temperature=0.5), seed=SEED)
+    mixed = mixing.mix(docs, mixing.source_rates(docs, temperature=0.5), seed=SEED)
+    return mixed.withColumn("rate", F.round("rate", 9))  # sums of doubles depend on their order
 
 
 QUERIES = {
@@ -105,6 +106,6 @@ SQL = {
              c AS (SELECT k.* EXCLUDE (u, sure), sure + (
                      SELECT count(*) FROM range(0, 80) g(i)
                      WHERE (SELECT sum(exp(-(rate - sure)) * pow(rate - sure, j) / gamma(j + 1)) FROM range(0, 80) h(j) WHERE j <= i) <= u) AS copies FROM k)
-        SELECT c.*, x.copy, ('0x' || substr(md5('{SEED}-order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || x.copy), 1, 13))::BIGINT AS shuffle_key
+        SELECT c.* REPLACE (round(c.rate, 9) AS rate), x.copy, ('0x' || substr(md5('{SEED}-order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || x.copy), 1, 13))::BIGINT AS shuffle_key
         FROM c, LATERAL (SELECT unnest(range(1, copies + 1)) AS copy) x""",
 }
