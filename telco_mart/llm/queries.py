@@ -40,7 +40,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folders = warc.write(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
-    return warc.read(spark, folders).select(
+    return warc.read(spark, folders, payloads=False).select(
         F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to")
     )
 

@@ -28,6 +28,7 @@ Only the id, url and payload columns are read.
 from __future__ import annotations
 
 import gzip
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -120,7 +121,7 @@ def _inflate(piece: bytes) -> tuple[bytes | None, str]:
 COLUMNS = "record_type string, id string, url string, payload binary, payload_bytes long, payload_digest string, refers_to string, error string"
 
 
-def _row(data: bytes) -> tuple:
+def _row(data: bytes, payloads: bool) -> tuple:
     f = parse(data)
     if f is None:
         return (None,) * 7 + ("no WARC record",)
@@ -129,7 +130,9 @@ def _row(data: bytes) -> tuple:
     url = f.get("warc-target-uri", "").replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
     payload = f["payload"] if kind == "response" else None
     size = len(payload) if payload is not None else int(f["http"].get("content-length", 0))
-    return kind, name(f.get("warc-record-id", "")), url, payload, size, digest, name(f["warc-refers-to"]) if "warc-refers-to" in f else None, None
+    bad = "digest differs" if payload is not None and hashlib.sha256(payload).hexdigest() != digest else None
+    refers_to = name(f["warc-refers-to"]) if "warc-refers-to" in f else None
+    return kind, name(f.get("warc-record-id", "")), url, payload if payloads else None, size, digest, refers_to, bad
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -148,9 +151,10 @@ def candidates(spark: SparkSession, folders: list[str]) -> DataFrame:
     )
 
 
-def read(spark: SparkSession, folders: list[str]) -> DataFrame:
+def read(spark: SparkSession, folders: list[str], payloads: bool = True) -> DataFrame:
     """One row per record of the archives, digests and lengths of responses
-    checked against their payloads."""
+    checked against their payloads. Without ``payloads`` the payload column is
+    null, and the payloads are not written to the shared folder in between."""
     if not folders:
         return spark.createDataFrame([], COLUMNS)
     schema = f"{COLUMNS}, file string, block long, seq long, piece binary"
@@ -164,7 +168,7 @@ def read(spark: SparkSession, folders: list[str]) -> DataFrame:
                 for file, block, seq, piece in zip(*(c.to_pylist() for c in part.columns)):
                     if piece:  # nothing lies before a file's first magic
                         data, _ = _inflate(MAGIC + piece)
-                        rows.append(_row(data) + (None,) * 4) if data is not None else rest.append((None,) * 8 + (file, block, seq, piece))
+                        rows.append(_row(data, payloads) + (None,) * 4) if data is not None else rest.append((None,) * 8 + (file, block, seq, piece))
                 rows += rest
                 if rows:
                     cols = list(zip(*rows))
@@ -180,7 +184,7 @@ def read(spark: SparkSession, folders: list[str]) -> DataFrame:
                 held += MAGIC + piece
                 data, _ = _inflate(held)
                 if data is not None:
-                    rows.append(_row(data))
+                    rows.append(_row(data, payloads))
                     held = b""
                 continue
             if held or alone == "bad":
@@ -193,6 +197,4 @@ def read(spark: SparkSession, folders: list[str]) -> DataFrame:
     found = written(candidates(spark, folders).mapInArrow(whole, schema), "records")
     good = found.filter("piece is null").drop("file", "block", "seq", "piece")
     stitched = found.filter("piece is not null").select("file", "block", "seq", "piece").groupBy("file").applyInArrow(join, COLUMNS)
-    every = good.unionByName(stitched)
-    bad = (F.col("record_type") == "response") & (F.sha2("payload", 256) != F.col("payload_digest"))
-    return every.withColumn("error", F.when(bad, "digest differs").otherwise(F.col("error")))
+    return good.unionByName(stitched)
