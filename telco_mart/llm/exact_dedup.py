@@ -128,6 +128,7 @@ def dedup_batch(df: DataFrame, snapshot: Snapshot, id_col: str = "doc_id", text_
     old = snapshot.buckets.join(fresh.filter("known").drop("known"), "digest", "left").select(
         "digest", F.coalesce("keep", "top").alias("keep"), F.coalesce("size", "n").alias("size")
     )
+    old = written(old, "snapshot_groups")  # rows then join a plain table, whose large partitions Spark can split
     final = lambda r, g: r.join(g, "digest").select("id", F.col("keep"), "size", F.lower(F.hex("digest")).alias("text_sha256"))
     return final(rows, fresh.drop("known")).union(final(snapshot.rows, old))
 
