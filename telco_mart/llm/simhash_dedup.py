@@ -176,7 +176,8 @@ def near_duplicates(df: DataFrame, shingle: int = 4, radius: int = 4, id_col: st
     docs = written(fingerprints(df, shingle, id_col, text_col), "fingerprints")
     fps = docs.groupBy("fp").agg(F.min(id_col).alias("low"))
     comp = connected_components(links(fps.select("fp"), radius, bucket))
-    rooted = fps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    # written tables, so that a large component's rows can be split in the join
+    rooted = written(fps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    names = written(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "names")
     named = written(rooted.join(names, "root").select("fp", "component_id"), "components")
     return docs.join(named, "fp").select(id_col, hex64(F.col("fp")).alias("fingerprint"), "component_id")
