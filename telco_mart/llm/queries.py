@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, exact_dedup, fingerprints, lm, mixing, quality, secret_scan, simhash_dedup, url_filter, warc
-from .common import hex64, scratch, table
+from .common import hex64, scratch, table, written
 
 #: Rank file of the byte-level BPE.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -65,7 +65,7 @@ def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fingerprints.with_next(table(spark, sf_dir, "documents"))
     asked = F.coalesce(F.col("id") % 20 == 0, F.lit(False))
     fps = docs.groupBy("fp").agg(F.count("*").alias("n"), F.max(asked).alias("asked"))
-    near = fingerprints.search(fps, radius=3)
+    near = written(fingerprints.search(fps, radius=3), "near")  # joined as a plain table, whose large partitions Spark can split
     return docs.join(near, "fp", "left").select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", hex64(F.col("fp")).alias("fingerprint"), hex64(F.col("edited_fp")).alias("edited_fingerprint"),
         "near_edited", "near_next", F.when(asked, F.col("n_near") - 1).alias("n_within_3"),
