@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Code points worked on at once, and pieces cached per task.
-CHUNK, CACHE = 1 << 20, 400_000
+CHUNK, CACHE = 1 << 18, 400_000
 #: Code points of a block of the scan, and bytes of a piece merged without a heap.
 BLOCK, SHORT = 512, 64
 END = 0x110000
