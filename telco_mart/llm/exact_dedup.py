@@ -40,6 +40,7 @@ class Snapshot:
     filters: DataFrame
     shards: int
     docs: DataFrame
+    shard_rows: int = SHARD
 
 
 def _normalised(text_col: str):
@@ -78,13 +79,22 @@ def make_snapshot(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     buckets = written(_buckets(rows), "snapshot_buckets")
     shards = max(1, -(-buckets.count() // shard_rows))
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return Snapshot(rows, buckets, written(build_filters(buckets, shards), "snapshot_filters"), shards, docs)
+    return Snapshot(rows, buckets, written(build_filters(buckets, shards), "snapshot_filters"), shards, docs, shard_rows)
+
+
+def dealt(fresh: DataFrame, snapshot: Snapshot) -> tuple[DataFrame, int]:
+    """(digest, key, shard, salt) and the number of salts: ``fresh`` is counted,
+    and each shard (even, being cut by a hash) is cut by another hash, so that a
+    group has about ``shard_rows`` digests however small the snapshot is."""
+    salts = max(1, -(-fresh.count() // (snapshot.shards * snapshot.shard_rows)))
+    salt = F.pmod(F.xxhash64("digest", F.lit("salt")), F.lit(salts)).cast("int")
+    return fresh.select("digest", F.xxhash64("digest").alias("key"), _shard(snapshot.shards).alias("shard"), salt.alias("salt")), salts
 
 
 def screen(fresh: DataFrame, snapshot: Snapshot) -> DataFrame:
     """Rows of ``fresh`` (digest, ...; one row per digest) that the snapshot's
-    filters do not rule out. Filters travel to the digests of their shard, none
-    is broadcast whole."""
+    filters do not rule out. Filters travel to the digests of their shard, one
+    copy to each of its salts, none is broadcast whole."""
 
     def probe(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -93,8 +103,9 @@ def screen(fresh: DataFrame, snapshot: Snapshot) -> DataFrame:
         hit = FuseFilter.from_bytes(right.column("filter")[0].as_py()).contains(keys)
         return left.select(["digest"]).filter(pa.array(hit))
 
-    keyed = fresh.select("digest", F.xxhash64("digest").alias("key"), _shard(snapshot.shards).alias("shard"))
-    return keyed.groupBy("shard").cogroup(snapshot.filters.groupBy("shard")).applyInArrow(probe, "digest binary")
+    keyed, salts = dealt(fresh, snapshot)
+    filters = snapshot.filters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return keyed.groupBy("shard", "salt").cogroup(filters.groupBy("shard", "salt")).applyInArrow(probe, "digest binary")
 
 
 def match(batch: DataFrame, docs: DataFrame, snapshot: Snapshot) -> DataFrame:
@@ -119,7 +130,7 @@ def dedup_batch(df: DataFrame, snapshot: Snapshot, id_col: str = "doc_id", text_
     the snapshot: ``keep`` the id that stays of all equal texts of both."""
     rows = digests(df, id_col, text_col)
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    groups = _buckets(rows)
+    groups = written(_buckets(rows), "batch_buckets")
     seen = match(groups, docs, snapshot).select("digest", F.col("top").alias("old_top"), F.col("n").alias("old_n"))
     fresh = groups.join(seen, "digest", "left").select(
         "digest", F.greatest("top", "old_top").alias("keep"), (F.col("n") + F.coalesce("old_n", F.lit(0))).alias("size"), F.col("old_n").isNotNull().alias("known")
@@ -134,11 +145,9 @@ def dedup_batch(df: DataFrame, snapshot: Snapshot, id_col: str = "doc_id", text_
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD) -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256) for every row: the lower
-    half of the id range is the snapshot, the upper half the incoming batch."""
-    low, high = df.agg(F.min(id_col), F.max(id_col)).first()
-    middle = None if low is None else low + (high - low) // 2
-    older = F.col(id_col).isNull() | (F.col(id_col) <= F.lit(middle)) if middle is not None else F.lit(True)
+    """(id, keep_id, group_size, kept, text_sha256) for every row: about half
+    of the ids, by a hash, are the snapshot, the others the incoming batch."""
+    older = F.pmod(F.xxhash64(F.col(id_col)), F.lit(2)) == 0
     snapshot = make_snapshot(df.filter(older), id_col, text_col, shard_rows)
     out = dedup_batch(df.filter(~older), snapshot, id_col, text_col)
     return out.select(F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("size").alias("group_size"), F.col("id").eqNullSafe(F.col("keep")).alias("kept"), "text_sha256")

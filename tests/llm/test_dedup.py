@@ -154,6 +154,22 @@ def test_batches_are_screened_against_a_snapshot(spark):
     assert 10 <= hits <= 14  # every known text, and hardly any other
 
 
+def test_large_batches_are_cut_against_a_small_snapshot(spark, monkeypatch):
+    """One row is the snapshot: the batch's own size decides how it is cut."""
+    snapshot = exact_dedup.make_snapshot(spark.createDataFrame([(1, "t 5")], DOC), shard_rows=16)
+    fresh = exact_dedup._buckets(exact_dedup.digests(spark.createDataFrame([(10 + i, f"T {i}") for i in range(800)], DOC), "doc_id", "text"))
+    keyed, salts = exact_dedup.dealt(fresh, snapshot)
+    sizes = [r["count"] for r in keyed.groupBy("shard", "salt").count().collect()]
+    assert snapshot.shards == 1 and salts == 50 and sum(sizes) == 800 and max(sizes) < 50
+    assert 1 <= exact_dedup.screen(fresh, snapshot).count() < 30
+    made = []
+    make = exact_dedup.make_snapshot
+    monkeypatch.setattr(exact_dedup, "make_snapshot", lambda *a: made.append(make(*a)) or made[-1])
+    rows = [(i, f"x {i % 300}") for i in range(400)] + [(-(10**15), "outlier")]  # one id far from the others
+    got = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_duplicates(spark.createDataFrame(rows, DOC)).collect())
+    assert got == brute_exact(rows) and 100 < made[0].rows.count() < 300
+
+
 def test_fuse_filter_has_no_false_negatives():
     rng = np.random.default_rng(2)
     for n in (0, 1, 2, 5, 100, 5000):
