@@ -2,8 +2,10 @@
 
 A document of source s is wanted ``rate(s) = weight(s) * total / rows(s)`` times
 on average. Its number of copies is a Poisson variable with that mean, inverted
-from a uniform number that a hash of seed and document id gives: the same input
-always gives the same mixture, on any partitioning. Each document is exploded by
+from a uniform number that a hash of seed and document id gives; above a mean of
+``LARGEST`` it is the sum of independent Poisson numbers of equal, smaller means,
+each from a hash of its own, which is exactly Poisson. The same input always
+gives the same mixture, on any partitioning. Each document is exploded by
 its count, and copies are shuffled globally by a hash of id and copy number.
 
 Inputs: null sources are one source of their own; a source without a weight gets
@@ -21,8 +23,7 @@ from telco_mart.operators.lookup import join_lookup
 
 from .common import written
 
-#: Means above this are split: floor(mean) - LARGEST + 1 sure copies and a
-#: Poisson number for the rest, so that the inversion stays short.
+#: Means above this are split into equal parts, so that the inversion stays short.
 LARGEST = 16
 
 
@@ -33,11 +34,11 @@ def hash_number(*parts: Column) -> Column:
 
 
 def poisson(mean: Column, u: Column) -> Column:
-    """Smallest k whose Poisson distribution function reaches u (0 <= u < 1).
+    """Smallest k whose Poisson distribution function reaches u (0 <= u < 1), for
+    a mean of at most LARGEST.
 
     The sum runs until the distribution function is 1 in double precision."""
-    sure = F.when(mean > LARGEST, F.floor(mean) - (LARGEST - 1)).otherwise(F.lit(0)).cast("long")
-    lam = (mean - sure).cast("double")
+    lam = mean.cast("double")
     start = F.struct(F.exp(-lam).alias("p"), F.exp(-lam).alias("cdf"), F.lit(0).cast("long").alias("k"))
 
     def step(acc: Column, i: Column) -> Column:
@@ -46,7 +47,19 @@ def poisson(mean: Column, u: Column) -> Column:
         return F.struct(p.alias("p"), (acc["cdf"] + p).alias("cdf"), (acc["k"] + F.when(more, 1).otherwise(0)).cast("long").alias("k"))
 
     terms = F.sequence(F.lit(1), F.lit(LARGEST * 4 + 16))
-    return sure + F.aggregate(terms, start, step, lambda acc: acc["k"])
+    return F.aggregate(terms, start, step, lambda acc: acc["k"])
+
+
+def poisson_copies(mean: Column, seed: int, doc_id: Column) -> Column:
+    """A Poisson number of any mean from the hash of seed and id: the parts after
+    the first hash their number as well."""
+    uniform = lambda *parts: hash_number(*parts) / F.lit(float(1 << 52))
+    parts = F.greatest(F.ceil(mean / LARGEST), F.lit(1)).cast("long")
+    draw = lambda u: F.struct((mean / parts).cast("double").alias("mean"), u.alias("u"))
+    more = F.transform(F.sequence(F.lit(2).cast("long"), parts), lambda j: draw(uniform(F.lit(f"{seed}-part"), doc_id, j)))
+    first = F.array(draw(uniform(F.lit(seed), doc_id)))
+    draws = F.when(parts > 1, F.concat(first, more)).otherwise(first)
+    return F.aggregate(draws, F.lit(0).cast("long"), lambda n, d: n + poisson(d["mean"], d["u"]))
 
 
 def source_rates(df: DataFrame, source_col: str = "source", weights: DataFrame | None = None, temperature: float = 0.5,
@@ -73,8 +86,7 @@ def mix(df: DataFrame, rates: DataFrame, seed: int = 0, id_col: str = "doc_id",
     added = ("rate", "copies", "copy", "shuffle_key")
     base = df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in added))
     keyed = join_lookup(base.withColumn("__mix_source", F.col(f"`{source_col}`")), rates.select(F.col("source").alias("__mix_source"), "rate"), ["__mix_source"]).drop("__mix_source")
-    u = hash_number(F.lit(seed), F.col(f"`{id_col}`")) / F.lit(float(1 << 52))
-    counted = keyed.withColumn("copies", poisson(F.coalesce("rate", F.lit(0.0)), u)).filter("copies > 0")
+    counted = keyed.withColumn("copies", poisson_copies(F.coalesce("rate", F.lit(0.0)), seed, F.col(f"`{id_col}`"))).filter("copies > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     shuffled = copies.withColumn("shuffle_key", hash_number(F.lit(f"{seed}-order"), F.col(f"`{id_col}`"), F.col("copy")))
     return shuffled.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")

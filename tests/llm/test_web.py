@@ -207,6 +207,25 @@ def test_copies_match_brute_force_and_target_weights(spark):
     assert sorted((r.doc_id, r["copy"]) for r in again) == sorted((r.doc_id, r["copy"]) for r in out)
 
 
+def test_copies_are_poisson_at_large_rates(spark):
+    """Variance equals the mean at every rate; counts are those of independent
+    numbers summed in plain Python."""
+    rows = [(i, s) for i, s in enumerate(["a"] * 600 + ["b"] * 600 + ["c"] * 600)]
+    rate = {"a": 12.5, "b": 40.0, "c": 233.0}
+    rates = spark.createDataFrame(list(rate.items()), "source string, rate double")
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), rates, seed=5)
+    got = {r.doc_id: (r.source, r.n) for r in out.groupBy("doc_id", "source").agg(F.count("*").alias("n")).collect()}
+    for s, mean in rate.items():
+        counts = [got[i][1] if i in got else 0 for i, x in rows if x == s]
+        m = sum(counts) / len(counts)
+        variance = sum((c - m) ** 2 for c in counts) / (len(counts) - 1)
+        assert abs(m - mean) < 5 * math.sqrt(mean / len(counts)) and 0.7 * mean < variance < 1.3 * mean
+    for i, s in rows[::40]:
+        parts = math.ceil(rate[s] / 16)
+        seeds = [number(5, i)] + [number("5-part", i, j) for j in range(2, parts + 1)]
+        assert got[i][1] == sum(brute_poisson(rate[s] / parts, x / 2**52) for x in seeds)
+
+
 def test_mixing_odd_tables(spark):
     schema = "doc_id long, source string"
     empty = spark.createDataFrame([], schema)
