@@ -4,6 +4,8 @@ and near copies, mix sources to target weights, tokenise.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 each stage's result as Parquet in the shared folder and reads it back as the
 next one's documents. Every stage works on all rows that its predecessor kept.
+The first three write their input with a key of each row and drop rows by that
+key, never by id: ids may be null or repeat, with equal or different texts.
 """
 
 from __future__ import annotations
@@ -23,25 +25,37 @@ from telco_mart.llm.queries import RANKS, SEED  # noqa: E402
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique row_key, written so that the keys stay as they are."""
+    return written(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"))
-    rejected = written(judged.filter(~F.col("keep")).select("doc_id").distinct(), "rejected")
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    """Rows that the quality classifier does not reject. Each row is judged on
+    its own text: of rows that share an id (or have none) only the rejected go."""
+    rows = keyed(docs)
+    judged = quality.classify(rows, table(spark, sf_dir, "labels"), carry=("row_key",))
+    rejected = written(judged.filter(~F.col("keep")).select("row_key"), "rejected")
+    return rows.join(rejected, "row_key", "left_anti").select(docs.columns)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id."""
-    found = exact_dedup.exact_duplicates(docs)
-    dropped = written(found.filter(~F.col("kept")).select("doc_id").distinct(), "copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """Of equal texts, the one row with the largest id (null is below any id);
+    of several with that id, the last by row key."""
+    rows = keyed(docs)
+    found = exact_dedup.exact_duplicates(rows.select(F.struct("doc_id", "row_key").alias("key"), "text"), "key")
+    dropped = written(found.filter(~F.col("kept")).select("key.row_key"), "copies")
+    return rows.join(dropped, "row_key", "left_anti").select(docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id."""
-    found = simhash_dedup.near_duplicates(docs, shingle=4, radius=4)
-    dropped = written(found.filter("doc_id <> component_id").select("doc_id").distinct(), "near_copies")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near duplicates, the one row with the smallest id (null
+    is above any id); of several with that id, the first by row key."""
+    rows = keyed(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    found = simhash_dedup.near_duplicates(rows.select(key.alias("key"), "text"), shingle=4, radius=4, id_col="key")
+    dropped = written(found.filter(F.col("key") != F.col("component_id")).select("key.row_key"), "near_copies")
+    return rows.join(dropped, "row_key", "left_anti").select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -125,16 +125,16 @@ def _shrinkage(groups: DataFrame) -> float:
 
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", path_col: str = "lang",
-             threshold: float = 0.5, sample: int = SAMPLE, label_col: str = "quality") -> DataFrame:
-    """(id, p_document, p_site, p_path, quality, keep) for every row: keep where
-    the posterior ``quality`` is at least ``threshold``."""
-    feats = written(with_features(df.select(F.col(id_col), F.col(text_col), F.col(site_col).alias("site"), F.col(path_col).alias("path")), id_col, text_col, ("site", "path")), "features")
+             threshold: float = 0.5, sample: int = SAMPLE, label_col: str = "quality", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, ..carry, p_document, p_site, p_path, quality, keep) for every row: keep
+    where the posterior ``quality`` is at least ``threshold``."""
+    feats = written(with_features(df.select(F.col(id_col), F.col(text_col), F.col(site_col).alias("site"), F.col(path_col).alias("path"), *carry), id_col, text_col, ("site", "path", *carry)), "features")
     model = train(feats, labels, sample, label_col)
     logit = F.lit(model.bias)
     for k, w in enumerate(model.weights):
         logit = logit + F.col("features")[k] * F.lit(w)
     logit = F.greatest(F.least(logit, F.lit(30.0)), F.lit(-30.0))
-    docs = feats.select("id", "site", "path", logit.alias("logit")).withColumn("p_document", 1 / (1 + F.exp(-F.col("logit"))))
+    docs = feats.select("id", "site", "path", *carry, logit.alias("logit")).withColumn("p_document", 1 / (1 + F.exp(-F.col("logit"))))
 
     paths = written(docs.groupBy("site", "path").agg(F.count("*").alias("n"), F.sum("p_document").alias("good")), "path_sums")
     sites = paths.groupBy("site").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
@@ -153,4 +153,4 @@ def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     prior = min(max(model.prior, 1e-6), 1 - 1e-6)
     post = F.col("logit") - float(np.log(prior / (1 - prior))) + odds(F.col("p_path"))
     out = seen.withColumn("p_path", p_path).withColumn("quality", 1 / (1 + F.exp(-post)))
-    return out.select(F.col("id").alias(id_col), "p_document", "p_site", "p_path", "quality", (F.col("quality") >= threshold).alias("keep"))
+    return out.select(F.col("id").alias(id_col), *carry, "p_document", "p_site", "p_path", "quality", (F.col("quality") >= threshold).alias("keep"))

@@ -55,6 +55,34 @@ def test_stages_match_brute_force(spark):
     assert sorted((r.doc_id, r.n_tokens) for r in whole) == sorted((r.doc_id, r.n_tokens) for r in out)
 
 
+def test_stages_drop_rows_not_ids(spark):
+    _, exact, near, _, _ = dict(corpus_pipeline.STAGES).values()
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(60))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema)
+    rows = [(1, "A"), (1, "clean"), (2, "a"), (3, "r"), (3, "r"), (None, "n"), (None, "N"), (None, "a"), (None, "own")]
+    out = Counter((r.doc_id, r.text.lower()) for r in exact(spark, table(rows), SF).collect())
+    assert out == Counter([(1, "clean"), (2, "a"), (3, "r"), (None, "n"), (None, "own")])
+    rows = [(5, words(0)), (7, words(0)), (7, words(1)), (None, words(0)), (None, words(2)), (None, words(2)), (9, words(3)), (9, words(3))]
+    out = Counter((r.doc_id, r.text) for r in near(spark, table(rows), SF).collect())
+    assert out == Counter([(5, words(0)), (7, words(1)), (None, words(2)), (9, words(3))])
+
+
+def test_quality_stage_judges_rows_not_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rejected = quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).orderBy("quality").first()
+    good = quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).orderBy("quality", ascending=False).first()
+    assert not rejected.keep and good.keep
+    bad_row = docs.filter(docs.doc_id == rejected.doc_id)
+    good_row = docs.filter(docs.doc_id == good.doc_id)
+    under = lambda rows, i: rows.selectExpr(f"cast({i} as long) doc_id", "text", "lang", "source", "n_chars")
+    both = docs.filter(docs.doc_id != rejected.doc_id).select("doc_id", "text", "lang", "source", "n_chars")
+    both = both.union(under(bad_row, "null")).union(under(bad_row, 999999)).union(under(good_row, 999999))
+    bad, fine = bad_row.first().text, good_row.first().text
+    out = dict(corpus_pipeline.STAGES)["quality classifier"](spark, both.select(docs.columns), SF).collect()
+    assert not [r for r in out if r.text == bad] and [r.text for r in out if r.doc_id == 999999] == [fine]
+
+
 def test_secret_query_derives_its_digest(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
     got = queries.op7_secret_scan(spark, LARGER).collect()
