@@ -35,6 +35,8 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` has no url: source stands for the host and lang for the
+    path, so the path level is the languages inside each source."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
