@@ -135,8 +135,7 @@ def test_language_model_of_odd_tables(spark):
     assert all(math.isfinite(r.score) and r.score <= 0 for r in got)
 
 
-@pytest.mark.parametrize("head", [20, 100_000])
-def test_language_model_learns_words_outside_its_own_classes(spark, head):
+def test_language_model_learns_words_outside_its_own_classes(spark):
     """Each of 60 words is always followed by its partner. All of them are
     outside the two own classes, so only word-level context tells partners from
     the same words dealt otherwise."""
@@ -147,7 +146,7 @@ def test_language_model_learns_words_outside_its_own_classes(spark, head):
         rows.append((i, " ".join(f"left{k} right{k}" for k in picks) + " filler" * 2))
         if zlib.crc32(str(10_000 + i).encode()) % 7 == 2:  # only scored
             rows.append((10_000 + i, " ".join(f"left{k} right{j}" for k, j in zip(picks, picks[1:] + picks[:1])) + " filler" * 2))
-    got = lm.fit_and_score(spark.createDataFrame(rows, DOC), classes=3, head=head).collect()
+    got = lm.fit_and_score(spark.createDataFrame(rows, DOC), classes=3, head=20).collect()
     held = [r for r in got if r.held_out]
     mean = lambda rows: sum(r.score for r in rows) / sum(r.n_tokens for r in rows)
     assert mean([r for r in held if r.doc_id < 10_000]) > mean([r for r in held if r.doc_id >= 10_000]) + 0.01
