@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, lm, mixing, quality, secret_scan, simhash_dedup, url_filter, warc
+from . import bpe, exact_dedup, fingerprints, lm, mixing, quality, secret_scan, simhash_dedup, url_filter, warc, whitening
 from .common import hex64, scratch, table, written
 
 #: Rank file of the byte-level BPE.
@@ -80,9 +80,14 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("rate", F.round("rate", 9))  # sums of doubles depend on their order
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_byte_bpe, op3_url_filter, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_secret_scan, op8_lm_scoring, op9_document_fingerprints, op10_source_mixing)
+    for f in (op1_simhash_near_dedup, op2_byte_bpe, op3_url_filter, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_secret_scan, op8_lm_scoring, op9_document_fingerprints, op10_source_mixing,
+              op13_embedding_whitening)
 }
 
 SQL = {
