@@ -7,11 +7,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fingerprints, lm, mixing, quality, secret_scan, simhash_dedup, url_filter, warc, whitening
+from . import align, bpe, exact_dedup, fingerprints, license_scan, lm, mixing, quality, secret_scan, simhash_dedup, url_filter, warc, whitening
 from .common import hex64, scratch, table, written
 
 #: Rank file of the byte-level BPE.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: Tokenizers that the alignment compares.
+BYTE_TOKENIZER, PIECE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SEED = 7
 
 
@@ -80,6 +82,18 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("rate", F.round("rate", 9))  # sums of doubles depend on their order
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
+    return found.withColumn("score", F.round("score", 9))  # sums of doubles depend on their order
+
+
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also n_shared: shared-group links."""
+    aligned = align.align(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"), "n_shared")
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -87,10 +101,38 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (op1_simhash_near_dedup, op2_byte_bpe, op3_url_filter, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_secret_scan, op8_lm_scoring, op9_document_fingerprints, op10_source_mixing,
-              op13_embedding_whitening)
+              op11_license_scan, op12_cross_tokenizer_alignment, op13_embedding_whitening)
 }
 
+
+
+def license_sql() -> str:
+    """Every place of every template by brute force: all words joined to all
+    template words, summed by (document, template, start)."""
+    rows = []
+    for t, template in enumerate(license_scan.TEMPLATES):
+        words = license_scan.split_words(template.text)
+        must = license_scan.mandatory_positions(template, words)
+        rows += [f"({t}, {i}, '{w}', {int(i in must)}, '{template.label}', {template.base})" for i, w in enumerate(words)]
+    return f"""
+        WITH t(t, q, word, must, label, base) AS (VALUES {", ".join(rows)}),
+             w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{license_scan.WORD}') AS words FROM documents),
+             p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM w),
+             f AS (SELECT word, count(DISTINCT doc_id) AS df FROM p GROUP BY word),
+             x AS (SELECT t.*, ln(1 + (SELECT count(*) FROM documents) / (1 + coalesce(df, 0))) + 0.01 AS weight FROM t LEFT JOIN f USING (word)),
+             a AS (SELECT t, label, base, count(*) AS length, sum(weight) AS total, sum(must) AS musts FROM x GROUP BY ALL),
+             h AS (SELECT doc_id, t, pos - q AS start, sum(weight) AS got, sum(must) AS found FROM p JOIN x USING (word) GROUP BY ALL),
+             s AS (SELECT doc_id, start, label, base, least(got / total, 1) AS score FROM h JOIN a USING (t) JOIN w USING (doc_id)
+                   WHERE got / total >= {license_scan.THRESHOLD} AND found = musts AND start >= 0 AND start + length <= len(words))
+        SELECT w.doc_id, len(w.words)::BIGINT AS n_words, count(*) FILTER (s.base) AS n_base, (min(start) FILTER (s.base))::BIGINT AS first_word, (max(start) FILTER (s.base))::BIGINT AS last_word,
+               array_to_string(list_sort(list_distinct(coalesce(list(label) FILTER (s.base), []))), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(coalesce(list(label) FILTER (label IS NOT NULL), []))), ',') AS labels,
+               round(coalesce(max(score), 0), 9)::DOUBLE AS score
+        FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id, w.words"""
+
+
 SQL = {
+    "op11_license_scan": license_sql(),
     "op4_exact_dedup": """
         WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents),
              g AS (SELECT h, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY h)
