@@ -198,20 +198,24 @@ class Aligned:
         first = np.flatnonzero(np.diff(self.a_group, prepend=-1))
         return self.per_doc(self.a_doc[first])
 
-    def texts(self, a_names: tuple[list[str], list[str]], b_names: tuple[list[str], list[str]]) -> list[str]:
-        """``a1,a2|b1;a3|b2,b3`` of each document. ``names`` has an id with the
-        mark that follows it inside its list, and with the one at its end."""
+    def texts(self, names: np.ndarray, sizes: Sizes) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3`` of each document, from the ``id_names``."""
         side = np.concatenate([self.a_group * 2, self.b_group * 2 + 1])
         order = np.argsort(side, kind="stable")
         closes = np.append(side[order][1:] != side[order][:-1], True)
-        n = len(a_names[0])
-        code = (np.concatenate([self.a, self.b + 2 * n]))[order] + np.where(closes, np.where(order < len(self.a), n, len(b_names[0])), 0)
-        names = [*a_names[0], *a_names[1], *b_names[0], *b_names[1]]
-        words = list(map(names.__getitem__, code.tolist()))
+        n, m = len(sizes.a), len(sizes.b)
+        code = np.concatenate([self.a, self.b + 2 * n])[order] + np.where(closes, np.where(order < len(self.a), n, m), 0)
+        words = names[code].tolist()
         ends = np.cumsum(self.per_doc(self.a_doc) + self.per_doc(self.b_doc)).tolist()
         return ["".join(words[i:j])[:-1] for i, j in zip([0, *ends], ends)]
 
 
+def id_names(sizes: Sizes) -> np.ndarray:
+    """Ids of A with the mark inside their list, then with the one at its end,
+    then those of B."""
+    return np.array([f"{i}{mark}" for s, marks in ((sizes.a, ",|"), (sizes.b, ",;")) for mark in marks for i in range(len(s))], dtype=object)
+
+
 def _aligned(batch: pa.RecordBatch, sizes: Sizes) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
     """Parts of a batch of ``encode`` rows with about ``SLICE`` bytes of ids."""
     a, b = batch.schema.get_field_index("a_ids"), batch.schema.get_field_index("b_ids")
@@ -304,13 +308,13 @@ def described(encoded: DataFrame, sizes: Sizes, table: DataFrame | None = None)
     kinds = {"id": encoded.schema["id"].dataType.simpleString(), "groups": "string"}
 
     def run(batches):
-        names = [tuple([f"{i}{mark}" for i in range(len(s))] for mark in marks) for s, marks in ((sizes.a, ",|"), (sizes.b, ",;"))]
+        names = id_names(sizes)
         for batch in batches:
             for part, aligned in _aligned(batch, sizes):
                 i, j, _ = aligned.links()
                 columns = [aligned.per_doc(aligned.a_doc), aligned.per_doc(aligned.b_doc), aligned.group_counts(), aligned.per_doc(aligned.a_doc[i]), aligned.shared_counts()]
                 arrays = [part.column(part.schema.get_field_index(c)) for c in ("row", "id")]
-                arrays += [*map(pa.array, columns), pa.array(aligned.texts(*names), pa.string())]
+                arrays += [*map(pa.array, columns), pa.array(aligned.texts(names, sizes), pa.string())]
                 if counted:
                     pairs, counts, best = shared.value
                     at = np.searchsorted(pairs, sizes.pair(aligned.a[i], aligned.b[j]))

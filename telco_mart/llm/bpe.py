@@ -186,28 +186,49 @@ class Pieces(dict):
             self.clear()
             self.ids, self.ends = array("i"), array("q", [0])
         number = np.fromiter(map(self.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        ends, pool = np.array(self.ends, dtype=np.int64), np.array(self.ids, dtype=np.int64)
-        counts = np.diff(ends)[number]
+        ends, pool = np.frombuffer(self.ends, np.int64), np.frombuffer(self.ids, np.int32)  # views, gone before the next piece
+        counts = ends[number + 1] - ends[number]
         first = np.cumsum(counts) - counts
-        return counts, pool[np.repeat(ends[number] - first, counts) + np.arange(int(counts.sum()))]
+        return counts, pool[np.repeat(ends[number] - first, counts) + np.arange(int(counts.sum()))].astype(np.int64)
 
 
-class Codec:
-    """Ranks, classes and scan tables, held once per task."""
+def read_ranks(rank_file: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
 
-    def __init__(self, rank_file: bytes, classes: np.ndarray):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
-        self.classes, (self.step, self.cut) = classes, transitions()
-        self.cache = Pieces(self.ranks)
-        tokens = [b""] * (max(self.ranks.values()) + 1)
-        for token, r in self.ranks.items():
+
+class Tokens:
+    """The bytes of all tokens in one array, and where each token's lie."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, r in ranks.items():
             tokens[r] = token
         self.known = np.zeros(len(tokens), dtype=bool)
-        self.known[list(self.ranks.values())] = True
+        self.known[list(ranks.values())] = True
         self.sizes = np.array([len(t) for t in tokens], dtype=np.int64)
         self.places = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
+    def decode(self, ids: np.ndarray, offsets: np.ndarray | None = None) -> bytes | None:
+        """Bytes of the ids; null if one is not in the vocabulary."""
+        if not len(ids):
+            return b""
+        if ids.min() < 0 or ids.max() >= len(self.sizes) or not self.known[ids].all():
+            return None
+        size = self.sizes[ids]
+        starts = np.cumsum(size) - size if offsets is None else offsets
+        return self.bytes[np.arange(int(size.sum())) + np.repeat(self.places[ids] - starts, size)].tobytes()
+
+
+class Codec:
+    """Ranks, classes and scan tables, held once per task."""
+
+    def __init__(self, rank_file: bytes, classes: np.ndarray):
+        self.ranks = read_ranks(rank_file)
+        self.classes, (self.step, self.cut) = classes, transitions()
+        self.cache, self.tokens = Pieces(self.ranks), Tokens(self.ranks)
+        self.decode = self.tokens.decode
+
     def pieces(self, cps: np.ndarray) -> np.ndarray:
         return piece_starts(symbols(cps, self.classes), self.step, self.cut)
 
@@ -229,20 +250,10 @@ class Codec:
         b = np.append(a[1:], len(buffer)).tolist()
         per_piece, flat = self.cache.of([buffer[i:j] for i, j in zip(a.tolist(), b)])
         per_text = np.bincount(text_of, weights=per_piece, minlength=len(texts)).astype(np.int64)
-        size = self.sizes[flat]
+        size = self.tokens.sizes[flat]
         offsets = np.cumsum(size) - size - np.repeat(at[np.concatenate([[0], stops[:-1] + 1])] if texts else [], per_text)
         return per_text, flat, offsets
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray | None = None) -> bytes | None:
-        """Bytes of the ids; null if one is not in the vocabulary."""
-        if not len(ids):
-            return b""
-        if ids.min() < 0 or ids.max() >= len(self.sizes) or not self.known[ids].all():
-            return None
-        size = self.sizes[ids]
-        starts = np.cumsum(size) - size if offsets is None else offsets
-        return self.bytes[np.arange(int(size.sum())) + np.repeat(self.places[ids] - starts, size)].tobytes()
-
 
 def chunks(text: str, limit: int = CHUNK) -> Iterator[str]:
     """Parts of a text that can be encoded apart: each ends before a space that
@@ -278,11 +289,13 @@ def _lists(counts: np.ndarray, values: np.ndarray, packed: bool) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
-def encode(df: DataFrame, path: str, text_col: str = "text", packed: bool = False, keep_text: bool = True) -> DataFrame:
+def encode(df: DataFrame, path: str, text_col: str = "text", packed: bool = False, keep_text: bool = True, decoded: bool = False) -> DataFrame:
     """Add n_tokens (long), ids and starts (byte offset of each id): arrays of
-    int, or with ``packed`` binaries of little-endian unsigned 32-bit integers."""
+    int, or with ``packed`` binaries of little-endian unsigned 32-bit integers.
+    With ``decoded`` the ids are decoded again in the same task, into a binary."""
     kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType(), False)
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", kind), T.StructField("starts", kind)]
+    fields += [T.StructField("decoded", T.BinaryType())] if decoded else []
     base, schema = _with(df, fields, () if keep_text else (text_col,))
     source = base.withColumn("__bpe_text", df[f"`{text_col}`"]) if keep_text else df.select(*(df[f"`{f.name}`"] for f in base.schema.fields), df[f"`{text_col}`"].alias("__bpe_text"))
     shared = _codec_source(df, path)
@@ -306,7 +319,11 @@ def encode(df: DataFrame, path: str, text_col: str = "text", packed: bool = Fals
                     offsets = offsets + np.repeat(ahead - np.maximum.accumulate(np.where(first, ahead, 0)), per_part)
                 counts = np.bincount(owner, weights=per_part, minlength=hi - lo).astype(np.int64)
                 rest = [batch.column(c).slice(lo, hi - lo) for c in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(counts), _lists(counts, ids, packed), _lists(counts, offsets, packed)], names=schema.names)
+                arrays = [*rest, pa.array(counts), _lists(counts, ids, packed), _lists(counts, offsets, packed)]
+                if decoded:
+                    ends = np.cumsum(counts)
+                    arrays.append(pa.array([codec.decode(ids[e - n:e], offsets[e - n:e]) for e, n in zip(ends.tolist(), counts.tolist())], pa.binary()))
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return source.mapInArrow(run, schema)
 
@@ -330,7 +347,8 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", starts_col: str | Non
     used = [ids_col, *([starts_col] if starts_col else [])]
     base, schema = _with(df, [T.StructField("decoded", T.BinaryType())], tuple(used))
     source = df.select(*(df[f"`{f.name}`"] for f in base.schema.fields), *(df[f"`{c}`"].alias(f"__bpe_{i}") for i, c in enumerate(used)))
-    shared = _codec_source(df, path)
+    with open(path, "rb") as f:
+        shared = df.sparkSession.sparkContext.broadcast(f.read())
 
     def numbers(x) -> np.ndarray:
         if not x.is_valid:
@@ -340,12 +358,12 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", starts_col: str | Non
         return x.values.to_numpy(zero_copy_only=False).astype(np.int64)
 
     def run(batches):
-        codec = Codec(*shared.value)
+        tokens = Tokens(read_ranks(shared.value))
         n = len(schema.names) - 1
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                out = [codec.decode(*(numbers(part.column(n + k)[r]) for k in range(len(used)))) for r in range(part.num_rows)]
+                out = [tokens.decode(*(numbers(part.column(n + k)[r]) for k in range(len(used)))) for r in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in range(n)), pa.array(out, type=pa.binary())], names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -1,42 +1,44 @@
 """Language-model scoring with a log-bilinear neural model.
 
-Tokens are the words of the text with A-Z lower-cased, then one end token. The
-model predicts a word from the word before it (the first from the end token), as
-p(class | context word) * p(word | class, context word), both log-bilinear: the
-context word's representation times the representation of the class, or of the
-word inside its class, plus a bias, normalised by batched products.
-
-Every word seen ``SEEN`` times or more has a representation of its own, as context
-and as word, so the vocabulary follows from the counts. The most frequent words
-are classes of their own, further ones (up to ``HEAD``, the words that every task
-knows) are dealt to bands, all others to buckets by a hash of the word; bucket
-number and size grow with the square root of the vocabulary. Words seen less often
-share one representation per bucket, within which a word has its absolutely
-discounted training frequency, and the words of that bucket never seen in training
-share the discounted mass as one type (the base score treats all of them as one).
-
-All parameters are trained in numpy by noise-contrastive estimation. Class
-representations come from the counts of all adjacent class pairs; then each band
-and bucket fits its words as contexts, and after that as words inside their class,
-in a task of its own on all its counted word pairs (in which a context outside
-HEAD stands for its bucket). Steps are in proportion to the counted pairs.
-
-HEAD only decides the way a word is looked up: pairs of two such words are scored
-where the text is read, from a broadcast table of that size; any other pair is sent
-to the bucket of its context word, its word or both, so every word gets its exact
-count and its own representation.
+Tokens are the words of the text with A-Z lower-cased, then one end token. Every
+word belongs to a class: the most frequent words are classes of their own, all
+others share a class with the words that end alike (a hash of their last
+letters), so that also a word never seen has one. There are as many classes of
+either kind as the square root of the number of distinct words, ``CLASSES`` at
+least. The model gives
+
+    p(word | context) = sum over positions i of weight_i p_i(class | class of the
+                        i-th word before) * p(word | class)
+
+where p_i is log-bilinear: representation of the context class times that of
+the class, plus a bias, normalised over all classes by batched products. Inside
+its class a word has its absolutely discounted training frequency; the discounted
+mass is divided over the class's unseen types, whose number is Chao's estimate
+from the words seen once and twice, dealt evenly over the classes (the base score
+gives every unseen word the chance of a single type).
+
+What is learned comes from all training tokens: counts of all words, and counts
+of the pairs (context class, class) at each position, added up in tasks and then
+by an aggregate. Representations are trained in numpy by noise-contrastive
+estimation, side by side in tasks that hold the pairs of some contexts each;
+after a round, changes are averaged row by row with the rows' counts. Steps are
+in proportion to the counted pairs.
+
+Texts are scored where they are read, with the model and the exact counts of the
+``HEAD`` most frequent words; only the distinct other words of each text are
+joined to their counts. HEAD decides how a count is looked up, not its value.
 
 Inputs: null text counts as empty (one end token); a null id is hashed as the
 empty text; rows that repeat an id are scored one by one; with no training text
-the base score is 0 and the model is uniform. Only the id and text columns are
-read. Empty tables give empty results.
+the base score is 0 and the model is uniform over classes. Only the id and text
+columns are read. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -45,27 +47,22 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from .common import groups, written
-
-CLASSES, HEAD, WIDTH = 1024, 100_000, 16
-#: Count from which a word has a representation of its own; words of a band.
-SEEN, BAND = 5, 256
-#: Distinct words that a task holds before it hands its counts on.
-HELD = 300_000
-#: Training rounds (parameters averaged after each), noise words and pairs of a
-#: step, tasks that train side by side, and passes of each over its pairs.
-ROUNDS, NOISE, STEP, TRAINERS, PASSES = 6, 512, 4096, 6, 2
-#: Pairs and noise words of a step inside a class, and its least steps.
-CLASS_STEP, CLASS_NOISE, CLASS_STEPS = 512, 64, 64
-#: Distinct pairs, and scored pairs, that a task holds before it hands them on.
-PAIRS, SCORED = 2_000_000, 400_000
+
+from .common import written
+
+#: Least number of classes of either kind, width of a representation, words
+#: whose counts every task holds.
+CLASSES, WIDTH, HEAD = 1024, 16, 100_000
+#: Weight of each position: the word before, and the one before that.
+POSITIONS = (0.5, 0.5)
+#: Distinct words, and distinct pairs, that a task holds before it hands its counts on.
+HELD, PAIRS = 300_000, 2_000_000
+#: Training rounds, draws of a round for each distinct pair, draws and noise
+#: classes of a step, least steps of a round, pairs of a trainer.
+ROUNDS, DRAWS, STEP, NOISE, LEAST, SHARE = 4, 1, 4096, 64, 100, 400_000
+#: Models added up at once.
+FAN = 64
 END = b" "  # no word holds a space
-#: Codes of words: their number in the head, or RARE + crc32.
-RARE = 1 << 32
-#: Rows of a block of scored rows: 2^BLOCK.
-BLOCK = 15
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -101,194 +98,170 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Corpus:
-    """Counts of the training tokens; ``modelled`` words are seen SEEN times or
-    more, ``words`` are the HEAD most frequent of them."""
+    """Counts of the training tokens: ``words`` are the HEAD most frequent, the
+    first ``own`` of them are classes of their own, before ``spelled`` others."""
 
     counts: DataFrame
     total: int
     distinct: int
-    modelled: int
     discount: float
+    unseen: float
+    own: int
+    spelled: int
     words: list[bytes]
     numbers: np.ndarray
 
-    def others(self) -> DataFrame:
-        """(word, n) of the words that are not in ``words``."""
-        if not self.words:
-            return self.counts
-        n, last = int(self.numbers[-1]), F.lit(bytearray(self.words[-1]))
-        return self.counts.filter((F.col("n") < n) | (F.col("n") == n) & (F.col("word") > last))
+    @property
+    def classes(self) -> int:
+        return self.own + self.spelled
 
 
-def read_corpus(texts: DataFrame, head: int = HEAD) -> Corpus:
+def read_corpus(texts: DataFrame, head: int = HEAD, classes: int = CLASSES) -> Corpus:
     counts = written(word_counts(texts), "word_counts")
-    once, twice, modelled = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.count_if(F.col("n") >= SEEN)
-    s = counts.agg(F.sum("n").alias("total"), F.count("*").alias("distinct"), once.alias("once"), twice.alias("twice"), modelled.alias("modelled")).first()
-    top = counts.filter(F.col("n") >= SEEN).orderBy(F.desc("n"), "word").limit(head).toArrow()
+    once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    s = counts.agg(F.sum("n").alias("total"), F.count("*").alias("distinct"), once.alias("once"), twice.alias("twice")).first()
+    top = counts.orderBy(F.desc("n"), "word").limit(head).toArrow()
     discount = s.once / (s.once + 2 * s.twice) if s.once and s.twice else 0.5
-    return Corpus(counts, s.total or 0, s.distinct, s.modelled, min(max(discount, 0.1), 0.9), [bytes(w) for w in top.column("word").to_pylist()], top.column("n").to_numpy())
+    unseen = max(s.once * s.once / (2 * s.twice) if s.twice else s.once, 1)
+    size = max(classes, math.isqrt(s.distinct))
+    words = [bytes(w) for w in top.column("word").to_pylist()]
+    return Corpus(counts, s.total or 0, s.distinct, min(max(discount, 0.1), 0.9), unseen, min(size, len(words)), size, words, top.column("n").to_numpy())
 
 
-@dataclass(frozen=True)
-class Layout:
-    """Classes: ``own`` words by themselves, ``bands`` of the other ``head``
-    words, dealt in turn, and ``buckets`` of all words outside the head."""
+def ending(word: bytes) -> bytes:
+    """The last letters of a word, without the marks around it."""
+    return word.strip(b".,!?;:'\"()")[-3:] or word
 
-    head: int
-    own: int
-    bands: int
-    buckets: int
 
-    @classmethod
-    def of(cls, corpus: Corpus, classes: int) -> "Layout":
-        head = len(corpus.words)
-        own = min(head, classes - 1)
-        size = max(BAND, 2 * math.isqrt(corpus.modelled))
-        buckets = max(1, -(-(corpus.modelled - head) // size), -(-(corpus.distinct - head) // (16 * size)))
-        return cls(head, own, -(-(head - own) // BAND), buckets)
-
-    @property
-    def first(self) -> int:
-        """The first bucket's class."""
-        return self.own + self.bands
+class Words(dict):
+    """Word -> its place in ``cls`` (class) and ``n`` (count; -1 if outside the
+    head). Words outside the head are kept until ``HELD`` of them are known."""
 
-    @property
-    def classes(self) -> int:
-        return self.first + self.buckets
+    def __init__(self, words: list[bytes], numbers: np.ndarray, own: int, spelled: int):
+        super().__init__()
+        self.words, self.numbers, self.own, self.spelled = words, numbers, own, spelled
+        self.restart()
 
-    def class_of(self, code: np.ndarray) -> np.ndarray:
-        band = self.own + (code - self.own) % max(self.bands, 1)
-        return np.where(code < self.own, code, np.where(code < RARE, band, self.first + (code - RARE) % self.buckets))
+    def restart(self) -> None:
+        self.clear()
+        self.update(zip(self.words, range(len(self.words))))
+        self.cls = array("q", (k if k < self.own else self.spelled_class(w) for k, w in enumerate(self.words)))
 
-    def local(self, number: np.ndarray) -> np.ndarray:
-        """Number of a head word inside its band."""
-        return (number - self.own) // max(self.bands, 1)
+    def spelled_class(self, word: bytes) -> int:
+        return self.own + crc32(ending(word)) % self.spelled
 
-    def band(self, k: int) -> np.ndarray:
-        return np.arange(k, self.head, self.bands)
+    def __missing__(self, word: bytes) -> int:
+        self[word] = k = len(self.cls)
+        self.cls.append(self.spelled_class(word))
+        return k
 
+    def places(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > len(self.words) + HELD:
+            self.restart()
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
-def codes(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
-    out = np.fromiter((number.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-    rare = np.flatnonzero(out < 0)
-    out[rare] = RARE + np.fromiter((crc32(words[i]) for i in rare.tolist()), dtype=np.int64, count=len(rare))
-    return out
+    def classes(self, places: np.ndarray) -> np.ndarray:
+        return np.frombuffer(self.cls, np.int64)[places] if len(places) else places  # a view, gone before the next word
 
 
-def squeeze(*parts: np.ndarray | bytes) -> bytes:
-    raw = b"".join(p if isinstance(p, bytes) else p.tobytes() for p in parts)
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
+def sequences(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(words of all texts, each after one end for every position; text and place
+    of each token that is predicted)."""
+    words, sizes, lead = [], [], len(POSITIONS)
+    for t in texts:
+        ws = tokens(t)
+        words += [END] * lead
+        words += ws
+        sizes.append(len(ws))
+    sizes = np.array(sizes, dtype=np.int64)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    return words, text, np.arange(int(sizes.sum())) + (text + 1) * lead
 
 
-def unsqueeze(data: bytes) -> bytes:
-    size = int.from_bytes(data[:8], "little")
-    return pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
-
-
-def summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def added(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(key):
         return key, n
     order = np.argsort(key)
     key, n = key[order], n[order]
-    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    return key[starts], np.add.reduceat(n, starts)
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[start], np.add.reduceat(n, start)
 
 
-def counted(packed: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and their counts of rows (m, data) of pair_counts."""
-    keys, n = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-    for m, data in zip(packed.column("m").to_pylist(), packed.column("data").to_pylist()):
-        raw = unsqueeze(data)
-        keys.append(np.cumsum(np.frombuffer(raw, np.int64, m)))
-        n.append(np.frombuffer(raw, np.uint32, m, 8 * m).astype(np.int64))
-    return summed(np.concatenate(keys), np.concatenate(n))
+def _shared(df: DataFrame, corpus: Corpus):
+    """The head's words and counts (HEAD at most) for the tasks."""
+    return df.sparkSession.sparkContext.broadcast((corpus.words, corpus.numbers, corpus.own, corpus.spelled))
 
 
-def pair_counts(texts: DataFrame, words: list[bytes], lay: Layout, trainers: int) -> DataFrame:
-    """(kind, class, m, data): counts of adjacent pairs, packed by class. Kind 0
-    has class pairs (context * classes + class) by trainer, kind 1 pairs of a
-    context word outside the own classes and a class by the context's class, kind
-    2 pairs of a word outside the own classes and its context by the word's class."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)  # HEAD words at most
+def pair_counts(texts: DataFrame, corpus: Corpus) -> DataFrame:
+    """(position, context, cls, n) over all tokens of ``texts`` (text: binary)."""
+    shared, classes, names = _shared(texts, corpus), corpus.classes, ["position", "context", "cls", "n"]
 
     def run(batches):
-        number = {w: k for k, w in enumerate(shared.value)}
-        held = {k: (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)) for k in range(3)}
-        fresh: dict[int, list] = {k: [] for k in range(3)}
+        known = Words(*shared.value)
+        empty = np.zeros(0, dtype=np.int64)
+        held, fresh = [(empty, empty) for _ in POSITIONS], [[] for _ in POSITIONS]
+
+        def fold(i):
+            key = np.concatenate([empty, *fresh[i]])
+            fresh[i] = []
+            key, n = added(key, np.ones(len(key), dtype=np.int64))
+            return added(np.concatenate([held[i][0], key]), np.concatenate([held[i][1], n]))
 
-        def fold(k):
-            key = np.concatenate(fresh[k] or [np.zeros(0, dtype=np.int64)])
-            fresh[k] = []
-            return summed(np.concatenate([held[k][0], key]), np.concatenate([held[k][1], np.ones(len(key), dtype=np.int64)]))
+        def rows(i):
+            key, n = held[i]
+            held[i] = (empty, empty)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), i, dtype=np.int32)), pa.array((key // classes).astype(np.int32)), pa.array((key % classes).astype(np.int32)), pa.array(n)], names=names)
 
         for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                ws = [END]  # an end precedes each text's first token
-                for t in b.column(0).slice(lo, 512).to_pylist():
-                    ws.extend(tokens(t))
-                code = codes(ws, number)
-                cl = lay.class_of(code)
-                h, w = cl[:-1], cl[1:]
-                fresh[0].append(h * lay.classes + w)
-                many = h >= lay.own
-                fresh[1].append(code[:-1][many] << 24 | w[many])
-                many = w >= lay.own
-                context = np.where(code[:-1] < RARE, code[:-1], lay.head + h - lay.first)
-                fresh[2].append(code[1:][many] << 30 | context[many])
-                for k in range(3):
-                    if sum(map(len, fresh[k])) >= PAIRS // 2:
-                        held[k] = fold(k)
-                        if len(held[k][0]) >= PAIRS:
-                            yield from packed(k, *held[k])
-                            held[k] = (held[k][0][:0], held[k][1][:0])
-        for k in range(3):
-            yield from packed(k, *fold(k))
-
-    def packed(kind, key, n):
-        if kind == 0:
-            cl = (key // lay.classes * 31 + key % lay.classes) % trainers
-        else:
-            cl = lay.class_of(key >> (24 if kind == 1 else 30))
-        order = np.argsort(cl, kind="stable")
-        key, n, cl = key[order], n[order].astype(np.uint32), cl[order]
-        runs = list(groups(cl))
-        for lo in range(0, len(runs), 256):
-            part = runs[lo:lo + 256]
-            data = [squeeze(np.diff(key[i:j], prepend=0), n[i:j]) for i, j in part]
-            cols = [pa.array([kind] * len(part), pa.int32()), pa.array([int(cl[i]) for i, _ in part], pa.int32()), pa.array([j - i for i, j in part], pa.int64()), pa.array(data, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=["kind", "class", "m", "data"])
-
-    return texts.mapInArrow(run, "kind int, class int, m long, data binary")
+            for lo in range(0, b.num_rows, 256):
+                words, _, at = sequences(b.column(0).slice(lo, 256).to_pylist())
+                place = known.places(words)
+                cls = known.classes(place)
+                for i in range(len(POSITIONS)):
+                    fresh[i].append(cls[at - 1 - i] * classes + cls[at])
+                    if sum(map(len, fresh[i])) >= PAIRS:
+                        held[i] = fold(i)
+                        if len(held[i][0]) >= PAIRS:
+                            yield rows(i)
+        for i in range(len(POSITIONS)):
+            held[i] = fold(i)
+            yield rows(i)
+
+    counted = texts.mapInArrow(run, "position int, context int, cls int, n long")
+    return counted.groupBy("position", "context", "cls").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Model:
-    r: np.ndarray  # classes x width: word representations
-    c: np.ndarray  # width x width: maps a context word to the predicted representation
-    b: np.ndarray  # classes
-
-    def log_probabilities(self) -> np.ndarray:
-        """log10 p(class | context), contexts x classes, by batched products."""
-        out = np.empty((len(self.b), len(self.b)), dtype=np.float32)
-        for lo in range(0, len(self.b), 256):
-            s = (self.r[lo:lo + 256] @ self.c) @ self.r.T + self.b
-            top = s.max(axis=1, keepdims=True)
-            out[lo:lo + 256] = (s - top - np.log(np.exp(s - top).sum(axis=1, keepdims=True))) / np.log(10)
-        return out
+    """Representations of contexts and classes (classes x width) and biases."""
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.r.ravel(), self.c.ravel(), self.b])
+    q: np.ndarray
+    r: np.ndarray
+    b: np.ndarray
 
-    @classmethod
-    def of(cls, flat: np.ndarray, classes: int, width: int) -> "Model":
-        a, b = classes * width, classes * width + width * width
-        return cls(flat[:a].reshape(classes, width), flat[a:b].reshape(width, width), flat[b:])
+    def parts(self) -> list[np.ndarray]:
+        return [self.q, self.r, self.b]
+
+    def scores(self, lo: int, hi: int) -> np.ndarray:
+        return self.q[lo:hi] @ self.r.T + self.b
 
+    def log_norms(self) -> np.ndarray:
+        """Logarithm of the sum over all classes, for each context."""
+        out = np.empty(len(self.q))
+        for lo in range(0, len(out), 256):
+            s = self.scores(lo, lo + 256).astype(np.float64)
+            top = s.max(axis=1)
+            out[lo:lo + 256] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+        return out
 
-def unigram(corpus: Corpus, lay: Layout) -> np.ndarray:
-    n = np.bincount(lay.class_of(np.arange(lay.head)), weights=corpus.numbers, minlength=lay.classes).astype(np.float64)
-    n[lay.first:] = max(corpus.total - n.sum(), 1) / lay.buckets  # buckets are cut by a hash
-    return n / n.sum()
+    def log_probabilities(self, context: np.ndarray, cls: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", self.q[context], self.r[cls]).astype(np.float64) + self.b[cls] - norms[context]
+
+    @classmethod
+    def start(cls, noise: np.ndarray, width: int, seed: int) -> "Model":
+        rng = np.random.default_rng(seed)
+        q, r = (rng.normal(0, 0.05, (len(noise), width)).astype(np.float32) for _ in range(2))
+        return cls(q, r, np.log(noise).astype(np.float32))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -298,392 +271,213 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def nce_steps(model: Model, context: np.ndarray, word: np.ndarray, n: np.ndarray, noise: np.ndarray, rng: np.random.Generator, rate: float) -> None:
+def nce_steps(model: Model, context: np.ndarray, cls: np.ndarray, n: np.ndarray, noise: np.ndarray, steps: int, rate: float, seed: int) -> None:
     """Noise-contrastive estimation in place: pairs are drawn by their counts;
-    each is told from ``NOISE`` words drawn from ``noise``, shared by a step."""
-    upto, params = np.cumsum(n), [model.r, model.c, model.b]
-    noise_upto, log_noise = np.cumsum(noise), (np.log(np.maximum(noise, 1e-12)) + np.log(NOISE)).astype(model.b.dtype)
+    each is told from ``NOISE`` classes drawn from ``noise``, shared by a step.
+    Gradients are smoothed by their moments (Adam)."""
+    rng, upto, noise_upto = np.random.default_rng(seed), np.cumsum(n), np.cumsum(noise)
+    expected = (np.log(noise) + math.log(NOISE)).astype(np.float32)
+    params = model.parts()
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for t in range(1, PASSES * -(-len(n) // STEP) + 1):
-        pick = np.minimum(np.searchsorted(upto, rng.random(min(STEP, len(n))) * upto[-1], side="right"), len(n) - 1)
-        h, w = context[pick], word[pick]
+    for t in range(1, steps + 1):
+        pick = np.minimum(np.searchsorted(upto, rng.random(STEP) * upto[-1], side="right"), len(n) - 1)
         v = np.minimum(np.searchsorted(noise_upto, rng.random(NOISE) * noise_upto[-1], side="right"), len(noise) - 1)
-        rh = model.r[h]
-        q = rh @ model.c
-        true = sigmoid((q * model.r[w]).sum(1) + model.b[w] - log_noise[w]) - 1
-        false = sigmoid(q @ model.r[v].T + model.b[v] - log_noise[v])
-        scale = 1 / len(h)
-        dq = true[:, None] * model.r[w] + false @ model.r[v]
-        grads = [np.zeros_like(model.r), rh.T @ dq * scale, np.zeros_like(model.b)]
-        np.add.at(grads[0], w, true[:, None] * q * scale)
-        np.add.at(grads[0], v, false.T @ q * scale)
-        np.add.at(grads[0], h, dq @ model.c.T * scale)
-        np.add.at(grads[2], w, true * scale)
-        np.add.at(grads[2], v, false.sum(0) * scale)
-        for p, g, m, s in zip(params, grads, first, second):
+        h, w = context[pick], cls[pick]
+        q, r, s = model.q[h], model.r[w], model.r[v]
+        true = sigmoid(np.einsum("ij,ij->i", q, r) + model.b[w] - expected[w]) - 1
+        false = sigmoid(q @ s.T + (model.b[v] - expected[v]))
+        grads = [np.zeros_like(p) for p in params]
+        np.add.at(grads[0], h, true[:, None] * r + false @ s)
+        np.add.at(grads[1], w, true[:, None] * q)
+        np.add.at(grads[1], v, false.T @ q)
+        np.add.at(grads[2], w, true)
+        np.add.at(grads[2], v, false.sum(0))
+        for p, g, m, s2 in zip(params, grads, first, second):
+            g /= STEP
             m += 0.1 * (g - m)
-            s += 0.01 * (g * g - s)
-            p -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-8)
+            s2 += 0.01 * (g * g - s2)
+            p -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s2 / (1 - 0.99 ** t)) + 1e-8)
+
+
+def _summed(changes: DataFrame) -> DataFrame:
+    """Sums of the packed arrays (position, part, data) by position, ``FAN`` at a
+    time, so that no task holds more than that many models."""
+    schema, parts = "position int, part int, data binary", (changes.agg(F.max("part")).first()[0] or 0) + 1
+
+    def add(key: tuple, t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer(), np.float64) for x in t.column("data"))
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["position", "part", "data"])
+
+    while parts > 1:
+        changes = changes.withColumn("part", F.floor(F.col("part") / FAN).cast("int")).groupBy("position", "part").applyInArrow(add, schema)
+        parts = -(-parts // FAN)
+    return changes
+
+
+def _trainer(shared, rate: float, k: int):
+    """A round's work of one trainer: its pairs, as columns position, part,
+    context, cls and n, to the weighted changes of the model and the weights."""
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        before, noise = shared.value
+        i, part = key[0].as_py(), key[1].as_py()
+        order = np.lexsort((t.column("cls").to_numpy(), t.column("context").to_numpy()))
+        context, cls, n = (t.column(c).to_numpy()[order] for c in ("context", "cls", "n"))
+        model = Model(*(p.copy() for p in before[i].parts()))
+        nce_steps(model, context, cls, n.astype(np.float64), noise, max(LEAST, DRAWS * len(n) // STEP), rate, seed=1000 * k + part)
+        drawn, all_ = np.bincount(context, weights=n, minlength=len(noise)) + 1e-9, np.full(len(noise), float(n.sum()))
+        changes = [(a.astype(np.float64) - b) * (w if a.ndim == 1 else w[:, None]) for a, b, w in zip(model.parts(), before[i].parts(), (drawn, all_, all_))]
+        data = np.concatenate([*map(np.ravel, changes), drawn, all_]).tobytes()
+        return pa.table([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([data], pa.binary())], names=["position", "part", "data"])
+
+    return run
+
+
+def train(pairs: DataFrame, noise: np.ndarray, width: int = WIDTH, rounds: int = ROUNDS) -> list[Model]:
+    """A model for each position. A trainer has all pairs of its contexts; a
+    round's changes are averaged by how often each trainer drew from a row."""
+    sc, classes = pairs.sparkSession.sparkContext, len(noise)
+    models = [Model.start(noise, width, i) for i in range(len(POSITIONS))]
+    trainers = max(1, -(-pairs.count() // (len(POSITIONS) * SHARE)))
+    dealt = written(pairs.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(trainers)).cast("int")), "dealt_pairs")
+    for k in range(rounds):
+        work = _trainer(sc.broadcast((models, noise)), 0.02 * (1 - k / rounds), k)
+        changes = written(dealt.groupBy("position", "part").applyInArrow(work, "position int, part int, data binary"), "changes")
+        for row in _summed(changes).collect():  # one model a position
+            x, at = np.frombuffer(row.data, np.float64), 0
+            drawn, all_ = x[-2 * classes:-classes], x[-classes:]
+            for p, w in zip(models[row.position].parts(), (drawn, all_, all_)):
+                p += (x[at:at + p.size].reshape(p.shape) / (w if p.ndim == 1 else w[:, None])).astype(np.float32)
+                at += p.size
+    return models
+
+
+def class_sums(corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and distinct words of each class, over all counted words."""
+    shared, classes = _shared(corpus.counts, corpus), corpus.classes
 
+    def run(batches):
+        known = Words(*shared.value)
+        n, types = np.zeros(classes, dtype=np.int64), np.zeros(classes, dtype=np.int64)
+        for b in batches:
+            cls = known.classes(known.places(b.column(0).to_pylist()))
+            np.add.at(n, cls, b.column(1).to_numpy())
+            types += np.bincount(cls, minlength=classes)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes, dtype=np.int32)), pa.array(n), pa.array(types)], names=["cls", "n", "types"])
 
-def train(pairs: DataFrame, noise: np.ndarray, classes: int, width: int = WIDTH, rounds: int = ROUNDS) -> Model:
-    """Rounds of side-by-side training in tasks, each on its share of the class
-    pairs (rows of kind 0); after a round the parameters are averaged by weight."""
-    rng = np.random.default_rng(0)
-    model = Model(*(x.astype(np.float32) for x in (rng.normal(0, 0.05, (classes, width)), np.eye(width) * 0.5, np.log(np.maximum(noise, 1e-12)))))
-    sc = pairs.sparkSession.sparkContext
+    sums = corpus.counts.select("word", "n").mapInArrow(run, "cls int, n long, types long").groupBy("cls").agg(F.sum("n").alias("n"), F.sum("types").alias("types"))
+    out = np.zeros((2, classes), dtype=np.int64)
+    for r in sums.collect():  # one row a class
+        out[:, r.cls] = r.n, r.types
+    return out[0], out[1]
 
-    def merge(key: tuple, t: pa.Table) -> pa.Table:
-        k, n = counted(t)
-        return pa.table({"m": pa.array([len(k)], pa.int64()), "data": pa.array([squeeze(k, n)], pa.binary())})
 
-    held = written(pairs.filter("kind = 0").groupBy("class").applyInArrow(merge, "m long, data binary"), "class_pairs")
-    for k in range(rounds):
-        shared = sc.broadcast(model.flat())
-        rate = 0.02 * (1 - k / rounds)
-
-        def run(batches, shared=shared, rate=rate, k=k):
-            for b in batches:
-                for m, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    raw = unsqueeze(data)
-                    pair, n = np.frombuffer(raw, np.int64, m), np.frombuffer(raw, np.int64, m, 8 * m).astype(np.float64)
-                    own = Model.of(shared.value.copy(), classes, width)
-                    nce_steps(own, pair // classes, pair % classes, n, noise, np.random.default_rng([k, int(pair[0])]), rate)
-                    yield pa.RecordBatch.from_arrays([pa.array([float(n.sum())]), pa.array([own.flat().tobytes()], pa.binary())], names=["weight", "model"])
-
-        found = held.mapInArrow(run, "weight double, model binary").collect()  # one row per trainer
-        if found:
-            total = sum(x.weight for x in found)
-            model = Model.of(sum(np.frombuffer(x.model, np.float32) * np.float32(x.weight / total) for x in found), classes, width)
-        shared.unpersist()
-    return model
-
-
-def class_steps(n: np.ndarray, noise: np.ndarray, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """(pairs drawn by their counts, noise, falling rate) of each step in a class."""
-    upto, noise_upto = np.cumsum(n), np.cumsum(noise)
-    steps = max(CLASS_STEPS, -(-len(n) // CLASS_STEP)) if len(n) else 0
-    for t in range(steps):
-        pick = np.minimum(np.searchsorted(upto, rng.random(min(CLASS_STEP, len(n))) * upto[-1], side="right"), len(n) - 1)
-        yield pick, np.minimum(np.searchsorted(noise_upto, rng.random(CLASS_NOISE) * noise_upto[-1], side="right"), len(noise) - 1), 0.2 * (1 - t / steps)
-
-
-def log_noise(noise: np.ndarray) -> np.ndarray:
-    return (np.log(np.maximum(noise, 1e-12)) + np.log(CLASS_NOISE)).astype(np.float32)
-
-
-def row_sums(at: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
-    out = np.zeros((rows, values.shape[1]), dtype=np.float32)
-    np.add.at(out, at, values)
-    return out
-
-
-def fit_contexts(e: np.ndarray, model: Model, context: np.ndarray, cl: np.ndarray, n: np.ndarray, noise: np.ndarray, rng: np.random.Generator) -> None:
-    """Context representations ``e`` in place, told by the classes that follow.
-    Steps shrink with a row's past gradients, so little-seen words stay near
-    where they began."""
-    shift, past = log_noise(noise), np.ones_like(e)
-    for pick, v, rate in class_steps(n, noise, rng):
-        h, w = context[pick], cl[pick]
-        q, out = e[h], model.r[w]
-        true = sigmoid((q * out).sum(1) + model.b[w] - shift[w]) - 1
-        false = sigmoid(q @ model.r[v].T + (model.b[v] - shift[v]))
-        g = row_sums(h, true[:, None] * out + false @ model.r[v], len(e))
-        past += g * g
-        e -= rate * g / np.sqrt(past)
-
-
-def fit_words(u: np.ndarray, b: np.ndarray, contexts: np.ndarray, context: np.ndarray, word: np.ndarray, n: np.ndarray, noise: np.ndarray, rng: np.random.Generator) -> None:
-    """Word representations and biases of a class in place, given its contexts."""
-    shift, both = log_noise(noise), np.hstack([u, b[:, None]])
-    past = np.ones_like(both)
-    for pick, v, rate in class_steps(n, noise, rng):
-        w = word[pick]
-        q = np.hstack([contexts[context[pick]], np.ones((len(pick), 1), dtype=np.float32)])
-        true = sigmoid((q * both[w]).sum(1) - shift[w]) - 1
-        false = sigmoid(q @ both[v].T - shift[v])
-        g = row_sums(w, true[:, None] * q, len(both)) + row_sums(v, false.T @ q, len(both))
-        past += g * g
-        both -= rate * g / np.sqrt(past)
-    u[:], b[:] = both[:, :-1], both[:, -1]
-
-
-def bucket_words(words: list[bytes], n: np.ndarray) -> tuple[dict[bytes, int], np.ndarray, int, int]:
-    """Of a bucket: number of each modelled word (0 are all others), counts by
-    number, and count and types of the others."""
-    known = np.flatnonzero(n >= SEEN)
-    rest = int(n.sum() - n[known].sum())
-    return {words[i]: k + 1 for k, i in enumerate(known.tolist())}, np.append(max(rest, 1), n[known]), rest, len(n) - len(known)
-
-
-FITTED = "class int, words array<binary>, n array<long>, e binary"
-
-
-def fit_classes(pairs: DataFrame, corpus: Corpus, lay: Layout, model: Model, noise: np.ndarray) -> tuple[DataFrame, np.ndarray]:
-    """(class, words, n, e, u, b) of every band and bucket: a bucket's words with
-    their counts, and the representations; and those of the head as contexts."""
-    sc = pairs.sparkSession.sparkContext
-    start = (model.r @ model.c).astype(np.float32)
-    shared, width = sc.broadcast((model.r, model.c, model.b, noise)), len(model.c)
-
-    def places(k: int, code: np.ndarray, index: dict[bytes, int]) -> np.ndarray:
-        if k < lay.first:
-            return lay.local(code)
-        if not index:
-            return np.zeros(len(code), dtype=np.int64)
-        crc = np.array([RARE + crc32(w) for w in index], dtype=np.int64)
-        order = np.argsort(crc)
-        at = np.minimum(np.searchsorted(crc[order], code), len(crc) - 1)
-        return np.where(crc[order][at] == code, order[at] + 1, 0)
-
-    def contexts(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        r, c, b, noise = shared.value
-        k, (keys, n) = key[0].as_py(), counted(left)
-        words, counts = [bytes(w) for w in right.column("word").to_pylist()], right.column("n").to_numpy()
-        index, numbers, _, _ = bucket_words(words, counts)
-        e = np.repeat((r[k] @ c)[None, :], len(lay.band(k)) if k < lay.first else len(numbers), axis=0).astype(np.float32)
-        fit_contexts(e, Model(r, c, b), places(k, keys >> 24, index), keys & (1 << 24) - 1, n, noise, np.random.default_rng([1, k]))
-        return pa.table([pa.array([k], pa.int32()), pa.array([words], pa.list_(pa.binary())), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([e.astype(np.float16).tobytes()], pa.binary())], names=["class", "words", "n", "e"])
-
-    bucket = (lay.first + F.crc32("word") % lay.buckets).cast("int")
-    others = corpus.others().select(bucket.alias("class"), "word", "n")
-    fitted = written(pairs.filter("kind = 1").groupBy("class").cogroup(others.groupBy("class")).applyInArrow(contexts, FITTED), "contexts")
-    head = start[lay.class_of(np.arange(lay.head))].reshape(lay.head, width)
-    for x in fitted.filter(F.col("class") < lay.first).select("class", "e").collect():  # HEAD representations at most
-        head[lay.band(x["class"])] = np.frombuffer(x.e, np.float16).reshape(-1, width)
-    known = sc.broadcast((np.vstack([head, start[lay.first:]]), corpus.numbers))
-
-    def inner(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        e, numbers = known.value
-        k, (keys, n) = key[0].as_py(), counted(left)
-        row = right.select(["class", "words", "n", "e"]).to_pylist()[0] if right.num_rows else {"class": k, "words": [], "n": [], "e": b""}
-        index = {}
-        if k < lay.first:
-            own = numbers[lay.band(k)].astype(np.float64)
-        else:
-            index, own, _, _ = bucket_words(row["words"], np.array(row["n"], dtype=np.int64))
-        share = own / own.sum()
-        u, b = np.zeros((len(own), width), dtype=np.float32), np.log(share).astype(np.float32)
-        fit_words(u, b, e, keys & (1 << 30) - 1, places(k, keys >> 30, index), n, share, np.random.default_rng([2, k]))
-        row |= {"u": u.tobytes(), "b": b.tobytes()}
-        return pa.Table.from_pylist([row], schema=pa.schema([("class", pa.int32()), ("words", pa.list_(pa.binary())), ("n", pa.list_(pa.int64())), ("e", pa.binary()), ("u", pa.binary()), ("b", pa.binary())]))
-
-    return written(pairs.filter("kind = 2").groupBy("class").cogroup(fitted.groupBy("class")).applyInArrow(inner, f"{FITTED}, u binary, b binary"), "classes"), head
-
-
-def log_norms(e: np.ndarray, out: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Log of the sum of exp(e . out + b) for each row of ``e``."""
-    z = np.empty(len(e), dtype=np.float32)
-    for lo in range(0, len(e), 1024):
-        s = e[lo:lo + 1024] @ out.T + b
-        top = s.max(axis=1)
-        s -= top[:, None]
-        z[lo:lo + 1024] = top + np.log(np.exp(s, out=s).sum(axis=1))
-    return z
-
-
-def log_inside(e: np.ndarray, u: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Log of p(word | class, context) for contexts ``e`` and words ``w``."""
-    return (e * u[w]).sum(1) + b[w] - log_norms(e, u, b)
-
-
-def score(df: DataFrame, id_col: str, text_col: str, corpus: Corpus, lay: Layout, model: Model, fitted: DataFrame, contexts: np.ndarray) -> DataFrame:
+@dataclass(frozen=True)
+class Inside:
+    """p(word | class) by the word's count: class sums, discount, unseen types
+    of a spelled class. A class of its own holds one word for certain."""
+
+    n: np.ndarray
+    types: np.ndarray
+    discount: float
+    unseen: float
+    own: int
+
+    def log10(self, cls: np.ndarray, count: np.ndarray) -> np.ndarray:
+        n, types = self.n[cls], self.types[cls]
+        seen = np.maximum(count - self.discount, 1e-300) / np.maximum(n, 1)
+        new = np.where(n > 0, self.discount * types / np.maximum(n, 1), 1.0) / self.unseen
+        return np.where(cls < self.own, 0.0, np.log10(np.where(count > 0, seen, new)))
+
+
+def score(df: DataFrame, id_col: str, text_col: str, corpus: Corpus, models: list[Model], inside: Inside) -> DataFrame:
     """(id, n_tokens, n_known, base_score, score) for every row."""
-    all_types, width = corpus.total + corpus.distinct + 1, len(model.c)
-    bands = {x["class"]: (np.frombuffer(x.u, np.float32).reshape(-1, width), np.frombuffer(x.b, np.float32)) for x in fitted.filter(F.col("class") < lay.first).select("class", "u", "b").collect()}
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    id_type = src.schema[0].dataType
-    sc = src.sparkSession.sparkContext
-    start = (model.r[lay.first:] @ model.c).astype(np.float32)
-    shared = sc.broadcast((contexts, log_norms(contexts, model.r, model.b), model.r, model.b, bands, start))  # HEAD words at most
-    heads = sc.broadcast((corpus.words, corpus.numbers))
-    sent = "kind int, key long, m long, data binary, words binary, more binary"
-    schema = T.StructType([*T.StructType.fromDDL(sent).fields, T.StructField("id", id_type), *T.StructType.fromDDL("row int, n_tokens long, n_head long, base double, inside double").fields])
-
-    def head_words(e, w):
-        """Log p(w | class) for head words outside the own classes."""
-        out, cl = np.zeros(len(w), dtype=np.float32), lay.class_of(w)
-        order = np.argsort(cl, kind="stable")
-        order = order[np.searchsorted(cl[order], lay.own):]
-        for i, j in groups(cl[order]) if len(order) else ():
-            at = order[i:j]
-            out[at] = log_inside(e[at], *shared.value[4][int(cl[at[0]])], lay.local(w[at]))
-        return out
+    source = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+    sc, shared = df.sparkSession.sparkContext, _shared(df, corpus)
+    fitted = sc.broadcast((models, [m.log_norms() for m in models], inside))
+    possible = corpus.total + corpus.distinct + 1
+    fields = "row long, id {}, n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,times:int,fresh:double>>".format(source.schema["id"].dataType.simpleString())
+    names = ["row", "id", "n_tokens", "n_known", "base", "score", "rare"]
+    rare_type = pa.struct([("word", pa.binary()), ("times", pa.int32()), ("fresh", pa.float64())])
 
-    def to_buckets(kind, names, key, columns, words, more=None):
-        """Rows by bucket: columns packed as numbers, words as lines."""
-        order = np.argsort(key, kind="stable")
-        rows = []
-        for i, j in groups(key[order]):
-            at = order[i:j]
-            lines = lambda x: squeeze(b"\n".join([x[k] for k in at.tolist()]))
-            rows.append((kind, int(key[at[0]]), j - i, squeeze(*(np.ascontiguousarray(c[at]) for c in columns)), lines(words), lines(more) if more is not None else None))
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        cols = [pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)]
-        return pa.RecordBatch.from_arrays(cols + [pa.nulls(len(rows), t) for t in names[1]], names=[*sent_names, *names[0]])
-
-    sent_names = ["kind", "key", "m", "data", "words", "more"]
-    own_names = (schema.names[6:], [_arrow(f.dataType) for f in schema.fields[6:]])
+    def run(batches):
+        models, norms, inside = fitted.value
+        known, numbers, row = Words(*shared.value), shared.value[1], TaskContext.get().partitionId() << 33
+        head = len(numbers)
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                texts = b.column(1).slice(lo, 256)
+                words, text, at = sequences(texts.to_pylist())
+                place = known.places(words)
+                cls = known.classes(place)
+                chance = np.zeros(len(at))
+                for i, (m, z, weight) in enumerate(zip(models, norms, POSITIONS)):
+                    chance += weight * np.exp(m.log_probabilities(cls[at - 1 - i], cls[at], z))
+                place, cls = place[at], cls[at]
+                common = place < head
+                count = numbers[place[common]] if head else np.zeros(0, dtype=np.int64)
+                lp, base = np.log10(np.maximum(chance, 1e-300)), np.zeros(len(at))
+                lp[common] += inside.log10(cls[common], count)
+                base[common] = np.log10((count + 1) / possible)
+                size = len(texts)
+                add = lambda x: np.bincount(text, weights=x, minlength=size)
+                # distinct other words of each text, with what each is worth if it was never seen
+                other = np.flatnonzero(~common)
+                key, times = added(text[other] << 40 | place[other], np.ones(len(other), dtype=np.int64))
+                spot = key & (1 << 40) - 1
+                name = {int(p): words[a] for p, a in zip(place[other], at[other])}
+                fresh = inside.log10(known.classes(spot), np.zeros(len(spot)))
+                flat = pa.StructArray.from_arrays([pa.array([name[p] for p in spot.tolist()], pa.binary()), pa.array(times.astype(np.int32)), pa.array(fresh)], fields=list(rare_type))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(key >> 40, minlength=size))]).astype(np.int32)
+                arrays = [pa.array(np.arange(row, row + size)), b.column(0).slice(lo, 256), pa.array(np.bincount(text, minlength=size)), pa.array(add(common).astype(np.int64)), pa.array(add(base)), pa.array(add(lp)), pa.ListArray.from_arrays(pa.array(ends), flat)]
+                row += size
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    read = written(source.mapInArrow(run, fields), "scored")
+    valued = written(_valued(corpus, inside), "valued_words")
+    rare = read.select("row", F.explode("rare").alias("w")).select("row", "w.word", "w.times", "w.fresh")
+    met = rare.join(valued, "word", "left")
+    n = F.coalesce("n", F.lit(0))
+    sums = met.groupBy("row").agg(
+        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(possible)))).alias("more_base"),
+        F.sum(F.col("times") * F.coalesce("value", "fresh")).alias("more"),
+    )
+    out = read.drop("rare").join(sums, "row", "left")
+    plus = lambda a, b: F.col(a) + F.coalesce(F.col(b), F.lit(0))
+    known = plus("n_known", "known").cast("long").alias("n_known")
+    return out.select(F.col("id").alias(id_col), "n_tokens", known, plus("base", "more_base").alias("base_score"), plus("score", "more").alias("score"))
+
+
+def _valued(corpus: Corpus, inside: Inside) -> DataFrame:
+    """(word, n, value) of the words outside the head: log10 p(word | class)."""
+    shared, fitted = _shared(corpus.counts, corpus), corpus.counts.sparkSession.sparkContext.broadcast(inside)
 
     def run(batches):
-        words, numbers = heads.value
-        e, z, r, b, _, _ = shared.value
-        number = {w: i for i, w in enumerate(words)}
-        base = np.log10((numbers + 1) / all_types) if len(numbers) else np.zeros(0)
-        part, done = TaskContext.get().partitionId() << 24, 0
-        by_context, by_word = [], []  # pairs with a context outside the head; with a word only
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                rows = batch.slice(lo, 512)
-                ws, sizes = [END], []
-                for t in rows.column(1).to_pylist():
-                    x = tokens(t)
-                    ws.extend(x)
-                    sizes.append(len(x))
-                sizes = np.array(sizes)
-                doc, count = np.repeat(np.arange(len(sizes)), sizes), len(sizes)
-                code = codes(ws, number)
-                h, w = code[:-1], code[1:]
-                head = w < RARE
-                lp = np.zeros(len(w))
-                at = np.flatnonzero((h < RARE) & head)
-                cl, eh = lay.class_of(w[at]), e[h[at]]
-                lp[at] = (eh * r[cl]).sum(1) + b[cl] - z[h[at]] + head_words(eh, w[at])
-                place = done + np.arange(count)
-                block, row = part | place >> BLOCK, place & (1 << BLOCK) - 1
-                given = np.zeros(len(w))
-                given[head] = base[w[head]]
-                sums = lambda x: np.bincount(doc, weights=x, minlength=count)
-                cols = [pa.array(np.zeros(count, dtype=np.int32)), pa.array(block), *(pa.nulls(count, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary())), rows.column(0), pa.array(row.astype(np.int32)), pa.array(sizes),
-                        pa.array(sums(head).astype(np.int64)), pa.array(sums(given)), pa.array(sums(lp) / math.log(10))]
-                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
-                done += count
-                where = block[doc] << BLOCK | row[doc]
-                at = np.flatnonzero(h >= RARE)
-                by_context.append((where[at], h[at], w[at], [ws[i] for i in at.tolist()], [b"" if head[i] else ws[i + 1] for i in at.tolist()]))
-                at = np.flatnonzero((h < RARE) & ~head)
-                by_word.append((where[at], h[at], w[at], [ws[i + 1] for i in at.tolist()], None))
-                if sum(len(x[0]) for x in by_context + by_word) >= SCORED:
-                    yield from handed(by_context, by_word)
-                    by_context, by_word = [], []
-        yield from handed(by_context, by_word)
-
-    def handed(by_context, by_word):
-        for kind, held in ((1, by_context), (2, by_word)):
-            where, h, w = (np.concatenate([x[k] for x in held] or [np.zeros(0, dtype=np.int64)]) for k in range(3))
-            if len(where):
-                first = [t for x in held for t in x[3]]
-                if kind == 1:
-                    yield to_buckets(1, own_names, lay.class_of(h), [where, w], first, [t for x in held for t in x[4]])
-                else:
-                    none = np.zeros((len(where), 0), dtype=np.float16)
-                    yield to_buckets(2, own_names, lay.class_of(w), [where, h, none], first)
-
-    def entries(table):
-        for m, data, words, more in zip(*(table.column(c).to_pylist() for c in ("m", "data", "words", "more"))):
-            raw = unsqueeze(data)
-            where, code = np.frombuffer(raw, np.int64, m), np.frombuffer(raw, np.int64, m, 8 * m)
-            yield where, code, raw[16 * m:], unsqueeze(words).split(b"\n"), unsqueeze(more).split(b"\n") if more is not None else None
-
-    def results(where, lp, seen):
-        """Rows (block, packed row numbers, logs, counts): -1 is no new token."""
-        block = where >> BLOCK
-        order = np.argsort(block, kind="stable")
-        rows = []
-        for i, j in groups(block[order]):
-            at = order[i:j]
-            rows.append((3, int(block[at[0]]), j - i, squeeze((where[at] & (1 << BLOCK) - 1).astype(np.int32), lp[at].astype(np.float32), seen[at].astype(np.int64))))
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-        cols = [pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [()] * 4, kinds)]
-        return pa.RecordBatch.from_arrays([*cols, pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.binary())], names=sent_names)
-
-    def bucket_row(right, k):
-        if not right.num_rows:
-            return [], np.zeros(0, dtype=np.int64), shared.value[5][[k - lay.first]], np.zeros((1, width), dtype=np.float32), np.zeros(1, dtype=np.float32)
-        x = right.select(["words", "n", "e", "u", "b"]).to_pylist()[0]
-        e = np.frombuffer(x["e"], np.float16).reshape(-1, width).astype(np.float32)
-        return x["words"], np.array(x["n"], dtype=np.int64), e, np.frombuffer(x["u"], np.float32).reshape(-1, width), np.frombuffer(x["b"], np.float32)
-
-    def contexts_met(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        _, _, r, b, _, _ = shared.value
-        words, n, e, _, _ = bucket_row(right, key[0].as_py())
-        e = e.astype(np.float16).astype(np.float32)  # as it travels
-        index, z, out = bucket_words(words, n)[0], log_norms(e, r, b), []
-        for where, w, _, hs, ws in entries(left):
-            at = np.fromiter((index.get(x, 0) for x in hs), dtype=np.int64, count=len(hs))
-            cl, eh = lay.class_of(w), e[at]
-            lp = (eh * r[cl]).sum(1) + b[cl] - z[at]
-            head = np.flatnonzero(w < RARE)
-            lp[head] += head_words(eh[head], w[head])
-            out.append(results(where, lp, np.full(len(where), -1)))
-            on = np.flatnonzero(w >= RARE)
-            if len(on):
-                out.append(to_buckets(2, ([], []), cl[on], [where[on], np.full(len(on), -1), eh[on].astype(np.float16)], [ws[i] for i in on.tolist()]))
-        return pa.Table.from_batches(out) if out else pa.Table.from_batches([results(*[np.zeros(0, dtype=np.int64)] * 3)])
-
-    def words_met(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        e, z, r, b, _, _ = shared.value
-        k = key[0].as_py()
-        words, n, _, u, inner = bucket_row(right, k)
-        index, _, rest, types = bucket_words(words, n)
-        count, out = dict(zip(words, n.tolist())), []
-        unseen = corpus_discount * types / rest if rest else 1.0
-        for where, h, vectors, ws, _ in entries(left):
-            at = np.fromiter((index.get(x, 0) for x in ws), dtype=np.int64, count=len(ws))
-            seen = np.fromiter((count.get(x, 0) for x in ws), dtype=np.int64, count=len(ws))
-            lp = np.zeros(len(ws))
-            if vectors:
-                eh = np.frombuffer(vectors, np.float16).reshape(-1, width).astype(np.float32)
-            else:
-                eh = e[h]
-                lp += eh @ r[k] + b[k] - z[h]
-            lp += log_inside(eh, u, inner, at)
-            other = at == 0
-            lp[other] += np.log(np.where(seen[other] > 0, (seen[other] - corpus_discount) / max(rest, 1), unseen))
-            out.append(results(where, lp, seen))
-        return pa.Table.from_batches(out) if out else pa.Table.from_batches([results(*[np.zeros(0, dtype=np.int64)] * 3)])
-
-    def together(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        known, base, inside = (np.zeros(1 << BLOCK) for _ in range(3))
-        for m, data in zip(right.column("m").to_pylist(), right.column("data").to_pylist()):
-            raw = unsqueeze(data)
-            row, lp, seen = np.frombuffer(raw, np.int32, m), np.frombuffer(raw, np.float32, m, 4 * m), np.frombuffer(raw, np.int64, m, 8 * m)
-            add = lambda x: np.bincount(row, weights=x, minlength=1 << BLOCK)
-            inside += add(lp.astype(np.float64)) / math.log(10)
-            known += add(seen > 0)
-            base += add(np.where(seen >= 0, np.log10((np.maximum(seen, 0) + 1) / all_types), 0.0))
-        row = left.column("row").to_numpy()
-        cols = [left.column("id"), left.column("n_tokens"), pa.array(left.column("n_head").to_numpy() + known[row].astype(np.int64)), pa.array(left.column("base").to_numpy() + base[row]), pa.array(left.column("inside").to_numpy() + inside[row])]
-        return pa.table(cols, names=[id_col, "n_tokens", "n_known", "base_score", "score"])
-
-    corpus_discount = corpus.discount
-    partial = written(src.mapInArrow(run, schema), "scored")
-    blobs = partial.select(*sent_names)
-    buckets = fitted.filter(F.col("class") >= lay.first).withColumn("key", F.col("class").cast("long"))
-    met = written(blobs.filter("kind = 1").groupBy("key").cogroup(buckets.groupBy("key")).applyInArrow(contexts_met, sent), "contexts_met")
-    rest = blobs.filter("kind = 2").union(met.filter("kind = 2"))
-    last = rest.groupBy("key").cogroup(buckets.groupBy("key")).applyInArrow(words_met, sent)
-    sums = met.filter("kind = 3").union(last).groupBy("key")
-    result = T.StructType([T.StructField(id_col, id_type), *T.StructType.fromDDL("n_tokens long, n_known long, base_score double, score double").fields])
-    rows = partial.filter("kind = 0").select("key", "id", "row", "n_tokens", "n_head", "base", "inside")
-    return rows.groupBy("key").cogroup(sums).applyInArrow(together, result)
-
-
-def _arrow(t: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(t)
+        known, head = Words(*shared.value), len(shared.value[0])
+        for b in batches:
+            place = known.places(b.column(0).to_pylist())
+            rare = np.flatnonzero(place >= head)
+            part = b.take(pa.array(rare))
+            value = fitted.value.log10(known.classes(place[rare]), part.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(value)], names=["word", "n", "value"])
+
+    return corpus.counts.select("word", "n").mapInArrow(run, "word binary, n long, value double")
+
+
+def fit(texts: DataFrame, classes: int = CLASSES, head: int = HEAD, rounds: int = ROUNDS) -> tuple[Corpus, list[Model], Inside]:
+    """Counts, models and class sums of training texts (text: binary)."""
+    corpus = read_corpus(texts, head, classes)
+    n, types = class_sums(corpus)
+    noise = (n + 0.5) / (n + 0.5).sum()
+    models = train(written(pair_counts(texts, corpus), "pairs"), noise, rounds=rounds)
+    return corpus, models, Inside(n, types, corpus.discount, max(corpus.unseen / corpus.spelled, 1.0), corpus.own)
 
 
 def fit_and_score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", classes: int = CLASSES, head: int = HEAD, rounds: int = ROUNDS) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for
     every row, learning from the rows that are not held out."""
     texts = df.filter(~held_out(F.col(id_col))).select(F.col(text_col).cast("binary").alias("text"))
-    corpus = read_corpus(texts, head)
-    lay = Layout.of(corpus, classes)
-    noise = unigram(corpus, lay)
-    pairs = written(pair_counts(texts, corpus.words, lay, max(TRAINERS, lay.classes ** 2 >> 22)), "pairs")
-    model = train(pairs, noise, lay.classes, rounds=rounds)
-    fitted, contexts = fit_classes(pairs, corpus, lay, model, noise)
-    scored = score(df, id_col, text_col, corpus, lay, model, fitted, contexts)
+    corpus, models, inside = fit(texts, classes, head, rounds)
+    scored = score(df, id_col, text_col, corpus, models, inside)
     return scored.select(id_col, held_out(F.col(id_col)).alias("held_out"), "n_tokens", "n_known", F.lit(corpus.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -2,16 +2,18 @@
 
 A document of source s is wanted ``rate(s) = weight(s) * total / rows(s)`` times
 on average. Its number of copies is a Poisson variable with that mean, inverted
-from a uniform number that a hash of seed and document id gives; above a mean of
-``LARGEST`` it is the sum of independent Poisson numbers of equal, smaller means,
-each from a hash of its own, which is exactly Poisson. The same input always
-gives the same mixture, on any partitioning. Each document is exploded by
-its count, and copies are shuffled globally by a hash of id and copy number.
+from a uniform number that a hash gives; above a mean of ``LARGEST`` it is the
+sum of independent Poisson numbers of equal, smaller means, each from a hash of
+its own, which is exactly Poisson. The hash is taken of the seed, a digest of the
+row and the row's number among equal rows, so every row has a draw of its own,
+whatever ids are missing or repeated, and the same input always gives the same
+mixture, on any partitioning. Each document is exploded by its count, and copies
+are shuffled globally by a hash of the same parts and the copy number.
 
 Inputs: null sources are one source of their own; a source without a weight gets
-weight zero; weights are normalised over the sources present; a null id is
-hashed as the word ``null``; rows repeated under one id draw equal counts. Empty
-tables give empty results. All columns pass through (the added ones win).
+weight zero; weights are normalised over the sources present; rows that are null
+or repeat in some or all columns draw independent counts. Empty tables give empty
+results. All columns pass through (the added ones win).
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telco_mart.operators.lookup import join_lookup
+from telco_mart.operators.prefix import running_totals
 
 from .common import written
 
@@ -50,18 +53,37 @@ def poisson(mean: Column, u: Column) -> Column:
     return F.aggregate(terms, start, step, lambda acc: acc["k"])
 
 
-def poisson_copies(mean: Column, seed: int, doc_id: Column) -> Column:
-    """A Poisson number of any mean from the hash of seed and id: the parts after
+def poisson_copies(mean: Column, seed: int, *row: Column) -> Column:
+    """A Poisson number of any mean from the hash of seed and row: the parts after
     the first hash their number as well."""
     uniform = lambda *parts: hash_number(*parts) / F.lit(float(1 << 52))
     parts = F.greatest(F.ceil(mean / LARGEST), F.lit(1)).cast("long")
     draw = lambda u: F.struct((mean / parts).cast("double").alias("mean"), u.alias("u"))
-    more = F.transform(F.sequence(F.lit(2).cast("long"), parts), lambda j: draw(uniform(F.lit(f"{seed}-part"), doc_id, j)))
-    first = F.array(draw(uniform(F.lit(seed), doc_id)))
+    more = F.transform(F.sequence(F.lit(2).cast("long"), parts), lambda j: draw(uniform(F.lit(f"{seed}-part"), *row, j)))
+    first = F.array(draw(uniform(F.lit(seed), *row)))
     draws = F.when(parts > 1, F.concat(first, more)).otherwise(first)
     return F.aggregate(draws, F.lit(0).cast("long"), lambda n, d: n + poisson(d["mean"], d["u"]))
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__number``: 1, 2, ... among the rows of equal ``__row``.
+
+    Digests are counted map-side. Where none repeats that is all; else only the
+    repeated rows are numbered, over ranges of (digest, position), so that a
+    digest of very many rows is spread over many tasks."""
+    one = F.lit(1).cast("long")
+    repeated = written(rows.groupBy("__row").agg(F.count("*").alias("__n")).filter("__n > 1").select("__row", one.alias("__again")), "repeated_rows")
+    if not repeated.count():
+        return rows.withColumn("__number", one)
+    found = join_lookup(rows, repeated, ["__row"])
+    once = found.filter("__again is null").drop("__again").withColumn("__number", one)
+    again = written(found.filter("__again is not null").withColumn("__position", F.monotonically_increasing_id()), "repeats")
+    totals = running_totals(again.select("__row", "__position", "__again"), F.struct("__row", "__position"), {"__again": "__upto"})
+    first = totals.groupBy("__row").agg(F.min("__upto").alias("__first"))
+    number = join_lookup(totals, written(first, "first_rows"), ["__row"]).select("__position", (F.col("__upto") - F.col("__first") + 1).alias("__number"))
+    return once.unionByName(again.drop("__again").join(number, "__position").drop("__position"))
+
+
 def source_rates(df: DataFrame, source_col: str = "source", weights: DataFrame | None = None, temperature: float = 0.5,
                  total: int | None = None) -> DataFrame:
     """(source, n, weight, rate): target weights given as (source, weight), or
@@ -80,13 +102,16 @@ def source_rates(df: DataFrame, source_col: str = "source", weights: DataFrame |
     return w.select("source", "n", weight.alias("weight"), (weight * size / F.col("n")).alias("rate"))
 
 
-def mix(df: DataFrame, rates: DataFrame, seed: int = 0, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def mix(df: DataFrame, rates: DataFrame, seed: int = 0, source_col: str = "source") -> DataFrame:
     """All columns of ``df`` and rate, copies, copy (1..copies), shuffle_key:
     one row per copy, globally shuffled (ordered by shuffle_key)."""
     added = ("rate", "copies", "copy", "shuffle_key")
-    base = df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in added))
-    keyed = join_lookup(base.withColumn("__mix_source", F.col(f"`{source_col}`")), rates.select(F.col("source").alias("__mix_source"), "rate"), ["__mix_source"]).drop("__mix_source")
-    counted = keyed.withColumn("copies", poisson_copies(F.coalesce("rate", F.lit(0.0)), seed, F.col(f"`{id_col}`"))).filter("copies > 0")
+    kept = [c for c in df.columns if c.lower() not in added]
+    digest = F.md5(F.concat_ws("\x1f", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")) for c in kept)).cast("binary"))
+    rows = numbered(df.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{source_col}`").alias("__mix_source"), digest.alias("__row")))
+    keyed = join_lookup(rows, rates.select(F.col("source").alias("__mix_source"), "rate"), ["__mix_source"])
+    row = (F.col("__row"), F.col("__number"))
+    counted = keyed.withColumn("copies", poisson_copies(F.coalesce("rate", F.lit(0.0)), seed, *row)).filter("copies > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    shuffled = copies.withColumn("shuffle_key", hash_number(F.lit(f"{seed}-order"), F.col(f"`{id_col}`"), F.col("copy")))
+    shuffled = copies.withColumn("shuffle_key", hash_number(F.lit(f"{seed}-order"), *row, F.col("copy"))).drop("__row", "__number", "__mix_source")
     return shuffled.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")

@@ -65,7 +65,7 @@ def with_features(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         for b in batches:
-            x = pa.array([features(t) for t in b.columns[-1].to_pylist()], pa.list_(pa.float64()))
+            x = pa.array([features(t.as_py()) for t in b.columns[-1]], pa.list_(pa.float64()))  # one text at a time as a string
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], x], names=names)
 
     return src.mapInArrow(run, schema)

@@ -15,6 +15,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Tokenizers that the alignment compares.
 BYTE_TOKENIZER, PIECE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SEED = 7
+#: Copies of a document on average in mixing_large_rates.
+LARGE = 20
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +24,8 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = bpe.decode(bpe.encode(docs, RANKS, packed=True, keep_text=False).withColumn("ids_sha256", F.sha2("ids", 256)), RANKS)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, packed=True, keep_text=False, decoded=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +83,13 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("rate", F.round("rate", 9))  # sums of doubles depend on their order
 
 
+def mixing_large_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture at LARGE times the size, where every mean is a sum of parts."""
+    docs = table(spark, sf_dir, "documents")
+    rates = mixing.source_rates(docs, temperature=0.5, total=LARGE * docs.count())
+    return mixing.mix(docs, rates, seed=SEED).withColumn("rate", F.round("rate", 9))
+
+
 def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
     return found.withColumn("score", F.round("score", 9))  # sums of doubles depend on their order
@@ -100,12 +108,33 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_byte_bpe, op3_url_filter, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_secret_scan, op8_lm_scoring, op9_document_fingerprints, op10_source_mixing,
+    for f in (op1_simhash_near_dedup, op2_byte_bpe, op3_url_filter, op4_exact_dedup, op5_quality_classifier, op6_warc, op7_secret_scan, op8_lm_scoring, op9_document_fingerprints, op10_source_mixing, mixing_large_rates,
               op11_license_scan, op12_cross_tokenizer_alignment, op13_embedding_whitening)
 }
 
 
 
+def mixing_sql(times: int) -> str:
+    """Poisson numbers by the distribution function of each source's mean, cut
+    into parts of at most 16, looked up at one uniform number a part."""
+    uniform = lambda text: f"('0x' || substr(md5({text}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
+    columns = ", ".join(f"coalesce({c}::VARCHAR, 'null')" for c in ("doc_id", "text", "lang", "source", "n_chars"))
+    return f"""
+        WITH n AS (SELECT source, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
+             s AS (SELECT sum(n) * {times} AS all_n, sum(w) AS all_w FROM n),
+             r AS (SELECT source, w / all_w * all_n / n AS rate, greatest(ceil(rate / 16), 1)::BIGINT AS parts, rate / parts AS mean FROM n, s),
+             f AS (SELECT source, i, sum(exp(-mean) * pow(mean, i) / gamma(i + 1)) OVER (PARTITION BY source ORDER BY i) AS upto FROM r, range(0, 81) g(i)),
+             d AS (SELECT d.*, r.rate, r.parts, md5(concat_ws(chr(31), {columns})) AS digest, row_number() OVER (PARTITION BY {columns}) AS number
+                   FROM documents d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+             u AS (SELECT digest, number, source, part, CASE WHEN part = 1 THEN {uniform(f"'{SEED}:' || digest || ':' || number")}
+                          ELSE {uniform(f"'{SEED}-part:' || digest || ':' || number || ':' || part")} END AS u
+                   FROM d, LATERAL (SELECT unnest(range(1, parts + 1)) AS part) x),
+             k AS (SELECT digest, number, count(f.i) AS copies FROM u LEFT JOIN f ON u.source IS NOT DISTINCT FROM f.source AND f.upto <= u.u GROUP BY digest, number)
+        SELECT d.* EXCLUDE (digest, number, parts) REPLACE (round(d.rate, 9) AS rate), k.copies, x.copy,
+               ('0x' || substr(md5('{SEED}-order:' || d.digest || ':' || d.number || ':' || x.copy), 1, 13))::BIGINT AS shuffle_key
+        FROM d JOIN k ON d.digest = k.digest AND d.number = k.number, LATERAL (SELECT unnest(range(1, copies + 1)) AS copy) x"""
+
+
 def license_sql() -> str:
     """Every place of every template by brute force: all words joined to all
     template words, summed by (document, template, start)."""
@@ -145,16 +174,6 @@ SQL = {
                CASE WHEN f.first < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN f.first < p.page_id THEN f.first END AS refers_to
         FROM p LEFT JOIN f ON p.h = f.h AND p.n >= 100""",
-    "op10_source_mixing": f"""
-        WITH n AS (SELECT source, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
-             s AS (SELECT sum(n) AS all_n, sum(w) AS all_w FROM n),
-             r AS (SELECT source, w / all_w * all_n / n AS rate FROM n, s),
-             u AS (SELECT d.*, r.rate, ('0x' || substr(md5('{SEED}:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
-                   FROM documents d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
-             k AS (SELECT u.*, CASE WHEN rate > 16 THEN floor(rate)::BIGINT - 15 ELSE 0 END AS sure FROM u),
-             c AS (SELECT k.* EXCLUDE (u, sure), sure + (
-                     SELECT count(*) FROM range(0, 80) g(i)
-                     WHERE (SELECT sum(exp(-(rate - sure)) * pow(rate - sure, j) / gamma(j + 1)) FROM range(0, 80) h(j) WHERE j <= i) <= u) AS copies FROM k)
-        SELECT c.* REPLACE (round(c.rate, 9) AS rate), x.copy, ('0x' || substr(md5('{SEED}-order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || x.copy), 1, 13))::BIGINT AS shuffle_key
-        FROM c, LATERAL (SELECT unnest(range(1, copies + 1)) AS copy) x""",
+    "op10_source_mixing": mixing_sql(1),
+    "mixing_large_rates": mixing_sql(LARGE),
 }

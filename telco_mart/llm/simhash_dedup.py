@@ -66,7 +66,7 @@ def fingerprints(df: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_c
 
     def run(batches):
         for b in batches:
-            fps = np.fromiter((simhash(t, shingle) for t in b.column(1).to_pylist()), dtype=np.uint64, count=b.num_rows)
+            fps = np.fromiter((simhash(t.as_py(), shingle) for t in b.column(1)), dtype=np.uint64, count=b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(signed(fps))], names=[id_col, "fp"])
 
     return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, fp long")

@@ -10,7 +10,7 @@ import corpus_pipeline
 from telco_mart.llm import quality, queries
 from telco_mart.llm.bpe import Codec, code_point_classes
 from test_dedup import brute_components, brute_exact, brute_fingerprint
-from test_web import brute_poisson, brute_spans, number
+from test_web import brute_poisson, brute_spans, digest
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"  # only the larger one holds secrets
 
@@ -42,7 +42,7 @@ def test_stages_match_brute_force(spark):
     counts = Counter(r.source for r in left.values())
     weight = {s: n ** 0.5 for s, n in counts.items()}
     rate = {s: weight[s] / sum(weight.values()) * len(left) / counts[s] for s in counts}
-    want = {i: brute_poisson(rate[r.source], number(queries.SEED, i) / 2**52) for i, r in left.items()}
+    want = {i: brute_poisson(rate[r.source], queries.SEED, digest(i, r.text, r.lang, r.source, r.n_chars), 1) for i, r in left.items()}
     assert mixed.columns == docs.columns and Counter(r.doc_id for r in mixed.collect()) == Counter({i: n for i, n in want.items() if n})
 
     with open(queries.RANKS, "rb") as f:
@@ -68,6 +68,20 @@ def test_stages_drop_rows_not_ids(spark):
     assert out == Counter([(5, words(0)), (7, words(1)), (None, words(2)), (9, words(3))])
 
 
+def test_columns_of_any_name_pass_through(spark):
+    """Columns named like internal ones keep their values in stages 1-4, and the
+    last stage leaves them out."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    names = ["row_key", "copies", "copy", "rate", "shuffle_key", "features", "fp", "ids", "starts", "text_sha256", "decoded"]
+    odd = docs.selectExpr("*", *(f"concat('{n}', doc_id) AS {n}" for n in names)).cache()
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, odd, SF)
+        assert out.columns == odd.columns and out.count() > 0, name
+        assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names), name
+    last = corpus_pipeline.STAGES[4][1](spark, odd, SF)
+    assert last.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "round_trip"] and all(r.round_trip for r in last.collect())
+
+
 def test_quality_stage_judges_rows_not_ids(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rejected = quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).orderBy("quality").first()

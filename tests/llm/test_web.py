@@ -174,15 +174,24 @@ def number(*parts):
     return int(hashlib.md5(":".join("null" if p is None else str(p) for p in parts).encode()).hexdigest()[:13], 16)
 
 
-def brute_poisson(mean, u):
-    sure = math.floor(mean) - 15 if mean > 16 else 0
-    lam, k = mean - sure, 0
-    p = cdf = math.exp(-lam)
-    while cdf <= u and k < 80:
-        k += 1
-        p *= lam / k
-        cdf += p
-    return sure + k
+def digest(*columns):
+    return hashlib.md5("\x1f".join("null" if c is None else str(c) for c in columns).encode()).hexdigest()
+
+
+def brute_poisson(mean, *row):
+    """Sum over the parts of the mean of the smallest k whose distribution
+    function exceeds the part's uniform number."""
+    parts, total = max(1, math.ceil(mean / 16)), 0
+    for j in range(1, parts + 1):
+        u = number(row[0], *row[1:]) / 2**52 if j == 1 else number(f"{row[0]}-part", *row[1:], j) / 2**52
+        lam, k = mean / parts, 0
+        p = cdf = math.exp(-lam)
+        while cdf <= u and k < 80:
+            k += 1
+            p *= lam / k
+            cdf += p
+        total += k
+    return total
 
 
 def test_copies_match_brute_force_and_target_weights(spark):
@@ -193,11 +202,11 @@ def test_copies_match_brute_force_and_target_weights(spark):
     rates = mixing.source_rates(df, weights=weights)
     by = {r.source: r for r in rates.collect()}
     total = len(rows)
-    assert by["none"].rate == 0 and by["c"].rate == pytest.approx(total / 4 / 30) and by["hot"].weight == 0.25
+    assert by["none"].rate == 0 and by["c"].rate == pytest.approx(total / 4 / 30) and by["hot"].weight == 0.25 and by["c"].rate > 16
     out = mixing.mix(df, rates, seed=3).collect()
-    want = Counter({i: brute_poisson(by[s].rate, number(3, i) / 2**52) for i, s in rows})
+    want = Counter({i: brute_poisson(by[s].rate, 3, digest(i, s), 1) for i, s in rows})
     assert Counter(r.doc_id for r in out) == Counter({i: n for i, n in want.items() if n})
-    assert all(r.copies == want[r.doc_id] and r.shuffle_key == number("3-order", r.doc_id, r["copy"]) for r in out)
+    assert all(r.copies == want[r.doc_id] and r.shuffle_key == number("3-order", digest(r.doc_id, r.source), 1, r["copy"]) for r in out)
     assert len({(r.doc_id, r["copy"]) for r in out}) == len(out)
     for s, n in Counter(r.source for r in out).items():
         assert abs(n - total / 4) < 5 * math.sqrt(total / 4 * max(1, by[s].rate))
@@ -208,22 +217,37 @@ def test_copies_match_brute_force_and_target_weights(spark):
 
 
 def test_copies_are_poisson_at_large_rates(spark):
-    """Variance equals the mean at every rate; counts are those of independent
-    numbers summed in plain Python."""
+    """Variance equals the mean at every rate."""
     rows = [(i, s) for i, s in enumerate(["a"] * 600 + ["b"] * 600 + ["c"] * 600)]
     rate = {"a": 12.5, "b": 40.0, "c": 233.0}
     rates = spark.createDataFrame(list(rate.items()), "source string, rate double")
     out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), rates, seed=5)
-    got = {r.doc_id: (r.source, r.n) for r in out.groupBy("doc_id", "source").agg(F.count("*").alias("n")).collect()}
+    got = {r.doc_id: r.n for r in out.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     for s, mean in rate.items():
-        counts = [got[i][1] if i in got else 0 for i, x in rows if x == s]
+        counts = [got.get(i, 0) for i, x in rows if x == s]
         m = sum(counts) / len(counts)
         variance = sum((c - m) ** 2 for c in counts) / (len(counts) - 1)
         assert abs(m - mean) < 5 * math.sqrt(mean / len(counts)) and 0.7 * mean < variance < 1.3 * mean
-    for i, s in rows[::40]:
-        parts = math.ceil(rate[s] / 16)
-        seeds = [number(5, i)] + [number("5-part", i, j) for j in range(2, parts + 1)]
-        assert got[i][1] == sum(brute_poisson(rate[s] / parts, x / 2**52) for x in seeds)
+    assert all(got.get(i, 0) == brute_poisson(rate[s], 5, digest(i, s), 1) for i, s in rows[::40])
+
+
+def test_equal_rows_draw_apart_and_meet_their_target(spark, monkeypatch):
+    """A source of null ids: 100 copies are wanted of 100 equal rows, for every seed."""
+    monkeypatch.setattr("telco_mart.operators.lookup.BROADCAST_ROWS", 0)
+    schema = "doc_id long, source string, text string"
+    rows = [(None, "a", "same")] * 100 + [(None, "b", "same")] * 40 + [(7, "c", "other"), (7, "c", "another")]
+    rates = spark.createDataFrame([("a", 1.0), ("b", 5.0), ("c", 2.0)], "source string, rate double")
+    totals = Counter()
+    for seed in range(3):
+        out = Counter((r.doc_id, r.source, r.text) for r in mixing.mix(spark.createDataFrame(rows, schema).repartition(3 + seed), rates, seed=seed).collect())
+        want = Counter()
+        for row, n in Counter(rows).items():
+            rate = {"a": 1.0, "b": 5.0, "c": 2.0}[row[1]]
+            want[row] = sum(brute_poisson(rate, seed, digest(*row), k) for k in range(1, n + 1))
+        assert out == Counter({k: n for k, n in want.items() if n})
+        assert 60 < out[rows[0]] < 140 and 130 < out[rows[100]] < 270
+        totals.update({row[1]: n for row, n in out.items()})
+    assert 240 < totals["a"] < 360
 
 
 def test_mixing_odd_tables(spark):
@@ -233,7 +257,7 @@ def test_mixing_odd_tables(spark):
     df = spark.createDataFrame([(None, "a"), (None, "a"), (1, None), (1, None)], schema)
     out = mixing.mix(df, mixing.source_rates(df, total=400)).collect()
     counts = Counter(r.doc_id for r in out)
-    assert set(counts) == {None, 1} and all(n % 2 == 0 and 100 < n < 300 for n in counts.values())
+    assert set(counts) == {None, 1} and all(100 < n < 300 for n in counts.values())
     zero = spark.createDataFrame([("a", 0.0)], "source string, weight double")
     assert mixing.mix(df, mixing.source_rates(df, weights=zero)).count() == 0
 
