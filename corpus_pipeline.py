@@ -22,54 +22,59 @@ from telco_mart.llm import bpe, exact_dedup, mixing, quality, simhash_dedup  # n
 from telco_mart.llm.common import table, written  # noqa: E402
 from telco_mart.llm.queries import RANKS, SEED  # noqa: E402
 
-DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Name of the row key; columns of the documents may have any other name.
+KEY = "__pipeline_row"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a unique row_key, written so that the keys stay as they are."""
-    return written(docs.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+    """``docs`` with a unique row key, written so that the keys stay as they are."""
+    return written(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier does not reject. Each row is judged on
     its own text: of rows that share an id (or have none) only the rejected go."""
     rows = keyed(docs)
-    judged = quality.classify(rows, table(spark, sf_dir, "labels"), carry=("row_key",))
-    rejected = written(judged.filter(~F.col("keep")).select("row_key"), "rejected")
-    return rows.join(rejected, "row_key", "left_anti").select(docs.columns)
+    judged = quality.classify(rows, table(spark, sf_dir, "labels"), carry=(KEY,))
+    rejected = written(judged.filter(~F.col("keep")).select(KEY), "rejected")
+    return rows.join(rejected, KEY, "left_anti").select(docs.columns)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the one row with the largest id (null is below any id);
     of several with that id, the last by row key."""
     rows = keyed(docs)
-    found = exact_dedup.exact_duplicates(rows.select(F.struct("doc_id", "row_key").alias("key"), "text"), "key")
-    dropped = written(found.filter(~F.col("kept")).select("key.row_key"), "copies")
-    return rows.join(dropped, "row_key", "left_anti").select(docs.columns)
+    found = exact_dedup.exact_duplicates(rows.select(F.struct("doc_id", KEY).alias("key"), "text"), "key")
+    dropped = written(found.filter(~F.col("kept")).select(f"key.{KEY}"), "copies")
+    return rows.join(dropped, KEY, "left_anti").select(docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the one row with the smallest id (null
     is above any id); of several with that id, the first by row key."""
     rows = keyed(docs)
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY)
     found = simhash_dedup.near_duplicates(rows.select(key.alias("key"), "text"), shingle=4, radius=4, id_col="key")
-    dropped = written(found.filter(F.col("key") != F.col("component_id")).select("key.row_key"), "near_copies")
-    return rows.join(dropped, "row_key", "left_anti").select(docs.columns)
+    dropped = written(found.filter(F.col("key") != F.col("component_id")).select(f"key.{KEY}"), "near_copies")
+    return rows.join(dropped, KEY, "left_anti").select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies of the documents by source, shuffled."""
-    return mixing.mix(docs, mixing.source_rates(docs, temperature=0.5), seed=SEED).select(docs.columns)
+    """Copies of the documents by source, shuffled. A null source is one source
+    of its own; rows that repeat, wholly or in their id, draw their counts one by
+    one; a count may be zero. Other columns stay, whatever their names."""
+    names = {c: f"__pipeline_{i}" for i, c in enumerate(docs.columns)}
+    mixed = mixing.mix(docs.withColumnsRenamed(names), mixing.source_rates(docs, temperature=0.5), seed=SEED, source_col=names["source"])
+    return mixed.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, and whether they decode to the text byte for byte."""
-    encoded = bpe.encode(docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)), RANKS, keep_text=False)
-    kept = encoded.withColumn("token_ids", F.col("ids"))
-    return bpe.decode(kept, RANKS).withColumn("round_trip", F.sha2("decoded", 256) == F.col("text_sha256")).select(
-        "doc_id", "lang", "source", "n_chars", "n_tokens", F.col("token_ids").alias("ids"), "round_trip"
-    )
+    """Token ids, and whether they decode to the text byte for byte. A null text
+    counts as empty and has no tokens; null ids and repeated rows are encoded
+    row by row; only the columns of ``documents`` are read."""
+    rows = docs.select("doc_id", "lang", "source", "n_chars", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    encoded = bpe.encode(rows, RANKS, keep_text=False, decoded=True)
+    return encoded.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
 
 
 STAGES = [
