@@ -56,6 +56,14 @@ AGE_MIN, AGE_MAX = 14, 100
 # Inactivity default for subscribers without any activity.
 NO_ACTIVITY_DAYS = 999
 
+# Labels of the list at risk, and the columns that it shows first.
+RISK_LABELS = {"subscriber_id": "Abonné", "risque_churn_pct": "Risque de churn (%)", "days_since_active": "Jours sans activité",
+               "failed_calls": "Appels échoués", "network_incidents": "Incidents réseau", "country": "Pays", "segment": "Segment",
+               "age": "Âge", "monthly_fee": "Forfait mensuel", "snapshot_month": "Mois"}
+RISK_FIRST = ["subscriber_id", "risque_churn_pct", "days_since_active", "failed_calls", "network_incidents"]
+# Audit texts of an erasure.
+ERASURE = {"column_name": "RGPD_PSEUDONYMISATION", "old_value": "Données identifiantes", "new_value": "Anonymisées sur demande RGPD"}
+
 
 @dataclass(frozen=True)
 class WarehouseConfig:
@@ -65,6 +73,9 @@ class WarehouseConfig:
     # calendar span; None: the whole years that the feeds' dates fall in
     calendar_start: str | None = None
     calendar_end: str | None = None
+    # years that a date of a feed may fall in; others are rejected, so that one
+    # impossible date can't stretch the calendar
+    valid_years: tuple = (1900, 2100)
     # number of monthly snapshots: the complete months before the month of as_of
     snapshot_count: int = 7
     churn_risk_days: int = 60

@@ -59,11 +59,11 @@ def clean_subscribers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     age = X.valid_age("age")
     rev = X.to_number("monthly_revenue")
     typed = raw.select(
-        "subscriber_id", "first_name", "last_name",
+        X.blank_to_null("subscriber_id").alias("subscriber_id"), "first_name", "last_name",
         X.clean_gender("gender").alias("gender"),
         age.alias("age"),
         X.age_band(age).alias("tranche_age"),
-        "city", "country", "plan_id", "tower_id",
+        "city", "country", X.blank_to_null("plan_id").alias("plan_id"), "tower_id",
         X.to_date("subscription_date").alias("subscription_date"),
         "phone_number", "email",
         X.to_int("churn", fill=0).alias("churn"),
@@ -104,6 +104,10 @@ def fill_from_medians(df: DataFrame, value: str, group: str, medians: DataFrame)
     return joined.withColumn(value, F.coalesce(F.col(value), F.col("_grp_median"))).drop("_grp_median")
 
 
+#: Columns of a typed usage row.
+USAGE_COLUMNS = ["usage_id", "subscriber_id", "tower_id", "event_type", "event_datetime", "duration_sec", "data_mb", "amount_fcfa", "status", "network_type", "roaming"]
+
+
 def type_usage(raw: DataFrame) -> DataFrame:
     return raw.select(
         "usage_id", "subscriber_id", "tower_id", "event_type",

@@ -60,6 +60,12 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(f"{root.rstrip('/')}/{version}")
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """Time of the last change of a file or folder (milliseconds)."""
+    fs, p, _ = _hadoop_fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _hadoop_fs(spark, path)
     return fs.exists(p)

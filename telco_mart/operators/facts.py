@@ -76,13 +76,16 @@ def tower_lookup(dim_tower: DataFrame, dim_location: DataFrame, known: DataFrame
     return ids.join(out, "tower_id", "full_outer")
 
 
-def load_fact_usage(usage: DataFrame, dim_subscriber: DataFrame, dim_tower: DataFrame,
-                    dim_plan: DataFrame, dim_location: DataFrame, cfg: WarehouseConfig = DEFAULT_CONFIG,
-                    subscribers: DataFrame | None = None, towers: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Resolve keys of usage rows. Returns (loaded, rejected). A row is
-    rejected when its subscriber or tower is not in ``subscribers`` / ``towers``
-    (where given), its time is missing, or its subscriber, tower or location
-    key cannot be resolved. The plan key may stay NULL."""
+#: Columns that key resolution adds to a usage row.
+RESOLVED = ["subscriber_sk", "plan_sk", "tower_sk", "location_sk", "rejection_reason"]
+
+
+def resolve_usage(usage: DataFrame, dim_subscriber: DataFrame, dim_tower: DataFrame, dim_plan: DataFrame, dim_location: DataFrame,
+                  cfg: WarehouseConfig = DEFAULT_CONFIG, subscribers: DataFrame | None = None, towers: DataFrame | None = None) -> DataFrame:
+    """One row per usage id with its keys and, where it cannot be loaded, the
+    reason: its subscriber or tower is not in ``subscribers`` / ``towers`` (where
+    given), its time is missing or outside the valid years, or its subscriber,
+    tower or location key cannot be resolved. The plan key may stay NULL."""
     usage = latest_per_key(usage, "usage_id")
     j = (usage.join(subscriber_lookup(dim_subscriber, dim_plan, subscribers), "subscriber_id", "left")
          .join(tower_lookup(dim_tower, dim_location, towers), "tower_id", "left"))
@@ -93,11 +96,17 @@ def load_fact_usage(usage: DataFrame, dim_subscriber: DataFrame, dim_tower: Data
     in_feeds = F.col("_sub_known").isNotNull() & F.col("_tower_known").isNotNull()
     reason = F.when(~keys_ok, F.lit(MISSING_KEY))
     if subscribers is not None or towers is not None:
-        reason = F.when(~in_feeds, F.lit(BAD_REFERENCE)).when(ts.isNull(), F.lit(BAD_DATE)).when(~keys_ok, F.lit(MISSING_KEY))
-    j = j.withColumns({"location_sk": location, "rejection_reason": reason})
-    rejected = j.filter(F.col("rejection_reason").isNotNull()).select(*usage.columns, "rejection_reason")
-    data_mb = F.col("data_mb").try_cast("decimal(12,4)")
-    loaded = j.filter(F.col("rejection_reason").isNull()).withColumns({
+        valid = F.coalesce(F.year(ts).between(*cfg.valid_years), F.lit(False))
+        reason = F.when(~in_feeds, F.lit(BAD_REFERENCE)).when(~valid, F.lit(BAD_DATE)).when(~keys_ok, F.lit(MISSING_KEY))
+    return j.withColumns({"location_sk": location, "rejection_reason": reason}).select(*usage.columns, *RESOLVED)
+
+
+def split_usage(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(loaded, rejected) of ``resolve_usage`` rows."""
+    rejected = resolved.filter(F.col("rejection_reason").isNotNull()).select(
+        *(c for c in resolved.columns if c not in RESOLVED and not c.startswith("_")), "rejection_reason")
+    ts, data_mb = F.col("event_datetime"), F.col("data_mb").try_cast("decimal(12,4)")
+    loaded = resolved.filter(F.col("rejection_reason").isNull()).withColumns({
         "usage_sk": surrogate_key("usage_id"),
         "date_sk": date_key(ts),
         "event_hour": F.hour(ts),
@@ -110,6 +119,11 @@ def load_fact_usage(usage: DataFrame, dim_subscriber: DataFrame, dim_tower: Data
     return conform(loaded, FACT_USAGE), rejected
 
 
+def load_fact_usage(usage: DataFrame, *lookups, **options) -> tuple[DataFrame, DataFrame]:
+    """(loaded, rejected) of usage rows in one plan: ``resolve_usage``, split."""
+    return split_usage(resolve_usage(usage, *lookups, **options))
+
+
 def load_fact_incident(incidents: DataFrame, dim_tower: DataFrame, dim_location: DataFrame, calendar: DataFrame | None = None,
                        description_width: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(loaded, rejected): rejected when tower, location or day cannot be
@@ -132,12 +146,17 @@ def load_fact_incident(incidents: DataFrame, dim_tower: DataFrame, dim_location:
     return conform(loaded, FACT_INCIDENT), rejected
 
 
-def append_new(target: DataFrame, batch: DataFrame, key: str | list[str]) -> DataFrame:
+def append_new(target: DataFrame, batch: DataFrame, key: str | list[str], years: str | None = None) -> DataFrame:
     """Rows of ``batch`` to append so that ``key`` stays unique in the target:
     duplicates inside the batch collapse to the largest row, keys already
-    present are skipped."""
+    present are skipped. ``years`` names the target's partition column where
+    equal keys have equal years and ``batch`` has one row per key: then only ids
+    of the years that the batch has are read (partition pruning at run time)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return largest_per_key(batch, keys).join(target.select(*keys), keys, "left_anti")
+    if years is None:
+        return largest_per_key(batch, keys).join(target.select(*keys), keys, "left_anti")
+    held = target.join(F.broadcast(batch.select(years).distinct()), years, "left_semi")  # one row a year
+    return batch.join(held.select(years, *keys), [years, *keys], "left_anti")
 
 
 def largest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Governance: change audit, erasure, run log.
+"""Governance: change audit, erasure, run summary.
 
 The audit compares the current rows of a dimension before and after a merge
 (one equi-join on the natural key), so every change is logged whatever path
@@ -65,36 +65,11 @@ def pseudonymise(dim_subscriber: DataFrame, ids: DataFrame, key: str = "subscrib
     audit = dim_subscriber.join(req.drop("_erase"), key, "left_semi").select(key).distinct().select(
         F.lit("dim_subscriber").alias("table_name"), F.lit("UPDATE").alias("operation"),
         F.col(key).cast("string").alias("record_pk"),
-        F.lit("RGPD_PSEUDONYMISATION").alias("column_name"),
-        F.lit("Données identifiantes").alias("old_value"),
-        F.lit("Anonymisées sur demande RGPD").alias("new_value"),
+        *(F.lit(text).alias(name) for name, text in C.ERASURE.items()),
         F.expr("current_user()").alias("changed_by"), F.current_timestamp().alias("changed_at"))
     return out, conform(audit, AUDIT_LOG)
 
 
-def run_log(stages: list[tuple]) -> DataFrame:
-    """ETL run log (table, operation, status, rows_extracted, rows_inserted,
-    rows_rejected, rows_updated) from ``(table, operation, extracted,
-    inserted, rejected, updated)`` stages whose counts are frames (or None).
-    Every count is a Spark aggregate; the parts are unioned and pivoted into
-    one small frame, nothing is collected."""
-    metrics = ["rows_extracted", "rows_inserted", "rows_rejected", "rows_updated"]
-    parts = []
-    for table, op, *frames in stages:
-        for m, df in zip(metrics, frames):
-            if df is not None:
-                parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(
-                    F.lit(table).alias("table_name"), F.lit(op).alias("operation"),
-                    F.lit(m).alias("metric"), "n"))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    g = u.groupBy("table_name", "operation").agg(
-        *[F.coalesce(F.sum(F.when(F.col("metric") == m, F.col("n"))), F.lit(0)).cast("bigint").alias(m)
-          for m in metrics])
-    return g.select("table_name", "operation", F.lit("SUCCESS").alias("status"), *metrics)
-
-
 def run_summary(log: DataFrame, since_ts=None) -> DataFrame:
     """Run log rows started at or after ``since_ts``, newest first."""
     out = log if since_ts is None else log.filter(F.col("start_time") >= F.lit(since_ts))

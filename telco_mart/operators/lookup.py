@@ -27,6 +27,7 @@ def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], salts: int =
         side = F.broadcast(side)
     else:
         side = side.withColumn("__lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        df = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+        spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)) + F.spark_partition_id()  # equal rows of different partitions part ways
+        df = df.withColumn("__salt", F.pmod(spread, F.lit(salts)).cast("int"))
         on.append(F.col("__salt") == F.col("__lookup_salt"))
     return df.join(side, reduce(lambda a, b: a & b, on), "left").drop("__salt", "__lookup_salt", *(f"__lookup_{k}" for k in keys))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telco_mart import config as C
@@ -81,6 +81,32 @@ class RuleSet:
                               F.current_timestamp().alias("rejected_at")))
         return clean, quarantine
 
+    def flagged(self, df: DataFrame) -> DataFrame:
+        """``df`` with fixes applied, and what ``quarantined`` needs later: a flag
+        per rule and the fixed columns as they came (no text is made yet). Only
+        for rule sets that warn and fix."""
+        fixed = sorted({c for r in self.rules for c in r.fixes})
+        out = df.withColumns({f"_came_{c}": F.col(c) for c in fixed})
+        for r in self.rules:
+            if r.kind == "fix":
+                out = out.withColumns(r.fixes)
+            elif r.kind == "warn":
+                out = out.withColumn(f"_dq_{r.name}", F.coalesce(r.violation, F.lit(False)))
+            else:
+                raise ValueError(f"{r.kind} rules drop rows; use apply")
+        return out
+
+    def quarantined(self, flagged: DataFrame, columns: list[str]) -> DataFrame:
+        """Quarantine rows of ``flagged`` rows, with ``columns`` as they came."""
+        warns = [r for r in self.rules if r.kind == "warn"]
+        fixed = {c for r in self.rules for c in r.fixes}
+        raw = F.to_json(F.struct(*(F.col(f"_came_{c}").alias(c) if c in fixed else F.col(c) for c in columns)))
+        reasons = F.array_compact(F.array(*[F.when(F.col(f"_dq_{r.name}"), F.lit(r.reason)) for r in warns]))
+        rows = flagged.filter(F.size(reasons) > 0).select(
+            F.lit(self.source_table).alias("source_table"), F.col(self.key).cast("string").alias("record_id"),
+            (raw if self.raw_width is None else F.substring(raw, 1, self.raw_width)).alias("raw_data"), F.explode(reasons).alias("rejection_reason"))
+        return rows.withColumn("rejected_at", F.current_timestamp())
+
 
 def subscriber_rules(as_of: str) -> RuleSet:
     as_of_d = F.lit(as_of).cast("date")
@@ -145,6 +171,17 @@ def calendar_gaps(dates: DataFrame, date_col: str, calendar: DataFrame, source:
             .select(F.lit(source).alias("source"), "date_complete"))
 
 
+def day_gaps(dates: DataFrame, source_col: str = "source", day_col: str = "day") -> DataFrame:
+    """Gaps between a source's days: (source, gap_start, gap_end, days) of every
+    run of days without a row between its first and its last. Rows are collapsed
+    to days map-side, so the window runs over at most one row a day and source;
+    null days are no days."""
+    days = dates.select(F.col(source_col).alias("source"), F.col(day_col).cast("date").alias("day")).filter("day is not null").distinct()
+    after = F.lead("day").over(Window.partitionBy("source").orderBy("day"))
+    return (days.withColumn("_next", after).filter(F.datediff("_next", "day") > 1)
+            .select("source", F.date_add("day", 1).alias("gap_start"), F.date_sub("_next", 1).alias("gap_end"), (F.datediff("_next", "day") - 1).alias("days")))
+
+
 def completeness_report(subscribers: DataFrame, usage: DataFrame, incidents: DataFrame) -> DataFrame:
     """Three-branch completeness report over the current warehouse; scores are
     rounded half-up exactly (integer arithmetic)."""

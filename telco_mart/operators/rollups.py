@@ -208,3 +208,10 @@ def exact_arpu_month(fact_usage: DataFrame, dim_subscriber: DataFrame) -> DataFr
                     (F.col("month_key") % 100).cast("int").alias("mois"), "country", "nb_abonnes",
                     F.col("amt").cast("double").alias("revenu_total"),
                     ratio("amt", "nb_abonnes", 2, num_scale=2).alias("arpu"))
+
+
+def relabel(df: DataFrame, labels: dict[str, str], first: list[str] = ()) -> DataFrame:
+    """``df`` with business labels for column names, the columns of ``first``
+    (that it has) before the others; columns without a label keep their name."""
+    order = [c for c in first if c in df.columns] + [c for c in df.columns if c not in first]
+    return df.select(*(F.col(c).alias(labels.get(c, c)) for c in order))

@@ -52,9 +52,12 @@ def _monthly_usage(fact_usage: DataFrame, sms_types, dim_plan: DataFrame | None
 def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usage: DataFrame,
                       fact_incident: DataFrame, months: list[str],
                       sms_types=tuple(C.SMS_TYPES), plan_upto_month: bool = False,
-                      by: str = "subscriber_sk", dim_plan: DataFrame | None = None) -> DataFrame:
+                      by: str = "subscriber_sk", dim_plan: DataFrame | None = None, conformed: bool = True) -> DataFrame:
     """One row per (current subscriber, month in ``months``).
 
+    ``conformed=False`` leaves the sums in the types that they were added in, for
+    a contract that reports what the table's columns cannot hold.
+
     plan_sk is the latest plan version (by start date, then version, looked up
     in ``dim_plan``) over *all* the subscriber's usage, as the original's
     largest increasing key; ``plan_upto_month=True`` restricts it to usage up to
@@ -121,7 +124,7 @@ def monthly_snapshots(dim_subscriber: DataFrame, dim_tower: DataFrame, fact_usag
         F.coalesce((F.col("churn") == 1) & (F.date_format("churn_date", "yyyy-MM") <= F.col("snapshot_month")), F.lit(False))
         .cast("int").alias("churn_status"),
     )
-    return conform(out, FACT_SUBSCRIBER_MONTHLY)
+    return conform(out, FACT_SUBSCRIBER_MONTHLY) if conformed else out
 
 
 def churn_risk(dim_subscriber: DataFrame, fact_usage: DataFrame, as_of: str, min_days: int = 60

@@ -13,10 +13,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from telco_mart.operators import marts as M
+from telco_mart.operators.export import modified
+from telco_mart.operators.runs import RunStore
 from telco_mart.plans.warehouse import Warehouse
 from telco_mart.session import scratch_path
 
@@ -38,8 +41,9 @@ _BUILT: dict = {}
 
 
 def built(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The written warehouse of a folder, built once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The written warehouse of a folder, built once per application and state
+    of its files."""
+    key = (spark.sparkContext.applicationId, sf_dir, modified(spark, f"{sf_dir}/lineitem.parquet"), modified(spark, f"{sf_dir}/customer.parquet"))
     if key not in _BUILT:
         _BUILT[key] = Warehouse(spark, sf_dir).materialize(scratch_path(spark, f"warehouse_{uuid.uuid4().hex[:12]}"))
     return _BUILT[key]
@@ -335,6 +339,17 @@ def q_fact_incident(spark, sf_dir):
     return out(wh(spark, sf_dir).fact_incident)
 
 
+@query("fact_incident_rejects")
+def q_fact_incident_rejects(spark, sf_dir):
+    """Incidents that find no day in the calendar: every 97th is given a parsable
+    but impossible date, outside the valid years."""
+    raw = wh(spark, sf_dir).raw("incidents")
+    k = F.substring("incident_id", 4, 20).cast("long")
+    late = F.when(k % 97 == 3, F.when(k % 2 == 0, "9999-12-31 00:00:00").otherwise("0001-01-01 00:00:00")).otherwise(F.col("incident_datetime"))
+    w = Warehouse(spark, sf_dir, feeds={"incidents": raw.withColumn("incident_datetime", late)})
+    return w.fact_incident_rejects.select("incident_id", "rejection_reason")
+
+
 @query("fact_append_idempotent")
 def q_fact_append(spark, sf_dir):
     f = wh(spark, sf_dir).fact_usage
@@ -384,14 +399,30 @@ def q_churn_risk(spark, sf_dir):
 
 @query("etl_run_summary")
 def q_etl_run_summary(spark, sf_dir):
-    w = wh(spark, sf_dir)
-    return G.run_log([
-        ("dim_plan", "LOAD", w.raw("plans"), w.dim_plan, None, None),
-        ("dim_tower", "LOAD", w.raw("towers"), w.dim_tower, None, None),
-        ("dim_subscriber", "LOAD", w.raw("subscribers"), w.dim_subscriber, w.subscriber_rejects, None),
-        ("fact_usage", "LOAD", w.raw("usage"), w.fact_usage, w.fact_usage_rejects, None),
-        ("fact_incident", "LOAD", w.raw("incidents"), w.fact_incident, w._incidents[1], None),
-    ])
+    """The run log that a run saved, of the dimension and fact loads: counts were
+    observed while the tables were written."""
+    from telco_mart.plans.etl import run_etl
+    root = scratch_path(spark, f"run_log_{uuid.uuid4().hex[:12]}")
+    run_etl(spark, sf_dir, root, marts=False)
+    log = G.run_summary(spark.read.parquet(f"{root}/etl_log"))
+    loads = log.filter(F.col("operation").isin("LOAD") & F.col("table_name").isin("dim_plan", "dim_tower", "dim_subscriber", "fact_usage", "fact_incident"))
+    return loads.select("table_name", "operation", "status", "rows_extracted", "rows_inserted", "rows_rejected", "rows_updated")
+
+
+@query("key_integrity")
+def q_key_integrity(spark, sf_dir):
+    """Surrogate keys of the written warehouse: rows, distinct keys and rows
+    without a key of each dimension; fact rows whose keys no dimension has."""
+    w = built(spark, sf_dir)
+    dims = {"dim_subscriber": "subscriber_sk", "dim_plan": "plan_sk", "dim_tower": "tower_sk", "dim_location": "location_sk"}
+    parts = [getattr(w, d).agg(F.lit(d).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.countDistinct(k).alias("keys"), F.count_if(F.col(k).isNull()).alias("broken")) for d, k in dims.items()]
+    for name, fact, key, wanted in (("fact_usage", w.fact_usage, "usage_sk", dims), ("fact_incident", w.fact_incident, "incident_sk", {d: k for d, k in dims.items() if d in ("dim_tower", "dim_location")})):
+        rows = fact
+        for d, k in wanted.items():
+            rows = rows.join(getattr(w, d).select(k, F.lit(True).alias(f"_{k}")), k, "left")
+        missing = reduce(lambda x, y: x | y, (F.col(k).isNotNull() & F.col(f"_{k}").isNull() for k in wanted.values()))
+        parts.append(rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("keys"), F.count_if(missing).alias("broken")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("audit_diff")
@@ -426,15 +457,50 @@ def q_pseudonymise(spark, sf_dir):
         "is_current")
 
 
+@query("audit_erasure")
+def q_audit_erasure(spark, sf_dir):
+    """The audit row of each erased subscriber, in the audit contract."""
+    dim = dim_subscriber_v2(wh(spark, sf_dir))
+    ids = dim.select("subscriber_id").filter((F.substring("subscriber_id", 4, 20).cast("long") % 101) == 0)
+    _, audit = G.pseudonymise(dim, ids)
+    complete = F.col("changed_by").isNotNull() & F.col("changed_at").isNotNull()
+    return audit.select("table_name", "operation", "record_pk", "column_name", "old_value", "new_value", complete.alias("who_and_when"))
+
+
 @query("etl_rejected_rows")
 def q_etl_rejected_rows(spark, sf_dir):
-    """What a run stored in its rejected-rows table, by source and reason."""
+    """What two runs on the same feeds stored in the rejected-rows table, by
+    source and reason: the repeat adds nothing."""
     root = scratch_path(spark, f"rejects_{uuid.uuid4().hex[:12]}")
-    Warehouse(spark, sf_dir).materialize(root)
-    stored = spark.read.parquet(f"{root}/rejected_rows")
+    for _ in range(2):
+        Warehouse(spark, sf_dir).materialize(root)
+    stored = RunStore(spark, root).read("rejected_rows")
     return stored.filter("raw_data is not null").groupBy("source_table", "rejection_reason").agg(F.count(F.lit(1)).alias("nb"))
 
 
+@query("kpi_incremental_refresh")
+def q_kpi_incremental_refresh(spark, sf_dir):
+    """Two runs: the second brings the newest quarter of the usage feed, changed
+    subscribers and moved towers, and refreshes the touched months of each mart.
+    Rows that a mart has and a full rebuild has not, and the other way round."""
+    from dataclasses import replace
+    from telco_mart.plans.etl import MARTS, run_etl
+    root = scratch_path(spark, f"refresh_{uuid.uuid4().hex[:12]}")
+    day1 = Warehouse(spark, sf_dir)
+    t = day1.tables
+    early = day1.raw("usage").filter(F.col("event_datetime") < "1997-06-01")
+    run_etl(spark, sf_dir, root, day1.cfg, feeds={"usage": early})
+    feeds = {"subscribers": DT.raw_subscribers(t, delta=True), "towers": DT.raw_towers(t, delta=True)}
+    w, kpis, _ = run_etl(spark, sf_dir, root, replace(day1.cfg, as_of=AS_OF2), feeds=feeds)
+    parts = []
+    for name, build in MARTS.items():
+        kept, full = kpis[name], build(w).select(kpis[name].columns)
+        count = lambda df: df.agg(F.count(F.lit(1))).scalar()
+        one = spark.range(1).select(F.lit(name).alias("mart"), count(kept.exceptAll(full)).alias("stale"), count(full.exceptAll(kept)).alias("missing"), (count(full) > 0).alias("has_rows"))
+        parts.append(one)
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("etl_two_runs")
 def q_etl_two_runs(spark, sf_dir):
     """Two runs on one root: the first without the newest third of the usage
@@ -557,13 +623,21 @@ def q_rup_exact_arpu(spark, sf_dir):
 
 # -------------------------------------------------------------------- model
 from telco_mart.operators import ml as ML  # noqa: E402
+from telco_mart.operators.attribution import leaves_of, mean_absolute, shapley  # noqa: E402
 
 _MODELS: dict = {}
+_VECTORS: dict = {}
+_MONTHS: dict = {}
 
 
 def _ml_prepared(spark, sf_dir) -> DataFrame:
+    """Features of the written snapshots, which are made once per application
+    and folder."""
     w = built(spark, sf_dir)
-    return ML.prepare(ML.extract_features(_snapshots(w), w.dim_subscriber, w.dim_plan))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MONTHS:
+        _MONTHS[key] = _snapshots(w).checkpoint()
+    return ML.prepare(ML.extract_features(_MONTHS[key], w.dim_subscriber, w.dim_plan))
 
 
 def _ml_fit(spark, sf_dir):
@@ -591,6 +665,69 @@ def q_ml_oversample(spark, sf_dir):
     return ML.balance(train).select("subscriber_id", "snapshot_month", "churn_status", "weight")
 
 
+def _ml_vectors(spark, sf_dir) -> DataFrame:
+    """Train rows with their feature vector, written once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _VECTORS:
+        prepared = _ml_prepared(spark, sf_dir)
+        train = ML.temporal_split(prepared).filter(F.col("split") == "train")
+        encoded = ML.encoders().fit(prepared).transform(train)
+        _VECTORS[key] = ML.vector_pipeline().fit(encoded).transform(encoded).checkpoint()
+    return _VECTORS[key]
+
+
+@query("ml_interpolated")
+def q_ml_interpolated(spark, sf_dir):
+    """Rows by class and origin after oversampling: both classes are equal."""
+    real = _ml_vectors(spark, sf_dir)
+    new = ML.oversampled(real)
+    rows = real.select("churn_status", F.lit("feed").alias("origin")).unionByName(new.select(F.col("label").alias("churn_status"), F.lit("interpolated").alias("origin")))
+    return rows.groupBy("churn_status", "origin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("ml_interpolated_between")
+def q_ml_interpolated_between(spark, sf_dir):
+    """Every new row lies between two different rows of the smaller class: of all
+    new rows, those whose ends are train rows of that class with the recorded
+    vectors, those with every feature between its ends at the same share, and
+    those whose ends differ."""
+    real = _ml_vectors(spark, sf_dir)
+    new = ML.oversampled(real)
+    rows = real.select(F.struct("subscriber_id", "snapshot_month").alias("id"), F.col("churn_status").alias("label"), ML.vector_to_array("raw_features").alias("v"))
+    ends = new.join(rows.select("id", "label", F.col("v").alias("va")), ["id", "label"], "left").join(
+        rows.select(F.col("id").alias("near_id"), "label", F.col("v").alias("vb")), ["near_id", "label"], "left")
+    on_line = F.forall(F.arrays_zip("a", "b", "x"), lambda z: F.abs(z["x"] - (z["a"] + F.col("share") * (z["b"] - z["a"]))) <= F.lit(1e-9) * (1 + F.abs(z["a"]) + F.abs(z["b"])))
+    return ends.agg(
+        F.count(F.lit(1)).alias("new_rows"), F.count_if((F.col("a") == F.col("va")) & (F.col("b") == F.col("vb"))).alias("ends_in_class"),
+        F.count_if(on_line & F.col("share").between(0, 1)).alias("between"), F.count_if(F.col("id") != F.col("near_id")).alias("two_ends"))
+
+
+#: Two trees whose leaves SQL can state, on four features, and their baseline.
+STATED_FEATURES = ["days_since_active", "failed_calls", "age", "sms_used"]
+STATED_TREES = [
+    {0: (0, 30.0, 1, 2), 1: (1, 0.0, 3, 4), 2: (2, 40.0, 5, 6), 3: (0.1,), 4: (0.5,), 5: (0.7,), 6: (0.9,)},
+    {0: (3, 0.0, 1, 2), 1: (0, 10.0, 3, 4), 2: (0.05,), 3: (-0.2,), 4: (0.3,)},
+]
+STATED_BASELINE = [20.0, 1.0, 35.0, 1.0]
+
+
+@query("ml_stated_attribution")
+def q_ml_stated_attribution(spark, sf_dir):
+    """Shapley values of two stated trees for every row of the test month."""
+    leaves = [leaf for tree in STATED_TREES for leaf in leaves_of(tree)]
+    x = F.array(*(F.col(c).cast("double") for c in STATED_FEATURES))
+    rows = shapley(_ml_stated(spark, sf_dir), leaves, STATED_BASELINE, x)
+    return rows.select("subscriber_id", *((F.round(F.get("phi", F.lit(i)), 9) + 0.0).alias(f"phi_{c}") for i, c in enumerate(STATED_FEATURES)))
+
+
+@query("ml_vector")
+def q_ml_vector(spark, sf_dir):
+    """The feature vector of each train row, by feature: encoded labels, filled
+    gaps and all other columns in their places."""
+    v = _ml_vectors(spark, sf_dir).select("subscriber_id", "snapshot_month", ML.vector_to_array("raw_features").alias("v"))
+    return v.select("subscriber_id", "snapshot_month", *(F.round(F.get("v", F.lit(i)), 6).alias(c) for i, c in enumerate(ML.FEATURES)))
+
+
 def _ml_stated(spark, sf_dir) -> DataFrame:
     """Test rows with a score that SQL can state, to check what is computed
     from scores apart from the fitted trees."""
@@ -619,6 +756,22 @@ def q_ml_stated_top_risk(spark, sf_dir):
     return ML.top_rows(_ml_stated(spark, sf_dir).filter(F.col("churn_status") == 0), 500)
 
 
+@query("rup_risk_list")
+def q_rup_risk_list(spark, sf_dir):
+    """The list of subscribers at risk as the dashboard shows it: business labels,
+    the columns that decide first."""
+    top = ML.top_rows(_ml_stated(spark, sf_dir).filter(F.col("churn_status") == 0), 500)
+    return R.relabel(top, C.RISK_LABELS, C.RISK_FIRST)
+
+
+@query("export_model_csv")
+def q_export_model_csv(spark, sf_dir):
+    """The model's result files: figures, importances and list at risk as CSV."""
+    model, _, test = _ml_fit(spark, sf_dir)
+    root = scratch_path(spark, f"model_{uuid.uuid4().hex[:12]}")
+    return ML.export_results(model, test, root).select("table_name", "rows", "status")
+
+
 @query("ml_metrics")
 def q_ml_metrics(spark, sf_dir):
     model, _, test = _ml_fit(spark, sf_dir)
@@ -645,8 +798,8 @@ def q_ml_importance(spark, sf_dir):
 
 @query("ml_attribution")
 def q_ml_attribution(spark, sf_dir):
-    model, train, test = _ml_fit(spark, sf_dir)
-    return ML.attributions(model, test, baseline=ML.balanced_means(model, train))
+    model, _, test = _ml_fit(spark, sf_dir)
+    return mean_absolute(ML.attributions(model, test), ML.FEATURES)
 
 
 @query("ml_top_risk")
@@ -661,18 +814,20 @@ from telco_mart.streaming.ingest import ingest_usage  # noqa: E402
 
 @query("stream_usage_ingest")
 def q_stream_usage(spark, sf_dir):
-    """Land the raw usage feed as files (and one that repeats rows of the
-    others), ingest one file per micro-batch, then replay all of them through a
+    """Land the raw usage feed in three loads (and one that repeats rows of the
+    others), ingest them in four micro-batches, then replay all of them through a
     second query (new checkpoint): the replay must add nothing. Returns the
     ingested fact, as ``fact_usage``."""
     w = wh(spark, sf_dir)
     root = scratch_path(spark, f"stream_usage_{uuid.uuid4().hex[:12]}")
     src, target = f"{root}/landing", f"{root}/fact_usage"
     raw = w.raw("usage")
-    raw.repartition(3, "usage_id").write.parquet(src)
-    raw.filter(F.col("usage_id").endswith("7")).coalesce(1).write.mode("append").parquet(src)
+    for i in range(3):  # landed in three loads, as the feed is partitioned
+        raw.filter(F.pmod(F.xxhash64("usage_id"), F.lit(3)) == i).write.mode("append").parquet(src)
+    raw.filter(F.col("usage_id").endswith("7")).write.mode("append").parquet(src)
     w = built(spark, sf_dir)
-    ingest_usage(spark, src, target, f"{root}/ckpt_1", w, max_files_per_trigger=1)
+    files = len(spark.read.parquet(src).inputFiles())
+    ingest_usage(spark, src, target, f"{root}/ckpt_1", w, max_files_per_trigger=-(-files // 4))
     ingest_usage(spark, src, target, f"{root}/ckpt_2", w)
     f = spark.read.parquet(target).drop("_batch")
     return out(f.withColumn("has_plan", F.col("plan_sk").isNotNull().cast("int")))
@@ -680,6 +835,10 @@ def q_stream_usage(spark, sf_dir):
 
 # ------------------------------------------------------- landing and export
 from telco_mart.operators.export import export_tables  # noqa: E402
+from telco_mart.operators import actives as A  # noqa: E402
+from telco_mart.operators import contract as K  # noqa: E402
+from telco_mart.operators.runs import Run  # noqa: E402
+from telco_mart.sources.landing import land  # noqa: E402
 from telco_mart.sources.raw import read_feed  # noqa: E402
 
 
@@ -696,6 +855,82 @@ def q_clean_subscribers_csv(spark, sf_dir):
     return out(kept)
 
 
+@query("landing_ledger")
+def q_landing_ledger(spark, sf_dir):
+    """All five feeds landed from CSV files, with a broken line in each, a quoted
+    line break among the incidents, and some of the files a second time under
+    other names; then landed again. Per feed: rows, broken lines, rows with their
+    lineage, and what the second landing added."""
+    w = wh(spark, sf_dir)
+    root = scratch_path(spark, f"landing_{uuid.uuid4().hex[:12]}")
+    names = ["plans", "towers", "subscribers", "usage", "incidents"]
+    for n in names:
+        raw = w.raw(n)
+        write = lambda df, mode="append", n=n: df.write.mode(mode).option("header", True).option("escape", '"').csv(f"{root}/in/{n}")
+        write(raw)
+        copies = [f.rsplit("/", 1)[-1] for f in spark.read.text(f"{root}/in/{n}").inputFiles()]
+        spark.read.text(f"{root}/in/{n}/{copies[0]}").write.text(f"{root}/in/{n}/again")
+        spark.createDataFrame([(",".join(raw.columns),), ("only,two",)], "value string").coalesce(1).write.mode("append").text(f"{root}/in/{n}")
+        if n == "incidents":
+            write(raw.orderBy("incident_id").limit(1).withColumn("incident_id", F.lit("I-break")).withColumn("description", F.lit("first line\nsecond, \"quoted\" line")))
+    parts = []
+    run, again = Run(spark, f"{root}/wh"), None
+    first = {n: land(run, n, f"{root}/in/{n}", multi_line=n == "incidents") for n in names}
+    run.commit()
+    again = Run(spark, f"{root}/wh")
+    second = {n: land(again, n, f"{root}/in/{n}", multi_line=n == "incidents") for n in names}
+    for n in names:
+        rows, broken = first[n]
+        text = F.count_if(F.col("description") == "first line\nsecond, \"quoted\" line") if n == "incidents" else F.lit(0).cast("long")
+        counted = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_source_file").contains(f"/in/{n}/") & F.col("_loaded_at").isNotNull()).alias("with_lineage"), text.alias("line_breaks"))
+        more = second[n][0].select(F.lit(1)).unionAll(second[n][1].select(F.lit(1))).agg(F.count(F.lit(1))).scalar()
+        parts.append(counted.select(F.lit(n).alias("feed"), "rows", "with_lineage", "line_breaks", broken.agg(F.count(F.lit(1))).scalar().alias("broken"), more.alias("added_again")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("dq_contract")
+def q_dq_contract(spark, sf_dir):
+    """What the contracts report of the five feeds, with some planted faults: too
+    long descriptions, durations that fit no INT, prices that fit no DECIMAL."""
+    w = wh(spark, sf_dir)
+    feeds = {n: w.raw(n) for n in ("plans", "towers", "subscribers", "usage", "incidents")}
+    feeds["incidents"] = feeds["incidents"].withColumn("description", F.when(F.col("incident_id").endswith("77"), F.repeat(F.lit("x"), 501)).otherwise(F.col("description")))
+    feeds["usage"] = feeds["usage"].withColumn("duration_sec", F.when(F.col("usage_id").rlike("^U[0-9]*33-1-"), F.lit("3000000000")).otherwise(F.col("duration_sec")))
+    feeds["subscribers"] = feeds["subscribers"].withColumn("monthly_revenue", F.when(F.col("subscriber_id").endswith("9"), F.lit("100000000")).otherwise(F.col("monthly_revenue")))
+    return K.reports([(K.FEEDS[n], df) for n, df in feeds.items()]).select("source_table", "record_id", "rejection_reason")
+
+
+@query("dq_day_gaps")
+def q_dq_day_gaps(spark, sf_dir):
+    """Gaps between the days of the events and of the incidents, with planted
+    ones: no event in the second week of March 1995, no incident in odd months of 1996."""
+    w = wh(spark, sf_dir)
+    day = lambda feed, col: w.raw(feed).select(F.lit(feed).alias("source"), CL.X.to_date(col).alias("day"))
+    usage = day("usage", "event_datetime").filter(~F.coalesce(F.col("day").between("1995-03-08", "1995-03-14"), F.lit(False)))
+    incidents = day("incidents", "incident_datetime").filter(~F.coalesce((F.year("day") == 1996) & (F.month("day") % 2 == 1), F.lit(False)))
+    return out(Q.day_gaps(usage.unionByName(incidents)))
+
+
+@query("rup_exact_actives")
+def q_rup_exact_actives(spark, sf_dir):
+    """Distinct active subscribers by city (data events), by technology and by
+    year, each rolled up from one table of bitmaps by month, place, technology
+    and event type: the exact counts beside the dashboard's sums over months."""
+    w = built(spark, sf_dir)
+    by = ["annee", "month_key", "country", "city", "technology", "event_type"]
+    cells = w.fact_usage.select("annee", F.floor(F.col("date_sk") / 100).cast("int").alias("month_key"), "tower_sk", "event_type", "subscriber_sk").distinct()
+    cells = cells.join(w.dim_tower.select("tower_sk", "country", "city", "technology"), "tower_sk")
+    table = A.bitmaps(cells, A.ordinals(w.dim_subscriber), by).checkpoint()
+    none = F.lit(None).cast("string")
+    data = A.count_active(table.filter(F.col("event_type") == C.DATA_TYPE), ["country", "city"])
+    parts = [
+        data.select(F.lit("city_data").alias("level"), "country", "city", none.alias("technology"), F.lit(None).cast("int").alias("annee"), "actives"),
+        A.count_active(table, ["country", "technology"]).select(F.lit("technology").alias("level"), "country", none.alias("city"), "technology", F.lit(None).cast("int").alias("annee"), "actives"),
+        A.count_active(table, ["annee"]).select(F.lit("year").alias("level"), none.alias("country"), none.alias("city"), none.alias("technology"), "annee", "actives"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("export_kpis")
 def q_export_kpis(spark, sf_dir):
     """Portable extract of the seven marts (one Parquet folder each); the

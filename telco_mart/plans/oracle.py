@@ -1022,6 +1022,35 @@ FROM prep,
       FROM prep WHERE snapshot_month < (SELECT max(snapshot_month) FROM prep)) big
 WHERE snapshot_month < (SELECT max(snapshot_month) FROM prep)
 """)
+TRAIN_COUNTS = """
+train AS (SELECT * FROM prep WHERE snapshot_month < (SELECT max(snapshot_month) FROM prep)),
+classes AS (SELECT count(*) FILTER (churn_status = 1) AS one, count(*) FILTER (churn_status = 0) AS zero FROM train),
+need AS (SELECT CASE WHEN one <= zero THEN 1 ELSE 0 END AS label, CASE WHEN least(one, zero) > 0 THEN abs(one - zero) ELSE 0 END AS n FROM classes)
+"""
+SQL["ml_interpolated"] = with_ctes(SNAPSHOT + ",\n" + ML_FEATURES + ",\n" + TRAIN_COUNTS, """
+SELECT churn_status, 'feed' AS origin, count(*) AS n FROM train GROUP BY churn_status
+UNION ALL SELECT label, 'interpolated', n FROM need WHERE n > 0
+""")
+SQL["ml_interpolated_between"] = with_ctes(SNAPSHOT + ",\n" + ML_FEATURES + ",\n" + TRAIN_COUNTS, """
+SELECT n AS new_rows, n AS ends_in_class, n AS between, n AS two_ends FROM need
+""")
+# Every coalition of the four features (a mask), then the definition's weights.
+SQL["ml_stated_attribution"] = with_ctes(SNAPSHOT + ",\n" + ML_FEATURES + """,
+test AS (SELECT subscriber_id, CAST(days_since_active AS DOUBLE) AS d, CAST(failed_calls AS DOUBLE) AS f, CAST(age AS DOUBLE) AS a, CAST(sms_used AS DOUBLE) AS s
+         FROM prep WHERE snapshot_month = (SELECT max(snapshot_month) FROM prep)),
+mixed AS (SELECT subscriber_id, m, CASE WHEN m & 1 > 0 THEN d ELSE 20 END AS d, CASE WHEN m & 2 > 0 THEN f ELSE 1 END AS f,
+                 CASE WHEN m & 4 > 0 THEN a ELSE 35 END AS a, CASE WHEN m & 8 > 0 THEN s ELSE 1 END AS s
+          FROM test, range(16) t(m)),
+valued AS (SELECT subscriber_id, m, (m & 1) + (m >> 1 & 1) + (m >> 2 & 1) + (m >> 3 & 1) AS size,
+                  CASE WHEN d <= 30 THEN CASE WHEN f <= 0 THEN 0.1 ELSE 0.5 END ELSE CASE WHEN a <= 40 THEN 0.7 ELSE 0.9 END END::DOUBLE
+                  + CASE WHEN s <= 0 THEN CASE WHEN d <= 10 THEN -0.2 ELSE 0.3 END ELSE 0.05 END::DOUBLE AS v FROM mixed),
+gains AS (SELECT x.subscriber_id, b.bit, [6, 2, 2, 6][y.size + 1] / 24.0::DOUBLE * (x.v - y.v) AS gain
+          FROM valued x, (VALUES (1), (2), (4), (8)) b(bit), valued y
+          WHERE x.subscriber_id = y.subscriber_id AND x.m & b.bit > 0 AND y.m = x.m - b.bit)""", """
+SELECT subscriber_id, round(sum(gain) FILTER (bit = 1), 9) + 0 AS phi_days_since_active, round(sum(gain) FILTER (bit = 2), 9) + 0 AS phi_failed_calls,
+       round(sum(gain) FILTER (bit = 4), 9) + 0 AS phi_age, round(sum(gain) FILTER (bit = 8), 9) + 0 AS phi_sms_used
+FROM gains GROUP BY subscriber_id
+""")
 SQL["ml_stated_confusion"] = stated("""
 SELECT churn_status AS label, CAST(p >= 0.5 AS INTEGER) AS prediction, count(*) AS n FROM stated GROUP BY 1, 2
 """)
@@ -1074,7 +1103,9 @@ SELECT source_table, rejection_reason, CAST(count(*) AS BIGINT) AS nb FROM (
   UNION ALL
   SELECT 'fact_usage', 'Data event with data_mb = 0' FROM usage_s WHERE event_type = 'Data' AND data_mb = 0
   UNION ALL
-  SELECT 'fact_usage', 'Valeur numérique hors limites' FROM usage_s WHERE out_of_range) r
+  SELECT 'fact_usage', 'Valeur numérique hors limites' FROM usage_s WHERE out_of_range
+  UNION ALL
+  SELECT 'plans', 'monthly_fee : hors type decimal(10,2)' FROM part WHERE p_partkey % 97 = 96) r
 GROUP BY source_table, rejection_reason
 """)
 SQL["etl_two_runs"] = with_ctes(SCD_SUB + ",\n" + PLAN2.format(d1=AS_OF, d2=AS_OF2), """
@@ -1085,3 +1116,71 @@ UNION ALL SELECT 'dim_tower', count(*), NULL, NULL FROM towers_s
 UNION ALL SELECT 'fact_usage', count(*), NULL, NULL FROM fact_u
 UNION ALL SELECT 'fact_incident', count(*), NULL, NULL FROM fact_i
 """)
+
+SQL["kpi_incremental_refresh"] = "\nUNION ALL\n".join(f"SELECT '{k}' AS mart, CAST(0 AS BIGINT) AS stale, CAST(0 AS BIGINT) AS missing, true AS has_rows" for k in KPI_BODY)
+
+SQL["landing_ledger"] = "\nUNION ALL\n".join(
+    f"SELECT '{feed}' AS feed, count(*) + {extra} AS rows, count(*) + {extra} AS with_lineage, CAST({extra} AS BIGINT) AS line_breaks, CAST(1 AS BIGINT) AS broken, CAST(0 AS BIGINT) AS added_again FROM {table}"
+    for feed, table, extra in (("plans", "part", 0), ("towers", "supplier", 0), ("subscribers", "customer", 0), ("usage", "lineitem", 0), ("incidents", "orders", 1)))
+SQL["dq_contract"] = """
+WITH u AS (SELECT *, 'U' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || strftime(l_shipdate, '%Y%m%d') || '-' || CAST(l_quantity AS INTEGER) AS usage_id FROM lineitem)
+SELECT 'plans' AS source_table, 'P' || p_partkey AS record_id, 'monthly_fee : hors type decimal(10,2)' AS rejection_reason FROM part WHERE p_partkey % 97 = 96
+UNION ALL SELECT 'subscribers', 'SUB' || c_custkey, 'monthly_revenue : hors type decimal(10,2)' FROM customer WHERE c_custkey % 10 = 9 AND c_custkey % 499 <> 498
+UNION ALL SELECT 'incidents', 'INC' || o_orderkey, 'description : texte trop long (500)' FROM orders WHERE o_orderkey % 100 = 77
+UNION ALL SELECT 'usage', usage_id, 'duration_sec : hors type int' FROM u WHERE l_orderkey % 100 = 33 AND l_linenumber = 1
+UNION ALL SELECT 'usage', usage_id, 'data_mb : hors type decimal(12,4)' FROM u WHERE l_returnflag = 'R' AND l_orderkey % 229 = 0 AND l_orderkey % 223 <> 0 AND l_orderkey % 227 <> 0
+UNION ALL SELECT 'usage', usage_id, 'amount_fcfa : hors type decimal(12,2)' FROM u
+  WHERE (l_orderkey + l_partkey) % 409 = 5 AND (l_orderkey + l_partkey) % 401 <> 0 AND (l_orderkey * 3 + l_linenumber) % 100 NOT IN (0, 1)
+"""
+SQL["dq_day_gaps"] = with_base("""
+SELECT source, strftime(day + INTERVAL 1 DAY, '%Y-%m-%d') AS gap_start, strftime(following - INTERVAL 1 DAY, '%Y-%m-%d') AS gap_end, CAST(date_diff('day', day, following) - 1 AS INTEGER) AS days
+FROM (SELECT source, day, lead(day) OVER (PARTITION BY source ORDER BY day) AS following FROM (
+        SELECT DISTINCT 'usage' AS source, CAST(event_datetime AS DATE) AS day FROM usage_typed WHERE CAST(event_datetime AS DATE) NOT BETWEEN DATE '1995-03-08' AND DATE '1995-03-14'
+        UNION SELECT 'incidents', CAST(incident_datetime AS DATE) FROM inc_typed WHERE NOT (year(incident_datetime) = 1996 AND month(incident_datetime) % 2 = 1)))
+WHERE date_diff('day', day, following) > 1
+""")
+SQL["rup_exact_actives"] = with_base("""
+SELECT 'city_data' AS level, tower_country AS country, tower_city AS city, NULL AS technology, CAST(NULL AS INTEGER) AS annee, count(DISTINCT subscriber_id) AS actives
+FROM fact_u WHERE event_type = 'Data' GROUP BY tower_country, tower_city
+UNION ALL SELECT 'technology', tower_country, NULL, technology, NULL, count(DISTINCT subscriber_id) FROM fact_u GROUP BY tower_country, technology
+UNION ALL SELECT 'year', NULL, NULL, NULL, CAST(year(event_date) AS INTEGER), count(DISTINCT subscriber_id) FROM fact_u GROUP BY year(event_date)
+""")
+
+SQL["key_integrity"] = with_base("""
+SELECT 'dim_subscriber' AS table_name, count(*) AS rows, count(DISTINCT subscriber_id) AS keys, CAST(0 AS BIGINT) AS broken FROM subs_s
+UNION ALL SELECT 'dim_plan', count(*), count(DISTINCT plan_id), 0 FROM plans_s
+UNION ALL SELECT 'dim_tower', count(*), count(DISTINCT tower_id), 0 FROM towers_s
+UNION ALL SELECT 'dim_location', count(*), count(*), 0 FROM (SELECT DISTINCT city, country FROM locations_s)
+UNION ALL SELECT 'fact_usage', count(*), count(DISTINCT usage_id), 0 FROM fact_u
+UNION ALL SELECT 'fact_incident', count(*), count(DISTINCT incident_id), 0 FROM fact_i
+""")
+SQL["fact_incident_rejects"] = with_base("""
+SELECT incident_id, 'clé manquante' AS rejection_reason FROM inc_typed
+WHERE o_orderkey % 97 = 3 AND tower_id IN (SELECT tower_id FROM towers_s)
+""")
+SQL["audit_erasure"] = with_ctes(SCD_SUB, """
+SELECT DISTINCT 'dim_subscriber' AS table_name, 'UPDATE' AS operation, subscriber_id AS record_pk, 'RGPD_PSEUDONYMISATION' AS column_name,
+       'Données identifiantes' AS old_value, 'Anonymisées sur demande RGPD' AS new_value, true AS who_and_when
+FROM merged WHERE CAST(substr(subscriber_id, 4) AS BIGINT) % 101 = 0
+""")
+SQL["ml_vector"] = with_ctes(SNAPSHOT + ",\n" + ML_FEATURES, """
+SELECT subscriber_id, snapshot_month, round(age, 6) AS age,
+       round(coalesce(monthly_fee, avg(monthly_fee) OVER ()), 6) AS monthly_fee, round(coalesce(data_quota_gb, avg(data_quota_gb) OVER ()), 6) AS data_quota_gb,
+       round(CAST(data_used_mb AS DOUBLE), 6) AS data_used_mb, CAST(voice_used_sec AS DOUBLE) AS voice_used_sec, CAST(sms_used AS DOUBLE) AS sms_used,
+       round(CAST(revenue_fcfa AS DOUBLE), 6) AS revenue_fcfa, CAST(network_incidents AS DOUBLE) AS network_incidents, CAST(failed_calls AS DOUBLE) AS failed_calls,
+       CAST(days_since_active AS DOUBLE) AS days_since_active, round(data_usage_ratio, 6) AS data_usage_ratio,
+       round(call_failure_rate, 6) AS call_failure_rate, CAST(gender_no AS DOUBLE) AS gender_enc, CAST(segment_no AS DOUBLE) AS segment_enc, CAST(country_no AS DOUBLE) AS country_enc
+FROM (SELECT *, dense_rank() OVER (ORDER BY gender) - 1 AS gender_no, dense_rank() OVER (ORDER BY segment) - 1 AS segment_no, dense_rank() OVER (ORDER BY country) - 1 AS country_no,
+             max(snapshot_month) OVER () AS last FROM prep)
+WHERE snapshot_month < last
+""")
+SQL["rup_risk_list"] = stated("""
+SELECT subscriber_id AS "Abonné", p * 100 AS "Risque de churn (%)", days_since_active AS "Jours sans activité", failed_calls AS "Appels échoués", network_incidents AS "Incidents réseau",
+       snapshot_month AS "Mois", country AS "Pays", age AS "Âge", segment AS "Segment", monthly_fee AS "Forfait mensuel"
+FROM stated WHERE churn_status = 0 ORDER BY p DESC, subscriber_id LIMIT 500
+""")
+SQL["export_model_csv"] = with_ctes(SNAPSHOT + ",\n" + ML_FEATURES, """
+SELECT 'resultats_modeles' AS table_name, CAST(1 AS BIGINT) AS rows, 'OK' AS status
+UNION ALL SELECT 'importance_variables', 15, 'OK'
+UNION ALL SELECT 'clients_a_risque', least(500, count(*)), 'OK' FROM prep WHERE snapshot_month = (SELECT max(snapshot_month) FROM prep) AND churn_status = 0
+""")

@@ -9,22 +9,24 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from telco_mart.config import WarehouseConfig
 from telco_mart.operators import cleaning as CL
+from telco_mart.operators import contract as K
 from telco_mart.operators import dimensions as D
 from telco_mart.operators import facts as FA
 from telco_mart.operators import quality as Q
 from telco_mart.functions import cleaning as X
 from telco_mart.operators.calendar import build_calendar
-from telco_mart.operators.export import has_version, materialize, path_exists, read_current
 from telco_mart.operators.median import group_medians
+from telco_mart.operators.runs import Run
 from telco_mart.operators.scd import classify_changes, latest_per_key
 from telco_mart.schemas import REJECTED_ROWS, conform
 from telco_mart.sources.driver_tables import DriverTables, raw_plans, raw_towers, raw_subscribers, \
     raw_usage, raw_incidents
+from telco_mart.sources.raw import with_lineage
 
 # Parameters for the driver-derived feeds: countries are region names and
 # cities nation names, so price bands and city lists are given in those terms.
@@ -37,6 +39,16 @@ DRIVER_CONFIG = WarehouseConfig(
 )
 
 
+def reject_new(run: Run, rows: DataFrame) -> DataFrame:
+    """Append the quarantine rows that no committed run has stored: a row is
+    known by its table, record and reason."""
+    same = ["source_table", "record_id", "rejection_reason"]
+    rows = conform(rows, {**REJECTED_ROWS, "record_id": "string"})
+    if run.before.has("rejected_rows"):
+        rows = rows.join(run.before.read("rejected_rows").select(*same).distinct(), same, "left_anti")
+    return run.append("rejected_rows", rows.withColumn("run_id", F.lit(run.run_id)).select(*REJECTED_ROWS, "record_id", "run_id"))
+
+
 class Warehouse:
     """Lazy star schema built from the raw feeds of a driver-table folder."""
 
@@ -66,7 +78,8 @@ class Warehouse:
         day = lambda feed, col: self.raw(feed).select(X.to_date(col).alias("d"))
         dates = (day("usage", "event_datetime").unionByName(day("incidents", "incident_datetime"))
                  .unionByName(day("subscribers", "subscription_date")).unionByName(day("subscribers", "churn_date")))
-        low, high = dates.agg(F.year(F.min("d")), F.year(F.max("d"))).first()
+        first, last = self.cfg.valid_years
+        low, high = dates.filter(F.year("d").between(first, last)).agg(F.year(F.min("d")), F.year(F.max("d"))).first()
         run = int(self.cfg.as_of[:4])
         return f"{min(low or run, run)}-01-01", f"{max(high or run, run)}-12-31"
 
@@ -133,9 +146,16 @@ class Warehouse:
     def incidents(self) -> DataFrame:
         return Q.incident_rules().apply(self._incidents[0])[0]
 
+    @property
+    def usage_quarantine(self) -> DataFrame:
+        """Usage rows that a rule warns of, of those whose subscriber, tower and
+        time are valid."""
+        bad = F.coalesce(F.col("rejection_reason").isin(CL.BAD_REFERENCE, CL.BAD_DATE), F.lit(False))
+        return Q.usage_rules().quarantined(self._usage_resolved.filter(~bad), CL.USAGE_COLUMNS)
+
     def quarantine(self) -> DataFrame:
         """Quarantine rows of every rule set (rejected and warned rows)."""
-        return (self._subs_dq[1].unionByName(self._usage_dq[1])
+        return (self._subs_dq[1].unionByName(self.usage_quarantine)
                 .unionByName(self._towers_dq[1]))
 
     # ---- dimensions ------------------------------------------------------
@@ -156,11 +176,15 @@ class Warehouse:
         return D.build_dim_location(self.towers, self.cfg)
 
     # ---- facts -----------------------------------------------------------
+    @cached_property
+    def _usage_resolved(self) -> DataFrame:
+        """Every usage row with its keys or the reason why it has none."""
+        return FA.resolve_usage(Q.usage_rules().flagged(self._usage_typed), self.dim_subscriber, self.dim_tower, self.dim_plan,
+                                self.dim_location, self.cfg, self.subscribers, self.towers)
+
     @cached_property
     def _fact_usage(self) -> tuple[DataFrame, DataFrame]:
-        typed = Q.usage_rules().apply(self._usage_typed)[0]
-        return FA.load_fact_usage(typed, self.dim_subscriber, self.dim_tower, self.dim_plan,
-                                  self.dim_location, self.cfg, self.subscribers, self.towers)
+        return FA.split_usage(self._usage_resolved)
 
     @property
     def fact_usage(self) -> DataFrame:
@@ -182,84 +206,107 @@ class Warehouse:
     def fact_incident_rejects(self) -> DataFrame:
         return self._fact_incident[1]
 
+    def restricted(self, fact: str, months: list[int]) -> "Warehouse":
+        """This warehouse with one fact cut to some months (as 199801): their
+        years are partitions, so no other year is read."""
+        part = Warehouse(self.spark, self.sf_dir, self.cfg, self._feeds)
+        part.__dict__.update(self.__dict__)
+        years = sorted({m // 100 for m in months})
+        rows = getattr(self, fact).filter(F.col("annee").isin(years) & F.floor(F.col("date_sk") / 100).isin(months))
+        part.__dict__[f"_{fact}"] = (rows, None)
+        return part
 
     def rejected_rows(self) -> DataFrame:
-        """Every rejected or warned row of the run in the rejected-rows
-        contract (source_table, raw_data, rejection_reason, rejected_at)."""
-        def shaped(source: str, df: DataFrame) -> DataFrame:
+        """Every rejected or warned row of the run, and every value of a dimension
+        feed that its contract cannot hold, in the rejected-rows contract
+        (source_table, raw_data, rejection_reason, rejected_at), and record_id:
+        the row's key, or a digest of a row without one."""
+        def shaped(source: str, key: str, df: DataFrame) -> DataFrame:
             raw = F.to_json(F.struct(*[c for c in df.columns if c != "rejection_reason"]))
             return df.select(F.lit(source).alias("source_table"), raw.alias("raw_data"), "rejection_reason",
-                             F.current_timestamp().alias("rejected_at"))
-        out = shaped("subscribers", self.subscriber_rejects)
-        out = out.unionByName(shaped("usage", self.fact_usage_rejects)).unionByName(shaped("incidents", self._incidents[1]))
-        out = out.unionByName(shaped("fact_incident", self.fact_incident_rejects))
-        return conform(out.unionByName(self.quarantine().drop("record_id")), REJECTED_ROWS)
+                             F.current_timestamp().alias("rejected_at"), F.coalesce(F.col(key), F.sha2(raw.cast("binary"), 256)).alias("record_id"))
+        out = shaped("subscribers", "subscriber_id", self.subscriber_rejects)
+        out = out.unionByName(shaped("usage", "usage_id", self.fact_usage_rejects)).unionByName(shaped("incidents", "incident_id", self._incidents[1]))
+        out = out.unionByName(shaped("fact_incident", "incident_id", self.fact_incident_rejects)).unionByName(self.quarantine())
+        out = out.unionByName(K.reports([(K.FEEDS[n], self.raw(n)) for n in ("plans", "towers", "subscribers")]))
+        return conform(out, {**REJECTED_ROWS, "record_id": "string"})
 
     # ---- materialisation ---------------------------------------------------
     def materialize(self, root: str, log=None) -> "Warehouse":
-        """Load this run's feeds into the warehouse at ``root`` and return a
-        warehouse that reads the written tables.
-
-        The first run creates it. A later run merges: dimensions take the new
-        feed through their type-1 / type-2 merges and are written as a new
-        version behind a pointer (readers see the old version until then);
-        facts append the rows whose id they do not hold yet, so running the
-        same feeds again changes nothing. Each layer reads the *written*
-        previous layer, and a lost executor only recomputes the layer being
-        written. Rejected rows are appended to ``rejected_rows``. ``root`` must
-        be a shared folder. Facts are partitioned by year."""
-        spark = self.spark
-        root = root.rstrip("/")
+        """Load this run's feeds into the warehouse at ``root``, commit, and
+        return a warehouse that reads the committed tables."""
+        run = Run(self.spark, root)
+        w = self.load(run, log)
+        run.commit()
+        return w
 
-        def old(name: str) -> DataFrame | None:
-            return read_current(spark, f"{root}/{name}") if has_version(spark, f"{root}/{name}") else None
+    def load(self, run: Run, log=None) -> "Warehouse":
+        """Write this run's tables; readers see them when the caller commits.
+
+        The first run creates the warehouse. A later run merges: dimensions take
+        the new feed through their type-1 / type-2 merges; facts append the rows
+        whose id they do not hold yet, rejects those that no run has stored, so
+        running the same feeds again changes nothing. Each layer reads the
+        *written* previous layer, and a lost executor only recomputes the layer
+        being written. Keys of a fact are resolved once, written with the reason
+        of every row that has none, and split from there. The root must be a
+        shared folder. Facts are partitioned by year."""
+        spark = self.spark
+        before = run.before
 
-        def put(name: str, df: DataFrame, writer, source: str | None = None, op: str = "LOAD", **counts) -> dict:
+        def put(name: str, df: DataFrame, write, source: str | None = None, op: str = "LOAD", **counts) -> tuple[DataFrame, dict]:
             if log is None:
-                writer(df)
-                return {}
-            return log.write(name, op, df, writer, extracted_from=source, **counts)
+                return write(df), {}
+            written = []
+            seen = log.write(name, op, df, lambda d: written.append(write(d)), extracted_from=source, **counts)
+            return written[0], seen
 
         def version(name: str, df: DataFrame, source: str | None = None, op: str = "LOAD", **counts) -> DataFrame:
-            put(name, df, lambda d: materialize(d, f"{root}/{name}"), source, op, **counts)
-            return read_current(spark, f"{root}/{name}")
+            return put(name, df, lambda d: run.replace(name, d), source, op, **counts)[0]
 
         def append(name: str, df: DataFrame, key: str, source: str, rejected: int) -> DataFrame:
-            path = f"{root}/{name}"
-            new = FA.append_new(spark.read.parquet(path), df, key) if path_exists(spark, path) else df
-            put(name, new, lambda d: d.write.mode("append").partitionBy("annee").parquet(path), source, rows_rejected=rejected)
-            return spark.read.parquet(path)
+            new = FA.append_new(before.read(name), df, key, years="annee") if before.has(name) else df
+            return put(name, new, lambda d: run.append(name, d, ["annee"]), source, rows_rejected=rejected)[0]
+
+        def old(name: str) -> DataFrame | None:
+            return before.read(name) if before.has(name) else None
 
         def updates(name: str, incoming: DataFrame, key: str, tracked: list[str], type1: list[str]) -> dict:
             """Rows that the merge changes, for the run log."""
-            if log is None or not has_version(spark, f"{root}/{name}"):
+            if log is None or not before.has(name):
                 return {}
             kinds = classify_changes(old(name), latest_per_key(incoming, key), key, tracked, type1)
             return {"rows_updated": kinds.filter(F.col("change_type").isin("changed", "minor")).count()}
 
-        feeds = {n: version(f"stg_{n}", self.raw(n), op="EXTRACT") for n in ("plans", "towers", "subscribers", "usage", "incidents")}
+        def landed(name: str) -> DataFrame:
+            """The feed with its lineage: that of its landing, or the feed's name."""
+            raw = self.raw(name)
+            return raw if "_source_file" in raw.columns else with_lineage(raw, name)
+
+        feeds = {n: version(f"stg_{n}", landed(n), op="EXTRACT") for n in ("plans", "towers", "subscribers", "usage", "incidents")}
         w = Warehouse(spark, self.sf_dir, self.cfg, feeds)
         dims, day = w.__dict__, self.cfg.as_of
         if log is not None:
             log.timed("medians_and_span", lambda: (w.calendar, w._usage_typed, w._subs))
         dims["calendar"] = version("dim_date", w.calendar)
-        rejects = w.rejected_rows()
-        sources = ("subscribers", "usage", "incidents", "fact_incident")
-        bad = put("rejected_rows", rejects, lambda d: d.write.mode("append").parquet(f"{root}/rejected_rows"), op="REJECT",
-                  metrics={s: F.count_if(F.col("source_table") == s) for s in sources})
         dims["dim_plan"] = version("dim_plan", D.build_dim_plan(w.plans, day, old("dim_plan")), "stg_plans",
                                    **updates("dim_plan", w.plans, "plan_id", D.PLAN_TRACKED, []))
+        feed_subscribers = w._subs
         dims["dim_tower"] = version("dim_tower", D.build_dim_tower(w.towers, old("dim_tower")), "stg_towers")
         dims["dim_location"] = version("dim_location", D.build_dim_location(w.dim_tower, self.cfg))
         dims["dim_subscriber"] = version(
-            "dim_subscriber", D.build_dim_subscriber(w.subscribers, day, old("dim_subscriber")), "stg_subscribers", rows_rejected=bad.get("subscribers", 0),
+            "dim_subscriber", D.build_dim_subscriber(w.subscribers, day, old("dim_subscriber")), "stg_subscribers", rows_rejected=feed_subscribers[1].count() if log is not None else 0,
             **updates("dim_subscriber", w.subscribers, "subscriber_id", D.SUBSCRIBER_TRACKED, D.SUBSCRIBER_TYPE1))
         # whitelists of the fact loads: the written dimensions (same key sets)
         dims["subscribers"], dims["towers"] = D.current(w.dim_subscriber), w.dim_tower
-        for name in ("_fact_usage", "_fact_incident"):  # built for the rejects, on the feeds' own lists
-            dims.pop(name, None)
+        dims["_usage_resolved"] = version("stg_usage_keys", w._usage_resolved, "stg_usage", op="RESOLVE")
+        rejects, rejected_now = w.rejected_rows(), Observation(f"rejected_{run.run_id}")
+        sources = ("usage", "incidents", "fact_incident")
+        rejects = rejects.observe(rejected_now, *[F.count_if(F.col("source_table") == s).alias(s) for s in sources])
+        put("rejected_rows", rejects, lambda d: reject_new(run, d), op="REJECT")
+        bad = {k: int(v or 0) for k, v in rejected_now.get.items()}
         loaded, rejected = w._fact_usage
         loaded_i, rejected_i = w._fact_incident
-        dims["_fact_usage"] = (append("fact_usage", loaded, "usage_id", "stg_usage", bad.get("usage", 0)), rejected)
-        dims["_fact_incident"] = (append("fact_incident", loaded_i, "incident_id", "stg_incidents", bad.get("incidents", 0) + bad.get("fact_incident", 0)), rejected_i)
+        dims["_fact_usage"] = (append("fact_usage", loaded, "usage_id", "stg_usage", bad["usage"]), rejected)
+        dims["_fact_incident"] = (append("fact_incident", loaded_i, "incident_id", "stg_incidents", bad["incidents"] + bad["fact_incident"]), rejected_i)
         return w

@@ -1,4 +1,4 @@
-"""Raw landing: CSV feeds read as text with lineage columns, and table reads."""
+"""Raw feeds: CSV read as text, with lineage columns."""
 
 from __future__ import annotations
 
@@ -22,10 +22,3 @@ def read_feed(spark: SparkSession, feed: str, path: str, lineage: bool = True) -
           .option("header", True).option("mode", "PERMISSIVE")
           .option("encoding", "UTF-8").csv(path))
     return with_lineage(df) if lineage else df
-
-
-def read_table(spark: SparkSession, path_or_name: str, fmt: str = "parquet") -> DataFrame:
-    """Read a warehouse table by catalog name or by path."""
-    if "/" not in path_or_name and fmt == "table":
-        return spark.table(path_or_name)
-    return spark.read.format(fmt).load(path_or_name)

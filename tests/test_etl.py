@@ -11,6 +11,7 @@ from telco_mart.operators import facts as FA
 from telco_mart.operators import ml as ML
 from telco_mart.operators import snapshots as SN
 from telco_mart.operators.prefix import running_totals
+from telco_mart.operators.runs import RunStore
 from telco_mart.plans.etl import run_etl
 from telco_mart.plans.warehouse import DRIVER_CONFIG, Warehouse
 from telco_mart.session import scratch_path
@@ -38,10 +39,10 @@ def test_a_second_run_merges_and_a_repeat_changes_nothing(spark):
     assert w2.dim_subscriber.filter("version = 2").count() > 0 and stages["dim_subscriber"].rows_updated > 0
     assert stages["dim_subscriber"].rows_rejected == first.subscriber_rejects.count()
     before = {n: rows(getattr(w2, n)) for n in ("dim_subscriber", "dim_plan", "dim_tower", "fact_usage", "fact_incident")}
-    months = rows(spark.read.parquet(f"{root}/fact_subscriber_monthly"))
+    months = rows(RunStore(spark, root).read("fact_subscriber_monthly"))
     w3, _, _ = run_etl(spark, SMALL, root, cfg, marts=False, feeds=delta)
     assert {n: rows(getattr(w3, n)) for n in before} == before
-    assert rows(spark.read.parquet(f"{root}/fact_subscriber_monthly")) == months
+    assert rows(RunStore(spark, root).read("fact_subscriber_monthly")) == months
     assert spark.read.parquet(f"{root}/etl_log").select("run_id").distinct().count() == 3
 
 
@@ -107,7 +108,7 @@ def test_usage_load_joins_each_dimension_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         w = Warehouse(spark, SMALL).materialize(scratch_path(spark, f"t_join_{uuid.uuid4().hex[:8]}"))
-        del w.__dict__["_fact_usage"]
+        del w.__dict__["_fact_usage"], w.__dict__["_usage_resolved"]
         plan = w._fact_usage[0]._jdf.queryExecution().optimizedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -19,7 +19,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
-             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+             "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow", "PythonUDF")
 
 
 def plan_text(df) -> str:
