@@ -33,7 +33,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -69,6 +69,11 @@ def record(rid, url: str | None, payload: bytes, digest: str, refers_to) -> byte
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
+def length(text: str) -> int | None:
+    """A Content-Length; null if it is no number."""
+    return int(text) if text.isascii() and text.isdigit() and len(text) < 19 else None
+
+
 def parse(data: bytes) -> dict | None:
     """Header fields and body of a decompressed record; null if it isn't one."""
     head, sep, rest = data.partition(b"\r\n\r\n")
@@ -76,8 +81,8 @@ def parse(data: bytes) -> dict | None:
     if not sep or not lines[0].startswith("WARC/"):
         return None
     fields = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-    size = int(fields.get("content-length", "-1"))
-    if size < 0 or rest[size:] != b"\r\n\r\n":
+    size = length(fields.get("content-length", ""))
+    if size is None or rest[size:] != b"\r\n\r\n":
         return None
     http, _, payload = rest[:size].partition(b"\r\n\r\n")
     fields["http"] = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in http.decode("utf-8", "replace").split("\r\n")[1:])}
@@ -129,8 +134,8 @@ def _row(data: bytes, payloads: bool) -> tuple:
     kind, digest = f.get("warc-type"), f.get("warc-payload-digest", "").removeprefix("sha256:")
     url = f.get("warc-target-uri", "").replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
     payload = f["payload"] if kind == "response" else None
-    size = len(payload) if payload is not None else int(f["http"].get("content-length", 0))
-    bad = "digest differs" if payload is not None and hashlib.sha256(payload).hexdigest() != digest else None
+    size = len(payload) if payload is not None else length(f["http"].get("content-length", "0"))
+    bad = "digest differs" if payload is not None and hashlib.sha256(payload).hexdigest() != digest else None if size is not None else "no payload length"
     refers_to = name(f["warc-refers-to"]) if "warc-refers-to" in f else None
     return kind, name(f.get("warc-record-id", "")), url, payload if payloads else None, size, digest, refers_to, bad
 
@@ -176,25 +181,39 @@ def read(spark: SparkSession, folders: list[str], payloads: bool = True) -> Data
                     yield pa.RecordBatch.from_arrays([*base.columns, *(pa.array(list(c), e.type) for c, e in zip(cols[8:], empty))], names=[*base.schema.names, "file", "block", "seq", "piece"])
 
     def join(key: tuple, t: pa.Table) -> pa.Table:
-        """Pieces of one file that are no whole member, joined in order."""
-        rows, held = [], b""
-        for piece in t.sort_by([("block", "ascending"), ("seq", "ascending")]).column("piece").to_pylist():
-            alone = _inflate(MAGIC + piece)[1]
-            if held and alone != "start":
-                held += MAGIC + piece
-                data, _ = _inflate(held)
-                if data is not None:
-                    rows.append(_row(data, payloads))
-                    held = b""
+        """Adjacent pieces that are no whole member, joined in order; each is
+        inflated once, as it comes."""
+        rows, member, out = [], None, []
+        for piece in t.sort_by([("block", "ascending"), ("seq", "ascending")]).column("piece"):
+            piece = MAGIC + piece.as_py()
+            alone = _inflate(piece)[1]
+            if member is not None and alone != "start":
+                try:
+                    out.append(member.decompress(piece))
+                except zlib.error:
+                    rows.append((None,) * 7 + ("cut record",))
+                    member, out = None, []
+                else:
+                    if member.eof:
+                        rows.append(_row(b"".join(out), payloads))
+                        member, out = None, []
                 continue
-            if held or alone == "bad":
-                rows.append((None,) * 7 + ("cut record" if held else "no gzip member",))
-            held = b"" if alone == "bad" else MAGIC + piece
-        if held:
+            if member is not None or alone == "bad":
+                rows.append((None,) * 7 + ("cut record" if member is not None else "no gzip member",))
+            member, out = (None, []) if alone == "bad" else (zlib.decompressobj(31), [])
+            if member is not None:
+                out.append(member.decompress(piece))
+        if member is not None:
             rows.append((None,) * 7 + ("cut record",))
         return pa.Table.from_batches([_batch(rows)])
 
     found = written(candidates(spark, folders).mapInArrow(whole, schema), "records")
     good = found.filter("piece is null").drop("file", "block", "seq", "piece")
-    stitched = found.filter("piece is not null").select("file", "block", "seq", "piece").groupBy("file").applyInArrow(join, COLUMNS)
+    # pieces are joined run by run: within a block, a gap between their numbers is a whole member
+    loose = found.filter("piece is not null").select("file", "block", "seq", "piece")
+    order = Window.partitionBy("file").orderBy("block", "seq")  # places only, no payloads
+    apart = (F.col("block") == F.lag("block").over(order)) & (F.col("seq") > F.lag("seq").over(order) + 1)
+    places = loose.select("file", "block", "seq", F.coalesce(apart, F.lit(False)).cast("int").alias("apart"))
+    runs = places.select("file", "block", "seq", F.sum("apart").over(order).alias("run"))
+    stitched = loose.join(runs, ["file", "block", "seq"]).groupBy("file", "run").applyInArrow(join, COLUMNS)
     return good.unionByName(stitched)
