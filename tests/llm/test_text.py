@@ -276,6 +276,41 @@ def test_quality_on_held_out_labels(spark):
     assert sum(r.keep for r in good) / len(good) > 0.98 and sum(not r.keep for r in bad) / len(bad) > 0.9
 
 
+def test_posteriors_match_plain_loops(spark):
+    """Sums by path and site, shrinkage by the method of moments and each
+    document's posterior, from the documents' own evidence."""
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.classify(docs, labels).collect()
+    where = {r.doc_id: (r.source, r.lang) for r in docs.collect()}
+    y = [r.quality for r in labels.join(docs, "doc_id").collect() if r.quality is not None]
+    prior = sum(y) / len(y)
+    paths, sites = {}, {}
+    for r in rows:
+        for key, table in ((where[r.doc_id], paths), (where[r.doc_id][0], sites)):
+            n, good = table.get(key, (0, 0.0))
+            table[key] = (n + 1, good + r.p_document)
+
+    def strength(groups):  # (n, good, parent) of each group
+        groups = [g for g in groups if g[0] > 1]
+        spread = sum(n * (good / n - p) ** 2 for n, good, p in groups)
+        chance, noise = sum(p * (1 - p) for _, _, p in groups), sum(n * p * (1 - p) for n, _, p in groups)
+        return 1 / min(1.0, max(1e-4, (spread - chance) / noise)) - 1 + 1e-6
+
+    n, good = (sum(v[k] for v in sites.values()) for k in (0, 1))
+    share = (good + prior) / (n + 1)
+    k_site = strength([(n, good, share) for n, good in sites.values()])
+    p_site = {s: (good + k_site * share) / (n + k_site) for s, (n, good) in sites.items()}
+    k_path = strength([(n, good, p_site[s]) for (s, _), (n, good) in paths.items()])
+    logit = lambda p: math.log(p / (1 - p))
+    for r in rows:
+        s = where[r.doc_id][0]
+        n, good = paths[where[r.doc_id]]
+        p_path = min(max((max(good - r.p_document, 0) + k_path * p_site[s]) / (n - 1 + k_path), 1e-6), 1 - 1e-6)
+        assert r.p_site == pytest.approx(p_site[s]) and r.p_path == pytest.approx(p_path)
+        if 1e-9 < r.p_document < 1 - 1e-9:
+            assert r.quality == pytest.approx(1 / (1 + math.exp(-(logit(r.p_document) - logit(prior) + logit(p_path)))), abs=1e-7)
+
+
 def test_sparse_sites_are_shrunk_more(spark):
     """Equal evidence everywhere: a site with many bad documents lowers its
     documents' posterior, a site with one hardly differs from the global share."""
