@@ -10,7 +10,7 @@ from telco_mart import config as C
 from telco_mart.config import WarehouseConfig, DEFAULT_CONFIG
 from telco_mart.functions import cleaning as X
 from telco_mart.functions.keys import surrogate_key
-from telco_mart.operators.scd import latest_per_key, scd2_initial, scd2_merge, scd1_merge
+from telco_mart.operators.scd import CHANGES, FEED, latest_per_key, scd2_initial, scd2_merge, scd1_merge
 from telco_mart.schemas import DIM_PLAN, DIM_TOWER, DIM_SUBSCRIBER, DIM_LOCATION, conform
 
 SUBSCRIBER_TRACKED = ["city", "segment", "plan_id"]
@@ -43,21 +43,30 @@ def _subscriber_attrs(subs: DataFrame, as_of: str, tenure: bool = True) -> DataF
     })
 
 
-def build_dim_plan(plans: DataFrame, as_of: str, existing: DataFrame | None = None) -> DataFrame:
+def _first(dim: DataFrame, schema: dict, changes: bool) -> DataFrame:
+    """A first load on its schema; with a change feed, all rows are new."""
+    out = conform(dim, schema)
+    return out.withColumns({"_kind": F.lit("new"), "_changes": F.array().cast(CHANGES)}) if changes else out
+
+
+def build_dim_plan(plans: DataFrame, as_of: str, existing: DataFrame | None = None, changes: bool = False) -> DataFrame:
+    """``changes=True`` adds the change feed of ``scd2_merge``."""
     if existing is None:
-        return conform(scd2_initial(plans, "plan_id", as_of, "plan_sk"), DIM_PLAN)
+        return _first(scd2_initial(plans, "plan_id", as_of, "plan_sk"), DIM_PLAN, changes)
     inc = plans.select(*[c for c in DIM_PLAN if c in plans.columns])
-    return conform(scd2_merge(existing, inc, "plan_id", PLAN_TRACKED, [], as_of, "plan_sk"), DIM_PLAN)
+    out = scd2_merge(existing, inc, "plan_id", PLAN_TRACKED, [], as_of, "plan_sk", changes=changes)
+    return conform(out, {**DIM_PLAN, **(FEED if changes else {})})
 
 
 def build_dim_subscriber(subs: DataFrame, as_of: str, existing: DataFrame | None = None,
                          erased: DataFrame | None = None, tenure: bool = True,
-                         skip_unchanged: bool = False) -> DataFrame:
+                         skip_unchanged: bool = False, changes: bool = False) -> DataFrame:
+    """``changes=True`` adds the change feed of ``scd2_merge``."""
     subs = _subscriber_attrs(subs, as_of, tenure)
     inc = subs.select(*[c for c in DIM_SUBSCRIBER if c in subs.columns and c not in
                         ("subscriber_sk", "date_debut", "date_fin", "is_current", "version")])
     if existing is None:
-        return conform(scd2_initial(inc, "subscriber_id", as_of, "subscriber_sk"), DIM_SUBSCRIBER)
+        return _first(scd2_initial(inc, "subscriber_id", as_of, "subscriber_sk"), DIM_SUBSCRIBER, changes)
     erased_cols = None
     if erased is not None:
         erased_cols = {"first_name": C.ANONYMISED, "last_name": C.ANONYMISED,
@@ -65,8 +74,8 @@ def build_dim_subscriber(subs: DataFrame, as_of: str, existing: DataFrame | None
                        "phone_number": None, "email": None}
     out = scd2_merge(existing, inc, "subscriber_id", SUBSCRIBER_TRACKED, SUBSCRIBER_TYPE1, as_of,
                      "subscriber_sk", protected=erased, protected_cols=erased_cols,
-                     skip_unchanged=skip_unchanged)
-    return conform(out, DIM_SUBSCRIBER)
+                     skip_unchanged=skip_unchanged, changes=changes)
+    return conform(out, {**DIM_SUBSCRIBER, **(FEED if changes else {})})
 
 
 def build_dim_tower(towers: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -47,6 +47,18 @@ def audit_diff(before: DataFrame, after: DataFrame, table: str, key: str,
         {"changed_by": F.expr("current_user()"), "changed_at": F.current_timestamp()})
 
 
+def audit_changes(merged: DataFrame, table: str, key: str, columns: dict[str, bool]) -> DataFrame:
+    """The UPDATE rows of ``audit_diff`` out of a merge's own change feed
+    (``scd2_merge(changes=True)``): no comparison of the two states. ``columns``
+    as there: False leaves out changes from or to NULL."""
+    rows = merged.filter(F.size("_changes") > 0).select(F.col(key).cast("string").alias("record_pk"), F.explode("_changes").alias("e"))
+    plain = [c for c, null_safe in columns.items() if not null_safe]
+    wanted = F.col("e.column_name").isin(list(columns)) & (~F.col("e.column_name").isin(plain) | (F.col("e.old_value").isNotNull() & F.col("e.new_value").isNotNull()))
+    out = rows.filter(wanted).select(F.lit(table).alias("table_name"), F.lit("UPDATE").alias("operation"), "record_pk", "e.*",
+                                     F.expr("current_user()").alias("changed_by"), F.current_timestamp().alias("changed_at"))
+    return conform(out, AUDIT_LOG)
+
+
 def pseudonymise(dim_subscriber: DataFrame, ids: DataFrame, key: str = "subscriber_id"
                  ) -> tuple[DataFrame, DataFrame]:
     """Erase identifying columns on ALL versions of the given ids. Returns the

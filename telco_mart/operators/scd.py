@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from telco_mart.functions.keys import surrogate_key
 
 SCD2_COLS = ["date_debut", "date_fin", "is_current", "version"]
+#: Type of the change feed of a merged row.
+CHANGES = "array<struct<column_name:string,old_value:string,new_value:string>>"
+FEED = {"_kind": "string", "_changes": CHANGES}
 
 
 def _differs(cols: list[str]) -> Column:
@@ -56,7 +59,7 @@ def classify_changes(current: DataFrame, incoming: DataFrame, key: str, tracked:
 def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: list[str],
                type1: list[str] | None = None, as_of: str = "", sk_col: str | None = None,
                protected: DataFrame | None = None, protected_cols: dict | None = None,
-               skip_unchanged: bool = False, order_by: list[str] | None = None) -> DataFrame:
+               skip_unchanged: bool = False, order_by: list[str] | None = None, changes: bool = False) -> DataFrame:
     """Type-2 merge of ``incoming`` into ``current``. Several incoming rows of
     one key collapse to the last by ``order_by`` (``latest_per_key``).
 
@@ -71,6 +74,9 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: list[
     values on every version written (erasure that a later merge must not undo).
     ``skip_unchanged=True`` reproduces an incremental load that skips keys whose
     tracked columns did not change, so Type-1 columns are not refreshed.
+    ``changes=True`` adds what the merge did, out of the same join: ``_kind`` (new,
+    changed or minor) on the row that holds a key's new state, and ``_changes``,
+    its changed columns with old and new value as texts (``CHANGES``).
     """
     type1 = type1 or []
     incoming = latest_per_key(incoming, key, order_by)
@@ -99,15 +105,25 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: list[
         return [vals.get(c, F.lit(None)).cast(current.schema[c].dataType).alias(c) for c in out_cols]
 
     # one or two versions per joined row, from a single pass over the join
-    version = lambda cols: F.struct(*[c.cast(current.schema[n].dataType).alias(n) for n, c in zip(out_cols, cols)])
+    text = lambda col, c: col.cast(current.schema[c].dataType).cast("string")
+    differing = [F.when(~F.col(f"i.{c}").cast(current.schema[c].dataType).eqNullSafe(F.col(f"c.{c}")), F.struct(
+        F.lit(c).alias("column_name"), text(F.col(f"c.{c}"), c).alias("old_value"), text(F.col(f"i.{c}"), c).alias("new_value"))) for c in (*tracked, *type1)]
+    made = F.array_compact(F.array(*differing)) if changes and differing else F.array()
+    feed = lambda fresh: [
+        F.when(F.lit(fresh) & F.col("_kind").isin("new", "changed", "minor"), F.col("_kind")).alias("_kind"),
+        F.when(F.lit(fresh) & F.col("_kind").isin("changed", "minor"), made.cast(CHANGES)).otherwise(F.array().cast(CHANGES)).alias("_changes"),
+    ] if changes else []
+    version = lambda cols, fresh=False: F.struct(*[c.cast(current.schema[n].dataType).alias(n) for n, c in zip(out_cols, cols)], *feed(fresh))
     kept = version(from_current({}))
     closed = version(from_current({"is_current": F.lit(0), "date_fin": as_of_d}))
-    opened = version(from_incoming(F.coalesce(F.col("c.version") + 1, F.lit(1))))
-    updated = version(from_current({c: F.col(f"i.{c}") for c in type1}))
+    opened = version(from_incoming(F.coalesce(F.col("c.version") + 1, F.lit(1))), True)
+    updated = version(from_current({c: F.col(f"i.{c}") for c in type1}), True)
     versions = (F.when(F.col("_kind") == "new", F.array(opened)).when(F.col("_kind") == "changed", F.array(closed, opened))
                 .when(F.col("_kind") == "minor", F.array(updated)).otherwise(F.array(kept)))
     merged = j.select(F.inline(versions))
-    out = hist.select(*out_cols).unionByName(merged.select(*out_cols))
+    extra = {"_kind": F.lit(None).cast("string"), "_changes": F.array().cast(CHANGES)} if changes else {}
+    out = hist.select(*out_cols).withColumns(extra) if extra else hist.select(*out_cols)
+    out = out.unionByName(merged.select(*out_cols, *extra))
     if protected is not None and protected_cols:
         p = protected.select(F.col(key).alias("_pk")).distinct().withColumn("_protected", F.lit(True))
         out = out.join(p, out[key] == p["_pk"], "left").drop("_pk")
@@ -115,7 +131,7 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: list[
                                .otherwise(F.col(c)) for c, v in protected_cols.items()}).drop("_protected")
     if sk_col:
         out = out.withColumn(sk_col, surrogate_key(key, "version"))
-    return out.select(*out_cols)
+    return out.select(*out_cols, *extra)
 
 
 def scd2_initial(incoming: DataFrame, key: str, as_of: str, sk_col: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from telco_mart.operators import marts as M
 from telco_mart.operators.export import modified
+from telco_mart.operators.key_index import KeyIndex
 from telco_mart.operators.runs import RunStore
 from telco_mart.plans.warehouse import Warehouse
 from telco_mart.session import scratch_path
@@ -357,6 +358,16 @@ def q_fact_append(spark, sf_dir):
     return FA.append_new(target, f, "usage_id").select("usage_id", "date_sk")
 
 
+@query("fact_append_indexed")
+def q_fact_append_indexed(spark, sf_dir):
+    """The same append against an index of the ids: neither the fact's history
+    nor the index is shuffled."""
+    f = built(spark, sf_dir).fact_usage
+    index = KeyIndex(spark, scratch_path(spark, f"ids_{uuid.uuid4().hex[:12]}"))
+    index.add(f.filter(F.col("annee") <= 1998), "usage_id", "first")
+    return index.new_rows(f, "usage_id", ["first"]).select("usage_id", "date_sk")
+
+
 @query("plan_point_in_time")
 def q_plan_pit(spark, sf_dir):
     """The plan version a subscriber had on the event's day: plans change their
@@ -427,11 +438,12 @@ def q_key_integrity(spark, sf_dir):
 
 @query("audit_diff")
 def q_audit_diff(spark, sf_dir):
+    """Audit rows out of the merges' own change feeds."""
     w = wh(spark, sf_dir)
-    sub = G.audit_diff(w.dim_subscriber, dim_subscriber_v2(w), "dim_subscriber", "subscriber_id",
-                       {"churn": False, "monthly_revenue": True})
-    plan = G.audit_diff(w.dim_plan, dim_plan_v2(w), "dim_plan", "plan_id", {"monthly_fee": True})
-    return sub.unionByName(plan).drop("changed_by", "changed_at")
+    subs = D.build_dim_subscriber(delta_subscribers(w), AS_OF2, existing=w.dim_subscriber, changes=True)
+    plans = D.build_dim_plan(CL.clean_plans(DT.raw_plans(w.tables, delta=True), w.cfg), AS_OF2, existing=w.dim_plan, changes=True)
+    sub = G.audit_changes(subs, "dim_subscriber", "subscriber_id", {"churn": False, "monthly_revenue": True})
+    return sub.unionByName(G.audit_changes(plans, "dim_plan", "plan_id", {"monthly_fee": True})).drop("changed_by", "changed_at")
 
 
 @query("audit_delete")

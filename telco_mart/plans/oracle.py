@@ -1184,3 +1184,4 @@ SELECT 'resultats_modeles' AS table_name, CAST(1 AS BIGINT) AS rows, 'OK' AS sta
 UNION ALL SELECT 'importance_variables', 15, 'OK'
 UNION ALL SELECT 'clients_a_risque', least(500, count(*)), 'OK' FROM prep WHERE snapshot_month = (SELECT max(snapshot_month) FROM prep) AND churn_status = 0
 """)
+SQL["fact_append_indexed"] = SQL["fact_append_idempotent"]

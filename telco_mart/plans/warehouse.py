@@ -17,12 +17,12 @@ from telco_mart.operators import cleaning as CL
 from telco_mart.operators import contract as K
 from telco_mart.operators import dimensions as D
 from telco_mart.operators import facts as FA
+from telco_mart.operators import governance as G
 from telco_mart.operators import quality as Q
 from telco_mart.functions import cleaning as X
 from telco_mart.operators.calendar import build_calendar
 from telco_mart.operators.median import group_medians
 from telco_mart.operators.runs import Run
-from telco_mart.operators.scd import classify_changes, latest_per_key
 from telco_mart.schemas import REJECTED_ROWS, conform
 from telco_mart.sources.driver_tables import DriverTables, raw_plans, raw_towers, raw_subscribers, \
     raw_usage, raw_incidents
@@ -271,12 +271,15 @@ class Warehouse:
         def old(name: str) -> DataFrame | None:
             return before.read(name) if before.has(name) else None
 
-        def updates(name: str, incoming: DataFrame, key: str, tracked: list[str], type1: list[str]) -> dict:
-            """Rows that the merge changes, for the run log."""
-            if log is None or not before.has(name):
-                return {}
-            kinds = classify_changes(old(name), latest_per_key(incoming, key), key, tracked, type1)
-            return {"rows_updated": kinds.filter(F.col("change_type").isin("changed", "minor")).count()}
+        def merged(name: str, build, audited: dict, key: str, source: str, **counts) -> DataFrame:
+            """Merge once, with what the merge changed beside each row; the
+            dimension and its audit rows are both read from that."""
+            updated = F.count_if(F.col("_kind").isin("changed", "minor"))
+            staged, _ = put(f"stg_{name}", build, lambda d: run.replace(f"stg_{name}", d), source, op="MERGE")
+            metrics = {"rows_updated": updated}
+            dim, _ = put(name, staged, lambda d: run.replace(name, d.drop("_kind", "_changes")), source, metrics=metrics, **counts)
+            run.append("audit_log", G.audit_changes(staged, name, key, audited))
+            return dim
 
         def landed(name: str) -> DataFrame:
             """The feed with its lineage: that of its landing, or the feed's name."""
@@ -289,14 +292,13 @@ class Warehouse:
         if log is not None:
             log.timed("medians_and_span", lambda: (w.calendar, w._usage_typed, w._subs))
         dims["calendar"] = version("dim_date", w.calendar)
-        dims["dim_plan"] = version("dim_plan", D.build_dim_plan(w.plans, day, old("dim_plan")), "stg_plans",
-                                   **updates("dim_plan", w.plans, "plan_id", D.PLAN_TRACKED, []))
+        dims["dim_plan"] = merged("dim_plan", D.build_dim_plan(w.plans, day, old("dim_plan"), changes=True), {"monthly_fee": True}, "plan_id", "stg_plans")
         feed_subscribers = w._subs
         dims["dim_tower"] = version("dim_tower", D.build_dim_tower(w.towers, old("dim_tower")), "stg_towers")
         dims["dim_location"] = version("dim_location", D.build_dim_location(w.dim_tower, self.cfg))
-        dims["dim_subscriber"] = version(
-            "dim_subscriber", D.build_dim_subscriber(w.subscribers, day, old("dim_subscriber")), "stg_subscribers", rows_rejected=feed_subscribers[1].count() if log is not None else 0,
-            **updates("dim_subscriber", w.subscribers, "subscriber_id", D.SUBSCRIBER_TRACKED, D.SUBSCRIBER_TYPE1))
+        dims["dim_subscriber"] = merged(
+            "dim_subscriber", D.build_dim_subscriber(w.subscribers, day, old("dim_subscriber"), changes=True), {"churn": False, "monthly_revenue": True},
+            "subscriber_id", "stg_subscribers", rows_rejected=feed_subscribers[1].count() if log is not None else 0)
         # whitelists of the fact loads: the written dimensions (same key sets)
         dims["subscribers"], dims["towers"] = D.current(w.dim_subscriber), w.dim_tower
         dims["_usage_resolved"] = version("stg_usage_keys", w._usage_resolved, "stg_usage", op="RESOLVE")
