@@ -3,103 +3,56 @@
 Spark's exact ``percentile``/``median`` aggregate keeps a value -> count map
 per group and merges it in ONE task, so a group holding a third of a 100 TB
 fact (one event type) would put every distinct amount of that third in one
-task's memory. ``group_medians`` finds the same value by bit refinement:
-
-1. values become order-preserving 64-bit integers (the bits of the double,
-   negated for negative values), and one aggregate counts each distinct
-   (group, value): map-side combined, so a hot value is one row per task;
-2. the middle ranks ``(n-1) div 2`` and ``n div 2`` are searched together, the
-   next ``BITS`` bits at a time: counts per bit group, a running sum over the
-   at most 2^BITS bit groups, and the bit group that holds the rank becomes the
-   prefix of the next round;
-3. after at most ``64 / BITS`` rounds the prefix is one value. Rounds stop
-   early when every prefix holds one distinct value.
-
-The rounds read only the counted values, never the input again, and have no
-threshold on rows: all sizes and spreads (infinities included) take the same
-path. The result equals ``percentile(v, 0.5)``: ``0.5*a + 0.5*b`` of the ranks.
+task's memory. Here one aggregate counts each distinct (group, value), combined
+map-side, so a hot value is one row per task; running totals over the order of
+(group, value) give each its ranks (a group of very many values is spread over
+many ranges), and the rows that hold the wanted ranks are the result.
+
+There is no threshold on rows: all sizes and spreads (infinities included) take
+the same path. The result equals ``percentile(v, 0.5)``: ``0.5*a + 0.5*b`` of the
+middle ranks ``(n-1) div 2`` and ``n div 2``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telco_mart.operators.lookup import join_lookup
+from telco_mart.operators.prefix import running_totals
 from telco_mart.session import checkpoint_dir
 
-BITS = 13
-_MANTISSA = 1 << 52
-
-
-def ordered_bits(v: Column) -> Column:
-    """The bits of a double as a BIGINT that orders like the double. Every
-    step is exact: powers of two only scale the value."""
-    a = F.abs(v)
-    guess = F.floor(F.log2(a)).cast("double")
-    two = lambda e: F.pow(F.lit(2.0), e)
-    e = guess - F.when(two(guess) > a, 1.0).otherwise(0.0) + F.when(two(guess + 1) <= a, 1.0).otherwise(0.0)
-    normal = ((e + 1023) * F.lit(float(_MANTISSA))).cast("long") + ((a / two(e) - 1) * F.lit(float(_MANTISSA))).cast("long")
-    tiny = (a * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long")
-    bits = (F.when(a == 0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(0x7FF << 52).cast("long"))
-            .when(a < 2.0 ** -1022, tiny).otherwise(normal))
-    return F.when(v < 0, -bits).otherwise(bits)
 
-
-def group_medians(df: DataFrame, value: str, group: str | None = None, bits: int = BITS) -> DataFrame:
+def group_medians(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
     """Exact median of ``value`` per ``group`` (or of the whole column when
     ``group`` is None) as ``(group, median)`` rows; NULL and NaN values are
     ignored, a NULL group is left out, a group without values has no row."""
     n = F.col("n")
-    ranks = F.array(F.struct(F.lit(1).alias("which"), F.floor((n - 1) / 2).cast("long").alias("rank")),
-                    F.struct(F.lit(2).alias("which"), F.floor(n / 2).cast("long").alias("rank")))
-    found = _values_at(df, value, group, ranks, bits)
+    found = _values_at(df, value, group, {1: F.floor((n - 1) / 2), 2: F.floor(n / 2)})
     low, high = F.max(F.when(F.col("which") == 1, F.col("v"))), F.max(F.when(F.col("which") == 2, F.col("v")))
     both = found.groupBy("_g").agg(low.alias("v1"), high.alias("v2"))
     med = F.when(F.col("v1") == F.col("v2"), F.col("v1")).otherwise(F.lit(0.5) * F.col("v1") + F.lit(0.5) * F.col("v2"))
     return both.select(F.col("_g").alias(group or "_all"), med.alias("median"))
 
 
-def group_quantiles(df: DataFrame, value: str, q: float, group: str | None = None, bits: int = BITS) -> DataFrame:
+def group_quantiles(df: DataFrame, value: str, q: float, group: str | None = None) -> DataFrame:
     """(group, quantile): the value of rank ceil(q * n) - 1 of each group."""
-    rank = F.greatest(F.ceil(F.col("n") * F.lit(q)).cast("long") - 1, F.lit(0).cast("long"))
-    found = _values_at(df, value, group, F.array(F.struct(F.lit(1).alias("which"), rank.alias("rank"))), bits)
+    found = _values_at(df, value, group, {1: F.greatest(F.ceil(F.col("n") * F.lit(q)) - 1, F.lit(0))})
     return found.select(F.col("_g").alias(group or "_all"), F.col("v").alias("quantile"))
 
 
-def _values_at(df: DataFrame, value: str, group: str | None, ranks: Column, bits: int) -> DataFrame:
+def _values_at(df: DataFrame, value: str, group: str | None, ranks: dict[int, Column]) -> DataFrame:
     """(_g, which, v): the values at 0-based ranks, stated over the count n."""
     checkpoint_dir(df.sparkSession)
     gcol = F.col(group) if group else F.lit(0)
     base = (df.select(gcol.alias("_g"), F.col(value).cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_g").isNotNull()))
-    counts = (base.groupBy("_g", ordered_bits(F.col("_v")).alias("_k"))
-              .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("_v")).checkpoint())
-    state = (counts.groupBy("_g").agg(F.sum("c").alias("n")).select("_g", F.explode(ranks).alias("r"))
-             .select("_g", "r.*", F.lit(None).cast("long").alias("prefix"), F.lit(None).cast("double").alias("v"),
-                     F.lit(False).alias("done")).checkpoint())
-    shift = 64
-    while shift > 0 and (searched := state.filter(~F.col("done")).count()):
-        state = _refine(counts, state, shift, max(shift - bits, 0), searched).checkpoint()
-        shift = max(shift - bits, 0)
-    return state
-
-
-def _refine(counts: DataFrame, state: DataFrame, above: int, shift: int, searched: int) -> DataFrame:
-    """Narrow every open (group, rank) from its prefix of the bits over
-    ``above`` to the bits over ``shift``."""
-    key = lambda s: F.shiftright("_k", s) if s < 64 else F.lit(None).cast("long")
-    open_ = state.filter(~F.col("done"))
-    prefixes = open_.groupBy("_g", "prefix").agg(F.lit(True).alias("searched"))
-    held = join_lookup(counts.withColumn("prefix", key(above)), prefixes, ["_g", "prefix"], rows=searched).filter("searched")
-    cells = held.groupBy("_g", "prefix", key(shift).alias("cell")).agg(
-        F.sum("c").alias("c"), F.min("_v").alias("v"), F.min("_k").alias("k1"), F.max("_k").alias("k2"))
-    upto = Window.partitionBy("_g", "prefix").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("before", F.coalesce(F.sum("c").over(upto), F.lit(0)).cast("long"))
-    s, h = open_.alias("s"), cells.alias("h")
-    on = (F.col("s._g") == F.col("h._g")) & F.col("s.prefix").eqNullSafe(F.col("h.prefix"))
-    inside = (F.col("h.before") <= F.col("s.rank")) & (F.col("s.rank") < F.col("h.before") + F.col("h.c"))
-    nxt = s.join(h, on & inside).select(
-        "s._g", "s.which", (F.col("s.rank") - F.col("h.before")).alias("rank"), F.col("h.cell").alias("prefix"), "h.v",
-        (F.col("h.k1") == F.col("h.k2")).alias("done"))
-    return state.filter("done").unionByName(nxt)
+    counts = base.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("c")).checkpoint()
+    placed = running_totals(counts, F.struct("_g", "_v"), {"c": "upto"})
+    wanted = F.array(*(F.struct(F.lit(k).alias("which"), r.cast("long").alias("rank")) for k, r in ranks.items()))
+    groups = placed.groupBy("_g").agg(F.sum("c").alias("n"), F.min(F.col("upto") - F.col("c")).alias("start"))
+    groups = groups.select("_g", "start", wanted.alias("wanted")).checkpoint()
+    first, after = F.col("upto") - F.col("c") - F.col("start"), F.col("upto") - F.col("start")
+    here = F.filter("wanted", lambda w: (w["rank"] >= first) & (w["rank"] < after))
+    held = join_lookup(placed, groups, ["_g"]).select("_g", F.col("_v").alias("v"), F.explode(here).alias("w"))
+    return held.select("_g", "w.which", "v").checkpoint()

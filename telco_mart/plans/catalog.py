@@ -850,6 +850,7 @@ from telco_mart.operators.export import export_tables  # noqa: E402
 from telco_mart.operators import actives as A  # noqa: E402
 from telco_mart.operators import contract as K  # noqa: E402
 from telco_mart.operators.runs import Run  # noqa: E402
+from telco_mart.schemas import RAW_COLUMNS  # noqa: E402
 from telco_mart.sources.landing import land  # noqa: E402
 from telco_mart.sources.raw import read_feed  # noqa: E402
 
@@ -878,6 +879,7 @@ def q_landing_ledger(spark, sf_dir):
     names = ["plans", "towers", "subscribers", "usage", "incidents"]
     for n in names:
         raw = w.raw(n)
+        raw = raw.withColumns({c: F.lit(None).cast("string") for c in RAW_COLUMNS[n] if c not in raw.columns}).select(RAW_COLUMNS[n])
         write = lambda df, mode="append", n=n: df.write.mode(mode).option("header", True).option("escape", '"').csv(f"{root}/in/{n}")
         write(raw)
         copies = [f.rsplit("/", 1)[-1] for f in spark.read.text(f"{root}/in/{n}").inputFiles()]
