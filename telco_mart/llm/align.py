@@ -77,6 +77,7 @@ class Tokenizers:
         self.a_bytes = [b""] * (max(ranks.values()) + 1)
         for token, i in ranks.items():
             self.a_bytes[i] = token
+        self.a_sizes = [len(t) for t in self.a_bytes]
         self.b_bytes = [self.piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
 
     @staticmethod
@@ -94,7 +95,8 @@ class Tokenizers:
                 yield [], []
                 continue
             a, b, whole = self.a.encode_ordinary(" " + text), pieces[i], b" " + text.encode()
-            same = b"".join(map(self.b_bytes.__getitem__, b)) == whole == b"".join(map(self.a_bytes.__getitem__, a))
+            # A's tokens are slices of the text in their order: they join to it if none is lost
+            same = sum(map(self.a_sizes.__getitem__, a)) == len(whole) and b"".join(map(self.b_bytes.__getitem__, b)) == whole
             yield (a, b) if same else ([], [])
 
 
