@@ -71,17 +71,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def has_version(spark: SparkSession, root: str) -> bool:
-    return path_exists(spark, f"{root.rstrip('/')}/_CURRENT")
-
-
-def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Idempotent rewrite of only the partitions present in ``df`` (dynamic
-    partition overwrite), e.g. snapshot months or fact years."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-
-
 def export_tables(tables: dict[str, DataFrame], out_root: str, fmt: str = "parquet",
                   single_file: bool = False) -> DataFrame:
     """Portable extract of small tables (KPI marts): one folder per table,
