@@ -118,7 +118,7 @@ def mixing_sql(times: int) -> str:
     """Poisson numbers by the distribution function of each source's mean, cut
     into parts of at most 16, looked up at one uniform number a part."""
     uniform = lambda text: f"('0x' || substr(md5({text}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
-    columns = ", ".join(f"coalesce({c}::VARCHAR, 'null')" for c in ("doc_id", "text", "lang", "source", "n_chars"))
+    columns = ", ".join(f"coalesce(d.{c}::VARCHAR, 'null')" for c in ("doc_id", "text", "lang", "source", "n_chars"))
     return f"""
         WITH n AS (SELECT source, count(*) AS n, sqrt(count(*)) AS w FROM documents GROUP BY source),
              s AS (SELECT sum(n) * {times} AS all_n, sum(w) AS all_w FROM n),
