@@ -49,7 +49,7 @@ def test_a_second_run_merges_and_a_repeat_changes_nothing(spark):
 def test_a_failing_mart_ends_the_run(spark, monkeypatch):
     from telco_mart.plans import etl
 
-    monkeypatch.setitem(etl.MARTS, "kpi_arpu", lambda w: w.fact_usage.select(F.raise_error(F.lit("no mart")).alias("x")))
+    monkeypatch.setitem(etl.MARTS, "kpi_arpu", lambda w: w.fact_usage.select(F.raise_error(F.lit("no mart")).cast("int").alias("x"), "annee", F.lit(1).alias("mois")))
     root = scratch_path(spark, f"t_fail_{uuid.uuid4().hex[:8]}")
     with pytest.raises(Exception, match="no mart"):
         run_etl(spark, SMALL, root)
