@@ -41,10 +41,14 @@ def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 _BUILT: dict = {}
 
 
+def built_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """What a built warehouse is known by: application, folder, state of its files."""
+    return (spark.sparkContext.applicationId, sf_dir, modified(spark, f"{sf_dir}/lineitem.parquet"), modified(spark, f"{sf_dir}/customer.parquet"))
+
+
 def built(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The written warehouse of a folder, built once per application and state
-    of its files."""
-    key = (spark.sparkContext.applicationId, sf_dir, modified(spark, f"{sf_dir}/lineitem.parquet"), modified(spark, f"{sf_dir}/customer.parquet"))
+    """The written warehouse of a folder, built once per ``built_key``."""
+    key = built_key(spark, sf_dir)
     if key not in _BUILT:
         _BUILT[key] = Warehouse(spark, sf_dir).materialize(scratch_path(spark, f"warehouse_{uuid.uuid4().hex[:12]}"))
     return _BUILT[key]
