@@ -272,12 +272,13 @@ class Warehouse:
             return before.read(name) if before.has(name) else None
 
         def merged(name: str, build, audited: dict, key: str, source: str, **counts) -> DataFrame:
-            """Merge once, with what the merge changed beside each row; the
-            dimension and its audit rows are both read from that."""
-            updated = F.count_if(F.col("_kind").isin("changed", "minor"))
-            staged, _ = put(f"stg_{name}", build, lambda d: run.replace(f"stg_{name}", d), source, op="MERGE")
-            metrics = {"rows_updated": updated}
-            dim, _ = put(name, staged, lambda d: run.replace(name, d.drop("_kind", "_changes")), source, metrics=metrics, **counts)
+            """A first load as it is. A merge once, with what it changed beside
+            each row; the dimension and its audit rows are both read from that."""
+            if not before.has(name):
+                return version(name, build(None), source, **counts)
+            staged, _ = put(f"stg_{name}", build(before.read(name)), lambda d: run.replace(f"stg_{name}", d), source, op="MERGE")
+            metrics = {} if log is None else {"metrics": {"rows_updated": F.count_if(F.col("_kind").isin("changed", "minor"))}}
+            dim, _ = put(name, staged, lambda d: run.replace(name, d.drop("_kind", "_changes")), source, **metrics, **counts)
             run.append("audit_log", G.audit_changes(staged, name, key, audited))
             return dim
 
@@ -292,12 +293,12 @@ class Warehouse:
         if log is not None:
             log.timed("medians_and_span", lambda: (w.calendar, w._usage_typed, w._subs))
         dims["calendar"] = version("dim_date", w.calendar)
-        dims["dim_plan"] = merged("dim_plan", D.build_dim_plan(w.plans, day, old("dim_plan"), changes=True), {"monthly_fee": True}, "plan_id", "stg_plans")
+        dims["dim_plan"] = merged("dim_plan", lambda was: D.build_dim_plan(w.plans, day, was, changes=was is not None), {"monthly_fee": True}, "plan_id", "stg_plans")
         feed_subscribers = w._subs
         dims["dim_tower"] = version("dim_tower", D.build_dim_tower(w.towers, old("dim_tower")), "stg_towers")
         dims["dim_location"] = version("dim_location", D.build_dim_location(w.dim_tower, self.cfg))
         dims["dim_subscriber"] = merged(
-            "dim_subscriber", D.build_dim_subscriber(w.subscribers, day, old("dim_subscriber"), changes=True), {"churn": False, "monthly_revenue": True},
+            "dim_subscriber", lambda was: D.build_dim_subscriber(w.subscribers, day, was, changes=was is not None), {"churn": False, "monthly_revenue": True},
             "subscriber_id", "stg_subscribers", rows_rejected=feed_subscribers[1].count() if log is not None else 0)
         # whitelists of the fact loads: the written dimensions (same key sets)
         dims["subscribers"], dims["towers"] = D.current(w.dim_subscriber), w.dim_tower
