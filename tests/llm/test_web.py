@@ -309,3 +309,17 @@ def test_large_lookups_are_salted(spark, monkeypatch):
     lookup = spark.createDataFrame([("hot", 1), (None, 2), ("unused", 3)], "source string, v int")
     got = Counter((r.source, r.v) for r in join_lookup(df, lookup, ["source"], salts=4).collect())
     assert got == {("hot", 1): 200, (None, 2): 100, ("other", None): 1}
+
+
+def test_a_large_lookup_is_merged_whole_and_never_broadcast(spark, monkeypatch):
+    """Its estimated size is small: only the count of its rows decides."""
+    from telco_mart.llm.common import written
+    from telco_mart.operators import lookup as module
+
+    monkeypatch.setattr(module, "BROADCAST_ROWS", 2)
+    df = spark.createDataFrame([(i, "hot" if i % 3 else None) for i in range(300)] + [(999, "other")], "doc_id long, source string")
+    lookup = written(spark.createDataFrame([("hot", 1), (None, 2), ("unused", 3)], "source string, v int"), "lookup")
+    joined = join_lookup(df, lookup, ["source"])
+    assert Counter((r.source, r.v) for r in joined.collect()) == {("hot", 1): 200, (None, 2): 100, ("other", None): 1}
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Generate" not in plan
