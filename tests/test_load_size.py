@@ -56,3 +56,33 @@ def test_run_tables_are_zstd(spark):
     root = scratch_path(spark, "zstd_run")
     Run(spark, root).replace("t", spark.range(5))
     assert glob.glob(f"{root}/t/*/*.zstd.parquet")
+
+
+def test_facts_built_from_the_feeds_group_only_repeated_ids(spark, monkeypatch):
+    """Without a written load, too, whole usage rows are not grouped by their id:
+    repeated rows of the feed give the same fact."""
+    from conftest import SMALL
+    from telco_mart.operators import facts
+    from telco_mart.plans.warehouse import Warehouse
+
+    def grouped(*args):
+        raise AssertionError("all usage rows are grouped")
+
+    monkeypatch.setattr(facts, "latest_per_key", grouped)
+    once = Warehouse(spark, SMALL)
+    raw = once.raw("usage")
+    again = Warehouse(spark, SMALL, feeds={"usage": raw.unionByName(raw.filter("usage_id like '%3-1-%'"))})
+    columns = ["usage_id", "date_sk", "subscriber_sk", "tower_sk"]
+    want, got = (Counter(w.fact_usage.select(*columns).collect()) for w in (once, again))
+    assert sum(got.values()) > 0 and max(got.values()) == 1 and got == want
+
+
+def test_appends_of_a_written_batch_group_only_repeated_ids(spark):
+    from telco_mart.operators.facts import append_new
+
+    target = _written(spark, [("u1", 1, "x"), ("u2", 2, "x")], "append_target")
+    once = _written(spark, [(f"u{i}", i, "x") for i in range(6)], "append_once")
+    twice = _written(spark, [("u1", 5, "y"), ("u3", 3, "x"), ("u3", 3, None), ("u4", 4, "x"), (None, 1, "p"), (None, 2, None)], "append_twice")
+    for batch in (once, twice):
+        assert Counter(append_new(target, batch, "id", written=True).collect()) == Counter(append_new(target, batch, "id").collect())
+    assert "Aggregate" not in _plan(append_new(target, once, "id", written=True)) and "Aggregate" in _plan(append_new(target, once, "id"))
