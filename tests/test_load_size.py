@@ -77,6 +77,22 @@ def test_facts_built_from_the_feeds_group_only_repeated_ids(spark, monkeypatch):
     assert sum(got.values()) > 0 and max(got.values()) == 1 and got == want
 
 
+def test_incidents_group_only_repeated_ids(spark, monkeypatch):
+    from conftest import SMALL
+    from telco_mart.operators import facts
+    from telco_mart.plans.warehouse import Warehouse
+
+    def grouped(*args):
+        raise AssertionError("all incident rows are grouped")
+
+    monkeypatch.setattr(facts, "latest_per_key", grouped)
+    once = Warehouse(spark, SMALL)
+    raw = once.raw("incidents")
+    again = Warehouse(spark, SMALL, feeds={"incidents": raw.unionByName(raw.filter("incident_id like '%3'"))})
+    want, got = (Counter(w.fact_incident.select("incident_id", "date_sk", "tower_sk", "description").collect()) for w in (once, again))
+    assert sum(got.values()) > 0 and max(got.values()) == 1 and got == want
+
+
 def test_appends_of_a_written_batch_group_only_repeated_ids(spark):
     from telco_mart.operators.facts import append_new
 
