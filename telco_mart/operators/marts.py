@@ -3,7 +3,8 @@
 Plan shape (usage marts): the fact is first restricted to calendar days
 (broadcast semi-join: the calendar is bounded by its span), then aggregated
 to (month, dimension keys[, subscriber]) *before* any dimension join, so the
-joins see one row per group instead of one per event. Ratios are computed in
+joins see one row per group instead of one per event. Month names and quarters
+are looked up for the finished groups, so shuffled rows carry the month's key only. Ratios are computed in
 DOUBLE from exact DECIMAL/BIGINT sums and rounded last.
 """
 
@@ -78,11 +79,10 @@ def kpi_arpu(fact_usage: DataFrame, dim_subscriber: DataFrame, dim_plan: DataFra
         F.sum("amount_fcfa").alias("amt"), F.count("amount_fcfa").alias("n"))
     s = dim_subscriber.select("subscriber_sk", "country", "city")
     p = dim_plan.select("plan_sk", "plan_name", "type_abonnement")
-    j = pre.join(s, "subscriber_sk").join(p, "plan_sk").join(_months(calendar), "month_key")
-    g = j.groupBy("annee", "mois", "nom_mois", "annee_trimestre", "country", "city",
-                  "plan_name", "type_abonnement").agg(
+    j = pre.join(s, "subscriber_sk").join(p, "plan_sk")
+    g = j.groupBy("month_key", "country", "city", "plan_name", "type_abonnement").agg(
         F.countDistinct("subscriber_sk").alias("nb_abonnes_actifs"),
-        F.sum("amt").alias("amt"), F.sum("n").alias("n"))
+        F.sum("amt").alias("amt"), F.sum("n").alias("n")).join(_months(calendar), "month_key")
     return g.select("annee", "mois", "nom_mois", "annee_trimestre", "country", "city",
                     "plan_name", "type_abonnement", "nb_abonnes_actifs",
                     dround("amt", 2).alias("revenu_total"),
@@ -136,11 +136,10 @@ def kpi_duree_appels(fact_usage: DataFrame, dim_subscriber: DataFrame, calendar:
         F.count_if(F.col("status") == C.STATUS_FAILED).alias("failed"))
     s = dim_subscriber.select("subscriber_sk", "country", "city", "segment")
     months = _months(calendar).withColumn("tranche_horaire", F.lit(None).cast("string"))
-    j = pre.join(s, "subscriber_sk").join(months, "month_key")
-    g = j.groupBy("annee", "mois", "nom_mois", "annee_trimestre", "tranche_horaire", "country",
-                  "city", "segment", "network_type").agg(
+    j = pre.join(s, "subscriber_sk")
+    g = j.groupBy("month_key", "country", "city", "segment", "network_type").agg(
         F.sum("n").alias("nb_appels"), F.sum("sec").alias("sec"), F.sum("sec_n").alias("sec_n"),
-        F.sum("failed").alias("nb_appels_echoues"))
+        F.sum("failed").alias("nb_appels_echoues")).join(months, "month_key")
     return g.select("annee", "mois", "nom_mois", "annee_trimestre", "tranche_horaire", "country",
                     "city", "segment", "network_type", "nb_appels",
                     ratio("sec", "sec_n", 1).alias("duree_moy_sec"),
@@ -177,12 +176,11 @@ def kpi_data_par_region(fact_usage: DataFrame, dim_location: DataFrame, dim_towe
         F.sum("amount_fcfa").alias("amt"))
     loc = dim_location.select("location_sk", "country", "city", "region")
     t = dim_tower.select("tower_sk", "technology")
-    j = pre.join(loc, "location_sk").join(t, "tower_sk").join(_months(calendar), "month_key")
-    g = j.groupBy("annee", "mois", "nom_mois", "annee_trimestre", "country", "city", "region",
-                  "technology").agg(
+    j = pre.join(loc, "location_sk").join(t, "tower_sk")
+    g = j.groupBy("month_key", "country", "city", "region", "technology").agg(
         F.countDistinct("subscriber_sk").alias("abonnes_data"),
         F.sum("n").alias("nb_sessions_data"), F.sum("mb").alias("mb"), F.sum("mb_n").alias("mb_n"),
-        F.sum("gb").alias("gb"), F.sum("amt").alias("amt"))
+        F.sum("gb").alias("gb"), F.sum("amt").alias("amt")).join(_months(calendar), "month_key")
     return g.select("annee", "mois", "nom_mois", "annee_trimestre", "country", "city", "region",
                     "technology", "abonnes_data", "nb_sessions_data",
                     dround("mb", 2).alias("total_mb"), dround("gb", 4).alias("total_gb"),
