@@ -58,3 +58,15 @@ def test_trees_without_splits_and_means(spark):
     stump = [Leaf(1.0, ((1, -math.inf, 3.0),)), Leaf(-1.0, ((1, 3.0, math.inf),))]
     means = mean_absolute(shapley(df, stump, [0.0, 0.0], F.col("x")), ["a", "b"]).collect()
     assert [(r.feature, r.mean_abs_shap) for r in means] == [("b", 1.0), ("a", 0.0)]
+
+
+def test_the_plan_does_not_grow_with_the_leaves(spark):
+    """A hundred trees of thirty-two leaves are one constant, not thousands of expressions in the driver."""
+    leaves = [Leaf(float(i % 7), tuple((f, -1.0 + i % 3, math.inf) for f in range(4))) for i in range(3200)]
+    rows = spark.createDataFrame([([0.5, 1.5, 2.5, 3.5],)], "x array<double>")
+    plans = [shapley(rows, some, [0.0] * 4, F.col("x"))._jdf.queryExecution() for some in (leaves[:2], leaves)]
+    calls = [p.analyzed().toString().count("named_struct(") + p.analyzed().toString().count("struct(") for p in plans]
+    assert calls[0] == calls[1] < 50
+    assert "from_json" not in plans[1].optimizedPlan().toString()  # parsed while planning, not for each row
+    got = shapley(rows, leaves, [0.0] * 4, F.col("x")).first().phi
+    assert math.isclose(sum(got), value_at(leaves, [0.5, 1.5, 2.5, 3.5]) - value_at(leaves, [0.0] * 4), rel_tol=1e-9)
