@@ -155,8 +155,9 @@ def links(fps: DataFrame, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
         else:
             tables = F.explode(F.array(*(F.struct(F.lit(c).cast("long").alias("path"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for _, c, m in steps)))
             rows = rows.select(tables.alias("t"), "fp").select("t.path", "t.key", "fp")
+        # merged by key: Spark's estimate of both sides leaves out the copies that an explode or the masks make
         sizes = rows.groupBy("path", "key").agg(F.count("*").alias("n")).filter("n > 1")
-        rows = written(rows.join(sizes, ["path", "key"]), "buckets")
+        rows = written(rows.join(sizes.hint("merge"), ["path", "key"]), "buckets")
         small = rows if level == 2 else rows.filter(F.col("n") <= bucket)
         found = _bucket_links(small, radius) if found is None else found.union(_bucket_links(small, radius))
         big = rows.filter(F.col("n") > bucket)

@@ -7,6 +7,7 @@ import pytest
 import xxhash
 
 from telco_mart.llm import exact_dedup, simhash_dedup
+from telco_mart.llm.common import written
 from telco_mart.llm.components import connected_components
 from telco_mart.llm.fuse_filter import FuseFilter
 
@@ -100,6 +101,23 @@ def test_links_keep_every_component_when_buckets_are_cut(spark, bucket):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_bucket_sizes_are_never_broadcast(spark, monkeypatch):
+    """The tables of a fingerprint are exploded, which Spark's estimate leaves out:
+    a small table of fingerprints must not put all its copies into a broadcast."""
+    plans = []
+
+    def kept(df, name):
+        if name == "buckets":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(simhash_dedup, "written", kept)
+    fps = spark.range(200).toDF("fp")
+    found = simhash_dedup.links(fps, 4, 64).collect()
+    assert found and len(plans) > 1 and all("SortMergeJoin" in p for p in plans)
+    assert "Broadcast" not in plans[0]  # later levels broadcast their masks
+
+
 def test_components_of_a_path_a_star_and_nothing(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + k) for k in range(1, 60)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
